@@ -419,6 +419,6 @@ scalar("aux_01_desc", "lineitem", [
      "rank() OVER (PARTITION BY l_orderkey ORDER BY l_quantity DESC, l_linenumber, l_partkey, l_suppkey)")])
 scalar("aux_02_nulls_first_last", "lineitem", [
     ("rn_nf", lambda: F.rank().over(Window.partitionBy("l_orderkey").orderBy(_nq().asc_nulls_first(), "l_linenumber", "l_partkey", "l_suppkey")).cast("long"),
-     "rank() OVER (PARTITION BY l_orderkey ORDER BY nullif(l_quantity, 1.0) ASC NULLS FIRST, l_linenumber)"),
+     "rank() OVER (PARTITION BY l_orderkey ORDER BY nullif(l_quantity, 1.0) ASC NULLS FIRST, l_linenumber, l_partkey, l_suppkey)"),
     ("rn_nl", lambda: F.rank().over(Window.partitionBy("l_orderkey").orderBy(_nq().desc_nulls_last(), "l_linenumber", "l_partkey", "l_suppkey")).cast("long"),
      "rank() OVER (PARTITION BY l_orderkey ORDER BY nullif(l_quantity, 1.0) DESC NULLS LAST, l_linenumber, l_partkey, l_suppkey)")])
