@@ -103,14 +103,14 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
                     s = s + np.where(gid == 0, carry[o], 0.0)
                 res[f"_q_l_{o}"] = s
             for o, c in mins.items():
-                s = pdf[c].groupby(gid).cummin()
+                s = pdf[c].groupby(gid).cummin().groupby(gid).ffill()
                 if continues and carry[o] is not None:
                     m = gid == 0
                     s = s.where(~m | (s <= carry[o]) | s.isna(), carry[o])
                     s = s.where(~(m & s.isna()), carry[o])
                 res[f"_q_l_{o}"] = s.to_numpy()
             for o, c in maxs.items():
-                s = pdf[c].groupby(gid).cummax()
+                s = pdf[c].groupby(gid).cummax().groupby(gid).ffill()
                 if continues and carry[o] is not None:
                     m = gid == 0
                     s = s.where(~m | (s >= carry[o]) | s.isna(), carry[o])
