@@ -347,7 +347,7 @@ def ovr_02_rows_frame(spark, sf):
 
 @register("ovr_03_range_frame", """
 SELECT event_id, count(*) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND CURRENT ROW) AS c_day,
-       round(sum(value) OVER (PARTITION BY event_type ORDER BY value RANGE BETWEEN 1.0 PRECEDING AND CURRENT ROW), 2) AS s_near
+       round(sum(value) OVER (PARTITION BY event_type ORDER BY round(value * 100)::BIGINT RANGE BETWEEN 100 PRECEDING AND CURRENT ROW), 2) AS s_near
 FROM events
 """)
 def ovr_03_range_frame(spark, sf):
