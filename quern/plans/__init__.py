@@ -6,6 +6,7 @@ from quern.plans import (  # noqa: F401,E402
     joins,
     relational,
     scalar_functions,
+    streaming,
     windows_batch,
 )
 

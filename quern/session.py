@@ -86,3 +86,40 @@ def ensure_stateful_conf(spark: SparkSession) -> None:
             pass
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``quern`` importable in the Python workers (pandas UDFs, data
+    sources and stateful processors refer to it by module).  The package is
+    zipped once and handed to ``addPyFile``, Spark's own code distribution."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    fd, zpath = tempfile.mkstemp(prefix="quern-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    spark.sparkContext.addPyFile(zpath)
+    # Code that runs in Python workers outside the executors' Python path
+    # (the data source planner) is pickled by value instead of by module.
+    import importlib
+    from pyspark import cloudpickle
+    for mod in WORKER_MODULES:
+        try:
+            cloudpickle.register_pickle_by_value(importlib.import_module(mod))
+        except ValueError:
+            pass  # already registered
+    _SHIPPED.add(app)
+
+
+WORKER_MODULES = ("quern.sources.replay", "quern.streaming.processors",
+                  "quern.operators.prefix", "quern.functions.udf")
