@@ -211,14 +211,19 @@ class StateKinds(StatefulProcessor):
     last three ids (list), count per category (map).  Emits the changed
     categories with their counts (update mode)."""
 
-    def __init__(self, category: str, ts: str, tie: str, ttl_ms: int | None = None):
+    def __init__(self, category: str, ts: str, tie: str, ttl_ms: int | None = None,
+                 retention_ms: int | None = None):
         self.category, self.ts, self.tie, self.ttl = category, ts, tie, ttl_ms
+        self.retention = retention_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         if self.ttl:
+            # processing-time TTL of the state store (ProcessingTime mode)
             self.total = handle.getValueState("total", "n long", self.ttl)
         else:
             self.total = handle.getValueState("total", "n long")
+        self.last_seen = handle.getValueState("last_seen", "t long")
         self.recent = handle.getListState("recent", "id long")
         self.per = handle.getMapState("per", "category string", "n long")
 
@@ -226,7 +231,9 @@ class StateKinds(StatefulProcessor):
         n = self.total.get()[0] if self.total.exists() else 0
         recent = [x[0] for x in self.recent.get()] if self.recent.exists() else []
         changed = {}
+        rows_seen_last = None
         for r in _sorted(rows, self.ts, self.tie):
+            rows_seen_last = to_ms(r[self.ts])
             n += 1
             recent = (recent + [r[self.tie]])[-3:]
             c = r[self.category]
@@ -237,11 +244,26 @@ class StateKinds(StatefulProcessor):
         for c, v in changed.items():
             self.per.updateValue((c,), (v,))
         self.total.update((n,))
+        if self.retention and rows_seen_last is not None:
+            # STR-41 idle-state retention in event time: a timer one retention
+            # period after the key's latest row clears its state
+            if self.last_seen.exists():
+                self.handle.deleteTimer(self.last_seen.get()[0] + self.retention)
+            self.last_seen.update((rows_seen_last,))
+            self.handle.registerTimer(rows_seen_last + self.retention)
         self.recent.clear()
         self.recent.put([(x,) for x in recent])
         for c, v in changed.items():
             yield Row(key=key[0], category=c, cnt=v, total=n)
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if self.last_seen.exists() and self.last_seen.get()[0] + self.retention <= expiredTimerInfo.getExpiryTimeInMs():
+            self.total.clear()
+            self.recent.clear()
+            self.per.clear()
+            self.last_seen.clear()
+        return iter(())
+
     def close(self) -> None:
         pass
 
