@@ -241,3 +241,83 @@ def match_fixed_length(df: DataFrame, partition_by: Sequence[str], order_by: Seq
         i = list(variables).index(v)
         cols[name] = F.lead(F.col(col), i).over(w) if i else F.col(col)
     return out.withColumns(cols).filter("_mf_ok").select(*partition_by, *keep.keys())
+
+
+# --- streaming execution -------------------------------------------------------
+
+END_OF_INPUT_MS = 4_102_358_400_000  # 2099-12-31T00:00:00Z: fires only at end of input (fixed value)
+
+
+def _match_processor_cls():
+    from pyspark.sql.streaming import StatefulProcessor
+
+    class MatchProcessor(StatefulProcessor):
+        """Pattern matching on a stream: the key's undecided rows live in list
+        state (only rows a pending match can still use); a timer at the
+        end-of-input time finalises pending greedy runs when the input ends."""
+
+        def __init__(self, pattern, measures, after, within_ms, time_col, tie_col, cols, key_name):
+            self.pattern, self.measures, self.after = pattern, measures, after
+            self.within, self.time_col, self.tie_col = within_ms, time_col, tie_col
+            self.cols, self.key_name = cols, key_name
+
+        def init(self, handle):
+            self.handle = handle
+            self.buf = handle.getListState("buf", "row string")
+            self.armed = handle.getValueState("armed", "b boolean")
+
+        def _load(self):
+            import json
+            return [json.loads(x[0]) for x in self.buf.get()] if self.buf.exists() else []
+
+        def _run(self, key, rows, final):
+            import datetime
+            import json
+            m = Matcher(self.pattern, self.measures, self.after, self.within, self.time_col, self.tie_col)
+            m.buf = self._load()
+            for r in m.push(rows, final):
+                if "match_rowtime" in {k for k, v in self.measures.items() if v == "match_rowtime"} or True:
+                    for k, v in list(r.items()):
+                        if self.measures.get(k) == "match_rowtime" and isinstance(v, (int, float)):
+                            r[k] = datetime.datetime(1970, 1, 1) + datetime.timedelta(milliseconds=v)
+                yield Row(**{self.key_name: key[0], **r})
+            self.buf.clear()
+            if m.buf and not final:
+                self.buf.put([(json.dumps(b),) for b in m.buf])
+
+        def handleInputRows(self, key, rows, timerValues):
+            rs = []
+            for r in rows:
+                d = {c: r[c] for c in self.cols}
+                d[self.time_col] = d["_mr_t"]  # milliseconds in state
+                rs.append(d)
+            rs.sort(key=lambda d: (d["_mr_t"], d[self.tie_col]))
+            if not self.armed.exists():
+                self.handle.registerTimer(END_OF_INPUT_MS)
+                self.armed.update((True,))
+            yield from self._run(key, rs, final=False)
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            yield from self._run(key, [], final=True)
+
+        def close(self):
+            pass
+
+    return MatchProcessor
+
+
+def match_recognize_stream(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str],
+                           pattern: Sequence[Var], define: dict, measures: dict, measure_schema: str,
+                           after="PAST LAST ROW", within_ms: int | None = None) -> DataFrame:
+    """Streaming execution (input must carry an event-time watermark)."""
+    if len(partition_by) != 1:
+        raise ValueError("one partition key column is supported")
+    prepared = _prepare(df, partition_by, order_by, pattern, define)
+    need = {c for spec in measures.values() if isinstance(spec, tuple) for c in [spec[2]]}
+    cols = sorted(need | {f"_mr_{v.name}" for v in pattern} | {"_mr_t", order_by[-1]})
+    key = partition_by[0]
+    schema = T.StructType([prepared.schema[key]] + list(T._parse_datatype_string(measure_schema).fields))
+    proc = _match_processor_cls()(list(pattern), dict(measures), after, within_ms, order_by[0],
+                                  order_by[-1], cols, key)
+    return prepared.select(key, order_by[0], *cols).groupBy(key).transformWithState(
+        proc, schema, "Append", "EventTime")

@@ -3,6 +3,7 @@
 from quern.plans.registry import REGISTRY, Query, register  # noqa: F401
 from quern.plans import (  # noqa: F401,E402
     aggregates,
+    io_udf,
     joins,
     relational,
     scalar_functions,

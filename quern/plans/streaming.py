@@ -415,3 +415,79 @@ def str_44_queryable_state(spark, sf):
     st = spark.read.format("statestore").load(ck)
     vals = st.select("key.user_id", "value.*")          # the aggregation buffer
     return vals.toDF("user_id", "cnt")
+
+
+# --- MATCH_RECOGNIZE -------------------------------------------------------------
+
+def _views_then_purchase():
+    from quern.operators.match import Var
+    pattern = [Var("V", 1, None, True), Var("P", 1, 1)]
+    define = {"V": F.col("event_type") == "view", "P": F.col("event_type") == "purchase"}
+    measures = {"first_view": ("first", "V", "event_id"), "n_views": ("count", "V", "event_id"),
+                "purchase_id": ("last", "P", "event_id"), "amount": ("sum", "P", "value"),
+                "last_var": "classifier", "match_rowtime": "match_rowtime"}
+    schema = ("first_view long, n_views long, purchase_id long, amount double, last_var string, "
+              "match_rowtime timestamp")
+    return pattern, define, measures, schema
+
+
+@register("str_50_match_recognize")
+def str_50_match_recognize(spark, sf):
+    # PATTERN (V+ P) WITHIN INTERVAL '1' DAY, AFTER MATCH SKIP PAST LAST ROW:
+    # views directly followed by a purchase of the same user.  Automaton per
+    # key: no SQL form; checked against a brute-force matcher in the tests.
+    from quern.operators.match import match_recognize_stream
+    pattern, define, measures, schema = _views_then_purchase()
+    ev = events_stream(spark, sf)
+    m = match_recognize_stream(ev, ["user_id"], ["ts", "event_id"], pattern, define, measures, schema,
+                               within_ms=86_400_000)
+    return _ts_ntz(run_to_table(m, "append"), "match_rowtime")
+
+
+@register("str_50_match_fixed_length", """
+WITH n AS (SELECT user_id, event_id, event_type,
+                  lead(event_type, 1) OVER w AS t1, lead(event_type, 2) OVER w AS t2,
+                  lead(event_id, 2) OVER w AS last_id
+           FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+SELECT user_id, event_id AS a_id, last_id AS c_id FROM n
+WHERE event_type = 'view' AND t1 = 'click' AND t2 = 'purchase'
+""")
+def str_50_match_fixed_length(spark, sf):
+    # PATTERN (A B C), AFTER MATCH SKIP TO NEXT ROW: compiled to lead columns
+    from quern.operators.match import match_fixed_length
+    ev = t(spark, sf, "events")
+    return match_fixed_length(ev, ["user_id"], ["ts", "event_id"], ["A", "B", "C"],
+                              {"A": F.col("event_type") == "view", "B": F.col("event_type") == "click",
+                               "C": F.col("event_type") == "purchase"},
+                              {"a_id": ("A", "event_id"), "c_id": ("C", "event_id")})
+
+
+@register("str_51_match_navigation", """
+WITH n AS (SELECT user_id, event_id, value, lag(value) OVER w AS prev_value,
+                  lead(value) OVER w AS next_value, lead(event_id) OVER w AS next_id
+           FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+SELECT user_id, event_id AS a_id, next_id AS b_id FROM n
+WHERE value > prev_value AND next_value > value
+""")
+def str_51_match_navigation(spark, sf):
+    # DEFINE A AS A.value > PREV(A.value), B AS B.value > PREV(B.value):
+    # PREV is a lag over the match order
+    from quern.operators.match import match_fixed_length, prev
+    ev = t(spark, sf, "events")
+    up = F.col("value") > prev("value", 1, ["user_id"], ["ts", "event_id"])
+    return match_fixed_length(ev, ["user_id"], ["ts", "event_id"], ["A", "B"], {"A": up, "B": up},
+                              {"a_id": ("A", "event_id"), "b_id": ("B", "event_id")})
+
+
+@register("str_52_match_rowtime", """
+WITH n AS (SELECT user_id, event_type, lead(event_type) OVER w AS t1, lead(ts) OVER w AS t1_ts
+           FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+SELECT user_id, t1_ts AS match_rowtime FROM n WHERE event_type = 'signup' AND t1 = 'purchase'
+""")
+def str_52_match_rowtime(spark, sf):
+    # MATCH_ROWTIME = time of the last row of the match
+    from quern.operators.match import match_fixed_length
+    ev = t(spark, sf, "events")
+    return match_fixed_length(ev, ["user_id"], ["ts", "event_id"], ["S", "P"],
+                              {"S": F.col("event_type") == "signup", "P": F.col("event_type") == "purchase"},
+                              {"match_rowtime": ("P", "ts")})

@@ -121,5 +121,5 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
-WORKER_MODULES = ("quern.sources.replay", "quern.streaming.processors",
+WORKER_MODULES = ("quern.sources.replay", "quern.streaming.processors", "quern.operators.match",
                   "quern.operators.prefix", "quern.functions.udf")
