@@ -491,3 +491,99 @@ def str_52_match_rowtime(spark, sf):
     return match_fixed_length(ev, ["user_id"], ["ts", "event_id"], ["S", "P"],
                               {"S": F.col("event_type") == "signup", "P": F.col("event_type") == "purchase"},
                               {"match_rowtime": ("P", "ts")})
+
+
+# --- state machine, late data, punctuation, operator state, async, iteration ----
+
+# Feed of the state machine from the events table (fixed mapping of this
+# query): view -> a, click -> b, signup -> c, purchase -> e, error -> g.
+EVENT_LETTERS = {"view": "a", "click": "b", "signup": "c", "purchase": "e", "error": "g"}
+
+
+@register("str_43_state_machine")
+def str_43_state_machine(spark, sf):
+    # Keyed by the source address (user_id).  Sequential per key: no SQL
+    # form; the tests compare it with a brute-force fold.
+    letter = F.create_map(*[x for kv in EVENT_LETTERS.items() for x in map(F.lit, kv)])[F.col("event_type")]
+    ev = events_stream(spark, sf).withColumn("evt", letter)
+    out = ev.groupBy("user_id").transformWithState(
+        P.StateMachine("evt", "ts", "event_id"),
+        "address long, state string, transition string, event_id long", "Append", "None")
+    return run_to_table(out, "append")
+
+
+_DISORDER = "ts - to_microseconds(CAST(round(value * 60000000) AS BIGINT))"
+
+
+@register("str_22_late_data_side_output", f"""
+WITH d AS (SELECT event_id, {_DISORDER} AS ets FROM events),
+     w AS (SELECT event_id, ets, epoch_us(ets) // 1000 AS ms,
+                  max(epoch_us(ets) // 1000) OVER (ORDER BY event_id ROWS UNBOUNDED PRECEDING) - 3600000 AS wm
+           FROM d)
+SELECT event_id, wm AS watermark_ms FROM w WHERE (ms // 600000) * 600000 + 600000 - 1 + 300000 <= wm
+""")
+def str_22_late_data_side_output(spark, sf):
+    # Event time lags the arrival order by `value` minutes; 1-hour bounded
+    # out-of-orderness, 10-minute tumbling windows with 5 minutes allowed
+    # lateness: rows for windows already closed go to the side output.
+    from quern.streaming.late import tag_late
+    ev = t(spark, sf, "events").select("event_id", F.expr(
+        "ts - make_dt_interval(0, 0, 0, CAST(value * 60 AS DECIMAL(18, 6)))").alias("ets"))
+    tagged = tag_late(ev, "event_id", "ets", 3_600_000, 600_000, 300_000)
+    return tagged.filter("is_late").select("event_id", "watermark_ms")
+
+
+@register("str_04_punctuated_watermark", """
+WITH m AS (SELECT event_id, ts, max(CASE WHEN event_type = 'signup' THEN epoch_us(ts) // 1000 END)
+             OVER (ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS watermark_ms FROM events)
+SELECT date_trunc('day', ts) AS day, count(*) AS cnt, max(watermark_ms) AS watermark_ms FROM m GROUP BY 1
+""")
+def str_04_punctuated_watermark(spark, sf):
+    # signup rows are punctuation: the watermark jumps to their time
+    from quern.streaming.late import punctuated_watermark
+    ev = t(spark, sf, "events").select("event_id", "ts", "event_type")
+    wm = punctuated_watermark(ev, "event_id", "ts", F.col("event_type") == "signup")
+    return wm.groupBy(F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day")).agg(
+        F.count(F.lit(1)).alias("cnt"), F.max("watermark_ms").alias("watermark_ms"))
+
+
+@register("str_42_operator_state", "SELECT event_type, count(*) AS cnt FROM events GROUP BY event_type")
+def str_42_operator_state(spark, sf):
+    # Non-keyed operator state (a counting sink): every micro-batch appends
+    # its partial counts with the batch id to a state table on the shared
+    # store; a replayed batch id replaces its own rows, so totals stay exact.
+    state_path = scratch_path(spark, "op_state")
+    ev = events_stream(spark, sf).select("event_type")
+
+    def snapshot(batch, batch_id):
+        part = batch.groupBy("event_type").agg(F.count(F.lit(1)).alias("cnt"))
+        part.write.mode("overwrite").parquet(os.path.join(state_path, f"batch={batch_id:020d}"))
+
+    ck = scratch_path(spark, "op_state_ck")
+    q = ev.writeStream.foreachBatch(snapshot).option("checkpointLocation", ck).start()
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    st = spark.read.schema("event_type string, cnt long").parquet(state_path)
+    return st.groupBy("event_type").agg(F.sum("cnt").cast("long").alias("cnt"))
+
+
+@register("str_45_async_io", "SELECT event_id, length(props)::BIGINT AS enriched FROM events")
+def str_45_async_io(spark, sf):
+    from quern.streaming.async_io import async_map
+    ev = t(spark, sf, "events").select("event_id", "props")
+    return async_map(ev, "props", "enriched", "long", ordered=True, capacity=64, timeout_s=5.0).select(
+        "event_id", "enriched")
+
+
+@register("str_46_iteration", """
+SELECT event_id, CASE WHEN value < 1 THEN 0 ELSE floor(log2(value))::BIGINT + 1 END AS rounds FROM events
+""")
+def str_46_iteration(spark, sf):
+    # feedback loop: halve until below 1, counting the rounds
+    from quern.operators.iteration import iterate
+    ev = t(spark, sf, "events").select("event_id", F.col("value").alias("v"), F.lit(0).cast("long").alias("rounds"))
+    out = iterate(ev, lambda d: d.select("event_id", (F.col("v") / 2).alias("v"), (F.col("rounds") + 1).alias("rounds")),
+                  F.col("v") >= 1)
+    return out.select("event_id", "rounds")

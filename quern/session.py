@@ -122,4 +122,5 @@ def ship_package(spark: SparkSession) -> None:
 
 
 WORKER_MODULES = ("quern.sources.replay", "quern.streaming.processors", "quern.operators.match",
+                  "quern.streaming.async_io",
                   "quern.operators.prefix", "quern.functions.udf")

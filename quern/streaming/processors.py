@@ -384,3 +384,49 @@ class TopN(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+# --- STR-43: keyed state machine ------------------------------------------------
+
+# Transition table of the study's state machine (fixed values):
+#   Initial: a -> W, c -> X;  W: b -> Y;  X: b -> Y, d -> Z;  Y: e -> Z;  Z: g -> Terminal
+STATE_MACHINE = {
+    "Initial": {"a": "W", "c": "X"},
+    "W": {"b": "Y"},
+    "X": {"b": "Y", "d": "Z"},
+    "Y": {"e": "Z"},
+    "Z": {"g": "Terminal"},
+}
+
+
+class StateMachine(StatefulProcessor):
+    """Per-key state machine: an event without a transition from the current
+    state raises an alert (key, state, event) and leaves the state as it
+    was; reaching a terminal state clears the key's state."""
+
+    def __init__(self, event: str, ts: str, tie: str, table: dict | None = None,
+                 initial: str = "Initial"):
+        self.event, self.ts, self.tie = event, ts, tie
+        self.table, self.initial = table or STATE_MACHINE, initial
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.st = handle.getValueState("state", "s string")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        state = self.st.get()[0] if self.st.exists() else self.initial
+        for r in _sorted(rows, self.ts, self.tie):
+            ev = r[self.event]
+            nxt = self.table.get(state, {}).get(ev)
+            if nxt is None:
+                yield Row(address=key[0], state=state, transition=ev, event_id=r[self.tie])
+            elif nxt not in self.table:       # terminal: no outgoing transitions
+                state = self.initial
+            else:
+                state = nxt
+        if state == self.initial:
+            self.st.clear()
+        else:
+            self.st.update((state,))
+
+    def close(self) -> None:
+        pass
