@@ -432,3 +432,43 @@ def par_07_global(spark, sf):
     ev = t(spark, sf, "events")
     daily = ev.groupBy(F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day")).agg(F.count(F.lit(1)).alias("cnt"))
     return daily.coalesce(1)
+
+
+@register("prd_13_exists_scalar_query", """
+SELECT c_custkey, (SELECT count(*) FROM orders o WHERE o.o_custkey = c.c_custkey) AS n_orders
+FROM customer c WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderpriority = '1-URGENT')
+""")
+def prd_13_exists_scalar_query(spark, sf):
+    # EXISTS -> semi join, correlated scalar query -> aggregate + join (Catalyst)
+    return spark.sql("""SELECT c_custkey, (SELECT count(*) FROM {o} o WHERE o.o_custkey = c.c_custkey) AS n_orders
+                        FROM {c} c WHERE EXISTS (SELECT 1 FROM {o} o WHERE o.o_custkey = c.c_custkey
+                                                 AND o.o_orderpriority = '1-URGENT')""",
+                     c=t(spark, sf, "customer"), o=t(spark, sf, "orders"))
+
+
+@register("aux_07_union_all_except_all", """
+SELECT 'union_all' AS op, k, count(*) AS n FROM (SELECT c_nationkey AS k FROM customer UNION ALL SELECT s_nationkey FROM supplier) GROUP BY k
+UNION ALL
+SELECT 'except_all', k, count(*) FROM (SELECT c_nationkey AS k FROM customer EXCEPT ALL SELECT s_nationkey FROM supplier) GROUP BY k
+""")
+def aux_07_union_all_except_all(spark, sf):
+    q = """SELECT 'union_all' AS op, k, count(*) AS n FROM (SELECT c_nationkey AS k FROM {c} UNION ALL
+             SELECT s_nationkey FROM {s}) GROUP BY k
+           UNION ALL
+           SELECT 'except_all', k, count(*) FROM (SELECT c_nationkey AS k FROM {c} EXCEPT ALL
+             SELECT s_nationkey FROM {s}) GROUP BY k"""
+    return spark.sql(q, c=t(spark, sf, "customer"), s=t(spark, sf, "supplier"))
+
+
+@register("aux_08_intersect_all", """
+SELECT 'intersect' AS op, k, count(*) AS n FROM (SELECT c_nationkey AS k FROM customer INTERSECT SELECT s_nationkey FROM supplier) GROUP BY k
+UNION ALL
+SELECT 'intersect_all', k, count(*) FROM (SELECT c_nationkey AS k FROM customer INTERSECT ALL SELECT s_nationkey FROM supplier) GROUP BY k
+""")
+def aux_08_intersect_all(spark, sf):
+    q = """SELECT 'intersect' AS op, k, count(*) AS n FROM (SELECT c_nationkey AS k FROM {c} INTERSECT
+             SELECT s_nationkey FROM {s}) GROUP BY k
+           UNION ALL
+           SELECT 'intersect_all', k, count(*) FROM (SELECT c_nationkey AS k FROM {c} INTERSECT ALL
+             SELECT s_nationkey FROM {s}) GROUP BY k"""
+    return spark.sql(q, c=t(spark, sf, "customer"), s=t(spark, sf, "supplier"))

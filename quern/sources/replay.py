@@ -37,6 +37,14 @@ def _num_rows(path: str) -> int:
     return pq.ParquetFile(path).metadata.num_rows
 
 
+def _micros(tbl):
+    """Nanosecond timestamps become microseconds (Python datetimes)."""
+    import pyarrow as pa
+    fields = [pa.field(f.name, pa.timestamp("us", f.type.tz)) if pa.types.is_timestamp(f.type)
+              and f.type.unit == "ns" else f for f in tbl.schema]
+    return tbl.cast(pa.schema(fields)) if fields != list(tbl.schema) else tbl
+
+
 def _read_range(path: str, schema: StructType, start: int, end: int):
     """Rows [start, end) of the file (modulo its length for repeated replay)."""
     import pyarrow.parquet as pq
@@ -51,7 +59,7 @@ def _read_range(path: str, schema: StructType, start: int, end: int):
         for g in range(f.metadata.num_row_groups):
             gn = f.metadata.row_group(g).num_rows
             if base + gn > lo and base < hi:
-                tbl = f.read_row_group(g, columns=names)
+                tbl = _micros(f.read_row_group(g, columns=names))
                 a, b = max(lo - base, 0), min(hi - base, gn)
                 for batch in tbl.slice(a, b - a).to_batches():
                     for row in batch.to_pylist():
@@ -133,7 +141,8 @@ class ReplaySource(DataSource):
     def schema(self):
         import pyarrow.parquet as pq
         from pyspark.sql.pandas.types import from_arrow_schema
-        s = from_arrow_schema(pq.read_schema(self.options["path"]))
+        # zone-less parquet timestamps stay zone-less, as spark.read.parquet reads them
+        s = from_arrow_schema(pq.read_schema(self.options["path"]), prefer_timestamp_ntz=True)
         return StructType(list(s.fields) + [StructField("_eoi", BooleanType(), True)])
 
     def reader(self, schema):
