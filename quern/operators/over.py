@@ -35,7 +35,7 @@ def top_n(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Column]
     the shuffle (WindowGroupLimit), so a hot group ships n rows per task."""
     rank_fn = {"row_number": F.row_number, "rank": F.rank, "dense_rank": F.dense_rank}[fn]
     w = Window.partitionBy(*partition_by).orderBy(*order_by)
-    out = df.withColumn("_topn", rank_fn().over(w)).filter(F.col("_topn") <= n)
+    out = df.withColumn("_topn", rank_fn().over(w).cast("long")).filter(F.col("_topn") <= n)
     return out.withColumnRenamed("_topn", rank_col) if rank_col else out.drop("_topn")
 
 

@@ -103,7 +103,7 @@ FROM lineitem GROUP BY CUBE (l_returnflag, l_linestatus)
 def agg_09_grouping_functions(spark, sf):
     li = t(spark, sf, "lineitem")
     return li.cube("l_returnflag", "l_linestatus").agg(
-        F.grouping("l_returnflag").cast("int").alias("g_flag"),
+        F.grouping("l_returnflag").cast("long").alias("g_flag"),
         F.grouping_id("l_returnflag", "l_linestatus").cast("long").alias("gid"),
         F.lit(0).alias("group_id"), F.count(F.lit(1)).alias("cnt"))
 
@@ -379,7 +379,7 @@ def ovr_06_multiple_windows(spark, sf):
     ev = t(spark, sf, "events")
     return ev.select("event_id", F.count(F.lit(1)).over(Window.partitionBy("user_id")).alias("per_user"),
                      F.count(F.lit(1)).over(Window.partitionBy("event_type")).alias("per_type"),
-                     F.rank().over(Window.partitionBy("user_id").orderBy(F.col("value").desc())).alias("value_rank"))
+                     F.rank().over(Window.partitionBy("user_id").orderBy(F.col("value").desc())).cast("long").alias("value_rank"))
 
 
 @register("ovr_07_aggregates_over", """
@@ -410,8 +410,9 @@ FROM orders WINDOW w AS (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_or
 """)
 def ovr_09_11_ranking(spark, sf):
     w = Window.partitionBy("o_orderpriority").orderBy("o_orderdate", "o_orderkey")
-    return t(spark, sf, "orders").select("o_orderkey", F.row_number().over(w).alias("rn"),
-                                         F.rank().over(w).alias("rk"), F.dense_rank().over(w).alias("drk"))
+    return t(spark, sf, "orders").select("o_orderkey", F.row_number().over(w).cast("long").alias("rn"),
+                                         F.rank().over(w).cast("long").alias("rk"),
+                                         F.dense_rank().over(w).cast("long").alias("drk"))
 
 
 @register("ovr_10_rank_ties", """
@@ -420,7 +421,8 @@ FROM orders WINDOW w AS (PARTITION BY o_orderpriority ORDER BY o_orderdate)
 """)
 def ovr_10_rank_ties(spark, sf):
     w = Window.partitionBy("o_orderpriority").orderBy("o_orderdate")
-    return t(spark, sf, "orders").select("o_orderkey", F.rank().over(w).alias("rk"), F.dense_rank().over(w).alias("drk"))
+    return t(spark, sf, "orders").select("o_orderkey", F.rank().over(w).cast("long").alias("rk"),
+                                         F.dense_rank().over(w).cast("long").alias("drk"))
 
 
 @register("ovr_12_lead_lag", """

@@ -371,7 +371,8 @@ SELECT page_id, seg, length(seg) AS n FROM pages, unnest(string_split(url, '/'))
 def udf_02_table_function(spark, sf):
     from quern.functions.udf import register_segments
     register_segments(spark)
-    return spark.sql("SELECT p.page_id, s.seg, s.n FROM {p} p, LATERAL segments(p.url) s", p=t(spark, sf, "pages"))
+    return spark.sql("SELECT p.page_id, s.seg, CAST(s.n AS BIGINT) AS n FROM {p} p, LATERAL segments(p.url) s",
+                     p=t(spark, sf, "pages"))
 
 
 @register("udf_03_aggregate_function", """
@@ -403,7 +404,7 @@ def udf_04_table_aggregate_function(spark, sf):
         pdf = pdf.sort_values(["o_totalprice", "o_orderkey"], ascending=[False, True]).head(2)
         return pd.DataFrame({"o_custkey": pdf["o_custkey"], "o_totalprice": pdf["o_totalprice"],
                              "rank_num": range(1, len(pdf) + 1)})
-    return cand.groupBy("o_custkey").applyInPandas(emit, "o_custkey long, o_totalprice double, rank_num int")
+    return cand.groupBy("o_custkey").applyInPandas(emit, "o_custkey long, o_totalprice double, rank_num long")
 
 
 @register("udf_05_python_scalar_udf", """

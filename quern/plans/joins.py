@@ -248,7 +248,7 @@ SELECT page_id, pos - 1 AS pos, seg FROM pages, unnest(string_split(url, '/')) W
 WHERE seg <> ''
 """)
 def joi_18_join_lateral(spark, sf):
-    return spark.sql("""SELECT page_id, pos, seg FROM {p}
+    return spark.sql("""SELECT page_id, CAST(pos AS BIGINT) AS pos, seg FROM {p}
                         LATERAL VIEW posexplode(split(url, '/')) s AS pos, seg WHERE seg <> ''""",
                      p=t(spark, sf, "pages"))
 
@@ -270,7 +270,7 @@ FROM embeddings, unnest(embedding) WITH ORDINALITY AS u(x, pos)
 def joi_20_unnest(spark, sf):
     e = t(spark, sf, "embeddings")
     return e.select("vec_id", F.posexplode("embedding")).select(
-        "vec_id", "pos", F.round(F.col("col").cast("double"), 6).alias("x"))
+        "vec_id", F.col("pos").cast("long").alias("pos"), F.round(F.col("col").cast("double"), 6).alias("x"))
 
 
 @register("joi_21_connected_streams", """

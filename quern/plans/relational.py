@@ -44,7 +44,7 @@ SELECT *, o_totalprice * 2 AS double_price, year(o_orderdate) AS yr FROM orders
 """)
 def prj_05_add_columns(spark, sf):
     o = t(spark, sf, "orders")
-    return C.add_columns(o, double_price=F.col("o_totalprice") * 2, yr=F.year("o_orderdate"))
+    return C.add_columns(o, double_price=F.col("o_totalprice") * 2, yr=F.year("o_orderdate").cast("long"))
 
 
 @register("prj_06_add_or_replace_columns", """

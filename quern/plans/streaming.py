@@ -313,7 +313,8 @@ def set_03_streaming_full_sort(spark, sf):
     last = out.agg(F.max("_batch_id")).first()[0]
     from pyspark.sql import Window
     fin = out.filter(F.col("_batch_id") == last).drop("_batch_id")
-    return fin.withColumn("pos", F.rank().over(Window.orderBy(F.col("cnt").desc())))
+    # the final table has one row per event type: a bounded, single-task rank
+    return fin.withColumn("pos", F.rank().over(Window.orderBy(F.col("cnt").desc())).cast("long"))
 
 
 @register("str_38_two_input_process", """

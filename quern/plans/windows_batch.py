@@ -264,7 +264,7 @@ def str_17_window_table_aggregate(spark, sf):
     from pyspark.sql import Window
     ev = t(spark, sf, "events").withColumn("window_start", W.tumble("ts", "1 hour").start)
     w = Window.partitionBy("event_type", "window_start").orderBy(F.col("value").desc(), "event_id")
-    return (ev.withColumn("rank", F.row_number().over(w)).filter("rank <= 2")
+    return (ev.withColumn("rank", F.row_number().over(w).cast("long")).filter("rank <= 2")
               .select("event_type", "window_start", "value", "rank"))
 
 
