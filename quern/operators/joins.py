@@ -34,15 +34,16 @@ def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
     ``how`` is inner / left / right / full; outer rows are null-padded.  The
     result keeps both sides' columns (right-side names must not collide).
     """
-    if upper_us < lower_us:
-        # empty interval: no pair can match (outer sides are all unmatched)
-        bucket_us = bucket_us or 1
+    # An empty interval (upper < lower) matches nothing; outer sides stay
+    # unmatched.  The bucket width is the interval length, so a left row
+    # probes at most two buckets.
     width = max(bucket_us or (upper_us - lower_us), 1)
     lm, rm = micros(left_ts), micros(right_ts)
     r_b = right.withColumn("_ij_b", F.floor(rm / width))
     # every bucket the left row's interval [l + lower, l + upper] touches
-    l_b = left.withColumn("_ij_b", F.explode(F.sequence(
-        F.floor((lm + F.lit(lower_us)) / width), F.floor((lm + F.lit(upper_us)) / width))))
+    b_lo, b_hi = F.floor((lm + F.lit(lower_us)) / width), F.floor((lm + F.lit(upper_us)) / width)
+    buckets = F.when(b_lo <= b_hi, F.sequence(b_lo, b_hi)).otherwise(F.array().cast("array<bigint>"))
+    l_b = left.withColumn("_ij_b", F.explode(buckets))
     lo = (rm >= lm + F.lit(lower_us)) if lower_inclusive else (rm > lm + F.lit(lower_us))
     hi = (rm <= lm + F.lit(upper_us)) if upper_inclusive else (rm < lm + F.lit(upper_us))
     cond = [l_b[k] == r_b[k] for k in keys] + [l_b["_ij_b"] == r_b["_ij_b"]]

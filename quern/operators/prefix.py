@@ -61,6 +61,13 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     ranged = (df.repartitionByRange(n, *[F.col(k) for k in key_cols], *order_cols)
                 .sortWithinPartitions(*[F.col(k) for k in key_cols], *order_cols)
                 .withColumn(_PID, F.spark_partition_id()))
+    if str(df.sparkSession.conf.get("spark.sql.exchange.reuse", "true")).lower() == "false":
+        # Without exchange reuse the two branches below would each sample
+        # their own range bounds; materialise the slices once (reliable
+        # checkpoint on the shared store) so both see the same ones.
+        from quern.session import checkpoint_root
+        checkpoint_root(df.sparkSession)
+        ranged = ranged.checkpoint(eager=True)
 
     # -- 2. local prefix values, vectorised per Arrow batch -----------------
     in_cols = ranged.columns

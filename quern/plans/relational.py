@@ -199,7 +199,13 @@ def set_04_limit(spark, sf):
 SELECT o_orderkey FROM orders ORDER BY o_totalprice DESC, o_orderkey OFFSET 100
 """)
 def set_05_offset(spark, sf):
-    return t(spark, sf, "orders").orderBy(F.col("o_totalprice").desc(), "o_orderkey").offset(100).select("o_orderkey")
+    # OFFSET without LIMIT would gather the whole sorted table into one task
+    # (a global offset operator); instead the global position comes from the
+    # distributed prefix scan and the first n positions are filtered out.
+    from quern.operators.prefix import prefix_scan
+    o = t(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    pos = prefix_scan(o, [], [F.col("o_totalprice").desc(), F.col("o_orderkey")], row_number="_pos")
+    return pos.filter(F.col("_pos") > 100).select("o_orderkey")
 
 
 @register("set_06_sort_limit", """

@@ -71,6 +71,13 @@ def scratch_path(spark: SparkSession, kind: str) -> str:
     return os.path.join(root, "quern", kind, uuid.uuid4().hex)
 
 
+def use_utc(spark: SparkSession) -> None:
+    """The data model is zone-less time (TIMESTAMP_NTZ); conversions to and
+    from instants (epoch seconds, watermarks) are done in UTC."""
+    if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def ensure_stateful_conf(spark: SparkSession) -> None:
     """``transformWithState`` needs the RocksDB state store provider.
 

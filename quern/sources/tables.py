@@ -27,8 +27,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
                columns: Sequence[str] | None = None) -> DataFrame:
     """SRC-14 batch table scan; ``columns`` only documents the projection,
     Catalyst prunes the scan to what the plan uses either way."""
-    from quern.session import ship_package
+    from quern.session import ship_package, use_utc
     ship_package(spark)
+    use_utc(spark)
     df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
 
