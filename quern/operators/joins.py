@@ -56,15 +56,19 @@ def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
         return matched
     pieces = [matched]
     if how in ("left", "full"):
-        miss = left.join(matched.select(*left.columns).distinct(), list(left.columns), "left_anti")
+        # unmatched left rows: null-safe anti join on all left columns (a row
+        # holding nulls must still find its own match)
+        seen_l = matched.select(*[F.col(c).alias(f"_ij_l_{c}") for c in left.columns]).distinct()
+        cond_l = [left[c].eqNullSafe(seen_l[f"_ij_l_{c}"]) for c in left.columns]
+        miss = left.join(seen_l, cond_l, "left_anti")
         pieces.append(miss.select(*left.columns, *[F.lit(None).cast(right.schema[c].dataType)
                                                    .alias(f"r_{c}" if c in keys else c)
                                                    for c in right.columns]))
     if how in ("right", "full"):
         rnames = [f"r_{c}" if c in keys else c for c in right.columns]
-        seen = matched.select(*rnames).distinct()
+        seen = matched.select(*[F.col(n).alias(f"_ij_r_{n}") for n in rnames]).distinct()
         rr = right.select(*[F.col(c).alias(n) for c, n in zip(right.columns, rnames)])
-        miss = rr.join(seen, rnames, "left_anti")
+        miss = rr.join(seen, [rr[n].eqNullSafe(seen[f"_ij_r_{n}"]) for n in rnames], "left_anti")
         pieces.append(miss.select(*[F.lit(None).cast(left.schema[c].dataType).alias(c)
                                     for c in left.columns], *rnames))
     out = pieces[0]

@@ -136,3 +136,11 @@ def test_session_windows_merge_at_exactly_one_gap(spark):
     df = spark.createDataFrame([(1, base), (1, base + dt.timedelta(minutes=30))], "k int, ts timestamp_ntz")
     out = df.groupBy("k", W.session("ts", "30 minutes")).count().collect()
     assert len(out) == 1 and out[0]["count"] == 2
+
+
+def test_outer_interval_join_with_null_columns(spark):
+    base = dt.datetime(2024, 1, 1)
+    left = spark.createDataFrame([(1, base, None), (2, base, "x")], "k int, ts timestamp_ntz, note string")
+    right = spark.createDataFrame([(1, base, 7)], "k int, rts timestamp_ntz, id int")
+    out = J.interval_join(left, right, ["k"], "ts", "rts", 0, 0, how="left").collect()
+    assert sorted((r.k, r.id) for r in out) == [(1, 7), (2, None)]
