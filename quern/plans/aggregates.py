@@ -330,8 +330,12 @@ SELECT event_id, round(sum(value) OVER (PARTITION BY user_id ORDER BY ts, event_
 FROM events
 """)
 def ovr_01_over_window(spark, sf):
-    w = O.over(["user_id"], ["ts", "event_id"], rows=(-2, 0))
-    return t(spark, sf, "events").select("event_id", r2(F.sum("value").over(w)).alias("s3"))
+    # Over.partitionBy(user_id).orderBy(ts).preceding(2 rows): bounded frame,
+    # evaluated slice by slice (a hot user is spread over many tasks)
+    from quern.operators.frames import rows_frame
+    ev = t(spark, sf, "events").select("event_id", "user_id", "ts", "value")
+    out = rows_frame(ev, ["user_id"], ["ts", "event_id"], {"s3": ("sum", "value", -2, 0)})
+    return out.select("event_id", r2("s3").alias("s3"))
 
 
 @register("ovr_02_rows_frame", """
@@ -340,9 +344,14 @@ SELECT event_id, count(*) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS
 FROM events
 """)
 def ovr_02_rows_frame(spark, sf):
-    ev = t(spark, sf, "events")
-    return ev.select("event_id", F.count(F.lit(1)).over(O.over(["user_id"], ["ts", "event_id"], rows=(-4, 0))).alias("c5"),
-                     r2(F.sum("value").over(O.over(["user_id"], ["ts", "event_id"], rows=(None, 0)))).alias("run"))
+    # bounded frame by slice halos; the unbounded-preceding frame by prefix scan
+    from quern.operators.frames import rows_frame
+    from quern.operators.prefix import prefix_scan
+    ev = t(spark, sf, "events").select("event_id", "user_id", "ts", "value")
+    one = ev.withColumn("_one", F.lit(1.0))
+    c5 = rows_frame(one, ["user_id"], ["ts", "event_id"], {"c5": ("count", "_one", -4, 0)}).select("event_id", "c5")
+    run = prefix_scan(ev, ["user_id"], ["ts", "event_id"], row_number=None, sums={"run": "value"})
+    return c5.join(run.select("event_id", r2("run").alias("run")), "event_id")
 
 
 @register("ovr_03_range_frame", """
@@ -365,8 +374,10 @@ SELECT event_id, round(avg(value) OVER (PARTITION BY user_id ORDER BY ts, event_
 FROM events
 """)
 def ovr_04_following_frame(spark, sf):
-    w = O.over(["user_id"], ["ts", "event_id"], rows=(-1, 2))
-    return t(spark, sf, "events").select("event_id", R4(F.avg("value").over(w)).alias("centered"))
+    from quern.operators.frames import rows_frame
+    ev = t(spark, sf, "events").select("event_id", "user_id", "ts", "value")
+    out = rows_frame(ev, ["user_id"], ["ts", "event_id"], {"centered": ("avg", "value", -1, 2)})
+    return out.select("event_id", R4(F.col("centered")).alias("centered"))
 
 
 @register("ovr_06_multiple_windows", """
@@ -387,10 +398,12 @@ SELECT event_id, min(value) OVER w AS mn, max(value) OVER w AS mx, round(avg(val
 FROM events WINDOW w AS (PARTITION BY event_type, user_id ORDER BY ts, event_id ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)
 """)
 def ovr_07_aggregates_over(spark, sf):
-    w = O.over(["event_type", "user_id"], ["ts", "event_id"], rows=(-3, 0))
-    return t(spark, sf, "events").select("event_id", F.min("value").over(w).alias("mn"),
-                                         F.max("value").over(w).alias("mx"), R4(F.avg("value").over(w)).alias("av"),
-                                         F.count("value").over(w).alias("n"))
+    from quern.operators.frames import rows_frame
+    ev = t(spark, sf, "events").select("event_id", "event_type", "user_id", "ts", "value")
+    out = rows_frame(ev, ["event_type", "user_id"], ["ts", "event_id"], {
+        "mn": ("min", "value", -3, 0), "mx": ("max", "value", -3, 0), "av": ("avg", "value", -3, 0),
+        "n": ("count", "value", -3, 0)})
+    return out.select("event_id", "mn", "mx", R4(F.col("av")).alias("av"), "n")
 
 
 @register("ovr_08_distinct_over", """
@@ -430,9 +443,13 @@ SELECT event_id, lag(value) OVER w AS prev_value, lead(event_id, 2, -1) OVER w A
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
 """)
 def ovr_12_lead_lag(spark, sf):
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return t(spark, sf, "events").select("event_id", F.lag("value").over(w).alias("prev_value"),
-                                         F.lead("event_id", 2, -1).over(w).alias("next2"))
+    # LAG / LEAD as shifts inside the slice with its halo
+    from quern.operators.frames import rows_frame
+    ev = t(spark, sf, "events").select("event_id", "user_id", "ts", "value")
+    out = rows_frame(ev, ["user_id"], ["ts", "event_id"], {
+        "prev_value": ("shift", "value", -1), "_next2": ("shift", "event_id", 2)})
+    return out.select("event_id", "prev_value",
+                      F.coalesce(F.col("_next2").cast("long"), F.lit(-1).cast("long")).alias("next2"))
 
 
 @register("ovr_13_first_last_value_over", """
