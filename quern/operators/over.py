@@ -52,3 +52,69 @@ def dedup_keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     cols = [c for c in df.columns if c not in keys]
     agg = df.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.struct(*order)).alias("_d"))
     return agg.select(*keys, *[F.col(f"_d.{c}").alias(c) for c in cols])
+
+
+# --- hot-key-safe ranking and first/last non-null (prefix-scan based) ---------
+
+def _names(order):
+    return [o if isinstance(o, str) else o[0] for o in order]
+
+
+def _cols(order):
+    out = []
+    for o in order:
+        if isinstance(o, str):
+            out.append(F.col(o))
+        else:
+            name, asc = o
+            out.append(F.col(name).asc_nulls_first() if asc else F.col(name).desc_nulls_last())
+    return out
+
+
+def rank_keyed(df: DataFrame, keys: Sequence[str], order: Sequence, tie: str, *,
+               row_number: str | None = "rn", rank: str | None = "rk",
+               dense_rank: str | None = "drk", num_slices: int | None = None) -> DataFrame:
+    """ROW_NUMBER / RANK / DENSE_RANK over (PARTITION BY keys ORDER BY order)
+    without a key in one task.  ``order`` items are column names (ascending)
+    or (name, ascending) pairs; ``tie`` is a unique column for row numbers.
+
+    rank = row number of the first row among peers (one aggregate on
+    (keys, order values)); dense rank = a prefix count over the peer groups."""
+    from quern.operators.prefix import prefix_scan
+    names, cols = _names(order), _cols(order)
+    sc = prefix_scan(df, keys, [*cols, F.col(tie)], row_number="_rk_rn", num_slices=num_slices)
+    out = sc
+    if rank or dense_rank:
+        peers = sc.groupBy(*keys, *names).agg(F.min("_rk_rn").alias("_rk_first"))
+        if dense_rank:
+            peers = prefix_scan(peers, keys, cols, row_number="_rk_dense", num_slices=num_slices)
+        cond = [out[k] == peers[k] for k in keys] + [out[n].eqNullSafe(peers[n]) for n in names]
+        keep = [peers["_rk_first"]] + ([peers["_rk_dense"]] if dense_rank else [])
+        out = out.join(peers, cond, "inner").select(out["*"], *keep)
+    sel = [c for c in df.columns]
+    if row_number:
+        sel.append(F.col("_rk_rn").alias(row_number))
+    if rank:
+        sel.append(F.col("_rk_first").alias(rank))
+    if dense_rank:
+        sel.append(F.col("_rk_dense").alias(dense_rank))
+    return out.select(*sel)
+
+
+def first_last_non_null(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, *,
+                        first: str = "first_nn", last: str = "last_nn",
+                        num_slices: int | None = None) -> DataFrame:
+    """FIRST_VALUE / LAST_VALUE(value IGNORE NULLS) OVER (... ROWS BETWEEN
+    UNBOUNDED PRECEDING AND CURRENT ROW): running min / max of the row
+    numbers of non-null rows, then one equi-join each to fetch the value."""
+    from quern.operators.prefix import prefix_scan
+    sc = prefix_scan(df, keys, order, row_number="_fl_rn", num_slices=num_slices)
+    sc = sc.withColumn("_fl_nn", F.when(F.col(value).isNotNull(), F.col("_fl_rn")))
+    sc = prefix_scan(sc, keys, ["_fl_rn"], row_number=None, mins={"_fl_first": "_fl_nn"},
+                     maxs={"_fl_last": "_fl_nn"}, num_slices=num_slices)
+    vals = sc.filter(F.col(value).isNotNull()).select(*keys, F.col("_fl_rn").alias("_fl_at"),
+                                                      F.col(value).alias("_fl_v"))
+    a = vals.select(*keys, F.col("_fl_at").alias("_fl_first"), F.col("_fl_v").alias(first))
+    b = vals.select(*keys, F.col("_fl_at").alias("_fl_last"), F.col("_fl_v").alias(last))
+    out = sc.join(a, [*keys, "_fl_first"], "left").join(b, [*keys, "_fl_last"], "left")
+    return out.select(*df.columns, first, last)

@@ -387,10 +387,14 @@ SELECT event_id, count(*) OVER (PARTITION BY user_id) AS per_user,
 FROM events
 """)
 def ovr_06_multiple_windows(spark, sf):
-    ev = t(spark, sf, "events")
-    return ev.select("event_id", F.count(F.lit(1)).over(Window.partitionBy("user_id")).alias("per_user"),
-                     F.count(F.lit(1)).over(Window.partitionBy("event_type")).alias("per_type"),
-                     F.rank().over(Window.partitionBy("user_id").orderBy(F.col("value").desc())).cast("long").alias("value_rank"))
+    # whole-partition counts are aggregates joined back (partial aggregation,
+    # AQE skew join); the rank uses the prefix-scan ranking
+    ev = t(spark, sf, "events").select("event_id", "user_id", "event_type", "value")
+    pu = ev.groupBy("user_id").agg(F.count(F.lit(1)).alias("per_user"))
+    pt = ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("per_type"))
+    rk = O.rank_keyed(ev, ["user_id"], [("value", False)], "event_id", row_number=None, dense_rank=None)
+    return (rk.join(pu, "user_id").join(pt, "event_type")
+              .select("event_id", "per_user", "per_type", F.col("rk").alias("value_rank")))
 
 
 @register("ovr_07_aggregates_over", """
@@ -422,10 +426,10 @@ SELECT o_orderkey, row_number() OVER w AS rn, rank() OVER w AS rk, dense_rank()
 FROM orders WINDOW w AS (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey)
 """)
 def ovr_09_11_ranking(spark, sf):
-    w = Window.partitionBy("o_orderpriority").orderBy("o_orderdate", "o_orderkey")
-    return t(spark, sf, "orders").select("o_orderkey", F.row_number().over(w).cast("long").alias("rn"),
-                                         F.rank().over(w).cast("long").alias("rk"),
-                                         F.dense_rank().over(w).cast("long").alias("drk"))
+    # hot-key safe: prefix-scan row numbers, first-peer ranks, dense prefix count
+    o = t(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate")
+    r = O.rank_keyed(o, ["o_orderpriority"], ["o_orderdate", "o_orderkey"], "o_orderkey")
+    return r.select("o_orderkey", "rn", "rk", "drk")
 
 
 @register("ovr_10_rank_ties", """
@@ -433,9 +437,9 @@ SELECT o_orderkey, rank() OVER w AS rk, dense_rank() OVER w AS drk
 FROM orders WINDOW w AS (PARTITION BY o_orderpriority ORDER BY o_orderdate)
 """)
 def ovr_10_rank_ties(spark, sf):
-    w = Window.partitionBy("o_orderpriority").orderBy("o_orderdate")
-    return t(spark, sf, "orders").select("o_orderkey", F.rank().over(w).cast("long").alias("rk"),
-                                         F.dense_rank().over(w).cast("long").alias("drk"))
+    o = t(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate")
+    r = O.rank_keyed(o, ["o_orderpriority"], ["o_orderdate"], "o_orderkey", row_number=None)
+    return r.select("o_orderkey", "rk", "drk")
 
 
 @register("ovr_12_lead_lag", """
@@ -459,10 +463,10 @@ SELECT event_id,
 FROM events
 """)
 def ovr_13_first_last_value_over(spark, sf):
-    w = O.over(["user_id"], ["ts", "event_id"], rows=(None, 0))
-    nv = F.nullif(F.col("event_type"), F.lit("view"))
-    return t(spark, sf, "events").select("event_id", F.first(nv, ignorenulls=True).over(w).alias("first_nv"),
-                                         F.last(nv, ignorenulls=True).over(w).alias("last_nv"))
+    ev = t(spark, sf, "events").select("event_id", "user_id", "ts",
+                                       F.nullif(F.col("event_type"), F.lit("view")).alias("nv"))
+    out = O.first_last_non_null(ev, ["user_id"], ["ts", "event_id"], "nv", first="first_nv", last="last_nv")
+    return out.select("event_id", "first_nv", "last_nv")
 
 
 @register("ovr_14_top_n", """
