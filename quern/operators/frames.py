@@ -227,3 +227,34 @@ def rows_frame(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     result = ranged.mapInPandas(frames, out_schema)
     drop = [_PID] + ([_KEY] if not keys else [])
     return result.drop(*drop)
+
+
+def range_frame(df: DataFrame, keys: Sequence[str], order: str, lo: int, hi: int, value: str,
+                id_col: str, *, count: str = "range_cnt", total: str = "range_sum",
+                num_slices: int | None = None) -> DataFrame:
+    """``COUNT(value)`` and ``SUM(value)`` over ``RANGE BETWEEN lo AND hi``
+    (offsets on a numeric ``order`` column, peers included) per key, from
+    running totals: every row sends two probes, at ``order + lo`` (sorting
+    before equal rows) and at ``order + hi`` (after them); the frame is the
+    difference of the running totals at the two probes.  One prefix scan over
+    rows and probes, two equi-joins on the row id: no key is held anywhere.
+    ``id_col`` must be unique."""
+    from quern.operators.prefix import prefix_scan
+    z = F.lit(0.0)
+    base = df.select(*keys, F.col(order).cast("long").alias("_rf_o"), F.col(id_col).alias("_rf_id"),
+                     F.col(value).cast("double").alias("_rf_v"))
+    data = base.select(*keys, "_rf_o", F.lit(1).alias("_rf_side"), "_rf_id",
+                       F.when(F.col("_rf_v").isNotNull(), 1.0).otherwise(0.0).alias("_rf_n"),
+                       F.coalesce("_rf_v", z).alias("_rf_s"))
+    probe = lambda off, side: base.select(
+        *keys, (F.col("_rf_o") + F.lit(off)).alias("_rf_o"), F.lit(side).alias("_rf_side"), "_rf_id",
+        z.alias("_rf_n"), z.alias("_rf_s"))
+    u = data.unionByName(probe(lo, 0)).unionByName(probe(hi, 2))
+    sc = prefix_scan(u, keys, ["_rf_o", "_rf_side", "_rf_id"], row_number=None,
+                     sums={"_rf_cum_n": "_rf_n", "_rf_cum_s": "_rf_s"}, num_slices=num_slices)
+    a = sc.filter("_rf_side = 0").select("_rf_id", F.col("_rf_cum_n").alias("_na"), F.col("_rf_cum_s").alias("_sa"))
+    b = sc.filter("_rf_side = 2").select("_rf_id", F.col("_rf_cum_n").alias("_nb"), F.col("_rf_cum_s").alias("_sb"))
+    res = a.join(b, "_rf_id").select(
+        F.col("_rf_id").alias(id_col), F.round(F.col("_nb") - F.col("_na")).cast("long").alias(count),
+        F.when(F.col("_nb") - F.col("_na") > 0.5, F.col("_sb") - F.col("_sa")).alias(total))
+    return df.join(res, id_col)

@@ -360,12 +360,16 @@ SELECT event_id, count(*) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN I
 FROM events
 """)
 def ovr_03_range_frame(spark, sf):
-    ev = (t(spark, sf, "events").withColumn("_us", micros("ts"))
-          .withColumn("_cents", F.round(F.col("value") * 100).cast("long")))
+    # RANGE frames from running totals at two probes per row (hot-key safe);
+    # money values are ordered by exact cents
+    from quern.operators.frames import range_frame
     day = 86_400_000_000
-    return ev.select("event_id",
-                     F.count(F.lit(1)).over(O.over(["user_id"], ["_us"], range_=(-day, 0))).alias("c_day"),
-                     r2(F.sum("value").over(O.over(["event_type"], ["_cents"], range_=(-100, 0)))).alias("s_near"))
+    ev = t(spark, sf, "events").select("event_id", "user_id", "event_type", "value", micros("ts").alias("_us"),
+                                       F.round(F.col("value") * 100).cast("long").alias("_cents"))
+    a = range_frame(ev, ["user_id"], "_us", -day, 0, "value", "event_id", count="c_day", total="_s1")
+    b = range_frame(ev.select("event_id", "event_type", "value", "_cents"), ["event_type"], "_cents", -100, 0,
+                    "value", "event_id", count="_c2", total="s_near")
+    return a.select("event_id", "c_day").join(b.select("event_id", r2("s_near").alias("s_near")), "event_id")
 
 
 @register("ovr_04_following_frame", """
