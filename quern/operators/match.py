@@ -276,10 +276,10 @@ def _match_processor_cls():
             m = Matcher(self.pattern, self.measures, self.after, self.within, self.time_col, self.tie_col)
             m.buf = self._load()
             for r in m.push(rows, final):
-                if "match_rowtime" in {k for k, v in self.measures.items() if v == "match_rowtime"} or True:
-                    for k, v in list(r.items()):
-                        if self.measures.get(k) == "match_rowtime" and isinstance(v, (int, float)):
-                            r[k] = datetime.datetime(1970, 1, 1) + datetime.timedelta(milliseconds=v)
+                # the buffered time is in milliseconds: MATCH_ROWTIME back to a timestamp
+                for k, v in list(r.items()):
+                    if self.measures.get(k) == "match_rowtime" and isinstance(v, (int, float)):
+                        r[k] = datetime.datetime(1970, 1, 1) + datetime.timedelta(milliseconds=v)
                 yield Row(**{self.key_name: key[0], **r})
             self.buf.clear()
             if m.buf and not final:

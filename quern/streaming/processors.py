@@ -54,7 +54,8 @@ class CountTrigger(StatefulProcessor):
             seen += 1
             cnt += 1
             total += r[self.value] or 0.0
-            if cnt % self.n == 0 if not self.purge else cnt == self.n:
+            fire = (cnt == self.n) if self.purge else (cnt % self.n == 0)
+            if fire:
                 yield Row(key=key[0], fire_seq=seen, cnt=cnt, total=round(total, 2))
                 if self.purge:
                     cnt, total = 0, 0.0
