@@ -224,23 +224,56 @@ def match_recognize(df: DataFrame, partition_by: Sequence[str], order_by: Sequen
 
 
 def match_fixed_length(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str],
-                       variables: Sequence[str], define: dict, keep: dict[str, tuple[str, str]]) -> DataFrame:
+                       variables: Sequence[str], define: dict, keep: dict[str, tuple[str, str]],
+                       num_slices: int | None = None) -> DataFrame:
     """PATTERN (A B C ...) without quantifiers, AFTER MATCH SKIP TO NEXT ROW:
-    every start row is independent, so the match is a filter over ``lead``
-    columns; no state, no per-key buffer.  ``keep``: name -> (var, column)."""
-    w = Window.partitionBy(*partition_by).orderBy(*order_by)
-    flags = [define.get(v, F.lit(True)) for v in variables]
-    cols = {}
-    cond = None
-    for i, (v, fl) in enumerate(zip(variables, flags)):
-        c = F.lead(fl, i).over(w) if i else fl
-        c = F.coalesce(c, F.lit(False))
-        cond = c if cond is None else cond & c
-    out = df.withColumn("_mf_ok", cond)
-    for name, (v, col) in keep.items():
+    every start row is independent, so the match is a filter over the rows
+    that follow it.  The look-ahead (LEAD of the DEFINE flags and of the kept
+    columns) comes from :func:`quern.operators.frames.rows_frame`, so a hot
+    key is spread over many tasks.  ``keep``: name -> (var, numeric column);
+    a timestamp column is carried as microseconds and turned back."""
+    from quern.operators.frames import rows_frame
+    from quern.operators.joins import micros
+    tie = order_by[-1]
+    flags = {f"_mf_{v}": F.when(define.get(v, F.lit(True)), 1.0).otherwise(0.0) for v in variables}
+    d = df.withColumns(flags)
+    ts_cols = {c for _, c in keep.values() if isinstance(df.schema[c].dataType, (T.TimestampType, T.TimestampNTZType))}
+    d = d.withColumns({f"_mf_us_{c}": micros(c).cast("double") for c in ts_cols})
+    src = {c: (f"_mf_us_{c}" if c in ts_cols else c) for _, c in keep.values()}
+    aggs = {}
+    for i, v in enumerate(variables):
+        if i:
+            aggs[f"_mf_{v}_at"] = ("shift", f"_mf_{v}", i)
+    for name, (v, c) in keep.items():
         i = list(variables).index(v)
-        cols[name] = F.lead(F.col(col), i).over(w) if i else F.col(col)
-    return out.withColumns(cols).filter("_mf_ok").select(*partition_by, *keep.keys())
+        if i:
+            aggs[f"_mf_k_{name}"] = ("shift", src[c], i)
+    cols = [*partition_by, *order_by, *flags, *{src[c] for _, c in keep.values()}]
+    d = d.select(*dict.fromkeys(cols))
+    out = rows_frame(d, partition_by, order_by, aggs, num_slices=num_slices) if aggs else d
+    cond = F.col(f"_mf_{variables[0]}") == 1.0
+    for i, v in enumerate(variables):
+        if i:
+            cond = cond & (F.coalesce(F.col(f"_mf_{v}_at"), F.lit(0.0)) == 1.0)
+    sel = []
+    for name, (v, c) in keep.items():
+        i = list(variables).index(v)
+        val = F.col(f"_mf_k_{name}") if i else F.col(src[c])
+        if c in ts_cols:
+            # zone-independent: epoch + interval (microsecond exact)
+            val = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") + F.make_dt_interval(
+                secs=(val / F.lit(1_000_000.0)).cast("decimal(20,6)"))
+        elif isinstance(df.schema[c].dataType, (T.LongType, T.IntegerType)):
+            val = val.cast("long")
+        sel.append(val.alias(name))
+    return out.filter(cond).select(*partition_by, *sel)
+
+
+def lag_column(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str], col: str,
+               out: str, offset: int = 1, num_slices: int | None = None) -> DataFrame:
+    """PREV(col, offset) for DEFINE conditions, hot-key safe (see rows_frame)."""
+    from quern.operators.frames import rows_frame
+    return rows_frame(df, partition_by, order_by, {out: ("shift", col, -offset)}, num_slices=num_slices)
 
 
 # --- streaming execution -------------------------------------------------------

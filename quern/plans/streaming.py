@@ -32,7 +32,7 @@ def events_stream(spark, sf, *, delay: str = "0 seconds", flush: bool = True, re
     """The events table as a stream with an event-time watermark on ``ts``."""
     ensure_stateful_conf(spark)
     path = table_path(sf, "events")
-    n = pq.ParquetFile(path).metadata.num_rows * repeat
+    n = spark.read.parquet(path).count() * repeat      # from parquet footers
     df = replay(spark, path, rows_per_batch=max(1, math.ceil(n / BATCHES)), flush=flush,
                 time_column="ts", repeat=repeat)
     df = bounded_out_of_orderness(df, "ts", delay)
@@ -473,9 +473,10 @@ WHERE value > prev_value AND next_value > value
 def str_51_match_navigation(spark, sf):
     # DEFINE A AS A.value > PREV(A.value), B AS B.value > PREV(B.value):
     # PREV is a lag over the match order
-    from quern.operators.match import match_fixed_length, prev
-    ev = t(spark, sf, "events")
-    up = F.col("value") > prev("value", 1, ["user_id"], ["ts", "event_id"])
+    from quern.operators.match import lag_column, match_fixed_length
+    ev = t(spark, sf, "events").select("user_id", "ts", "event_id", "value")
+    ev = lag_column(ev, ["user_id"], ["ts", "event_id"], "value", "_prev_value")
+    up = F.col("value") > F.col("_prev_value")
     return match_fixed_length(ev, ["user_id"], ["ts", "event_id"], ["A", "B"], {"A": up, "B": up},
                               {"a_id": ("A", "event_id"), "b_id": ("B", "event_id")})
 
