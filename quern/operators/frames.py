@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 _PID = "_fr_pid"
 _KEY = "_fr_key"
-FNS = ("sum", "count", "avg", "min", "max", "shift")
+FNS = ("sum", "count", "avg", "min", "max", "shift", "count_distinct")
 
 
 def _slices(df: DataFrame, n: int | None) -> int:
@@ -143,7 +143,8 @@ def rows_frame(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     halo_pdf = pd.DataFrame([r.asDict() for r in halo], columns=[f.name for f in edge_schema.fields])
 
     out_fields = list(ranged.schema.fields) + [
-        T.StructField(o, T.LongType() if s[0] == "count" else T.DoubleType()) for o, s in specs.items()]
+        T.StructField(o, T.LongType() if s[0] in ("count", "count_distinct") else T.DoubleType())
+        for o, s in specs.items()]
     out_schema = T.StructType(out_fields)
 
     base_names = [f.name for f in ranged.schema.fields]
@@ -168,6 +169,11 @@ def rows_frame(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
                 cnt = np.sum(~np.isnan(w), axis=1)
                 if fn == "count":
                     val = cnt.astype("float64")
+                elif fn == "count_distinct":
+                    srt = np.sort(w, axis=1)          # NaN sorts last
+                    new = np.ones_like(srt, dtype=bool)
+                    new[:, 1:] = srt[:, 1:] != srt[:, :-1]
+                    val = np.sum(new & ~np.isnan(srt), axis=1).astype("float64")
                 elif fn == "sum":
                     val = np.where(cnt > 0, np.nansum(w, axis=1), np.nan)
                 elif fn == "avg":
@@ -180,7 +186,7 @@ def rows_frame(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
         out = ext.loc[emit, base_names].copy()
         for o, (fn, *_r) in specs.items():
             col = res[o][emit]
-            out[o] = pd.array(col.astype("int64"), dtype="Int64") if fn == "count" else col
+            out[o] = pd.array(col.astype("int64"), dtype="Int64") if fn in ("count", "count_distinct") else col
         return out
 
     def same_key(h, key):
@@ -258,3 +264,14 @@ def range_frame(df: DataFrame, keys: Sequence[str], order: str, lo: int, hi: int
         F.col("_rf_id").alias(id_col), F.round(F.col("_nb") - F.col("_na")).cast("long").alias(count),
         F.when(F.col("_nb") - F.col("_na") > 0.5, F.col("_sb") - F.col("_sa")).alias(total))
     return df.join(res, id_col)
+
+
+def dense_ids(df: DataFrame, col: str, out: str, num_slices: int | None = None) -> DataFrame:
+    """Exact integer ids for the values of ``col`` (for frame functions that
+    need numbers): the distinct values are numbered by the global prefix scan
+    and joined back; null stays null."""
+    from quern.operators.prefix import prefix_scan
+    vals = df.select(F.col(col).alias("_di_v")).filter(F.col("_di_v").isNotNull()).distinct()
+    ids = prefix_scan(vals, [], ["_di_v"], row_number="_di_id", num_slices=num_slices)
+    return df.join(ids, df[col].eqNullSafe(ids["_di_v"]), "left").drop("_di_v").withColumn(
+        out, F.col("_di_id").cast("double")).drop("_di_id")

@@ -421,8 +421,13 @@ SELECT e.event_id, (SELECT count(DISTINCT e2.event_type) FROM (
 FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events) e
 """)
 def ovr_08_distinct_over(spark, sf):
-    w = O.over(["user_id"], ["ts", "event_id"], rows=(-5, 0))
-    return t(spark, sf, "events").select("event_id", F.size(F.collect_set("event_type").over(w)).cast("long").alias("types_last6"))
+    # COUNT(DISTINCT event_type) over the last 6 rows: values get exact dense
+    # ids, then a bounded-frame distinct count (hot-key safe)
+    from quern.operators.frames import dense_ids, rows_frame
+    ev = t(spark, sf, "events").select("event_id", "user_id", "ts", "event_type")
+    ev = dense_ids(ev, "event_type", "_type_id")
+    out = rows_frame(ev, ["user_id"], ["ts", "event_id"], {"types_last6": ("count_distinct", "_type_id", -5, 0)})
+    return out.select("event_id", "types_last6")
 
 
 @register("ovr_09_11_ranking", """

@@ -32,3 +32,13 @@ def test_rows_frame_matches_window_functions_with_hot_key(spark):
         .toPandas().set_index("id").sort_index()
     for c in ["s", "c", "a", "mn", "mx", "lag", "lead2"]:
         assert np.allclose(got[c].astype(float), exp[c].astype(float), equal_nan=True), c
+
+
+def test_count_distinct_frame_and_dense_ids(spark):
+    from quern.operators.frames import dense_ids
+    rows = [(1, i, v) for i, v in enumerate(["a", "b", "a", None, "c", "c", "b"])]
+    df = spark.createDataFrame(rows, "k int, t int, s string")
+    df = dense_ids(df, "s", "sid")
+    got = {r.t: r.d for r in rows_frame(df, ["k"], ["t"], {"d": ("count_distinct", "sid", -2, 0)},
+                                        num_slices=3).collect()}
+    assert got == {0: 1, 1: 2, 2: 2, 3: 2, 4: 2, 5: 1, 6: 2}
