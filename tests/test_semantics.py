@@ -144,3 +144,23 @@ def test_outer_interval_join_with_null_columns(spark):
     right = spark.createDataFrame([(1, base, 7)], "k int, rts timestamp_ntz, id int")
     out = J.interval_join(left, right, ["k"], "ts", "rts", 0, 0, how="left").collect()
     assert sorted((r.k, r.id) for r in out) == [(1, 7), (2, None)]
+
+
+def test_session_aggregate_same_result_on_both_paths(spark):
+    import numpy as np
+    base = dt.datetime(2024, 1, 1)
+    rng = np.random.default_rng(3)
+    # key 0 holds most rows (hot); gaps of 0..40 minutes
+    rows, t0 = [], {}
+    for i in range(600):
+        k = 0 if rng.random() < 0.7 else int(rng.integers(1, 6))
+        t0[k] = t0.get(k, 0) + int(rng.integers(0, 40 * 60))
+        rows.append((k, base + dt.timedelta(seconds=t0[k]), i, 1.0))
+    df = spark.createDataFrame(rows, "k int, ts timestamp_ntz, id long, v double")
+    assert W.has_hot_key(df, ["k"], num_slices=8)
+    aggs = [F.count(F.lit(1)).alias("n")]
+    sliced = W.session_aggregate(df, ["k"], "ts", "30 minutes", 30 * 60 * 1_000_000, "id", aggs, num_slices=8)
+    native = (df.groupBy("k", W.session("ts", "30 minutes").alias("w")).agg(*aggs)
+                .select("k", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n"))
+    norm = lambda d: sorted((r.k, r.window_start, r.window_end, r.n) for r in d.collect())
+    assert norm(sliced) == norm(native)
