@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quern.session import checkpoint_root, ship_package
+from quern.session import scratch_path, ship_package
 
 #: Rows of about so many bytes are worked on at once, however large Spark's batches are.
 SLICE_BYTES = 16 << 20
@@ -86,11 +86,12 @@ def crc_bucket(doc_id: Column, parts: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % parts
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder, so that it is computed once,
-    survives lost executors, and later reads start from the files."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint()
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written as a table below the shared checkpoint folder and read back: it is
+    computed once, outlives lost executors, and later reads take only the columns they need."""
+    path = scratch_path(df.sparkSession, "llm")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

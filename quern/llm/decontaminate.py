@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import as_texts, stored, text_batches, words
+from quern.llm.common import as_texts, text_batches, words, written
 from quern.session import ship_package
 
 WINDOW = 13
@@ -188,7 +188,7 @@ def search(index: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: i
     first, second = next(blocks), next(blocks, None)
     numbered = index.select(F.monotonically_increasing_id().alias("shard"), *index.columns)
     if second is not None:
-        numbered = stored(numbered)
+        numbered = written(numbered)
     run = lambda b: numbered.mapInArrow(partial(_search, block=send(b), slop=slop), _FOUND_DDL)
     found = run(first)
     if second is not None:
