@@ -86,6 +86,30 @@ def crc_bucket(doc_id: Column, parts: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % parts
 
 
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)`` with ``value`` computed once a row.  A column used inside a lambda function would be
+    computed for every element; a lambda's own variable isn't."""
+    return F.transform(F.array(value), then)[0]
+
+
+def running_sums(sizes: Column, block: int = 512) -> Column:
+    """For each element of an array of longs, the sum of those before it.
+
+    A fold copies its list for each element it appends, so blocks are summed alone and then moved by the sums of
+    the blocks before: n * block + (n / block)^2 steps rather than n^2."""
+
+    def fold(array: Column) -> Column:
+        start = F.struct(F.lit(0).cast("long").alias("total"), F.array().cast("array<long>").alias("sums"))
+        step = lambda a, x: F.struct((a["total"] + x).alias("total"), F.concat(a["sums"], F.array(a["total"])).alias("sums"))
+        return F.aggregate(array, start, step, lambda a: a["sums"])
+
+    total = lambda array: F.aggregate(array, F.lit(0).cast("long"), lambda a, x: a + x)
+    whole = lambda a: let(
+        F.transform(F.sequence(F.lit(0), F.floor((F.size(a) - 1) / block).cast("int")), lambda b: F.slice(a, b * block + 1, block)),
+        lambda parts: F.flatten(F.zip_with(parts, fold(F.transform(parts, total)), lambda part, at: F.transform(fold(part), lambda x: x + at))))
+    return let(sizes, lambda a: F.when(F.size(a) > block, whole(a)).otherwise(fold(a)))
+
+
 def written(df: DataFrame) -> DataFrame:
     """``df`` written as a table below the shared checkpoint folder and read back: it is
     computed once, outlives lost executors, and later reads take only the columns they need."""

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import bpe, decontaminate, fingerprints, language_id, license_scan, quality
+from quern.llm import bpe, decontaminate, fingerprints, language_id, license_scan, near_dedup, quality
 from quern.llm.common import crc_bucket, documents
 from quern.sources.tables import read_table
 
@@ -51,7 +51,12 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_next(documents(spark, sf_dir))
 
 
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.components(documents(spark, sf_dir), near_dedup.Rule(shingle=3, percent=85))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_quality_classifier, op3_byte_bpe, op4_decontamination, op6_language_id, op8_fingerprints,
+    op9_minhash_near_dedup,
 )}
 SQL: dict[str, str] = {}
