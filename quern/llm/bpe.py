@@ -280,8 +280,8 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", keep: list[
     return annotate(df, ids, _Decode(_vocabulary(df, path), pattern), [T.StructField("decoded", T.BinaryType())], keep)
 
 
-def digests(df: DataFrame) -> DataFrame:
-    """The query's columns from ``ids`` and ``decoded``."""
-    return df.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+def digests(df: DataFrame, *more: str) -> DataFrame:
+    """The query's columns from ``ids`` and ``decoded``, and ``more`` columns."""
+    return df.select("doc_id", *more, F.size("ids").cast("long").alias("n_tokens"),
                      F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
                      F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -143,6 +143,6 @@ def train(docs: DataFrame, labels: DataFrame, usable=None) -> Model:
     return fit(describe(docs, keep=["doc_id"]).join(clean_labels(labels), "doc_id").select("label", "features"))
 
 
-def score(df: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
-    """Adds ``score``, the chance of label 1."""
-    return annotate(df, "text", _Score(model), [T.StructField("score", T.DoubleType())], keep)
+def score(df: DataFrame, model: Model, keep: list[str] | None = None, name: str = "score") -> DataFrame:
+    """Adds ``score`` (or the given name), the chance of label 1."""
+    return annotate(df, "text", _Score(model), [T.StructField(name, T.DoubleType())], keep)

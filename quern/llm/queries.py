@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import bpe, decontaminate, fingerprints, language_id, license_scan, near_dedup, quality
+from quern.llm import bpe, decontaminate, fingerprints, language_id, license_scan, line_dedup, near_dedup, pii, quality, substring_dedup
 from quern.llm.common import crc_bucket, documents
 from quern.sources.tables import read_table
 
@@ -40,6 +40,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.summary(decontaminate.search(index, read_table(spark, sf_dir, "benchmark")))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated(documents(spark, sf_dir)).drop("text_hash")
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     held_out = crc_bucket(F.col("doc_id"), 3) == 1
@@ -47,6 +51,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, model, keep=["doc_id"]).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.summary(pii.find(documents(spark, sf_dir), keep=["doc_id"]))
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_next(documents(spark, sf_dir))
 
@@ -55,8 +63,12 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.components(documents(spark, sf_dir), near_dedup.Rule(shingle=3, percent=85))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_license_scan, op2_quality_classifier, op3_byte_bpe, op4_decontamination, op6_language_id, op8_fingerprints,
-    op9_minhash_near_dedup,
+    op1_license_scan, op2_quality_classifier, op3_byte_bpe, op4_decontamination, op5_substring_dedup,
+    op6_language_id, op7_pii, op8_fingerprints, op9_minhash_near_dedup, op10_line_dedup,
 )}
 SQL: dict[str, str] = {}
