@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quern.llm import bpe, decontaminate, fingerprints, language_id, license_scan, line_dedup, near_dedup, pii, quality, substring_dedup
 from quern.llm.common import crc_bucket, documents
+from quern.llm.oracles import SQL  # noqa: F401
 from quern.sources.tables import read_table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -71,4 +72,4 @@ QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_quality_classifier, op3_byte_bpe, op4_decontamination, op5_substring_dedup,
     op6_language_id, op7_pii, op8_fingerprints, op9_minhash_near_dedup, op10_line_dedup,
 )}
-SQL: dict[str, str] = {}
+
