@@ -40,14 +40,16 @@ from quern.llm.common import as_texts, written
 from quern.llm.components import connected_components
 from quern.session import ship_package
 
-COORDINATES, BRANCHES, DEPTH, SMALL = 128, 2, 4, 256
+COORDINATES, BRANCHES, DEPTH, SMALL = 128, 2, 2, 1024
 #: Shingles of all sets that are checked against each other at once.
-MOST_SHINGLES = 1 << 20
+MOST_SHINGLES = 1 << 19
 #: A pair at the threshold is in a common leaf with this probability; its tokens agree as
 #: rarely as ``DOUBT`` standard deviations below the mean with one of less than 1 in 10,000.
 RECALL, DOUBT = 0.99999, 4.0
+#: Rows signed at once.
+ROWS = 1000
 #: Distinct words whose hashes a worker remembers; beyond it, it starts anew.
-MEMORY = 500_000
+MEMORY = 200_000
 
 
 @dataclass(frozen=True)
@@ -123,7 +125,7 @@ def set_digest(found: np.ndarray) -> str:
 
 
 def _sign(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (b.slice(start, ROWS) for b in batches for start in range(0, b.num_rows, ROWS)):
         sets = [shingles(t, size) for t in as_texts(batch.column(1))]
         tokens = [minwise(s) if len(s) else None for s in sets]
         yield pa.RecordBatch.from_arrays([
