@@ -21,7 +21,7 @@ from __future__ import annotations
 import base64
 import heapq
 import re
-from functools import cache
+from functools import cache, cached_property
 from itertools import chain
 
 import numpy as np
@@ -36,7 +36,7 @@ LONG = 256
 #: A vocabulary file is sent to every task; larger ones are refused.
 MOST_VOCABULARY = 64 << 20
 #: Distinct pre-tokens a worker remembers between batches; beyond it, it starts anew.
-MEMORY = 500_000
+MEMORY = 250_000
 #: A blank with white space or nothing behind it: no place to cut.  Python's white space includes the pattern's.
 _NO_CUT = re.compile(r" (?:\s|\Z)")
 _CUT = re.compile(r" (?=\S)")
@@ -57,7 +57,6 @@ class PairTable:
                 left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
                 if left is not None and right is not None:
                     pairs[left << 32 | right] = rank
-        self.pairs = pairs
         keys = np.fromiter(pairs, np.int64, len(pairs))
         values = np.fromiter(pairs.values(), np.int32, len(pairs))
         self.bits = max(4, int(np.ceil(np.log2(len(pairs) * 3 + 1))))
@@ -72,6 +71,12 @@ class PairTable:
             open_ = open_[~here]
             slot[open_] = slot[open_] + 1 & (1 << self.bits) - 1
 
+    @cached_property
+    def pairs(self) -> dict[int, int]:
+        """The same as a dictionary, for one pre-token at a time."""
+        used = self.keys >= 0
+        return dict(zip(self.keys[used].tolist(), self.values[used].tolist()))
+
     def slots(self, keys: np.ndarray) -> np.ndarray:
         return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).astype(np.int64)
 
@@ -100,7 +105,6 @@ class Codec:
 
         self.ranks = ranks_of(data)
         self.table = PairTable(self.ranks)
-        self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.findall = regex.compile(pattern).findall
         self.forget()
@@ -231,6 +235,11 @@ def codec(data: bytes, pattern: str) -> Codec:
     return Codec(data, pattern)
 
 
+@cache
+def tokens(data: bytes) -> dict[int, bytes]:
+    return {rank: token for token, rank in ranks_of(data).items()}
+
+
 class _Encode:
     def __init__(self, data, pattern: str):
         self.data, self.pattern = data, pattern
@@ -239,7 +248,7 @@ class _Encode:
         c = codec(self.data.value, self.pattern)
         ids, counts = [], []
         texts = column.cast(pa.binary()).to_pylist()
-        for _, part in text_batches(texts, 4 << 20):
+        for _, part in text_batches(texts, 2 << 20):
             i, n = c.encode([(t or b"").decode("utf-8", "replace") for t in part])
             ids.append(i)
             counts.append(n)
@@ -248,15 +257,15 @@ class _Encode:
 
 
 class _Decode:
-    def __init__(self, data, pattern: str):
-        self.data, self.pattern = data, pattern
+    def __init__(self, data):
+        self.data = data
 
     def __call__(self, column: pa.Array) -> list[pa.Array]:
-        tokens = codec(self.data.value, self.pattern).tokens
+        vocabulary = tokens(self.data.value)
         out = []
         for ids in column:
             try:
-                out.append(b"".join(map(tokens.__getitem__, ids.values.to_pylist() if ids.is_valid else ())))
+                out.append(b"".join(map(vocabulary.__getitem__, ids.values.to_pylist() if ids.is_valid else ())))
             except KeyError as e:
                 raise ValueError(f"id {e} is not in the vocabulary") from None
         return [pa.array(out, pa.binary())]
@@ -275,9 +284,9 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", keep: lis
     return annotate(df, text, _Encode(_vocabulary(df, path), pattern), [T.StructField("ids", T.ArrayType(T.IntegerType()))], keep)
 
 
-def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", keep: list[str] | None = None) -> DataFrame:
+def decode(df: DataFrame, path: str, ids: str = "ids", keep: list[str] | None = None) -> DataFrame:
     """Adds ``decoded`` (binary), the bytes that ``ids`` stand for."""
-    return annotate(df, ids, _Decode(_vocabulary(df, path), pattern), [T.StructField("decoded", T.BinaryType())], keep)
+    return annotate(df, ids, _Decode(_vocabulary(df, path)), [T.StructField("decoded", T.BinaryType())], keep)
 
 
 def digests(df: DataFrame, *more: str) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from quern.session import scratch_path, ship_package
 
 #: Rows of about so many bytes are worked on at once, however large Spark's batches are.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 8 << 20
 
 # What a batch function gets: the texts as UTF-8 bytes, null as None.
 Texts = list[bytes | None]

@@ -33,7 +33,7 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path, pattern = public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
     encoded = bpe.encode(documents(spark, sf_dir), path, pattern, keep=["doc_id"])
-    return bpe.digests(bpe.decode(encoded, path, pattern))
+    return bpe.digests(bpe.decode(encoded, path))
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
