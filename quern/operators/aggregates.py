@@ -118,4 +118,9 @@ def keyed_max_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], value
     firsts = (sc.filter(F.col(value) == F.col("_mb_max"))
                 .groupBy(*keys, "_mb_max")
                 .agg(F.min_by(F.col(id_col), F.struct(*[F.col(o) for o in order])).alias("max_by_id")))
-    return sc.join(firsts, [*keys, "_mb_max"], "left").withColumnRenamed("_mb_max", "running_max")
+    firsts = firsts.select(*[F.col(k).alias(f"_mb_k{i}") for i, k in enumerate(keys)], F.col("_mb_max").alias("_mb_at"), "max_by_id")
+    same = F.col("_mb_max") == F.col("_mb_at")
+    for i, k in enumerate(keys):
+        same = same & sc[k].eqNullSafe(firsts[f"_mb_k{i}"])
+    return sc.join(firsts, same, "left").select(*df.columns, F.col("_mb_max").alias("running_max"), "max_by_id")
+

@@ -1,276 +1,98 @@
-"""Bounded ROWS frames (OVR-01/02/04/07/12) without sending a key to one task.
+"""Bounded ROWS and RANGE frames without sending a key to one task.
 
 ``OVER (PARTITION BY k ORDER BY t ROWS BETWEEN a PRECEDING AND b FOLLOWING)``
 as a Spark window function puts every row of a key in one task.  Here:
 
-1. rows are range-partitioned on (key, order) into slices (a hot key spans
-   many slices), sorted inside each slice;
-2. a first pass keeps each slice's *edge rows*: the first ``b`` and last
-   ``a`` rows of the slice's first and last key.  Only those can be needed by
-   a neighbouring slice, so there are at most ``2 * (a + b)`` per slice:
-   a bound fixed by the frame and the slice count, never by the data;
-3. a second pass gives each slice its neighbours' edge rows (the halo) and
-   evaluates every frame exactly over its own at most ``a + b + 1`` values
-   (vectorised sliding windows), emitting only the slice's own rows.
+* ROWS frames (OVR-01/02/04/07/08/12): the prefix scan numbers the rows of each
+  key, and rows are grouped into blocks of ``BLOCK`` numbers.  The last ``a``
+  rows of a block are copied to the next block and the first ``b`` to the one
+  before, so that a window function over (key, block) sees every frame
+  whole; copies are dropped behind it.
+* RANGE frames (OVR-03): the same with blocks of the order value's range.
 
-The slices are checkpointed once (reliable, shared store) and read by both
-passes, so they are identical in both.
+The window functions are Spark's own: any type, exact as they are, spilling
+when a block is large.  Null keys are one key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-_PID = "_fr_pid"
-_KEY = "_fr_key"
-FNS = ("sum", "count", "avg", "min", "max", "shift", "count_distinct")
+from quern.operators.prefix import prefix_scan
 
+BLOCK = 1 << 16
+_RN, _BLK, _COPY = "_fr_rn", "_fr_block", "_fr_copy"
 
-def _slices(df: DataFrame, n: int | None) -> int:
-    return int(n or df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+
+def _frame(fn: str, col: str, w, spec: tuple) -> Column:
+    if fn == "shift":
+        offset = int(spec[2])
+        default = spec[3] if len(spec) > 3 else None
+        return F.lead(col, offset, default).over(w) if offset >= 0 else F.lag(col, -offset, default).over(w)
+    frame = w.rowsBetween(int(spec[2]), int(spec[3]))
+    if fn == "count_distinct":
+        return F.size(F.collect_set(col).over(frame)).cast("long")
+    return {"sum": F.sum, "count": F.count, "avg": F.avg, "min": F.min, "max": F.max}[fn](col).over(frame)
 
 
 def rows_frame(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-               aggs: dict[str, tuple], *, num_slices: int | None = None) -> DataFrame:
+               aggs: dict[str, tuple], *, num_slices: int | None = None,
+               row_number: str | None = None) -> DataFrame:
     """``aggs``: output -> (fn, column, lo, hi) with fn in sum / count / avg /
-    min / max over ROWS BETWEEN lo AND hi (lo <= hi, negative = preceding),
-    or (``"shift"``, column, offset) for LAG / LEAD (null outside the key).
-    Numeric columns only; results are doubles (count: long)."""
-    spark = df.sparkSession
-    n = _slices(df, num_slices)
-    key_cols = list(keys) or [_KEY]
-    if not keys:
-        df = df.withColumn(_KEY, F.lit(0))
-    order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    specs = {}
+    min / max / count_distinct over ROWS BETWEEN lo AND hi (lo <= hi, negative
+    = preceding), or (``"shift"``, column, offset[, default]) for LAG / LEAD:
+    the default stands outside the key only, a null that is there stays.
+    ``row_number`` names a column for the row's number within its key."""
     before = after = 0
-    for out, spec in aggs.items():
-        fn = spec[0]
-        if fn not in FNS:
-            raise ValueError(f"unsupported frame function {fn}")
-        if fn == "shift":
-            lo = hi = int(spec[2])
-        else:
-            lo, hi = int(spec[2]), int(spec[3])
-            if lo > hi:
-                raise ValueError("frame start after frame end")
-        specs[out] = (fn, spec[1], lo, hi)
-        before = max(before, -lo, 0)
-        after = max(after, hi, 0)
-
-    ranged = (df.repartitionByRange(n, *[F.col(k) for k in key_cols], *order_cols)
-                .sortWithinPartitions(*[F.col(k) for k in key_cols], *order_cols)
-                .withColumn(_PID, F.spark_partition_id()))
-    # The edge pass is its own job (its rows are gathered, bounded), and a
-    # range shuffle planned again by the second pass would sample other bounds.
-    # So the slices are materialised once, as a reliable checkpoint on the
-    # shared store, and both passes read them: identical slices, and a lost
-    # executor recomputes nothing upstream.
-    from quern.session import checkpoint_root
-    checkpoint_root(spark)
-    ranged = ranged.checkpoint(eager=True)
-
-    value_cols = sorted({s[1] for s in specs.values()})
-    kc = list(key_cols)
-    edge_schema = T.StructType([ranged.schema[k] for k in kc]
-                               + [T.StructField(c, T.DoubleType()) for c in value_cols]
-                               + [T.StructField(_PID, T.IntegerType()), T.StructField("_fr_i", T.LongType())])
-
-    def runs(pdf):
-        """Start index of every run of equal keys in a sorted batch."""
-        brk = np.zeros(len(pdf), dtype=bool)
-        brk[0] = True
-        for k in kc:
-            v = pdf[k].to_numpy()
-            brk[1:] |= v[1:] != v[:-1]
-        return np.flatnonzero(brk)
-
-    def keyof(pdf, i):
-        return tuple(pdf[k].iloc[i] for k in kc)
-
-    def edges(batches):
-        """Stream a slice: leading `after` rows of its first key and trailing
-        `before` rows of its last key, with their position in the slice."""
-        first_key, lead, lead_open = None, [], True
-        cur_key, cur_i, trail = None, 0, None
-        pid = None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            pid = int(pdf[_PID].iloc[0])
-            st = runs(pdf)
-            en = np.r_[st[1:], len(pdf)]
-            for r0, r1 in zip(st, en):
-                key = keyof(pdf, r0)
-                if first_key is None:
-                    first_key = key
-                if key != cur_key:
-                    if lead_open and cur_key is not None:
-                        lead_open = False      # the first key's run has ended
-                    cur_key, cur_i, trail = key, 0, None
-                run = pdf.iloc[r0:r1]
-                idx = np.arange(cur_i, cur_i + len(run))
-                if lead_open and after and sum(len(x) for x in lead) < after:
-                    need = after - sum(len(x) for x in lead)
-                    lead.append(run.iloc[:need].assign(_fr_i=idx[:need]))
-                if before:
-                    piece = run.iloc[-before:].assign(_fr_i=idx[-before:])
-                    trail = piece if trail is None else pd.concat([trail, piece]).iloc[-before:]
-                cur_i += len(run)
-        if pid is None:
-            return
-        parts = lead + ([trail] if trail is not None else [])
-        if not parts:
-            return
-        out = pd.concat(parts).drop_duplicates(subset=["_fr_i"] + kc)
-        res = out[kc].copy()
-        for v in value_cols:
-            res[v] = out[v].astype("float64")
-        res[_PID] = np.int32(pid)
-        res["_fr_i"] = out["_fr_i"].astype("int64")
-        yield res
-
-    halo = ranged.mapInPandas(edges, edge_schema).collect()   # bounded, checked below
-    bound = 2 * (before + after) * n
-    if len(halo) > bound:
-        raise AssertionError(f"edge rows {len(halo)} exceed the bound {bound}")
-    halo_pdf = pd.DataFrame([r.asDict() for r in halo], columns=[f.name for f in edge_schema.fields])
-
-    out_fields = list(ranged.schema.fields) + [
-        T.StructField(o, T.LongType() if s[0] in ("count", "count_distinct") else T.DoubleType())
-        for o, s in specs.items()]
-    out_schema = T.StructType(out_fields)
-
-    base_names = [f.name for f in ranged.schema.fields]
-
-    def compute(ext, emit):
-        """Frame values for the rows of ``ext`` flagged in ``emit``."""
-        gst = runs(ext)
-        gen = np.r_[gst[1:], len(ext)]
-        res = {o: np.full(len(ext), np.nan) for o in specs}
-        for g0, g1 in zip(gst, gen):
-            m = g1 - g0
-            pos = np.arange(m)
-            for o, (fn, col, lo, hi) in specs.items():
-                v = ext[col].to_numpy(dtype="float64", na_value=np.nan)[g0:g1]
-                def at(d):
-                    src = pos + d
-                    return np.where((src >= 0) & (src < m), v[np.clip(src, 0, max(m - 1, 0))], np.nan)
-                if fn == "shift":
-                    res[o][g0:g1] = at(lo)
-                    continue
-                w = np.stack([at(d) for d in range(lo, hi + 1)], axis=1)
-                cnt = np.sum(~np.isnan(w), axis=1)
-                if fn == "count":
-                    val = cnt.astype("float64")
-                elif fn == "count_distinct":
-                    srt = np.sort(w, axis=1)          # NaN sorts last
-                    new = np.ones_like(srt, dtype=bool)
-                    new[:, 1:] = srt[:, 1:] != srt[:, :-1]
-                    val = np.sum(new & ~np.isnan(srt), axis=1).astype("float64")
-                elif fn == "sum":
-                    val = np.where(cnt > 0, np.nansum(w, axis=1), np.nan)
-                elif fn == "avg":
-                    val = np.where(cnt > 0, np.nansum(w, axis=1) / np.maximum(cnt, 1), np.nan)
-                elif fn == "min":
-                    val = np.where(cnt > 0, np.min(np.where(np.isnan(w), np.inf, w), axis=1), np.nan)
-                else:
-                    val = np.where(cnt > 0, np.max(np.where(np.isnan(w), -np.inf, w), axis=1), np.nan)
-                res[o][g0:g1] = val
-        out = ext.loc[emit, base_names].copy()
-        for o, (fn, *_r) in specs.items():
-            col = res[o][emit]
-            out[o] = pd.array(col.astype("int64"), dtype="Int64") if fn in ("count", "count_distinct") else col
-        return out
-
-    def same_key(h, key):
-        msk = np.ones(len(h), dtype=bool)
-        for k, v in zip(kc, key):
-            msk &= (h[k] == v).to_numpy()
-        return h[msk]
-
-    def frames(batches):
-        """Stream a slice with ``before`` rows of context and ``after`` rows
-        of look-ahead; the halo supplies both at the slice's two ends."""
-        ctx = pending = None
-        pid = last_key = None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            if pid is None:
-                pid = int(pdf[_PID].iloc[0])
-                prev = same_key(halo_pdf[halo_pdf[_PID] < pid], keyof(pdf, 0))
-                prev = prev.sort_values([_PID, "_fr_i"]).tail(before)
-                ctx = prev.drop(columns=["_fr_i"]).assign(_fr_own=False)
-            last_key = keyof(pdf, len(pdf) - 1)
-            pending = pdf.assign(_fr_own=True) if pending is None else pd.concat(
-                [pending, pdf.assign(_fr_own=True)], ignore_index=True)
-            if len(pending) > after:
-                cut = len(pending) - after
-                ext = pd.concat([ctx, pending], ignore_index=True)
-                emit = np.zeros(len(ext), dtype=bool)
-                emit[len(ctx):len(ctx) + cut] = True
-                yield compute(ext, emit)
-                done = pd.concat([ctx, pending.iloc[:cut]], ignore_index=True)
-                ctx = done.iloc[len(done) - before:] if before else done.iloc[0:0]
-                pending = pending.iloc[cut:].reset_index(drop=True)
-        if pid is None:
-            return
-        nxt = same_key(halo_pdf[halo_pdf[_PID] > pid], last_key)
-        nxt = nxt.sort_values([_PID, "_fr_i"]).head(after).drop(columns=["_fr_i"]).assign(_fr_own=False)
-        ext = pd.concat([ctx, pending, nxt], ignore_index=True)
-        emit = np.zeros(len(ext), dtype=bool)
-        emit[len(ctx):len(ctx) + len(pending)] = True
-        if emit.any():
-            yield compute(ext, emit)
-
-    result = ranged.mapInPandas(frames, out_schema)
-    drop = [_PID] + ([_KEY] if not keys else [])
-    return result.drop(*drop)
+    for spec in aggs.values():
+        if spec[0] not in ("sum", "count", "avg", "min", "max", "shift", "count_distinct"):
+            raise ValueError(f"unsupported frame function {spec[0]}")
+        lo, hi = int(spec[2]), int(spec[2] if spec[0] == "shift" else spec[3])
+        if lo > hi:
+            raise ValueError("frame start after frame end")
+        before, after = max(before, -lo), max(after, hi)
+    block = max(BLOCK, before + after)
+    keys = list(keys)
+    scanned = prefix_scan(df, keys, order, row_number=_RN, num_slices=num_slices)
+    own, place = F.floor((F.col(_RN) - 1) / block), (F.col(_RN) - 1) % block
+    at = lambda b, copy: F.struct(b.alias("b"), F.lit(copy).alias("copy"))
+    none = F.array().cast("array<struct<b:bigint,copy:boolean>>")
+    places = F.concat(F.array(at(own, False)), F.when(place >= block - before, F.array(at(own + 1, True))).otherwise(none),
+                      F.when((place < after) & (own > 0), F.array(at(own - 1, True))).otherwise(none))
+    spread = scanned.withColumn("_fr_at", F.explode(places)).select("*", F.col("_fr_at.b").alias(_BLK), F.col("_fr_at.copy").alias(_COPY)).drop("_fr_at")
+    w = Window.partitionBy(*keys, _BLK).orderBy(_RN)
+    framed = spread.withColumns({out: _frame(spec[0], spec[1], w, spec) for out, spec in aggs.items()}).filter(~F.col(_COPY))
+    number = [F.col(_RN).alias(row_number)] if row_number else []
+    return framed.select(*[c for c in df.columns if c not in aggs], *aggs, *number)
 
 
 def range_frame(df: DataFrame, keys: Sequence[str], order: str, lo: int, hi: int, value: str,
                 id_col: str, *, count: str = "range_cnt", total: str = "range_sum",
                 num_slices: int | None = None) -> DataFrame:
     """``COUNT(value)`` and ``SUM(value)`` over ``RANGE BETWEEN lo AND hi``
-    (offsets on a numeric ``order`` column, peers included) per key, from
-    running totals: every row sends two probes, at ``order + lo`` (sorting
-    before equal rows) and at ``order + hi`` (after them); the frame is the
-    difference of the running totals at the two probes.  One prefix scan over
-    rows and probes, two equi-joins on the row id: no key is held anywhere.
-    ``id_col`` must be unique."""
-    from quern.operators.prefix import prefix_scan
-    z = F.lit(0.0)
-    base = df.select(*keys, F.col(order).cast("long").alias("_rf_o"), F.col(id_col).alias("_rf_id"),
-                     F.col(value).cast("double").alias("_rf_v"))
-    data = base.select(*keys, "_rf_o", F.lit(1).alias("_rf_side"), "_rf_id",
-                       F.when(F.col("_rf_v").isNotNull(), 1.0).otherwise(0.0).alias("_rf_n"),
-                       F.coalesce("_rf_v", z).alias("_rf_s"))
-    probe = lambda off, side: base.select(
-        *keys, (F.col("_rf_o") + F.lit(off)).alias("_rf_o"), F.lit(side).alias("_rf_side"), "_rf_id",
-        z.alias("_rf_n"), z.alias("_rf_s"))
-    u = data.unionByName(probe(lo, 0)).unionByName(probe(hi, 2))
-    sc = prefix_scan(u, keys, ["_rf_o", "_rf_side", "_rf_id"], row_number=None,
-                     sums={"_rf_cum_n": "_rf_n", "_rf_cum_s": "_rf_s"}, num_slices=num_slices)
-    a = sc.filter("_rf_side = 0").select("_rf_id", F.col("_rf_cum_n").alias("_na"), F.col("_rf_cum_s").alias("_sa"))
-    b = sc.filter("_rf_side = 2").select("_rf_id", F.col("_rf_cum_n").alias("_nb"), F.col("_rf_cum_s").alias("_sb"))
-    res = a.join(b, "_rf_id").select(
-        F.col("_rf_id").alias(id_col), F.round(F.col("_nb") - F.col("_na")).cast("long").alias(count),
-        F.when(F.col("_nb") - F.col("_na") > 0.5, F.col("_sb") - F.col("_sa")).alias(total))
-    return df.join(res, id_col)
+    (offsets on a numeric ``order`` column, peers included) per key.
+
+    Values of ``order`` are cut into blocks of the frame's width; a row is
+    copied to the (at most three) blocks that hold rows whose frame reaches it, and sums are taken
+    inside the frame.  A null order value's frame is the rows that are null too."""
+    width = max(hi - lo, 1)
+    o = F.col(order).cast("long")
+    reach = F.sequence(F.floor((o - hi) / width), F.floor((o - lo) / width))
+    # A row's own block may lie outside its reach if the frame doesn't hold the row itself.
+    blocks = F.when(o.isNotNull(), F.array_union(reach, F.array(F.floor(o / width)))).otherwise(F.array(F.lit(None).cast("bigint")))
+    spread = df.withColumn("_rf_block", F.explode(blocks)).withColumn("_rf_o", o)
+    w = Window.partitionBy(*keys, "_rf_block").orderBy("_rf_o").rangeBetween(lo, hi)
+    framed = spread.withColumns({count: F.count(value).over(w), total: F.sum(value).over(w)})
+    return framed.filter(F.col("_rf_block").eqNullSafe(F.floor(F.col("_rf_o") / width))).drop("_rf_block", "_rf_o")
 
 
 def dense_ids(df: DataFrame, col: str, out: str, num_slices: int | None = None) -> DataFrame:
     """Exact integer ids for the values of ``col`` (for frame functions that
     need numbers): the distinct values are numbered by the global prefix scan
     and joined back; null stays null."""
-    from quern.operators.prefix import prefix_scan
     vals = df.select(F.col(col).alias("_di_v")).filter(F.col("_di_v").isNotNull()).distinct()
     ids = prefix_scan(vals, [], ["_di_v"], row_number="_di_id", num_slices=num_slices)
     return df.join(ids, df[col].eqNullSafe(ids["_di_v"]), "left").drop("_di_v").withColumn(

@@ -88,7 +88,7 @@ def rank_keyed(df: DataFrame, keys: Sequence[str], order: Sequence, tie: str, *,
         peers = sc.groupBy(*keys, *names).agg(F.min("_rk_rn").alias("_rk_first"))
         if dense_rank:
             peers = prefix_scan(peers, keys, cols, row_number="_rk_dense", num_slices=num_slices)
-        cond = [out[k] == peers[k] for k in keys] + [out[n].eqNullSafe(peers[n]) for n in names]
+        cond = [out[k].eqNullSafe(peers[k]) for k in keys] + [out[n].eqNullSafe(peers[n]) for n in names]
         keep = [peers["_rk_first"]] + ([peers["_rk_dense"]] if dense_rank else [])
         out = out.join(peers, cond, "inner").select(out["*"], *keep)
     sel = [c for c in df.columns]
@@ -112,9 +112,14 @@ def first_last_non_null(df: DataFrame, keys: Sequence[str], order: Sequence[str]
     sc = sc.withColumn("_fl_nn", F.when(F.col(value).isNotNull(), F.col("_fl_rn")))
     sc = prefix_scan(sc, keys, ["_fl_rn"], row_number=None, mins={"_fl_first": "_fl_nn"},
                      maxs={"_fl_last": "_fl_nn"}, num_slices=num_slices)
-    vals = sc.filter(F.col(value).isNotNull()).select(*keys, F.col("_fl_rn").alias("_fl_at"),
-                                                      F.col(value).alias("_fl_v"))
-    a = vals.select(*keys, F.col("_fl_at").alias("_fl_first"), F.col("_fl_v").alias(first))
-    b = vals.select(*keys, F.col("_fl_at").alias("_fl_last"), F.col("_fl_v").alias(last))
-    out = sc.join(a, [*keys, "_fl_first"], "left").join(b, [*keys, "_fl_last"], "left")
-    return out.select(*df.columns, first, last)
+    # A row's own value needs no join: the values sought stand in other rows of the key.
+    vals = sc.filter(F.col(value).isNotNull()).select(*[F.col(k).alias(f"_fl_k{i}") for i, k in enumerate(keys)],
+                                                      F.col("_fl_rn").alias("_fl_at"), F.col(value).alias("_fl_v"))
+
+    def fetch(rows: DataFrame, at: str, name: str) -> DataFrame:
+        same = rows[at] == F.col("_fl_at")
+        for i, k in enumerate(keys):
+            same = same & rows[k].eqNullSafe(F.col(f"_fl_k{i}"))
+        return rows.join(vals, same, "left").select(*[rows[c] for c in rows.columns], F.col("_fl_v").alias(name))
+
+    return fetch(fetch(sc, "_fl_first", first), "_fl_last", last).select(*df.columns, first, last)

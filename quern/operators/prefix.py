@@ -3,37 +3,86 @@ balanced when one key holds a large share of all rows.
 
 A window function ``PARTITION BY key ORDER BY t`` sends every row of a key to
 one task, so a key with a third of the data becomes a third of the job on
-one core.  Here the rows are range-partitioned on ``(key, order)`` instead, so
-a hot key is cut into many contiguous slices:
-
-1. ``repartitionByRange(n, key, order)`` + sort inside each slice (one
-   shuffle; the explicit ``n`` keeps AQE from re-cutting the slices, so
-   ``spark_partition_id`` names the same slice everywhere in the plan);
-2. a vectorised pass per slice computes the local prefix values;
-3. per-(key, slice) totals are aggregated on the JVM; a key only continues
-   from an earlier slice at a slice's first key, so the carry-in table has at
-   most ``n`` rows and is broadcast with that bound;
-4. final value = local value combined with the carry-in.
+one core.  Here the rows are cut into slices of the order (hash of the key,
+order columns), so a hot key is cut into many contiguous slices:
+
+1. slice bounds come from a sample of those columns (a few rows a slice reach
+   the driver) and become part of the plan, so that a row's slice is a
+   function of the row alone: however often a branch of the plan is run,
+   or a lost task run again, it finds the same slices;
+2. window functions over (slice, key) give the local prefix values;
+3. totals for each (slice, key) are partial aggregates; a key only continues
+   from an earlier slice at a slice's first key hash, so of the totals only those of
+   each slice's first and last key hash matter: a few rows a slice, broadcast
+   with that bound;
+4. final value = local value combined with what the earlier slices carry in.
+
+Everything runs in the JVM, keys are compared null-safe (null keys are one
+key), and values keep their types.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _PID = "_q_pid"
-_KEY = "_q_key"
-
-
-def _num_slices(df: DataFrame, n: int | None) -> int:
-    if n:
-        return int(n)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+_HASH = "_q_hash"
+#: Sampled rows for each slice.
+SAMPLE = 20
+_PLAIN = (T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def num_slices_of(df: DataFrame, n: int | None) -> int:
+    return int(n or df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def key_hash(keys: Sequence[str]) -> Column:
+    return F.xxhash64(*[F.col(k) for k in keys]) if keys else F.lit(0).cast("long")
+
+
+def _rising(df: DataFrame, order: Sequence[str | Column]) -> list[Column]:
+    """The leading order columns as columns that rise in the order; those behind
+    one that can't be turned are left out (their rows then share a slice)."""
+    out = []
+    for o in order:
+        m = re.fullmatch(r"Column<'(.+?)(?: (ASC|DESC) NULLS (FIRST|LAST))?'>", str(o)) if isinstance(o, Column) else None
+        name, falls, last = (o, False, False) if isinstance(o, str) else (m[1], m[2] == "DESC", m[3] == "LAST") if m else (None, False, False)
+        kind = df.schema[name].dataType if name in df.columns else None
+        if not isinstance(kind, _PLAIN) or falls and not isinstance(kind, T.NumericType):
+            break
+        if last != falls:  # nulls at the other end than Spark's default
+            out.append(F.col(name).isNull() if last else F.col(name).isNotNull())
+        # A rounded double doesn't break the order: equal values share a slice.  Nulls of a falling order come last.
+        out.append(F.coalesce(-F.col(name).cast("double"), F.lit(float("inf"))) if falls else F.col(name))
+    return out
+
+
+def with_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], n: int) -> DataFrame:
+    """Adds ``_q_pid``, 0 to n - 1, which never falls in the order of a key, and ``_q_hash``, the key's hash."""
+    df = df.withColumn(_HASH, key_hash(keys))
+    place = F.struct(F.col(_HASH).alias("c0"), *[c.alias(f"c{i + 1}") for i, c in enumerate(_rising(df, order))])
+    places = df.select(place.alias("p"))
+    total = places.count() if n > 1 else 0
+    if not total:
+        return df.withColumn(_PID, F.lit(0))
+    some = places if total <= SAMPLE * n else places.sample(SAMPLE * n / total, seed=17)
+    sample = [r.p for r in some.orderBy("p").collect()]  # about SAMPLE rows a slice
+    chosen = list(dict.fromkeys(tuple(sample[len(sample) * k // n]) for k in range(1, n))) if sample else []
+    if not chosen:
+        return df.withColumn(_PID, F.lit(0))
+    fields = places.schema["p"].dataType.fields
+    bounds = F.array(*[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(b, fields)]) for b in chosen])
+    # Binary search: how many bounds lie at or below the row.
+    step = lambda a, _: F.when(a["lo"] >= a["hi"], a).otherwise(
+        F.when(F.get(bounds, F.floor((a["lo"] + a["hi"]) / 2).cast("int")) <= place, F.struct((F.floor((a["lo"] + a["hi"]) / 2) + 1).cast("int").alias("lo"), a["hi"].alias("hi")))
+        .otherwise(F.struct(a["lo"].alias("lo"), F.floor((a["lo"] + a["hi"]) / 2).cast("int").alias("hi"))))
+    start = F.struct(F.lit(0).alias("lo"), F.lit(len(chosen)).alias("hi"))
+    return df.withColumn(_PID, F.aggregate(F.sequence(F.lit(0), F.lit(len(chosen).bit_length())), start, step, lambda a: a["lo"]))
 
 
 def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
@@ -47,122 +96,34 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
 
     ``sums`` / ``mins`` / ``maxs`` map output column -> input column.  An empty
     ``keys`` gives a global prefix (one stream, as for a global watermark).
-    Running sums are over doubles; nulls count as 0 for sums and are ignored
-    by min / max.
+    Running sums of decimals are decimals (exact), others doubles; nulls count
+    as 0 for sums and are ignored by min / max, which keep the column's type.
     """
     sums, mins, maxs = sums or {}, mins or {}, maxs or {}
-    n = _num_slices(df, num_slices)
-    key_cols = list(keys) if keys else []
-    if not key_cols:
-        df = df.withColumn(_KEY, F.lit(0))
-        key_cols = [_KEY]
-    order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
-
-    ranged = (df.repartitionByRange(n, *[F.col(k) for k in key_cols], *order_cols)
-                .sortWithinPartitions(*[F.col(k) for k in key_cols], *order_cols)
-                .withColumn(_PID, F.spark_partition_id()))
-    if str(df.sparkSession.conf.get("spark.sql.exchange.reuse", "true")).lower() == "false":
-        # Without exchange reuse the two branches below would each sample
-        # their own range bounds; materialise the slices once (reliable
-        # checkpoint on the shared store) so both see the same ones.
-        from quern.session import checkpoint_root
-        checkpoint_root(df.sparkSession)
-        ranged = ranged.checkpoint(eager=True)
-
-    # -- 2. local prefix values, vectorised per Arrow batch -----------------
-    in_cols = ranged.columns
-    local_fields = [T.StructField("_q_l_rn", T.LongType())]
-    for o in sums:
-        local_fields.append(T.StructField(f"_q_l_{o}", T.DoubleType()))
-    for o, c in mins.items():
-        local_fields.append(T.StructField(f"_q_l_{o}", ranged.schema[c].dataType))
-    for o, c in maxs.items():
-        local_fields.append(T.StructField(f"_q_l_{o}", ranged.schema[c].dataType))
-    out_schema = T.StructType(list(ranged.schema.fields) + local_fields)
-    kc = list(key_cols)
-
-    def local_scan(batches):
-        carry_key = None
-        carry = {}
-        for pdf in batches:
-            if pdf.empty:
-                yield pdf.reindex(columns=[f.name for f in out_schema.fields])
-                continue
-            kdf = pdf[kc]
-            # group boundaries inside the (sorted) batch
-            new_grp = np.zeros(len(pdf), dtype=bool)
-            new_grp[0] = True
-            for k in kc:
-                v = kdf[k].to_numpy()
-                new_grp[1:] |= v[1:] != v[:-1]
-            gid = np.cumsum(new_grp) - 1
-            first_key = tuple(kdf.iloc[0][k] for k in kc)
-            continues = carry_key is not None and first_key == carry_key
-            g = pd.Series(gid, index=pdf.index)
-            res = {}
-            rn = g.groupby(gid).cumcount().to_numpy() + 1
-            if continues:
-                rn = rn + np.where(gid == 0, carry["rn"], 0)
-            res["_q_l_rn"] = rn.astype("int64")
-            for o, c in sums.items():
-                s = pdf[c].astype("float64").fillna(0.0).groupby(gid).cumsum().to_numpy()
-                if continues:
-                    s = s + np.where(gid == 0, carry[o], 0.0)
-                res[f"_q_l_{o}"] = s
-            for o, c in mins.items():
-                s = pdf[c].groupby(gid).cummin().groupby(gid).ffill()
-                if continues and carry[o] is not None:
-                    m = gid == 0
-                    s = s.where(~m | (s <= carry[o]) | s.isna(), carry[o])
-                    s = s.where(~(m & s.isna()), carry[o])
-                res[f"_q_l_{o}"] = s.to_numpy()
-            for o, c in maxs.items():
-                s = pdf[c].groupby(gid).cummax().groupby(gid).ffill()
-                if continues and carry[o] is not None:
-                    m = gid == 0
-                    s = s.where(~m | (s >= carry[o]) | s.isna(), carry[o])
-                    s = s.where(~(m & s.isna()), carry[o])
-                res[f"_q_l_{o}"] = s.to_numpy()
-            out = pdf.assign(**res)
-            # carry the last group's running values into the next batch
-            last = out.iloc[-1]
-            carry_key = tuple(last[k] for k in kc)
-            carry = {"rn": int(last["_q_l_rn"])}
-            for o in list(sums) + list(mins) + list(maxs):
-                val = last[f"_q_l_{o}"]
-                carry[o] = None if pd.isna(val) else val
-            yield out
-
-    local = ranged.mapInPandas(local_scan, out_schema)
-
-    # -- 3. carry-in per (key, slice) from earlier slices ------------------
-    # Totals come from the scan output itself: both branches then read the
-    # same range exchange (Spark reuses it), so the slices are identical.
-    # Two independent range shuffles would sample different bounds.
-    last = F.col("_q_l_rn")
-    aggs = [F.max("_q_l_rn").alias("_q_t_rn")]
-    aggs += [F.max_by(f"_q_l_{o}", last).alias(f"_q_t_{o}") for o in sums]
-    aggs += [F.min(f"_q_l_{o}").alias(f"_q_t_{o}") for o in mins]
-    aggs += [F.max(f"_q_l_{o}").alias(f"_q_t_{o}") for o in maxs]
-    totals = local.groupBy(*kc, _PID).agg(*aggs)
-    w = Window.partitionBy(*kc).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    carry_cols = [F.sum("_q_t_rn").over(w).alias("_q_c_rn")]
-    carry_cols += [F.sum(f"_q_t_{o}").over(w).alias(f"_q_c_{o}") for o in sums]
-    carry_cols += [F.min(f"_q_t_{o}").over(w).alias(f"_q_c_{o}") for o in mins]
-    carry_cols += [F.max(f"_q_t_{o}").over(w).alias(f"_q_c_{o}") for o in maxs]
-    # Only a slice's first key can continue from earlier slices: <= n rows.
-    carry_in = (totals.select(*kc, _PID, *carry_cols)
-                      .filter(F.col("_q_c_rn").isNotNull()))
-
-    joined = local.join(F.broadcast(carry_in), on=[*kc, _PID], how="left")
-    outs = []
-    if row_number:
-        outs.append((F.col("_q_l_rn") + F.coalesce("_q_c_rn", F.lit(0))).alias(row_number))
-    for o in sums:
-        outs.append((F.col(f"_q_l_{o}") + F.coalesce(f"_q_c_{o}", F.lit(0.0))).alias(o))
-    for o in mins:
-        outs.append(F.least(F.col(f"_q_l_{o}"), F.col(f"_q_c_{o}")).alias(o))
-    for o in maxs:
-        outs.append(F.greatest(F.col(f"_q_l_{o}"), F.col(f"_q_c_{o}")).alias(o))
-    base = [c for c in in_cols if c not in (_PID, _KEY)]
-    return joined.select(*base, *outs)
+    keys = list(keys)
+    cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    sliced = with_slices(df, keys, order, num_slices_of(df, num_slices))
+    number = lambda c: F.coalesce(F.col(c), F.lit(0)) if isinstance(df.schema[c].dataType, T.DecimalType) else F.coalesce(F.col(c).cast("double"), F.lit(0.0))
+    running = {"_q_rn": F.count(F.lit(1)), **{f"_q_{o}": F.sum(number(c)) for o, c in sums.items()},
+               **{f"_q_{o}": F.min(c) for o, c in mins.items()}, **{f"_q_{o}": F.max(c) for o, c in maxs.items()}}
+
+    here = Window.partitionBy(_PID, *keys).orderBy(*cols).rowsBetween(Window.unboundedPreceding, 0)
+    local = sliced.withColumns({name: f.over(here) for name, f in running.items()})
+
+    totals = sliced.groupBy(_PID, _HASH, *keys).agg(*[f.alias(name) for name, f in running.items()])
+    edges = sliced.groupBy(F.col(_PID).alias("_q_e_pid")).agg(F.min(_HASH).alias("_q_low"), F.max(_HASH).alias("_q_high"))
+    at_edge = totals.join(F.broadcast(edges), (F.col(_PID) == F.col("_q_e_pid")) & ((F.col(_HASH) == F.col("_q_low")) | (F.col(_HASH) == F.col("_q_high"))))
+    before = Window.partitionBy(_HASH, *keys).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    fold = lambda name: F.min(name) if name[3:] in mins else F.max(name) if name[3:] in maxs else F.sum(name)
+    carried = at_edge.select(F.col(_PID).alias("_q_c_pid"), *[F.col(k).alias(f"_q_k{i}") for i, k in enumerate(keys)],
+                             *[fold(name).over(before).alias(f"_q_c{name}") for name in running]).filter("_q_c_q_rn is not null")
+
+    same = F.col(_PID) == F.col("_q_c_pid")
+    for i, k in enumerate(keys):
+        same = same & local[k].eqNullSafe(carried[f"_q_k{i}"])
+    joined = local.join(F.broadcast(carried), same, "left")
+    outs = [(F.col("_q_rn") + F.coalesce("_q_c_q_rn", F.lit(0))).alias(row_number)] if row_number else []
+    outs += [(F.col(f"_q_{o}") + F.coalesce(F.col(f"_q_c_q_{o}"), F.lit(0))).alias(o) for o in sums]
+    outs += [F.least(f"_q_{o}", f"_q_c_q_{o}").alias(o) for o in mins]
+    outs += [F.greatest(f"_q_{o}", f"_q_c_q_{o}").alias(o) for o in maxs]
+    return joined.select(*[local[c] for c in df.columns], *outs)

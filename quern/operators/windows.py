@@ -71,18 +71,13 @@ def sliding_count_window(df: DataFrame, keys: Sequence[str], order: Sequence[str
     """STR-12 sliding count window: fires at every ``slide``-th row of a key
     with the last ``size`` rows (fewer at the start of the key).
 
-    Running sums make each firing O(1): sum(last size) = S(rn) - S(rn - size),
-    found by an equi-join on (key, rn - size) instead of a per-key buffer.
+    The sum is taken inside the frame of the last ``size`` rows
+    (:func:`quern.operators.frames.rows_frame`), so a large early value leaves no rounding error behind.
     """
-    scanned = prefix_scan(df, keys, order, row_number="rn",
-                          sums={"_cs": value}, num_slices=num_slices)
-    fires = scanned.filter(F.col("rn") % slide == 0)
-    back = scanned.select(*keys, (F.col("rn") + size).alias("rn"),
-                          F.col("_cs").alias("_cs_back"))
-    res = fires.join(back, on=[*keys, "rn"], how="left")
-    return res.select(*keys, F.col("rn").alias("fire_rn"),
-                      F.least(F.col("rn"), F.lit(size)).alias("n_rows"),
-                      (F.col("_cs") - F.coalesce("_cs_back", F.lit(0.0))).alias("sum_value"))
+    from quern.operators.frames import rows_frame
+    framed = rows_frame(df, keys, order, {"sum_value": ("sum", value, 1 - size, 0)}, num_slices=num_slices, row_number="rn")
+    fires = framed.filter(F.col("rn") % slide == 0)
+    return fires.select(*keys, F.col("rn").alias("fire_rn"), F.least(F.col("rn"), F.lit(size)).alias("n_rows"), "sum_value")
 
 
 # --- evictors (applied to the contents of each fired window) -------------------

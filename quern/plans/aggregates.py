@@ -317,7 +317,6 @@ FROM lineitem GROUP BY ALL
 """)
 def agg_30_multi_arg_udaf(spark, sf):
     li = t(spark, sf, "lineitem")
-    spark.udf.register("multiSum", lambda a, b: None)  # name reserved; SQL uses the declarative form below
     return li.groupBy("l_returnflag", F.date_trunc("month", "l_shipdate").cast("timestamp_ntz").alias("m")) \
              .agg(A.MULTI_SUM(F.col("l_linenumber"), F.lit(0)).alias("multi_sum"))
 
@@ -360,8 +359,8 @@ SELECT event_id, count(*) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN I
 FROM events
 """)
 def ovr_03_range_frame(spark, sf):
-    # RANGE frames from running totals at two probes per row (hot-key safe);
-    # money values are ordered by exact cents
+    # RANGE frames in blocks of the order value (hot-key safe), summed inside
+    # the frame; money values are ordered by exact cents
     from quern.operators.frames import range_frame
     day = 86_400_000_000
     ev = t(spark, sf, "events").select("event_id", "user_id", "event_type", "value", micros("ts").alias("_us"),
@@ -397,7 +396,8 @@ def ovr_06_multiple_windows(spark, sf):
     pu = ev.groupBy("user_id").agg(F.count(F.lit(1)).alias("per_user"))
     pt = ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("per_type"))
     rk = O.rank_keyed(ev, ["user_id"], [("value", False)], "event_id", row_number=None, dense_rank=None)
-    return (rk.join(pu, "user_id").join(pt, "event_type")
+    pu, pt = pu.withColumnRenamed("user_id", "_u"), pt.withColumnRenamed("event_type", "_t")  # null keys are keys
+    return (rk.join(pu, F.col("user_id").eqNullSafe(F.col("_u")), "left").join(pt, F.col("event_type").eqNullSafe(F.col("_t")), "left")
               .select("event_id", "per_user", "per_type", F.col("rk").alias("value_rank")))
 
 
@@ -421,12 +421,10 @@ SELECT e.event_id, (SELECT count(DISTINCT e2.event_type) FROM (
 FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events) e
 """)
 def ovr_08_distinct_over(spark, sf):
-    # COUNT(DISTINCT event_type) over the last 6 rows: values get exact dense
-    # ids, then a bounded-frame distinct count (hot-key safe)
-    from quern.operators.frames import dense_ids, rows_frame
+    # COUNT(DISTINCT event_type) over the last 6 rows (hot-key safe)
+    from quern.operators.frames import rows_frame
     ev = t(spark, sf, "events").select("event_id", "user_id", "ts", "event_type")
-    ev = dense_ids(ev, "event_type", "_type_id")
-    out = rows_frame(ev, ["user_id"], ["ts", "event_id"], {"types_last6": ("count_distinct", "_type_id", -5, 0)})
+    out = rows_frame(ev, ["user_id"], ["ts", "event_id"], {"types_last6": ("count_distinct", "event_type", -5, 0)})
     return out.select("event_id", "types_last6")
 
 
@@ -456,13 +454,12 @@ SELECT event_id, lag(value) OVER w AS prev_value, lead(event_id, 2, -1) OVER w A
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
 """)
 def ovr_12_lead_lag(spark, sf):
-    # LAG / LEAD as shifts inside the slice with its halo
+    # LAG / LEAD inside blocks of row numbers with copied neighbours
     from quern.operators.frames import rows_frame
     ev = t(spark, sf, "events").select("event_id", "user_id", "ts", "value")
     out = rows_frame(ev, ["user_id"], ["ts", "event_id"], {
-        "prev_value": ("shift", "value", -1), "_next2": ("shift", "event_id", 2)})
-    return out.select("event_id", "prev_value",
-                      F.coalesce(F.col("_next2").cast("long"), F.lit(-1).cast("long")).alias("next2"))
+        "prev_value": ("shift", "value", -1), "next2": ("shift", "event_id", 2, -1)})
+    return out.select("event_id", "prev_value", F.col("next2").cast("long").alias("next2"))
 
 
 @register("ovr_13_first_last_value_over", """

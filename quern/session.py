@@ -129,5 +129,4 @@ def ship_package(spark: SparkSession) -> None:
 
 
 WORKER_MODULES = ("quern.sources.replay", "quern.streaming.processors", "quern.operators.match",
-                  "quern.streaming.async_io", "quern.operators.frames",
-                  "quern.operators.prefix", "quern.functions.udf")
+                  "quern.streaming.async_io", "quern.functions.udf")

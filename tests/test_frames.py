@@ -42,3 +42,34 @@ def test_count_distinct_frame_and_dense_ids(spark):
     got = {r.t: r.d for r in rows_frame(df, ["k"], ["t"], {"d": ("count_distinct", "sid", -2, 0)},
                                         num_slices=3).collect()}
     assert got == {0: 1, 1: 2, 2: 2, 3: 2, 4: 2, 5: 1, 6: 2}
+
+
+def test_null_keys_big_ids_text_and_defaults(spark):
+    big = 2**53 + 1
+    rows = [(None, i, big + i, None if i == 5 else f"s{i}") for i in range(20)]
+    df = spark.createDataFrame(rows, "k int, id long, big long, s string")
+    got = rows_frame(df, ["k"], ["id"], {"lag": ("shift", "big", -1), "nxt": ("shift", "s", 2, "none")}, num_slices=5).orderBy("id").collect()
+    assert [r.lag for r in got] == [None] + [big + i for i in range(19)] and [r.big for r in got] == [big + i for i in range(20)]
+    assert [r.nxt for r in got] == [None if i + 2 == 5 else f"s{i + 2}" if i < 18 else "none" for i in range(20)]
+
+
+def test_blocks_smaller_than_a_key(spark, monkeypatch):
+    import quern.operators.frames as frames
+    monkeypatch.setattr(frames, "BLOCK", 4)
+    df = spark.range(50).withColumn("k", F.lit(1)).withColumn("v", F.col("id").cast("double"))
+    w = Window.partitionBy("k").orderBy("id")
+    got = rows_frame(df, ["k"], ["id"], {"s": ("sum", "v", -6, 3), "d": ("count_distinct", "v", -2, 0)}).select("id", "s", "d").collect()
+    want = df.select("id", F.sum("v").over(w.rowsBetween(-6, 3)), F.size(F.collect_set("v").over(w.rowsBetween(-2, 0)))).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
+def test_one_huge_value_leaves_no_error_in_later_frames(spark):
+    from quern.operators.frames import range_frame
+    from quern.operators.windows import sliding_count_window
+    df = spark.createDataFrame([(1, i, 1e16 if i == 0 else 0.01) for i in range(12)], "k int, id long, v double")
+    last = sliding_count_window(df, ["k"], ["id"], 4, 4, "v").orderBy("fire_rn").collect()[-1]
+    assert abs(last.sum_value - 0.04) < 1e-12
+    out = {r.id: r.range_sum for r in range_frame(df, ["k"], "id", -1, 0, "v", "id").collect()}
+    assert abs(out[5] - 0.02) < 1e-12 and out[0] == 1e16
+    ahead = {r.id: (r.range_cnt, r.range_sum) for r in range_frame(df, ["k"], "id", 2, 3, "v", "id").collect()}
+    assert ahead[11] == (0, None) and ahead[9] == (1, 0.01)

@@ -47,3 +47,35 @@ def test_hot_key_is_split_across_slices(spark):
     ranged = df.repartitionByRange(6, "k", "t", "id").withColumn("p", F.spark_partition_id())
     slices = ranged.filter("k = 0").select("p").distinct().count()
     assert slices > 1
+
+
+def test_null_keys_are_one_key_and_types_stay(spark):
+    from decimal import Decimal
+    from pyspark.sql import Window
+    big = 2**53 + 1
+    rows = [(None if i % 3 else "k", i, big + i, Decimal(i) / 7) for i in range(60)]
+    df = spark.createDataFrame(rows, "k string, id long, big long, d decimal(20,6)")
+    w = Window.partitionBy("k").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
+    got = prefix_scan(df, ["k"], ["id"], sums={"s": "d"}, mins={"mn": "big"}, maxs={"mx": "big"}, num_slices=7)
+    want = df.select("*", F.row_number().over(Window.partitionBy("k").orderBy("id")).cast("long").alias("rn"), F.sum("d").over(w).alias("s"),
+                     F.min("big").over(w).alias("mn"), F.max("big").over(w).alias("mx"))
+    assert sorted(map(tuple, got.select(want.columns).collect()), key=lambda r: r[1]) == sorted(map(tuple, want.collect()), key=lambda r: r[1])
+    assert dict(got.dtypes)["mx"] == "bigint" and max(r.rn for r in got.filter("k is null").collect()) == 40
+
+
+def test_falling_order_and_slices_of_a_single_key(spark):
+    df = spark.range(500).withColumn("v", F.when(F.col("id") % 50 == 0, None).otherwise(F.col("id") % 37))
+    for order in (["v", "id"], [F.col("v").desc(), F.col("id")], [F.col("v").asc_nulls_last(), F.col("id").desc()], [F.col("v").desc_nulls_first(), F.col("id")]):
+        from pyspark.sql import Window
+        cols = [F.col(o) if isinstance(o, str) else o for o in order]
+        got = prefix_scan(df, [], order, num_slices=9).select("id", "rn").collect()
+        want = df.select("id", F.row_number().over(Window.orderBy(*cols)).alias("rn")).collect()
+        assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
+def test_prefix_scan_and_frames_are_lazy_sql_plans(spark):
+    """No Python in the plan and nothing but the bounds' sample goes to the driver."""
+    from quern.operators.frames import rows_frame
+    df = spark.range(100).withColumn("k", F.col("id") % 3)
+    plan = rows_frame(df, ["k"], ["id"], {"x": ("sum", "id", -2, 0)}, num_slices=3)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
