@@ -110,11 +110,14 @@ def running_sums(sizes: Column, block: int = 512) -> Column:
     return let(sizes, lambda a: F.when(F.size(a) > block, whole(a)).otherwise(fold(a)))
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, rows: int | None = None, each: int = 250_000) -> DataFrame:
     """``df`` written as a table below the shared checkpoint folder and read back: it is
-    computed once, outlives lost executors, and later reads take only the columns they need."""
+    computed once, outlives lost executors, and later reads take only the columns they need.
+
+    Where a bound on its ``rows`` is known, the last step runs in tasks of ``each`` rows
+    (four at least) rather than in many small ones with a file each."""
     path = scratch_path(df.sparkSession, "llm")
-    df.write.parquet(path)
+    (df if rows is None else df.coalesce(max(4, -(-rows // each)))).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -265,14 +265,14 @@ def _blocks(df: DataFrame, group: str, node: str, size: str, block: int, out: st
     return whole.unionByName(df.filter(F.col(size) > block).withColumn(out, F.explode(pairs)))
 
 
-def candidates(classes: DataFrame, rule: Rule) -> DataFrame:
+def candidates(classes: DataFrame, rule: Rule, nodes: int) -> DataFrame:
     """Links (a, b) that connect the nodes of candidate clusters; ``classes``: node, n_shingles, tokens."""
-    roots = F.array(*[F.xxhash64(F.lit(t), F.lit(b), F.col("tokens")[t * BRANCHES + b]) for t in range(trees(rule.percent / 100)) for b in range(BRANCHES)])
-    level = classes.select("node", F.explode(roots).alias("path"))
+    roots = [F.xxhash64(F.lit(t), F.lit(b), F.col("tokens")[t * BRANCHES + b]) for t in range(trees(rule.percent / 100)) for b in range(BRANCHES)]
+    level = classes.select("node", F.explode(F.array(*roots)).alias("path"))
     leaves = []
     for depth in range(DEPTH):
         sizes = level.groupBy("path").agg(F.count("*").alias("size")).filter("size > 1")
-        level = written(level.join(sizes, "path"))
+        level = written(level.join(sizes, "path"), nodes * len(roots))
         if depth == DEPTH - 1 or level.filter(F.col("size") > SMALL).isEmpty():
             leaves.append(level)
             break
@@ -296,14 +296,15 @@ def components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     known = signed.filter("n_shingles > 0 and doc_id is not null")
     any_row = F.min_by(F.struct("n_shingles", "tokens", "bytes", "text_hash"), "doc_id")
     classes = known.groupBy("digest").agg(F.min("doc_id").alias("first_id"), any_row.alias("row"))
-    classes = written(classes.select(F.monotonically_increasing_id().alias("node"), "digest", "first_id", "row.*"))
-    clusters = connected_components(candidates(classes, rule)).join(classes.select("node", F.col("first_id").alias("doc_id"), "text_hash", "n_shingles"), "node")
+    classes = written(classes.select(F.monotonically_increasing_id().alias("node"), "digest", "first_id", "row.*"), signed.count(), 20_000)
+    nodes = classes.count()
+    clusters = connected_components(candidates(classes, rule, nodes), nodes).join(classes.select("node", F.col("first_id").alias("doc_id"), "text_hash", "n_shingles"), "node")
     sizes = clusters.groupBy("component").agg(F.sum("n_shingles").alias("size"))
     # One text for each node: ids may be repeated, and then with other texts too.
     texts = clusters.join(_plain(docs), ["doc_id", "text_hash"]).groupBy("node", "component").agg(F.first("text").alias("text"))
     placed = _blocks(texts.join(sizes, "component"), "component", "node", "size", MOST_SHINGLES, "cluster").select("cluster", "node", "text")
     links = _in_runs(placed, "cluster").mapInArrow(partial(_confirm, rule=rule), "a long, b long")
-    joined = connected_components(links)
+    joined = connected_components(links, nodes)
     ids = classes.select("node", "digest", "first_id").join(joined, "node", "left").select("digest", F.coalesce("component", "node").alias("component"), "first_id")
     smallest = ids.groupBy("component").agg(F.min("first_id").alias("component_id"))
     by_digest = ids.join(smallest, "component").select("digest", "component_id")
