@@ -85,7 +85,8 @@ def similar_to_regex(pattern: str, escape: str | None = None) -> str:
 
 
 def similar_to(s, pattern: str, escape: str | None = None) -> Column:
-    return _c(s).rlike(similar_to_regex(pattern, escape))
+    # ``%`` and ``_`` match line breaks too, and nothing may follow the match
+    return _c(s).rlike("(?s)" + similar_to_regex(pattern, escape).removesuffix("$") + r"\z")
 
 
 # IS_DECIMAL / IS_DIGIT / IS_ALPHA (fixed rules: non-empty, whole string)
@@ -110,7 +111,9 @@ def is_alpha(s) -> Column:
 
 def int_divide(a, b) -> Column:
     """``/`` on two integers keeps the integer type: truncating quotient."""
-    return (_c(a) / _c(b)).cast("long")
+    a, b = _c(a).cast("long"), _c(b).cast("long")
+    # Whole numbers throughout: a double would round above 2^53.
+    return F.call_function("div", a, b)
 
 
 def truncate(x, d: int = 0) -> Column:
@@ -128,7 +131,11 @@ def rand_integer(n: int, seed: int | None = None) -> Column:
 def hash_code(s) -> Column:
     """HASH_CODE of a string: the Java ``String.hashCode`` (31-polynomial over
     the characters, 32-bit signed wrap)."""
-    codes = F.transform(F.split(_c(s), ""), lambda ch: F.ascii(ch).cast("long"))
+    # 16-bit units, as two bytes each
+    units = F.encode(_c(s).cast("string"), "UTF-16BE")
+    hexed = F.hex(units)
+    codes = F.transform(F.sequence(F.lit(0), F.greatest(F.length(hexed) / 4 - 1, F.lit(0)).cast("int")),
+                        lambda i: F.conv(F.substring(hexed, i * 4 + 1, F.lit(4)), 16, 10).cast("long"))
     h = F.aggregate(codes, F.lit(0).cast("long"),
                     lambda acc, x: (acc * 31 + x) % F.lit(4294967296))
     h = F.when(_c(s) == "", F.lit(0).cast("long")).otherwise(h)

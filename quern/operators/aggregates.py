@@ -22,7 +22,8 @@ def _c(c) -> Column:
 
 def avg_keep_type(c, dtype: str = "int") -> Column:
     """AVG over integers keeps the integer type (truncating quotient)."""
-    return (F.sum(_c(c)) / F.count(_c(c))).cast(dtype)
+    n = F.count(_c(c))
+    return F.when(n > 0, F.call_function("div", F.sum(_c(c).cast("long")), F.greatest(n, F.lit(1)))).cast(dtype)
 
 
 def sum0(c) -> Column:
@@ -64,9 +65,9 @@ def distinct_count_split(df: DataFrame, keys: Sequence[str], value: str,
     (keys, hash bucket), then sum the bucket counts, so a hot key's distinct
     set is spread over ``buckets`` tasks."""
     b = F.pmod(F.hash(F.col(value)), F.lit(buckets))
-    lvl1 = (df.select(*keys, F.col(value), b.alias("_dc_b")).filter(F.col(value).isNotNull())
-              .groupBy(*keys, "_dc_b").agg(F.countDistinct(value).alias("_dc_n")))
-    return lvl1.groupBy(*keys).agg(F.sum("_dc_n").cast("long").alias(out))
+    # Distinct values are hashed on (keys, value), which spreads a hot key; the partial count leaves a row a task.
+    values = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value), b.alias("_dc_b")).distinct()
+    return values.groupBy(*keys).agg(F.count(F.lit(1)).cast("long").alias(out))
 
 
 @dataclass(frozen=True)

@@ -11,22 +11,29 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from quern.session import checkpoint_root
 
 
 def iterate(df: DataFrame, step: Callable[[DataFrame], DataFrame], keep_going: Column,
-            max_rounds: int = 64, checkpoint_every: int = 4) -> DataFrame:
+            max_rounds: int | None = None, checkpoint_every: int = 4) -> DataFrame:
+    """Rows for which ``keep_going`` holds go through ``step`` again, until none
+    is left; a row whose condition is null leaves the loop.  ``max_rounds`` is
+    for loops that may not end: rows left behind it are an error, never dropped."""
     checkpoint_root(df.sparkSession)
-    done = None
-    cur = df
-    for i in range(max_rounds):
-        out = cur.filter(~keep_going)
+    stay = F.coalesce(keep_going, F.lit(False))
+    done, cur, rounds = None, df, 0
+    while True:
+        out = cur.filter(~stay)
         done = out if done is None else done.unionByName(out)
-        cur = step(cur.filter(keep_going))
-        if (i + 1) % checkpoint_every == 0:
+        cur = cur.filter(stay)
+        if cur.isEmpty():
+            return done
+        if rounds == max_rounds:
+            raise RuntimeError(f"rows are still in the loop after {max_rounds} rounds")
+        cur = step(cur)
+        rounds += 1
+        if rounds % checkpoint_every == 0:
             cur = cur.checkpoint(eager=True)
             done = done.checkpoint(eager=True)
-        if cur.isEmpty():
-            break
-    return done

@@ -34,47 +34,32 @@ def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
     ``how`` is inner / left / right / full; outer rows are null-padded.  The
     result keeps both sides' columns (right-side names must not collide).
     """
-    # An empty interval (upper < lower) matches nothing; outer sides stay
-    # unmatched.  The bucket width is the interval length, so a left row
-    # probes at most two buckets.
+    # The bucket width is the interval's length.  Exactly one side is copied into the (at most two) buckets from
+    # which the other side's rows reach it; the side that stays whole can then
+    # be the outer one of a native join.  An empty interval (upper < lower) has no buckets.
     width = max(bucket_us or (upper_us - lower_us), 1)
     lm, rm = micros(left_ts), micros(right_ts)
-    r_b = right.withColumn("_ij_b", F.floor(rm / width))
-    # every bucket the left row's interval [l + lower, l + upper] touches
-    b_lo, b_hi = F.floor((lm + F.lit(lower_us)) / width), F.floor((lm + F.lit(upper_us)) / width)
-    buckets = F.when(b_lo <= b_hi, F.sequence(b_lo, b_hi)).otherwise(F.array().cast("array<bigint>"))
-    l_b = left.withColumn("_ij_b", F.explode(buckets))
-    lo = (rm >= lm + F.lit(lower_us)) if lower_inclusive else (rm > lm + F.lit(lower_us))
-    hi = (rm <= lm + F.lit(upper_us)) if upper_inclusive else (rm < lm + F.lit(upper_us))
-    cond = [l_b[k] == r_b[k] for k in keys] + [l_b["_ij_b"] == r_b["_ij_b"]]
-    inner = l_b.join(r_b, cond, "inner").filter(lo & hi)
-    lcols = [l_b[c] for c in left.columns]
-    rcols = [r_b[c] for c in right.columns if c not in keys] if how == "inner" else \
-        [r_b[c].alias(f"r_{c}") if c in keys else r_b[c] for c in right.columns]
-    matched = inner.select(*lcols, *rcols)
-    if how == "inner":
-        return matched
-    pieces = [matched]
-    if how in ("left", "full"):
-        # unmatched left rows: null-safe anti join on all left columns (a row
-        # holding nulls must still find its own match)
-        seen_l = matched.select(*[F.col(c).alias(f"_ij_l_{c}") for c in left.columns]).distinct()
-        cond_l = [left[c].eqNullSafe(seen_l[f"_ij_l_{c}"]) for c in left.columns]
-        miss = left.join(seen_l, cond_l, "left_anti")
-        pieces.append(miss.select(*left.columns, *[F.lit(None).cast(right.schema[c].dataType)
-                                                   .alias(f"r_{c}" if c in keys else c)
-                                                   for c in right.columns]))
-    if how in ("right", "full"):
-        rnames = [f"r_{c}" if c in keys else c for c in right.columns]
-        seen = matched.select(*[F.col(n).alias(f"_ij_r_{n}") for n in rnames]).distinct()
-        rr = right.select(*[F.col(c).alias(n) for c, n in zip(right.columns, rnames)])
-        miss = rr.join(seen, [rr[n].eqNullSafe(seen[f"_ij_r_{n}"]) for n in rnames], "left_anti")
-        pieces.append(miss.select(*[F.lit(None).cast(left.schema[c].dataType).alias(c)
-                                    for c in left.columns], *rnames))
-    out = pieces[0]
-    for p in pieces[1:]:
-        out = out.unionByName(p)
-    return out
+    none = F.array().cast("array<bigint>")
+    reached = lambda first, last: F.explode_outer(F.when(first <= last, F.sequence(F.floor(first / width), F.floor(last / width))).otherwise(none))
+    l_one, r_one = left.withColumn("_ij_b", F.floor(lm / width)), right.withColumn("_ij_b", F.floor(rm / width))
+    l_many = left.withColumn("_ij_b", reached(lm + F.lit(lower_us), lm + F.lit(upper_us)))
+    r_many = right.withColumn("_ij_b", reached(rm - F.lit(upper_us), rm - F.lit(lower_us)))
+
+    def rows(lhs: DataFrame, rhs: DataFrame, kind: str) -> DataFrame:
+        gap = micros(rhs[right_ts]) - micros(lhs[left_ts])
+        cond = (lhs["_ij_b"] == rhs["_ij_b"]) & (gap >= lower_us if lower_inclusive else gap > lower_us) & (gap <= upper_us if upper_inclusive else gap < upper_us)
+        for k in keys:
+            cond = cond & (lhs[k] == rhs[k])
+        rcols = [rhs[c] for c in right.columns if c not in keys] if how == "inner" else [rhs[c].alias(f"r_{c}") if c in keys else rhs[c] for c in right.columns]
+        if kind == "right_only":
+            pads = [F.lit(None).cast(left.schema[c].dataType).alias(c) for c in left.columns]
+            return rhs.join(lhs, cond, "left_anti").select(*pads, *rcols)
+        return lhs.join(rhs, cond, kind).select(*[lhs[c] for c in left.columns], *rcols)
+
+    if how == "right":
+        return rows(l_many, r_one, "right")
+    matched = rows(l_one, r_many, "inner" if how == "inner" else "left")
+    return matched.unionByName(rows(l_many, r_one, "right_only")) if how == "full" else matched
 
 
 def window_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
@@ -100,14 +85,22 @@ def window_cogroup(left: DataFrame, right: DataFrame, keys: Sequence[str],
 
 def asof_join(left: DataFrame, versions: DataFrame, keys: Sequence[str],
               left_ts: str, version_ts: str, how: str = "inner",
-              num_slices: int | None = None) -> DataFrame:
+              num_slices: int | None = None, arrival: Sequence[str] | None = None) -> DataFrame:
     """JOI-16 temporal table join: each left row with the version of its key
     valid at the row's time (largest version time <= row time).
 
     Steps: union the left times and the version times, a per-key running max
     of version times (hot-key safe prefix scan) gives every left row the
     valid-from time of its version, then one equi-join fetches the version.
+    Of several versions of a key at one time only one is valid: the last by
+    ``arrival`` (columns; by default all the others in their order).
     """
+    rest = [c for c in versions.columns if c not in keys and c != version_ts]
+    if rest:
+        last = F.max_by(F.struct(*rest), F.struct(*(arrival or rest))).alias("_asof_row")
+        versions = versions.groupBy(*keys, version_ts).agg(last).select(*keys, version_ts, "_asof_row.*")
+    else:
+        versions = versions.distinct()
     vt_name = "_asof_vt"
     lk = left.select(*keys, F.col(left_ts).cast("timestamp_ntz").alias("_asof_t"),
                      F.lit(1).alias("_asof_side"), F.lit(None).cast("long").alias("_asof_v"))
@@ -128,7 +121,7 @@ def asof_join(left: DataFrame, versions: DataFrame, keys: Sequence[str],
 
 
 def lookup_join(stream: DataFrame, dim: DataFrame, on: Sequence[str] | Column,
-                how: str = "inner", broadcast: bool = True) -> DataFrame:
+                how: str = "inner", broadcast: bool = False) -> DataFrame:
     """JOI-17 lookup join against a dimension table (inner or left).
 
     ``broadcast`` is only for dimensions with a fixed bound on their size;
@@ -147,3 +140,15 @@ def null_safe_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str,
         c = left[lc].eqNullSafe(right[rc])
         cond = c if cond is None else cond & c
     return left.join(right, cond, how)
+
+
+def not_in(left: DataFrame, column: str, right: DataFrame, values: str) -> DataFrame:
+    """JOI-05 ``column NOT IN (SELECT values)`` with SQL's null rules: without
+    values everything passes; a null among the values lets nothing pass; else a
+    null on the left doesn't pass.  An equi anti join and one row of two counts,
+    where Spark would broadcast all values for a null-aware join."""
+    found = right.select(F.col(values).alias("_ni_v"))
+    facts = found.agg(F.count(F.lit(1)).alias("_ni_n"), F.count("_ni_v").alias("_ni_k"))
+    passed = left.join(found.filter("_ni_v is not null"), F.col(column) == F.col("_ni_v"), "left_anti")
+    ok = (F.col("_ni_n") == 0) | ((F.col("_ni_n") == F.col("_ni_k")) & F.col(column).isNotNull())
+    return passed.crossJoin(F.broadcast(facts)).filter(ok).select(*left.columns)  # facts: one row

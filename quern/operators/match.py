@@ -169,6 +169,8 @@ class Matcher:
                 continue
             fn, var, col = spec
             vals = [r[col] for r, v in zip(rows, res) if var is None or self.names[v] == var]
+            if fn not in ("first", "last"):  # aggregates skip nulls; navigation doesn't
+                vals = [v for v in vals if v is not None and v == v]
             if fn == "first":
                 out[name] = vals[0] if vals else None
             elif fn == "last":

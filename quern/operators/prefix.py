@@ -90,6 +90,7 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
                 sums: dict[str, str] | None = None,
                 mins: dict[str, str] | None = None,
                 maxs: dict[str, str] | None = None,
+                maxs_before: dict[str, str] | None = None,
                 num_slices: int | None = None) -> DataFrame:
     """Add per-key running values in ``order`` (which must be a total order
     within a key: include a unique column as the last tie-breaker).
@@ -98,23 +99,24 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     ``keys`` gives a global prefix (one stream, as for a global watermark).
     Running sums of decimals are decimals (exact), others doubles; nulls count
     as 0 for sums and are ignored by min / max, which keep the column's type.
+    ``maxs_before`` are maxima over the rows strictly before (null at a key's first).
     """
-    sums, mins, maxs = sums or {}, mins or {}, maxs or {}
+    sums, mins, maxs, earlier = sums or {}, mins or {}, maxs or {}, maxs_before or {}
     keys = list(keys)
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
     sliced = with_slices(df, keys, order, num_slices_of(df, num_slices))
     number = lambda c: F.coalesce(F.col(c), F.lit(0)) if isinstance(df.schema[c].dataType, T.DecimalType) else F.coalesce(F.col(c).cast("double"), F.lit(0.0))
     running = {"_q_rn": F.count(F.lit(1)), **{f"_q_{o}": F.sum(number(c)) for o, c in sums.items()},
-               **{f"_q_{o}": F.min(c) for o, c in mins.items()}, **{f"_q_{o}": F.max(c) for o, c in maxs.items()}}
+               **{f"_q_{o}": F.min(c) for o, c in mins.items()}, **{f"_q_{o}": F.max(c) for o, c in {**maxs, **earlier}.items()}}
 
-    here = Window.partitionBy(_PID, *keys).orderBy(*cols).rowsBetween(Window.unboundedPreceding, 0)
-    local = sliced.withColumns({name: f.over(here) for name, f in running.items()})
+    here = Window.partitionBy(_PID, *keys).orderBy(*cols)
+    local = sliced.withColumns({name: f.over(here.rowsBetween(Window.unboundedPreceding, -1 if name[3:] in earlier else 0)) for name, f in running.items()})
 
     totals = sliced.groupBy(_PID, _HASH, *keys).agg(*[f.alias(name) for name, f in running.items()])
     edges = sliced.groupBy(F.col(_PID).alias("_q_e_pid")).agg(F.min(_HASH).alias("_q_low"), F.max(_HASH).alias("_q_high"))
     at_edge = totals.join(F.broadcast(edges), (F.col(_PID) == F.col("_q_e_pid")) & ((F.col(_HASH) == F.col("_q_low")) | (F.col(_HASH) == F.col("_q_high"))))
     before = Window.partitionBy(_HASH, *keys).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    fold = lambda name: F.min(name) if name[3:] in mins else F.max(name) if name[3:] in maxs else F.sum(name)
+    fold = lambda name: F.min(name) if name[3:] in mins else F.max(name) if name[3:] in maxs or name[3:] in earlier else F.sum(name)
     carried = at_edge.select(F.col(_PID).alias("_q_c_pid"), *[F.col(k).alias(f"_q_k{i}") for i, k in enumerate(keys)],
                              *[fold(name).over(before).alias(f"_q_c{name}") for name in running]).filter("_q_c_q_rn is not null")
 
@@ -125,5 +127,5 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     outs = [(F.col("_q_rn") + F.coalesce("_q_c_q_rn", F.lit(0))).alias(row_number)] if row_number else []
     outs += [(F.col(f"_q_{o}") + F.coalesce(F.col(f"_q_c_q_{o}"), F.lit(0))).alias(o) for o in sums]
     outs += [F.least(f"_q_{o}", f"_q_c_q_{o}").alias(o) for o in mins]
-    outs += [F.greatest(f"_q_{o}", f"_q_c_q_{o}").alias(o) for o in maxs]
+    outs += [F.greatest(f"_q_{o}", f"_q_c_q_{o}").alias(o) for o in [*maxs, *earlier]]
     return joined.select(*[local[c] for c in df.columns], *outs)

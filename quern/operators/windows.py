@@ -92,10 +92,14 @@ def count_evict(df: DataFrame, group: Sequence[str | Column], order: Sequence[st
 
 def time_evict(df: DataFrame, group: Sequence[str | Column], ts: str, size_us: int) -> DataFrame:
     """STR-33: drop rows with ts <= max(ts) - size (strictly newer kept)."""
-    w = Window.partitionBy(*group)
+    # An aggregate joined back rather than a window: a large pane isn't held in one task.
     us = F.unix_micros(F.col(ts).cast("timestamp"))
-    return (df.withColumn("_ev_max", F.max(us).over(w))
-              .filter(us > F.col("_ev_max") - F.lit(size_us)).drop("_ev_max"))
+    named = df.withColumns({f"_ev_{i}": _c(g) for i, g in enumerate(group)})
+    last = named.groupBy(*[F.col(f"_ev_{i}").alias(f"_ev_k{i}") for i in range(len(group))]).agg(F.max(us).alias("_ev_max"))
+    same = F.lit(True)
+    for i in range(len(group)):
+        same = same & F.col(f"_ev_{i}").eqNullSafe(F.col(f"_ev_k{i}"))
+    return named.join(last, same).filter(us > F.col("_ev_max") - F.lit(size_us)).select(*df.columns)
 
 
 def delta_evict(df: DataFrame, group: Sequence[str | Column], order: Sequence[str | Column],
@@ -157,50 +161,30 @@ class Session:
         return _WindowSpec("0 seconds", gap=gap)
 
 
-def sessionize(df: DataFrame, keys: Sequence[str], ts: str, gap_us: int, tie: str,
+def sessionize(df: DataFrame, keys: Sequence[str], ts: str, gap_us: int | Column, tie: str,
                session_col: str = "session_id", num_slices: int | None = None) -> DataFrame:
-    """STR-08 session ids without a key in one task: a row opens a session
-    when the previous row of its key is more than ``gap`` earlier (rows
-    exactly one gap apart stay together); the id is the running count of
-    openings.  LAG comes from the halo frames, the count from the prefix scan,
-    so the session aggregate afterwards is an ordinary partial aggregate on
-    (key, session id)."""
-    from quern.operators.frames import rows_frame
+    """STR-08 / STR-09 session ids without a key in one task: a row opens a
+    session when it lies beyond the end (time + gap, a constant or an
+    expression of the row) of all rows before it; rows exactly one gap apart stay
+    together.  The running maximum of the ends and the running count of
+    openings are prefix scans, so the aggregate afterwards is an ordinary
+    partial aggregate on (key, session id).  Rows without a time are left out.
+    Adds ``session_col`` and ``_ss_end`` (the row's own end in microseconds)."""
     from quern.operators.joins import micros
-    d = df.withColumn("_ss_us", micros(ts).cast("double"))
-    d = rows_frame(d, keys, [ts, tie], {"_ss_prev": ("shift", "_ss_us", -1)}, num_slices=num_slices)
-    d = d.withColumn("_ss_new", F.when(F.col("_ss_prev").isNull()
-                                       | (F.col("_ss_us") - F.col("_ss_prev") > F.lit(float(gap_us))), 1.0)
-                     .otherwise(0.0))
-    d = prefix_scan(d, keys, [ts, tie], row_number=None, sums={"_ss_sid": "_ss_new"}, num_slices=num_slices)
-    return d.withColumn(session_col, F.col("_ss_sid").cast("long")).drop("_ss_us", "_ss_prev", "_ss_new", "_ss_sid")
-
-
-def has_hot_key(df: DataFrame, keys: Sequence[str], num_slices: int | None = None,
-                factor: float = 2.0) -> bool:
-    """True when one key holds more than ``factor`` times an average task's
-    share of the rows (one partial aggregate; only two numbers reach the
-    driver)."""
-    n = int(num_slices or df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_hk_n"))
-    row = per_key.agg(F.max("_hk_n").alias("mx"), F.sum("_hk_n").alias("tot")).first()
-    if row is None or not row.tot:
-        return False
-    return row.mx > factor * row.tot / max(n, 1)
-
-
-def session_aggregate(df: DataFrame, keys: Sequence[str], ts: str, gap: str, gap_us: int, tie: str,
+    gap = gap_us if isinstance(gap_us, Column) else F.lit(gap_us)
+    d = df.filter(F.col(ts).isNotNull()).withColumn("_ss_end", micros(ts) + gap.cast("long"))
+    d = prefix_scan(d, keys, [ts, tie], row_number=None, maxs_before={"_ss_open": "_ss_end"}, num_slices=num_slices)
+    opens = F.coalesce(micros(ts) > F.col("_ss_open"), F.lit(True))
+    d = d.withColumn("_ss_new", opens.cast("int").cast("decimal(18,0)"))
+    d = prefix_scan(d, keys, [ts, tie], row_number=None, sums={session_col: "_ss_new"}, num_slices=num_slices)
+    return d.withColumn(session_col, F.col(session_col).cast("long")).drop("_ss_open", "_ss_new")
+
+
+def session_aggregate(df: DataFrame, keys: Sequence[str], ts: str, gap_us: int | Column, tie: str,
                       aggs: Sequence[Column], num_slices: int | None = None) -> DataFrame:
     """Session windows per key with ``window_start`` / ``window_end`` and the
-    given aggregates.  Without a hot key: Spark's ``session_window`` (sort
-    per key, merge).  With one: the sliced :func:`sessionize`, so the hot key
-    is spread over many tasks; the choice is made on a measured key size."""
-    if has_hot_key(df, keys, num_slices):
-        s = sessionize(df, keys, ts, gap_us, tie, num_slices=num_slices)
-        return (s.groupBy(*keys, "session_id")
-                 .agg(F.min(ts).alias("window_start"),
-                      (F.max(ts) + F.expr(f"INTERVAL {gap_us} MICROSECONDS")).alias("window_end"), *aggs)
-                 .drop("session_id"))
-    out = df.groupBy(*keys, session(ts, gap).alias("_w")).agg(*aggs)
-    rest = [c for c in out.columns if c not in keys and c != "_w"]
-    return out.select(*keys, F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"), *rest)
+    given aggregates, by :func:`sessionize` whatever the size of the keys."""
+    s = sessionize(df, keys, ts, gap_us, tie, num_slices=num_slices)
+    end = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") + F.make_dt_interval(secs=F.max("_ss_end").cast("decimal(24,6)") / F.lit(1_000_000).cast("decimal(8,0)"))
+    return (s.groupBy(*keys, "session_id").agg(F.min(ts).alias("window_start"), end.alias("window_end"), *aggs)
+             .drop("session_id"))

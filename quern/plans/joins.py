@@ -77,11 +77,8 @@ def joi_05_anti_join(spark, sf):
     c, o = t(spark, sf, "customer"), t(spark, sf, "orders")
     ne = (c.join(o.filter(o.o_orderstatus == "P"), c.c_custkey == o.o_custkey, "left_anti")
            .select(F.lit("not_exists").alias("kind"), F.col("c_custkey")))
-    # NOT IN keeps SQL's null-aware semantics: Spark plans a null-aware anti join.
-    ni = spark.sql("""SELECT 'not_in' AS kind, p_partkey AS c_custkey FROM {p}
-                      WHERE p_partkey NOT IN (SELECT l_partkey FROM {li} WHERE l_quantity > 45)""",
-                   p=t(spark, sf, "part"), li=t(spark, sf, "lineitem"))
-    return ne.unionByName(ni)
+    ni = J.not_in(t(spark, sf, "part"), "p_partkey", t(spark, sf, "lineitem").filter("l_quantity > 45"), "l_partkey")
+    return ne.unionByName(ni.select(F.lit("not_in").alias("kind"), F.col("p_partkey").alias("c_custkey")))
 
 
 @register("joi_06_scalar_subquery", """
@@ -238,7 +235,7 @@ LEFT JOIN region ON n_regionkey = r_regionkey AND r_name <> 'ASIA'
 """)
 def joi_17_lookup_join(spark, sf):
     c, n, r = t(spark, sf, "customer"), t(spark, sf, "nation"), t(spark, sf, "region")
-    j = J.lookup_join(c, n, c.c_nationkey == n.n_nationkey)
+    j = J.lookup_join(c, n, c.c_nationkey == n.n_nationkey, broadcast=True)  # 25 nations
     j = J.lookup_join(j, r.filter("r_name <> 'ASIA'"), j.n_regionkey == r.r_regionkey, how="left")
     return j.select("c_custkey", "n_name", "r_name")
 

@@ -392,14 +392,18 @@ def par_01_key_by(spark, sf):
     return ev.groupBy("user_id").agg(F.count(F.lit(1)).alias("cnt"), r2(F.sum("value")).alias("total"))
 
 
+def partitions(spark) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 @register("par_02_partition_custom", """
 SELECT user_id % 4 AS part, count(*) AS cnt FROM events GROUP BY 1
 """)
 def par_02_partition_custom(spark, sf):
     ev = t(spark, sf, "events")
-    pid = F.pmod(F.col("user_id"), F.lit(4)).cast("int")
-    custom = ev.repartitionById(4, pid)
-    return custom.groupBy(pid.cast("long").alias("part")).agg(F.count(F.lit(1)).alias("cnt"))
+    n = partitions(spark)
+    custom = ev.repartitionById(n, F.pmod(F.xxhash64("user_id"), F.lit(n)).cast("int"))
+    return custom.groupBy(F.pmod(F.col("user_id"), F.lit(4)).cast("long").alias("part")).agg(F.count(F.lit(1)).alias("cnt"))
 
 
 @register("par_03_broadcast", """
@@ -413,19 +417,19 @@ def par_03_broadcast(spark, sf):
 
 @register("par_04_shuffle", "SELECT event_type, count(*) AS cnt FROM events GROUP BY event_type")
 def par_04_shuffle(spark, sf):
-    ev = t(spark, sf, "events").repartition(8, F.rand(42))
+    ev = t(spark, sf, "events").repartition(partitions(spark), F.rand(42))
     return ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("cnt"))
 
 
 @register("par_05_rebalance", "SELECT event_type, count(*) AS cnt FROM events GROUP BY event_type")
 def par_05_rebalance(spark, sf):
-    ev = t(spark, sf, "events").repartition(8)  # round robin
+    ev = t(spark, sf, "events").repartition(partitions(spark))  # round robin
     return ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("cnt"))
 
 
 @register("par_06_rescale", "SELECT o_orderstatus, count(*) AS cnt FROM orders GROUP BY o_orderstatus")
 def par_06_rescale(spark, sf):
-    o = t(spark, sf, "orders").repartition(8).coalesce(2)  # local merge of partitions, no shuffle
+    o = t(spark, sf, "orders").repartition(partitions(spark)).coalesce(max(2, partitions(spark) // 4))  # local merge of partitions, no shuffle
     return o.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("cnt"))
 
 
@@ -437,7 +441,7 @@ def par_07_global(spark, sf):
     # day, i.e. bounded by the calendar, never on raw rows
     ev = t(spark, sf, "events")
     daily = ev.groupBy(F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day")).agg(F.count(F.lit(1)).alias("cnt"))
-    return daily.coalesce(1)
+    return daily.repartition(1)  # an exchange: the aggregate before it runs in all its tasks
 
 
 @register("prd_13_exists_scalar_query", """

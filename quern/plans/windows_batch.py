@@ -62,10 +62,8 @@ SELECT user_id, min(ts) AS window_start, max(ts) + INTERVAL 30 MINUTE AS window_
 FROM g GROUP BY user_id, sid
 """, bench=True)
 def str_08_session_window(spark, sf):
-    # Spark's session_window, unless a measured key is hot: then session ids
-    # come from the halo LAG and a prefix count (no key in one task).
     ev = t(spark, sf, "events").select("user_id", "ts", "event_id", "value")
-    return W.session_aggregate(ev, ["user_id"], "ts", "30 minutes", 30 * 60 * 1_000_000, "event_id",
+    return W.session_aggregate(ev, ["user_id"], "ts", 30 * 60 * 1_000_000, "event_id",
                                [F.count(F.lit(1)).alias("cnt"), r2(F.sum("value")).alias("sum_value")])
 
 
@@ -84,11 +82,10 @@ FROM g GROUP BY user_id, sid
 """)
 def str_09_dynamic_session_gap(spark, sf):
     ev = t(spark, sf, "events")
-    gap = F.when(F.col("event_type") == "purchase", F.lit("6 hours")).otherwise(F.lit("2 hours"))
-    return (ev.groupBy("user_id", W.session("ts", gap).alias("w"))
-              .agg(F.count(F.lit(1)).alias("cnt"), r2(F.sum("value")).alias("sum_value"))
-              .select("user_id", W.window_start("w").alias("window_start"),
-                      W.window_end("w").alias("window_end"), "cnt", "sum_value"))
+    hour = 3_600_000_000
+    gap = F.when(F.col("event_type") == "purchase", F.lit(6 * hour)).otherwise(F.lit(2 * hour))
+    return W.session_aggregate(ev.select("user_id", "ts", "event_id", "event_type", "value"), ["user_id"], "ts", gap, "event_id",
+                               [F.count(F.lit(1)).alias("cnt"), r2(F.sum("value")).alias("sum_value")])
 
 
 @register("str_10_global_window", """
@@ -216,11 +213,10 @@ FROM g GROUP BY event_type, sid
 """)
 def aux_06_session_start_end_rowtime(spark, sf):
     ev = t(spark, sf, "events")
-    return (ev.groupBy("event_type", W.session("ts", "10 minutes").alias("w"))
-              .agg(F.count(F.lit(1)).alias("cnt"))
-              .select("event_type", W.window_start("w").alias("w_start"),
-                      W.window_end("w").alias("w_end"),
-                      W.window_rowtime("w").alias("w_rowtime"), "cnt"))
+    s = W.session_aggregate(ev.select("event_type", "ts", "event_id"), ["event_type"], "ts", 10 * 60 * 1_000_000, "event_id",
+                            [F.count(F.lit(1)).alias("cnt")])
+    return s.select("event_type", F.col("window_start").alias("w_start"), F.col("window_end").alias("w_end"),
+                    (F.col("window_end") - F.expr("INTERVAL 1 MILLISECOND")).alias("w_rowtime"), "cnt")
 
 
 @register("str_15_table_api_windows", """

@@ -2,7 +2,8 @@
 
 Results go through ``foreachBatch`` into a parquet table under the shared
 checkpoint folder (never into driver memory); the query's own checkpoint is
-there too, so a restarted driver resumes where it stopped.
+there too.  Each micro-batch has a folder of its own, so a batch that is run
+again is not counted twice.
 """
 
 from __future__ import annotations
@@ -38,10 +39,11 @@ def run_to_table(df: DataFrame, output_mode: str = "append", *, spark: SparkSess
     out_path = scratch_path(spark, "stream_out")
     ck = scratch_path(spark, "stream_ck")
     schema = df.schema
+    spark.createDataFrame([], schema).write.parquet(f"{out_path}/_batch_id=-1")  # so that there is a table if nothing is emitted
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        b = batch.withColumn("_batch_id", F.lit(batch_id).cast("long"))
-        b.write.mode("append").parquet(out_path)
+        # A batch that is run again after a failure replaces what it wrote before.
+        batch.write.mode("overwrite").parquet(f"{out_path}/_batch_id={batch_id}")
 
     w = df.writeStream.outputMode(output_mode).option("checkpointLocation", ck).foreachBatch(sink)
     if trigger_once:
@@ -58,10 +60,7 @@ def run_to_table(df: DataFrame, output_mode: str = "append", *, spark: SparkSess
         raise q.exception()
     from pyspark.sql.types import LongType, StructField, StructType
     full = StructType(list(schema.fields) + [StructField("_batch_id", LongType())])
-    try:
-        res = spark.read.schema(full).parquet(out_path)
-    except Exception:  # nothing emitted
-        res = spark.createDataFrame([], full)
+    res = spark.read.schema(full).parquet(out_path)
     return res if with_batch_id else res.drop("_batch_id")
 
 

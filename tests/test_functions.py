@@ -59,3 +59,15 @@ def test_element_errors_on_more_than_one(spark):
     df = spark.createDataFrame([([1, 2],)], "a array<int>")
     with pytest.raises(Exception):
         df.select(S.element("a")).collect()
+
+
+def test_similar_to_crosses_line_breaks(spark):
+    df = spark.createDataFrame([("a\nb",), ("ab\n",)], "s string")
+    assert [r[0] for r in df.select(S.similar_to("s", "a%b")).collect()] == [True, False]
+
+
+def test_int_divide_and_hash_code_are_exact(spark):
+    df = spark.createDataFrame([(2**53 + 1, 1, "\U0001F600"), (-7, 2, "hello"), (7, -2, ""), (None, 2, None)], "a long, b long, s string")
+    out = df.select(S.int_divide("a", "b").alias("q"), S.hash_code("s").alias("h")).collect()
+    assert [r.q for r in out] == [2**53 + 1, -3, -3, None]
+    assert [r.h for r in out] == [1772899, 99162322, 0, None]

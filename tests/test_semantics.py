@@ -157,10 +157,52 @@ def test_session_aggregate_same_result_on_both_paths(spark):
         t0[k] = t0.get(k, 0) + int(rng.integers(0, 40 * 60))
         rows.append((k, base + dt.timedelta(seconds=t0[k]), i, 1.0))
     df = spark.createDataFrame(rows, "k int, ts timestamp_ntz, id long, v double")
-    assert W.has_hot_key(df, ["k"], num_slices=8)
+    df = df.withColumn("k", F.when(F.col("k") > 0, F.col("k")))  # the hot key is null
     aggs = [F.count(F.lit(1)).alias("n")]
-    sliced = W.session_aggregate(df, ["k"], "ts", "30 minutes", 30 * 60 * 1_000_000, "id", aggs, num_slices=8)
+    sliced = W.session_aggregate(df, ["k"], "ts", 30 * 60 * 1_000_000, "id", aggs, num_slices=8)
     native = (df.groupBy("k", W.session("ts", "30 minutes").alias("w")).agg(*aggs)
                 .select("k", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n"))
-    norm = lambda d: sorted((r.k, r.window_start, r.window_end, r.n) for r in d.collect())
+    norm = lambda d: sorted((r.k or 0, r.window_start, r.window_end, r.n) for r in d.collect())
     assert norm(sliced) == norm(native)
+
+
+def test_iteration_keeps_rows_with_a_null_condition_and_runs_until_empty(spark):
+    import pytest
+    from quern.operators.iteration import iterate
+    df = spark.createDataFrame([(1, 100.0), (2, None), (3, 2.0**70)], "id int, v double")
+    halve = lambda d: d.withColumn("v", F.col("v") / 2)
+    assert sorted(r.id for r in iterate(df, halve, F.col("v") > 1).collect()) == [1, 2, 3]
+    with pytest.raises(RuntimeError, match="after 3 rounds"):
+        iterate(df, halve, F.col("v") > 1, max_rounds=3)
+
+
+def test_asof_join_takes_one_version_of_a_time(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    left = spark.createDataFrame([(1, t0, 10)], "k int, ts timestamp_ntz, id int")
+    versions = spark.createDataFrame([(1, t0, 1, "old"), (1, t0, 2, "new")], "k int, vts timestamp_ntz, n int, price string")
+    assert [r.price for r in J.asof_join(left, versions, ["k"], "ts", "vts", num_slices=2, arrival=["n"]).collect()] == ["new"]
+
+
+def test_not_in_with_nulls(spark):
+    left = spark.createDataFrame([(1,), (2,), (None,)], "a int")
+    for values, want in (([], [1, 2, None]), ([1], [2]), ([1, None], []), ([None], [])):
+        right = spark.createDataFrame([(v,) for v in values], "b int")
+        assert sorted((r.a for r in J.not_in(left, "a", right, "b").collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_interval_join_kinds_against_all_pairs(spark):
+    import random
+    rng = random.Random(4)
+    t0 = dt.datetime(2024, 1, 1)
+    at = lambda: None if rng.random() < .1 else t0 + dt.timedelta(seconds=rng.randint(0, 100))
+    ls = [(rng.choice([1, 2, None]), at(), i) for i in range(40)]
+    rs = [(rng.choice([1, 2, None]), at(), i) for i in range(40)]
+    left = spark.createDataFrame(ls, "k int, ts timestamp_ntz, lid int")
+    right = spark.createDataFrame(rs, "k int, rts timestamp_ntz, rid int")
+    pairs = {(a[2], b[2]) for a in ls for b in rs if None not in (a[0], a[1], b[0], b[1]) and a[0] == b[0]
+             and -5 <= (b[1] - a[1]).total_seconds() < 7}
+    seen_l, seen_r = {p[0] for p in pairs}, {p[1] for p in pairs}
+    only_l, only_r = {(i, None) for i in range(40) if i not in seen_l}, {(None, i) for i in range(40) if i not in seen_r}
+    for how, want in (("inner", pairs), ("left", pairs | only_l), ("right", pairs | only_r), ("full", pairs | only_l | only_r)):
+        out = J.interval_join(left, right, ["k"], "ts", "rts", -5_000_000, 7_000_000, upper_inclusive=False, how=how).collect()
+        assert len(out) == len(want) and {(r.lid, r.rid) for r in out} == want, how
