@@ -19,8 +19,9 @@ from pyspark.sql import types as T
 
 from quern.session import scratch_path, ship_package
 
-#: Rows of about so many bytes are worked on at once, however large Spark's batches are.
-SLICE_BYTES = 8 << 20
+#: Bytes of an Arrow batch, and of the rows that a function works on at once.  Spark's own bound (64 MB) is meant for
+#: narrow rows; a batch of texts is held several times on its way (Spark's and Python's copy, words, ids).
+BATCH_BYTES = SLICE_BYTES = 8 << 20
 
 # What a batch function gets: the texts as UTF-8 bytes, null as None.
 Texts = list[bytes | None]
@@ -53,6 +54,15 @@ def as_texts(col: pa.Array) -> Texts:
     return col.cast(pa.binary()).to_pylist()
 
 
+def prepare(spark: SparkSession) -> None:
+    """What the operators' Python workers need: the package, and Arrow batches of ``BATCH_BYTES`` at most."""
+    ship_package(spark)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key).lower().removesuffix("b")
+    if not now.lstrip("-").isdigit() or not 0 < int(now) <= BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def _annotated(batches: Iterable[pa.RecordBatch], fn, column: str, names: list[str]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         step = max(1, batch.num_rows * SLICE_BYTES // max(1, batch.nbytes))
@@ -67,7 +77,7 @@ def annotate(df: DataFrame, column: str, fn: Callable[[pa.Array], list[pa.Array]
 
     ``fn`` gets the column as an Arrow array and returns one array per field.
     A column of ``df`` that bears a field's name is replaced by the field."""
-    ship_package(df.sparkSession)
+    prepare(df.sparkSession)
     made = {f.name.lower() for f in fields}
     kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in made]
     inside = [*kept, *([] if column in kept else [column])]

@@ -29,12 +29,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import as_texts, text_batches, words, written
-from quern.session import ship_package
+from quern.llm.common import as_texts, prepare, text_batches, words, written
 
 WINDOW = 13
 #: Bytes of document text in one shard, and of test text in one block of phrases.
-SHARD_BYTES, BLOCK_BYTES = 16 << 20, 4 << 20
+SHARD_BYTES, BLOCK_BYTES = 8 << 20, 4 << 20
 #: Places between two documents of a shard: a phrase and its slop stay below.
 GAP = 64
 #: Candidates held at once.
@@ -62,7 +61,7 @@ def _build(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def build_index(docs: DataFrame) -> DataFrame:
     """One row for each shard: document ids and word counts, terms, all postings and their lengths."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_build, _SHARD_DDL)
 
 

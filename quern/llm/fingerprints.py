@@ -27,8 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quern.llm.common import annotate, as_texts
-from quern.session import ship_package
+from quern.llm.common import annotate, as_texts, prepare
 
 BUCKETS = 256
 #: By quartile steps 0 to 3, and by a step of the length scale.
@@ -116,7 +115,7 @@ def compare_with_next(df: DataFrame, slices: int | None = None) -> DataFrame:
     number of sorted runs; it doesn't change the result.  An id is taken to
     be held by few rows: rows of one id stand in one slice."""
     spark = df.sparkSession
-    ship_package(spark)
+    prepare(spark)
     slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sliced = _sliced(docs, slices)

@@ -36,9 +36,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import as_texts, written
+from quern.llm.common import as_texts, prepare, written
 from quern.llm.components import connected_components
-from quern.session import ship_package
 
 COORDINATES, BRANCHES, DEPTH, SMALL = 128, 2, 2, 1024
 #: Shingles of all sets that are checked against each other at once.
@@ -137,7 +136,7 @@ def _sign(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBat
 
 def sign(docs: DataFrame, rule: Rule) -> DataFrame:
     """doc_id, n_shingles, digest of the set, minwise tokens and a byte of each (null without shingles), hash of the text."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     return _plain(docs).mapInArrow(partial(_sign, size=rule.shingle),
                                    "doc_id long, n_shingles long, digest string, tokens array<int>, bytes binary, text_hash long")
 

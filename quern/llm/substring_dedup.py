@@ -23,8 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import as_texts, text_batches, words
-from quern.session import ship_package
+from quern.llm.common import as_texts, prepare, text_batches, words
 
 LEAST_WORDS = 8
 #: A sentence ends at such a sign with white space behind it.
@@ -81,7 +80,7 @@ def _units(batches: Iterable[pa.RecordBatch], least: int) -> Iterator[pa.RecordB
 
 def all_units(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     """One row a unit: doc_id, text_hash, line, whole, start, end, n_words, digest."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("text_hash"))
 
     def cut(batches):
