@@ -7,7 +7,6 @@ gives, so the written content is what is checked.
 
 from __future__ import annotations
 
-import math
 
 import pandas as pd
 import pyarrow.parquet as pq
@@ -112,8 +111,7 @@ SELECT event_type, count(*) AS cnt, round(sum(value), 2) AS total FROM events GR
 """)
 def src_10_custom_source(spark, sf):
     path = SRC.table_path(sf, "events")
-    n = spark.read.parquet(path).count()
-    df = replay(spark, path, streaming=False, partition_rows=max(1, math.ceil(n / 8)))
+    df = replay(spark, path, streaming=False, partition_rows=100_000)
     return df.groupBy("event_type").agg(F.count(F.lit(1)).alias("cnt"), r2(F.sum("value")).alias("total"))
 
 
@@ -253,8 +251,7 @@ def snk_12_bucket_assigner(spark, sf):
 @register("snk_13_rolling_policy", "SELECT count(*) AS cnt, count(DISTINCT event_id) AS ids FROM events")
 def snk_13_rolling_policy(spark, sf):
     path = scratch_path(spark, "snk_roll")
-    n = t(spark, sf, "events").count()
-    (t(spark, sf, "events").write.option("maxRecordsPerFile", max(1, n // 10)).parquet(path))
+    (t(spark, sf, "events").write.option("maxRecordsPerFile", 1_000).parquet(path))
     back = spark.read.parquet(path)
     return back.agg(F.count(F.lit(1)).alias("cnt"), F.countDistinct("event_id").alias("ids"))
 

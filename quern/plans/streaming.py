@@ -9,7 +9,7 @@ the oracle.
 
 from __future__ import annotations
 
-import math
+
 import os
 
 import pyarrow.parquet as pq
@@ -26,17 +26,14 @@ from quern.streaming.watermarks import bounded_out_of_orderness
 from quern.session import ensure_stateful_conf, scratch_path
 
 #: Rows of a micro-batch, whatever the table's size.
-BATCH_ROWS = 100_000
-BATCHES = 4
+BATCH_ROWS = 5_000
 
 
 def events_stream(spark, sf, *, delay: str = "0 seconds", flush: bool = True, repeat: int = 1):
     """The events table as a stream with an event-time watermark on ``ts``."""
     ensure_stateful_conf(spark)
     path = table_path(sf, "events")
-    n = spark.read.parquet(path).count() * repeat      # from parquet footers
-    df = replay(spark, path, rows_per_batch=max(1, math.ceil(n / BATCHES)), flush=flush,
-                time_column="ts", repeat=repeat)
+    df = replay(spark, path, rows_per_batch=BATCH_ROWS, flush=flush, time_column="ts", repeat=repeat)
     df = bounded_out_of_orderness(df, "ts", delay)
     return drop_flush(df, "ts")
 

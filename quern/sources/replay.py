@@ -10,7 +10,7 @@ passes through the driver.  ``flush=true`` appends one end-of-input row
 the final watermark of a bounded stream and must be filtered out after the
 watermark is assigned (:func:`quern.streaming.runner.drop_flush`).
 
-Options: ``path`` (one parquet file), ``rowsPerBatch`` (default 100000),
+Options: ``path`` (a parquet file, or a folder of them in order of their names), ``rowsPerBatch`` (default 100000),
 ``partitionRows`` (rows per read task, default 1000000), ``flush``,
 ``timeColumn`` (required with flush), ``repeat`` (deliver the table n times:
 at-least-once replay for de-duplication tests).
@@ -32,39 +32,49 @@ class _Range(InputPartition):
         self.start, self.end, self.flush = start, end, flush
 
 
-def _num_rows(path: str) -> int:
-    import pyarrow.parquet as pq
-    return pq.ParquetFile(path).metadata.num_rows
+def _files(path: str) -> list[str]:
+    """The parquet files of a table: the path itself, or those below it by name."""
+    import os
+    if not os.path.isdir(path):
+        return [path]
+    found = [os.path.join(d, f) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet") and f[0] not in "._"]
+    return sorted(found)
 
 
-def _micros(tbl):
-    """Nanosecond timestamps become microseconds (Python datetimes)."""
-    import pyarrow as pa
-    fields = [pa.field(f.name, pa.timestamp("us", f.type.tz)) if pa.types.is_timestamp(f.type)
-              and f.type.unit == "ns" else f for f in tbl.schema]
-    return tbl.cast(pa.schema(fields)) if fields != list(tbl.schema) else tbl
+def _num_rows(path: str) -> int:
+    import pyarrow.parquet as pq
+    return sum(pq.read_metadata(f).num_rows for f in _files(path))
 
 
 def _read_range(path: str, schema: StructType, start: int, end: int):
-    """Rows [start, end) of the file (modulo its length for repeated replay)."""
+    """Rows [start, end) of the table (modulo its length for repeated replay) as
+    Arrow batches; only row groups that overlap the range are decoded."""
+    import pyarrow as pa
     import pyarrow.parquet as pq
-    f = pq.ParquetFile(path)
-    n = f.metadata.num_rows
+    from pyspark.sql.pandas.types import to_arrow_schema
     names = [fld.name for fld in schema.fields if fld.name != "_eoi"]
+    out = to_arrow_schema(schema)
+    files = [(f, pq.read_metadata(f)) for f in _files(path)]
+    n = sum(m.num_rows for _, m in files)
     pos = start
-    while pos < end:
+    while pos < end and n:
         lo, hi = pos % n, min(end - pos + pos % n, n)
-        # walk row groups overlapping [lo, hi)
         base = 0
-        for g in range(f.metadata.num_row_groups):
-            gn = f.metadata.row_group(g).num_rows
-            if base + gn > lo and base < hi:
-                tbl = _micros(f.read_row_group(g, columns=names))
-                a, b = max(lo - base, 0), min(hi - base, gn)
-                for batch in tbl.slice(a, b - a).to_batches():
-                    for row in batch.to_pylist():
-                        yield tuple(row[c] for c in names) + (False,)
-            base += gn
+        for f, meta in files:
+            if base + meta.num_rows > lo and base < hi:
+                at = base
+                with pq.ParquetFile(f) as opened:
+                    for g in range(meta.num_row_groups):
+                        gn = meta.row_group(g).num_rows
+                        if at + gn > lo and at < hi:
+                            first, last = max(lo - at, 0), min(hi - at, gn)
+                            tbl = opened.read_row_group(g, columns=names).slice(first, last - first)
+                            tbl = tbl.append_column("_eoi", pa.array([False] * len(tbl), pa.bool_()))
+                            # nanosecond timestamps become microseconds
+                            tbl = pa.Table.from_arrays([tbl[x.name].cast(x.type, safe=False) for x in out], schema=out)
+                            yield from tbl.combine_chunks().to_batches()
+                        at += gn
+            base += meta.num_rows
         pos += hi - lo
 
 
@@ -142,7 +152,7 @@ class ReplaySource(DataSource):
         import pyarrow.parquet as pq
         from pyspark.sql.pandas.types import from_arrow_schema
         # zone-less parquet timestamps stay zone-less, as spark.read.parquet reads them
-        s = from_arrow_schema(pq.read_schema(self.options["path"]), prefer_timestamp_ntz=True)
+        s = from_arrow_schema(pq.read_schema(_files(self.options["path"])[0]), prefer_timestamp_ntz=True)
         return StructType(list(s.fields) + [StructField("_eoi", BooleanType(), True)])
 
     def reader(self, schema):

@@ -37,3 +37,23 @@ def test_replay_stream_batches_and_flush(spark):
     flush = [f for _, _, f in seen]
     assert sum(data) == n and max(data) <= 300
     assert sum(flush) == FLUSH_BATCHES and all(f <= 1 for f in flush)
+
+
+def test_replay_reads_a_table_of_several_files(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from quern.sources.replay import replay
+    path = str(tmp_path / "t.parquet")
+    df = spark.range(1000).withColumn("v", F.when(F.col("id") % 7 > 0, F.col("id") * 1.5)).withColumn("ts", F.timestamp_seconds("id").cast("timestamp_ntz"))
+    df.repartition(3).write.parquet(path)
+    back = replay(spark, path, streaming=False, partition_rows=130, repeat=2)
+    assert sorted(map(tuple, back.drop("_eoi").collect()), key=repr) == sorted(list(map(tuple, df.collect())) * 2, key=repr)
+
+
+def test_a_repeated_micro_batch_replaces_its_rows(spark):
+    from quern.plans.streaming import stream_rows
+    from quern.streaming.runner import run_to_table
+    from tests.conftest import SF_SMALL
+    ev = stream_rows(spark, SF_SMALL, repeat=3).dropDuplicates(["event_id"]).select("event_id")
+    assert run_to_table(ev).count() == spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
+    nothing = run_to_table(stream_rows(spark, SF_SMALL).filter("event_id < 0"))
+    assert nothing.count() == 0
