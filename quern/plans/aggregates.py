@@ -341,7 +341,7 @@ def ovr_01_over_window(spark, sf):
 SELECT event_id, count(*) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS c5,
        round(sum(value) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING), 2) AS run
 FROM events
-""")
+""", bench=True)
 def ovr_02_rows_frame(spark, sf):
     # bounded frame by slice halos; the unbounded-preceding frame by prefix scan
     from quern.operators.frames import rows_frame
@@ -357,7 +357,7 @@ def ovr_02_rows_frame(spark, sf):
 SELECT event_id, count(*) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND CURRENT ROW) AS c_day,
        round(sum(value) OVER (PARTITION BY event_type ORDER BY round(value * 100)::BIGINT RANGE BETWEEN 100 PRECEDING AND CURRENT ROW), 2) AS s_near
 FROM events
-""")
+""", bench=True)
 def ovr_03_range_frame(spark, sf):
     # RANGE frames in blocks of the order value (hot-key safe), summed inside
     # the frame; money values are ordered by exact cents
@@ -452,7 +452,7 @@ def ovr_10_rank_ties(spark, sf):
 @register("ovr_12_lead_lag", """
 SELECT event_id, lag(value) OVER w AS prev_value, lead(event_id, 2, -1) OVER w AS next2
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
-""")
+""", bench=True)
 def ovr_12_lead_lag(spark, sf):
     # LAG / LEAD inside blocks of row numbers with copied neighbours
     from quern.operators.frames import rows_frame

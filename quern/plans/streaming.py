@@ -362,7 +362,7 @@ def src_11_ack_source_dedup(spark, sf):
 
 @register("src_15_table_scan_stream", """
 SELECT event_type, count(*) AS cnt FROM events WHERE value > 100 GROUP BY event_type
-""")
+""", bench=True)
 def src_15_table_scan_stream(spark, sf):
     ev = stream_table(spark, sf, "events").filter("value > 100")
     agg = ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("cnt"))
@@ -455,7 +455,7 @@ WITH n AS (SELECT user_id, event_id, event_type,
            FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
 SELECT user_id, event_id AS a_id, last_id AS c_id FROM n
 WHERE event_type = 'view' AND t1 = 'click' AND t2 = 'purchase'
-""")
+""", bench=True)
 def str_50_match_fixed_length(spark, sf):
     # PATTERN (A B C), AFTER MATCH SKIP TO NEXT ROW: compiled to lead columns
     from quern.operators.match import match_fixed_length

@@ -120,7 +120,7 @@ WITH n AS (
   FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
 SELECT user_id, rn AS fire_rn, least(rn, 4) AS n_rows, round(s, 2) AS sum_value
 FROM n WHERE rn % 2 = 0
-""")
+""", bench=True)
 def str_12_count_window_sliding(spark, sf):
     ev = t(spark, sf, "events").select("user_id", "ts", "event_id", "value")
     out = W.sliding_count_window(ev, ["user_id"], ["ts", "event_id"], 4, 2, "value")
