@@ -255,6 +255,10 @@ class _Encode:
         offsets = np.concatenate([[0], np.cumsum(np.concatenate(counts))]).astype(np.int32)
         return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids)))]
 
+    def forget(self) -> None:
+        """At a task's end."""
+        codec(self.data.value, self.pattern).forget()
+
 
 class _Decode:
     def __init__(self, data):

@@ -29,11 +29,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import as_texts, prepare, text_batches, words, written
+from quern.llm.common import as_texts, prepare, text_batches, trimmed, words, written
 
 WINDOW = 13
 #: Bytes of document text in one shard, and of test text in one block of phrases.
-SHARD_BYTES, BLOCK_BYTES = 8 << 20, 4 << 20
+SHARD_BYTES, BLOCK_BYTES = 4 << 20, 4 << 20
 #: Places between two documents of a shard: a phrase and its slop stay below.
 GAP = 64
 #: Candidates held at once.
@@ -62,7 +62,34 @@ def _build(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def build_index(docs: DataFrame) -> DataFrame:
     """One row for each shard: document ids and word counts, terms, all postings and their lengths."""
     prepare(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_build, _SHARD_DDL)
+    return _plain(docs).mapInArrow(_build, _SHARD_DDL)
+
+
+def _plain(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+
+
+def _build_and_search(batches: Iterable[pa.RecordBatch], block, slop: int) -> Iterator[pa.RecordBatch]:
+    shards = (pa.RecordBatch.from_arrays([pa.array([0]), *b.columns], names=["shard", *b.schema.names]) for b in _build(batches))
+    return trimmed(_search(shards, block, slop))
+
+
+def search_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: int = 0) -> DataFrame:
+    """:func:`search` over an index that is used only once: each task searches its shards as
+    it builds them.  With several blocks of phrases, the index is stored and searched block by block."""
+    blocks = phrase_blocks(benchmark, window)
+    first, second = next(blocks), next(blocks, None)
+    if second is not None:
+        return search(build_index(docs), benchmark, window, slop)
+    _fits(window, slop)
+    prepare(docs.sparkSession)
+    sent = docs.sparkSession.sparkContext.broadcast(first)
+    return _plain(docs).mapInArrow(partial(_build_and_search, block=sent, slop=slop), _FOUND_DDL).select("doc_id", "n_words", "matches")
+
+
+def _fits(window: int, slop: int) -> None:
+    if window + slop >= GAP:
+        raise ValueError(f"a phrase and its slop take fewer than {GAP} places")
 
 
 class Phrases:
@@ -179,8 +206,7 @@ def search(index: DataFrame, benchmark: DataFrame, window: int = WINDOW, slop: i
 
     One block of phrases at a time is sent to the shards.  With several blocks
     the index is stored first and each document's matches of all blocks are put together."""
-    if window + slop >= GAP:
-        raise ValueError(f"a phrase and its slop take fewer than {GAP} places")
+    _fits(window, slop)
     spark = index.sparkSession
     blocks = phrase_blocks(benchmark, window)
     send = lambda b: spark.sparkContext.broadcast(b)

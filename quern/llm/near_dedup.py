@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import as_texts, prepare, written
+from quern.llm.common import as_texts, prepare, trimmed, written
 from quern.llm.components import connected_components
 
 COORDINATES, BRANCHES, DEPTH, SMALL = 128, 2, 2, 1024
@@ -124,6 +124,10 @@ def set_digest(found: np.ndarray) -> str:
 
 
 def _sign(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    return trimmed(_signed(batches, size), _HASHES.clear)
+
+
+def _signed(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in (b.slice(start, ROWS) for b in batches for start in range(0, b.num_rows, ROWS)):
         sets = [shingles(t, size) for t in as_texts(batch.column(1))]
         tokens = [minwise(s) if len(s) else None for s in sets]
@@ -219,7 +223,7 @@ def _compare(batches: Iterable[pa.RecordBatch], rule: Rule) -> Iterator[pa.Recor
                     merged.link(i, rest)
             yield merged.star(nodes)
 
-    yield from _batched(leaves())
+    yield from trimmed(_batched(leaves()))
 
 
 def _confirm(batches: Iterable[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
@@ -246,7 +250,7 @@ def _confirm(batches: Iterable[pa.RecordBatch], rule: Rule) -> Iterator[pa.Recor
                     merged.link(i, np.flatnonzero(linked) + i + 1)
             yield merged.star(nodes)
 
-    yield from _batched(clusters())
+    yield from trimmed(_batched(clusters()), _HASHES.clear)
 
 
 def _in_runs(df: DataFrame, key: str) -> DataFrame:

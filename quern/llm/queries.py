@@ -37,8 +37,7 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = decontaminate.build_index(documents(spark, sf_dir))
-    return decontaminate.summary(decontaminate.search(index, read_table(spark, sf_dir, "benchmark")))
+    return decontaminate.summary(decontaminate.search_documents(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark")))
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -52,6 +52,8 @@ def test_decontamination_against_brute_force(spark, odd, monkeypatch, block):
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     out = decontaminate.summary(decontaminate.search(decontaminate.build_index(odd), benchmark)).collect()
     want = [(r[0], *contamination(r[1], [i for i in items if i[0] is not None])) for r in ODD]
+    once = decontaminate.summary(decontaminate.search_documents(odd, benchmark)).collect()
+    assert sorted(map(tuple, once), key=repr) == sorted(map(tuple, out), key=repr)
     assert sorted(map(tuple, out), key=repr) == sorted(want, key=repr)
 
 
