@@ -108,9 +108,9 @@ def first_last_non_null(df: DataFrame, keys: Sequence[str], order: Sequence[str]
     UNBOUNDED PRECEDING AND CURRENT ROW): running min / max of the row
     numbers of non-null rows, then one equi-join each to fetch the value."""
     from quern.operators.prefix import prefix_scan
-    sc = prefix_scan(df, keys, order, row_number="_fl_rn", num_slices=num_slices)
+    sc = prefix_scan(df, keys, order, row_number="_fl_rn", num_slices=num_slices, keep_slices=True)
     sc = sc.withColumn("_fl_nn", F.when(F.col(value).isNotNull(), F.col("_fl_rn")))
-    sc = prefix_scan(sc, keys, ["_fl_rn"], row_number=None, mins={"_fl_first": "_fl_nn"},
+    sc = prefix_scan(sc, keys, order, row_number=None, mins={"_fl_first": "_fl_nn"},
                      maxs={"_fl_last": "_fl_nn"}, num_slices=num_slices)
     # A row's own value needs no join: the values sought stand in other rows of the key.
     vals = sc.filter(F.col(value).isNotNull()).select(*[F.col(k).alias(f"_fl_k{i}") for i, k in enumerate(keys)],

@@ -62,8 +62,15 @@ def _rising(df: DataFrame, order: Sequence[str | Column]) -> list[Column]:
     return out
 
 
+def _in_order(values: tuple) -> tuple:
+    """Sort key of sampled values in Spark's ascending order: nulls first, NaN last."""
+    return tuple((v is not None, v != v, 0 if v is None or v != v else v) for v in values)
+
+
 def with_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], n: int) -> DataFrame:
     """Adds ``_q_pid``, 0 to n - 1, which never falls in the order of a key, and ``_q_hash``, the key's hash."""
+    if _PID in df.columns:
+        return df  # sliced by an earlier scan in the same order
     df = df.withColumn(_HASH, key_hash(keys))
     place = F.struct(F.col(_HASH).alias("c0"), *[c.alias(f"c{i + 1}") for i, c in enumerate(_rising(df, order))])
     places = df.select(place.alias("p"))
@@ -71,8 +78,8 @@ def with_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     if not total:
         return df.withColumn(_PID, F.lit(0))
     some = places if total <= SAMPLE * n else places.sample(SAMPLE * n / total, seed=17)
-    sample = [r.p for r in some.orderBy("p").collect()]  # about SAMPLE rows a slice
-    chosen = list(dict.fromkeys(tuple(sample[len(sample) * k // n]) for k in range(1, n))) if sample else []
+    sample = sorted((tuple(r.p) for r in some.collect()), key=_in_order)  # about SAMPLE rows a slice
+    chosen = list(dict.fromkeys(sample[len(sample) * k // n] for k in range(1, n))) if sample else []
     if not chosen:
         return df.withColumn(_PID, F.lit(0))
     fields = places.schema["p"].dataType.fields
@@ -91,7 +98,7 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
                 mins: dict[str, str] | None = None,
                 maxs: dict[str, str] | None = None,
                 maxs_before: dict[str, str] | None = None,
-                num_slices: int | None = None) -> DataFrame:
+                num_slices: int | None = None, keep_slices: bool = False) -> DataFrame:
     """Add per-key running values in ``order`` (which must be a total order
     within a key: include a unique column as the last tie-breaker).
 
@@ -100,6 +107,7 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     Running sums of decimals are decimals (exact), others doubles; nulls count
     as 0 for sums and are ignored by min / max, which keep the column's type.
     ``maxs_before`` are maxima over the rows strictly before (null at a key's first).
+    ``keep_slices`` leaves the slice columns for a next scan in the same order.
     """
     sums, mins, maxs, earlier = sums or {}, mins or {}, maxs or {}, maxs_before or {}
     keys = list(keys)
@@ -113,8 +121,9 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     local = sliced.withColumns({name: f.over(here.rowsBetween(Window.unboundedPreceding, -1 if name[3:] in earlier else 0)) for name, f in running.items()})
 
     totals = sliced.groupBy(_PID, _HASH, *keys).agg(*[f.alias(name) for name, f in running.items()])
-    edges = sliced.groupBy(F.col(_PID).alias("_q_e_pid")).agg(F.min(_HASH).alias("_q_low"), F.max(_HASH).alias("_q_high"))
-    at_edge = totals.join(F.broadcast(edges), (F.col(_PID) == F.col("_q_e_pid")) & ((F.col(_HASH) == F.col("_q_low")) | (F.col(_HASH) == F.col("_q_high"))))
+    slice_ = Window.partitionBy(_PID)
+    at_edge = totals.withColumns({"_q_low": F.min(_HASH).over(slice_), "_q_high": F.max(_HASH).over(slice_)}) \
+        .filter((F.col(_HASH) == F.col("_q_low")) | (F.col(_HASH) == F.col("_q_high")))
     before = Window.partitionBy(_HASH, *keys).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     fold = lambda name: F.min(name) if name[3:] in mins else F.max(name) if name[3:] in maxs or name[3:] in earlier else F.sum(name)
     carried = at_edge.select(F.col(_PID).alias("_q_c_pid"), *[F.col(k).alias(f"_q_k{i}") for i, k in enumerate(keys)],
@@ -128,4 +137,5 @@ def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     outs += [(F.col(f"_q_{o}") + F.coalesce(F.col(f"_q_c_q_{o}"), F.lit(0))).alias(o) for o in sums]
     outs += [F.least(f"_q_{o}", f"_q_c_q_{o}").alias(o) for o in mins]
     outs += [F.greatest(f"_q_{o}", f"_q_c_q_{o}").alias(o) for o in [*maxs, *earlier]]
-    return joined.select(*[local[c] for c in df.columns], *outs)
+    slices = [_PID, _HASH] if keep_slices else []
+    return joined.select(*[local[c] for c in df.columns if c not in (_PID, _HASH)], *[local[c] for c in slices], *outs)

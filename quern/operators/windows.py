@@ -173,7 +173,8 @@ def sessionize(df: DataFrame, keys: Sequence[str], ts: str, gap_us: int | Column
     from quern.operators.joins import micros
     gap = gap_us if isinstance(gap_us, Column) else F.lit(gap_us)
     d = df.filter(F.col(ts).isNotNull()).withColumn("_ss_end", micros(ts) + gap.cast("long"))
-    d = prefix_scan(d, keys, [ts, tie], row_number=None, maxs_before={"_ss_open": "_ss_end"}, num_slices=num_slices)
+    d = prefix_scan(d, keys, [ts, tie], row_number=None, maxs_before={"_ss_open": "_ss_end"},
+                    num_slices=num_slices, keep_slices=True)
     opens = F.coalesce(micros(ts) > F.col("_ss_open"), F.lit(True))
     d = d.withColumn("_ss_new", opens.cast("int").cast("decimal(18,0)"))
     d = prefix_scan(d, keys, [ts, tie], row_number=None, sums={session_col: "_ss_new"}, num_slices=num_slices)
