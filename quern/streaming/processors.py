@@ -33,8 +33,9 @@ def from_ms(ms: int) -> _dt.datetime:
 
 
 def _sorted(rows, ts: str, tie: str | None):
+    """Rows of a key and micro-batch in event-time order; rows without a time are left out."""
     key = (lambda r: (r[ts], r[tie])) if tie else (lambda r: r[ts])
-    return sorted(rows, key=key)
+    return sorted((r for r in rows if r[ts] is not None), key=key)
 
 
 class CountTrigger(StatefulProcessor):
@@ -137,9 +138,11 @@ class InactivityTimeout(StatefulProcessor):
             if last is not None and t - last > self.gap:
                 yield Row(key=key[0], session_start=from_ms(start), session_end=from_ms(last + self.gap), cnt=cnt)
                 start, cnt = t, 0
-            if start is None:
-                start = t
-            last, cnt = t, cnt + 1
+            # a row that arrives late within the gap moves neither the end nor the timer back
+            start = t if start is None else min(start, t)
+            last, cnt = t if last is None else max(last, t), cnt + 1
+        if last is None:
+            return
         if old_timer is not None and old_timer != last + self.gap:
             self.handle.deleteTimer(old_timer)
         self.handle.registerTimer(last + self.gap)
@@ -310,6 +313,8 @@ class EventTimeOrdered(StatefulProcessor):
 
     def _release(self, key, upto: int):
         buf = sorted((b[0], b[1], b[2]) for b in self.buf.get()) if self.buf.exists() else []
+        if not buf or buf[0][0] > upto:
+            return
         seq, total = self.acc.get() if self.acc.exists() else (0, 0.0)
         keep = []
         for t, i, v in buf:
@@ -325,14 +330,16 @@ class EventTimeOrdered(StatefulProcessor):
             self.buf.put(keep)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        new = [(to_ms(r[self.ts]), r[self.tie], r[self.value]) for r in rows]
-        self.buf.appendList(new)
+        new = [(to_ms(r[self.ts]), r[self.tie], r[self.value]) for r in rows if r[self.ts] is not None]
+        if new:
+            self.buf.appendList(new)
         for t in {n[0] for n in new}:
             self.handle.registerTimer(t)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        yield from self._release(key, expiredTimerInfo.getExpiryTimeInMs())
+        # All rows up to the watermark go at the first timer; the others then find nothing to release.
+        yield from self._release(key, max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()))
 
     def close(self) -> None:
         pass
