@@ -9,6 +9,12 @@ than once in the corpus are compared byte by byte (grouped by their whole text):
 A document's chunks travel as numbers (first line, lines); texts move only for the byte comparison of
 repeated digests and to rebuild the documents.
 
+Chunks sample the repeats: a passage is found only as far as it fills chunks.  :func:`dedup_whole` finds every
+repeat of two lines.  Its units are two lines that follow each other, blank lines between them aside, and a line
+with the blank line before or behind it.  Units are grouped by 128 bits; that of the smallest (doc_id, hash of the text, line) stays,
+the lines of the others go.  So a copied passage of two lines or more goes whole, wherever it starts, and each
+line that isn't blank stays in at least one place.  Where only blank lines would be left, the text is empty.
+
 Edge cases: null texts stay null and empty ones empty, with no removed lines; null ids rank first; rows equal in
 id and text are one document and keep or lose the same chunks; a document whose
 chunks are all removed keeps an empty text; an empty table gives an empty result.
@@ -87,6 +93,98 @@ def removed_chunks(docs: DataFrame) -> DataFrame:
     return again.groupBy("id", "hash").agg(F.collect_set("code").alias("removed"))
 
 
+def blank(line: Column) -> Column:
+    return F.trim(line, F.lit(" \t\r")) == ""
+
+
+def line_units(text: Column) -> Column:
+    """Every unit of :func:`dedup_whole` as struct (first, last, key), lines counted from 1."""
+    unit = lambda first, last, key: F.struct(first.alias("first"), last.alias("last"), F.md5(key.cast("binary")).alias("key"))
+
+    def units(ls: Column, filled: Column) -> Column:
+        most = F.greatest(F.size(filled) - 1, F.lit(0))
+        pairs = F.zip_with(F.slice(filled, F.lit(1), most), F.slice(filled, F.lit(2), most),
+                           lambda a, b: unit(a["at"], b["at"], F.concat(a["line"], F.lit("\n"), b["line"])))
+        after = F.transform(F.filter(filled, lambda x: blank(F.get(ls, x["at"]))), lambda x: unit(x["at"], x["at"] + 1, F.concat(x["line"], F.lit("\n"))))
+        before = F.transform(F.filter(filled, lambda x: (x["at"] > 1) & blank(F.get(ls, x["at"] - 2))), lambda x: unit(x["at"] - 1, x["at"], F.concat(F.lit("\n"), x["line"])))
+        return F.concat(pairs, after, before)
+
+    numbered = lambda ls: F.transform(ls, lambda x, i: F.struct((i + 1).alias("at"), x.alias("line")))
+    return let(lines_of(text), lambda ls: let(F.filter(numbered(ls), lambda x: ~blank(x["line"])), lambda filled: units(ls, filled)))
+
+
+def placed_units(docs: DataFrame) -> DataFrame:
+    """id, hash, first, last and key of every unit; ``docs``: doc_id, text, ``HASH``."""
+    units = docs.select(F.col("doc_id").alias("id"), F.col(HASH).alias("hash"), F.explode(line_units(F.col("text"))).alias("unit"))
+    return written(units.select("id", "hash", "unit.*"))
+
+
+def later_units(units: DataFrame) -> DataFrame:
+    """The units whose key an earlier place has, with that place as ``kept``."""
+    place = F.struct("id", "hash", "first", "last")
+    kept = units.groupBy("key").agg(F.min(place).alias("kept"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    return units.join(kept, "key").filter(~place.eqNullSafe(F.col("kept")))
+
+
+def removed_lines(units: DataFrame) -> DataFrame:
+    """id, hash and ``removed``, the numbers of the lines to remove."""
+    # A unit that overlaps the one that stays (three equal lines) leaves that one whole.
+    same = F.col("id").eqNullSafe(F.col("kept.id")) & (F.col("hash") == F.col("kept.hash"))
+    first = F.when(same, F.greatest("first", F.when(F.col("first") <= F.col("kept.last"), F.col("kept.last") + 1))).otherwise(F.col("first"))
+    lines = later_units(units).select("id", "hash", F.sequence(first, "last").alias("lines"))
+    return lines.groupBy("id", "hash").agg(F.array_distinct(F.flatten(F.collect_set("lines"))).alias("removed"))
+
+
+def shingles(text: Column, size: int) -> Column:
+    """Hashes of the distinct shingles of ``size`` words, A-Z lower-cased; one of all words if there are fewer."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    found = F.filter(F.split(F.translate(text, upper, upper.lower()), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    return let(found, lambda ws: F.array_distinct(F.transform(
+        F.sequence(F.lit(0), F.greatest(F.size(ws) - size, F.lit(0))), lambda i: F.xxhash64(*[F.get(ws, i + k) for k in range(size)]))))
+
+
+def near_copies(docs: DataFrame, units: DataFrame, size: int, percent: int) -> DataFrame:
+    """id and hash of the documents whose shingles resemble, by ``percent`` or more, those of a document of smaller
+    id that keeps a unit of theirs.  A unit has one such place, so pairs are no more than units; the sizes of the
+    sets are held against each other before any set moves."""
+    pairs = later_units(units).filter("id is not null and kept.id is not null and id <> kept.id") \
+        .select("id", "hash", F.col("kept.id").alias("of"), F.col("kept.hash").alias("of_hash")).distinct()
+    pairs = written(pairs)
+    differ = pairs.filter("hash <> of_hash")
+    named = differ.select("id", "hash").union(differ.select("of", "of_hash")).distinct()
+    sets = _of_document(docs, named, "inner").select(F.col("doc_id").alias("id"), F.col(HASH).alias("hash"), shingles(F.col("text"), size).alias("set")).dropDuplicates(["id", "hash"])
+    sets = written(sets.select("*", F.size("set").alias("n")))
+    of = sets.select(F.col("id").alias("of"), F.col("hash").alias("of_hash"), F.col("set").alias("of_set"), F.col("n").alias("of_n"))
+    alike = differ.join(of.drop("of_set"), ["of", "of_hash"]).join(sets.drop("set"), ["id", "hash"]) \
+        .filter(100 * F.least("n", "of_n") >= percent * F.greatest("n", "of_n")).drop("n", "of_n")
+    shared = F.size(F.array_intersect("set", "of_set"))
+    near = alike.join(of, ["of", "of_hash"]).join(sets, ["id", "hash"]).filter(100 * shared >= percent * (F.col("n") + F.col("of_n") - shared))
+    return written(pairs.filter("hash = of_hash").select("id", "hash").union(near.select("id", "hash")).distinct())
+
+
+def dedup_whole(df: DataFrame, counts: tuple[str, str] = ("n_lines", "n_removed"), near: tuple[int, int] | None = None) -> DataFrame:
+    """As :func:`dedup`, with every repeat of two lines or more taken out.
+
+    With ``near`` (words of a shingle, percent) the :func:`near_copies` go first, as whole documents: without the lines they share
+    with the first copy they couldn't be told as its copies, and lines that only they have must not count as kept."""
+    others = [c for c in df.columns if c.lower() not in counts]
+    docs = df.select(*[df[quoted(c)] for c in others], F.xxhash64(df["text"]).alias(HASH))
+    units = placed_units(docs.select("doc_id", "text", HASH))
+    if near:
+        gone = near_copies(docs.select("doc_id", "text", HASH), units, *near)
+        docs = docs.join(gone, (docs["doc_id"] == gone["id"]) & (docs[HASH] == gone["hash"]), "left_anti")
+        units = units.join(gone, (units["id"] == gone["id"]) & (units["hash"] == gone["hash"]), "left_anti")
+    removed = removed_lines(units).withColumnRenamed("removed", "_removed")
+    kept = lambda ls: F.transform(F.array_except(F.sequence(F.lit(1), F.size(ls)), F.col("_removed")), lambda i: F.get(ls, i - 1))
+    filled = lambda rest: F.when(F.exists(rest, lambda x: ~blank(x)), rest).otherwise(F.array().cast("array<string>"))
+    rest = F.when(F.col("_removed").isNotNull(), let(lines_of(F.col("text")), lambda ls: let(kept(ls), filled)))
+    joined = _of_document(docs, removed, "left").withColumn("_rest", rest)
+    n = F.coalesce(F.size(lines_of(F.col("text"))), F.lit(0)).cast("long")
+    text = F.when(F.col("_rest").isNull(), F.col("text")).otherwise(F.array_join("_rest", "\n"))
+    return joined.select(*[text.alias(c) if c == "text" else F.col(quoted(c)) for c in others],
+                         n.alias(counts[0]), F.when(F.col("_rest").isNull(), F.lit(0).cast("long")).otherwise(n - F.size("_rest")).alias(counts[1]))
+
+
 def dedup(df: DataFrame, counts: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
     """The columns of ``df`` with the repeated chunks taken out of ``text``, and the numbers of lines
     and of removed lines beside them, named as ``counts`` says."""

@@ -226,3 +226,67 @@ def test_line_dedup_odd(odd, empty):
     out = line_dedup.dedup(odd)
     assert out.count() == len(ODD) and out.columns.count("n_lines") == 1
     assert line_dedup.dedup(empty).count() == 0
+
+
+def whole(rows):
+    """The whole rule of line dedup, one document after another; rows: (id, text) in order."""
+    first, out = {}, []
+    for i, text in rows:
+        lines, gone = text.split("\n"), set()
+        at = [k for k, x in enumerate(lines) if x.strip(" \t\r")]
+        units = [(a, b, lines[a] + "\n" + lines[b]) for a, b in zip(at, at[1:])]
+        units += [(a, a + 1, lines[a] + "\n") for a in at if a + 1 < len(lines) and a + 1 not in at]
+        units += [(a - 1, a, "\n" + lines[a]) for a in at if a and a - 1 not in at]
+        for a, b, key in sorted(units):
+            kept = first.setdefault(key, (i, a, b))
+            if kept != (i, a, b):
+                gone.update(range(max(a, kept[2] + 1) if kept[0] == i and a <= kept[2] else a, b + 1))
+        rest = [x for k, x in enumerate(lines) if k not in gone]
+        if gone and not any(x.strip(" \t\r") for x in rest):
+            rest = []
+        out.append((i, "\n".join(rest), len(lines), len(lines) - len(rest)))
+    return out
+
+
+def test_whole_line_dedup_against_brute_force(spark, docs):
+    rows = [(i + 10, f"own {i}\n" + "\n".join(f"passage {n} line {k}" for k in range(n)) + f"\nend {i}") for n in range(1, 13) for i in (2 * n, 2 * n + 1)]
+    rows += [(100, "a\na\na\na\na"), (101, "p\n\n\n\nq"), (102, "x\np\nq\n"), (103, "p\n\n\n\nq\n\n\n"), (104, "\n\n"), (105, ""), (106, "only\n"), (107, "only\n")]
+    rows += [(r.doc_id + 1000, r.text) for r in docs.collect()]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = {r.doc_id: tuple(r) for r in line_dedup.dedup_whole(df).collect()}
+    assert out == {r[0]: r for r in whole(sorted(rows))}
+    left = {i: text for i, text, _, _ in out.values()}
+    assert left[100] == "a\na" and left[103] == "" and left[107] == ""
+    # A passage of two lines or more goes whole wherever it stands.
+    assert all(left[2 * n + 11] == f"own {2 * n + 1}\nend {2 * n + 1}" for n in range(2, 13))
+    assert {x for _, t in rows for x in t.split("\n")} == {x for t in left.values() for x in t.split("\n")}
+
+
+def test_whole_line_dedup_odd(spark, odd, empty):
+    out = line_dedup.dedup_whole(odd)
+    assert out.count() == len(ODD) and out.columns.count("n_lines") == 1
+    assert line_dedup.dedup_whole(empty).count() == 0
+    docs = spark.createDataFrame([(None, "a\nb"), (None, "a\nb"), (1, "a\nb"), (1, "a\nb\nc"), (2, None)], "doc_id long, text string")
+    got = [(r.doc_id, r.text, r.n_removed) for r in line_dedup.dedup_whole(docs).collect()]
+    assert sorted(got, key=repr) == sorted([(None, "a\nb", 0)] * 2 + [(1, "", 2), (1, "c", 2), (2, None, 0)], key=repr)
+
+
+def test_near_copies_go_before_their_lines(spark, docs):
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    long = [(i, t) for i, t in rows if t.count("\n") >= 5][:15]
+    for i, t in long:
+        lines = t.split("\n")
+        at = max(range(len(lines)), key=lambda k: len(lines[k]))
+        few = lines[at].split(" ")
+        rows += [(10**6 + i, t), (2 * 10**6 + i, "\n".join([*lines[:at], " ".join(["new", *few[1:]]), *lines[at + 1:]]))]
+    rows.append((3 * 10**6, "own words\n" + long[0][1]))
+    out = {r.doc_id: r.text for r in line_dedup.dedup_whole(spark.createDataFrame(rows, "doc_id long, text string"), near=(5, 80)).collect()}
+    texts = dict(rows)
+    sets = {i: brute.shingle_set(t, 5) for i, t in rows}
+    for i, _ in long:
+        a, b = sets[i], sets[2 * 10**6 + i]
+        assert 10**6 + i not in out
+        assert (2 * 10**6 + i not in out) == (100 * len(a & b) >= 80 * len(a | b))
+    # What goes has a near copy of smaller id.
+    for i in set(texts) - set(out):
+        assert any(j < i and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]) for j in sets if sets[j])

@@ -43,6 +43,32 @@ def test_stages_against_brute_force(spark):
     assert all(r.decoded_sha256 == hashlib.sha256(near[i].encode()).hexdigest() and r.n_tokens == len(r.ids) for i, r in last.items())
 
 
+def test_copies_leave_one_text_over_the_whole_pipeline(spark):
+    """Copies and near copies of documents that pass the classifier, by way of every stage."""
+    real = spark.read.parquet(f"{SF10}/documents.parquet")
+    good = [r.asDict() for r in cp.quality_classifier(spark, real, SF10).orderBy("doc_id").limit(400).collect()]
+    good = [r for r in good if r["doc_id"] is not None and r["text"].count("\n") >= 6][:40]
+    assert len(good) == 40
+    start, added, changed = 10**9, [], {}
+    for k, r in enumerate(good):
+        lines = r["text"].split("\n")
+        at = len(lines) // 2
+        near = [*lines[:at], f"Changed line{k}", *lines[at + 1:]]
+        changed[start + 2 * k + 1] = near[at]
+        added += [{**r, "doc_id": start + 2 * k}, {**r, "doc_id": start + 2 * k + 1, "text": "\n".join(near)}]
+    docs = real.unionByName(spark.createDataFrame(added, real.schema))
+    passed = None
+    for name, stage in cp.STAGES[:-1]:
+        docs = written(stage(spark, docs, SF10))
+        if name == "quality_classifier":
+            passed = {r.doc_id for r in docs.filter(F.col("doc_id") >= start).collect()}
+    left = {r.doc_id: r.text for r in docs.filter(F.col("doc_id") >= start).collect()}
+    assert len(passed) > 60
+    assert not [i for i in left if i % 2 == 0]  # exact copies
+    # Of a near copy only what differs, or a line alone, can stay.
+    assert all(t == changed[i] for i, t in left.items())
+
+
 def test_stages_with_odd_and_empty_tables(spark, odd, empty):
     for docs in (odd, empty):
         before = docs.count()
