@@ -161,6 +161,33 @@ def test_language_odd(odd, empty, docs):
     assert {r.lang_pred for r in language_id.predict(odd, nothing).collect()} == {"und"}
 
 
+def test_language_grams_against_sets():
+    for text in (b"", b"a", b"Ab", b"a1!b", "é Straße, 12 ab ab".encode()):
+        a = re.sub(rb"[^a-z\x80-\xff]+", b" ", text.lower())
+        want = {a[i:i + n].ljust(4, b"\0") for n in range(1, 5) for i in range(len(a) - n + 1)}
+        if not a.startswith(b" ") and not a.endswith(b" "):
+            got = language_id.grams(text)
+            assert len(got) == len(want) and {int(g).to_bytes(4, "big") for g in got} == want
+
+
+def test_language_of_long_and_mixed_texts(spark):
+    """Prose of 100 KB and 1 MB, and 100 KB with 50 KB of base64 behind it, keeps its language."""
+    import base64
+
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang")
+    model = language_id.fit(docs)
+    prose = {}
+    for r in docs.orderBy("doc_id").collect():
+        if r.lang and r.text and len(prose.get(r.lang, "")) < 1_000_000:
+            prose[r.lang] = prose.get(r.lang, "") + r.text + "\n"
+    noise = base64.b64encode(random.Random(5).randbytes(37_500)).decode()
+    rows = []
+    for lang, text in prose.items():
+        rows += [(f"{lang} long", text[:1_000_000]), (f"{lang} 100", text[:100_000]), (f"{lang} mixed", text[:100_000] + "\n" + noise)]
+    out = {r.id: r.lang_pred for r in language_id.predict(spark.createDataFrame(rows, "id string, text string"), model).collect()}
+    assert {i: p for i, p in out.items() if i.split()[0] != p} == {}
+
+
 # op7
 
 def test_pii_against_brute_force(spark, docs):
