@@ -59,4 +59,47 @@ SELECT documents.doc_id, t.rest AS text, coalesce(t.n_lines, 0)::BIGINT AS n_lin
 FROM documents LEFT JOIN t ON documents.doc_id IS NOT DISTINCT FROM t.doc_id AND documents.text = t.text
 """
 
-SQL = {"op4_decontamination": OP4, "op5_substring_dedup": OP5, "op9_minhash_near_dedup": OP9, "op10_line_dedup": OP10}
+_BLANK_WORDS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+OP11 = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_BLANK_WORDS} AS ws FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + least(len(ws), 5) - 1], ' ') AS g FROM w, unnest(range(1, greatest(len(ws) - 5, 0) + 2)) AS t(i) WHERE len(ws) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+both_ AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM both_ JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT a, b FROM edges UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a),
+low AS (SELECT a AS doc_id, min(b) AS b FROM reach GROUP BY a),
+degree AS (SELECT a AS doc_id, count(*) AS n_links FROM edges GROUP BY a)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(w.doc_id, coalesce(low.b, w.doc_id)) AS component_id, coalesce(n_links, 0)::BIGINT AS n_links
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN low USING (doc_id) LEFT JOIN degree USING (doc_id)
+"""
+
+OP13 = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS part FROM documents),
+w AS (SELECT *, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws, min(doc_id) OVER (PARTITION BY text) AS first_id FROM d),
+f AS (SELECT doc_id, part, (len(ws) < 50)::INT + 2 * (100 * len(list_distinct(ws)) < 65 * len(ws))::INT
+             + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text))::INT
+             + 8 * regexp_matches(text, '[#$%&*|]')::INT + 16 * coalesce(doc_id > first_id, false)::INT AS mask FROM w),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+m AS (SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic FROM f LEFT JOIN l USING (doc_id) GROUP BY part, mask),
+c AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+o AS (SELECT v.c || w.c || x.c || y.c || z.c AS filter_order FROM c v, c w, c x, c y, c z
+      WHERE v.c NOT IN (w.c, x.c, y.c, z.c) AND w.c NOT IN (x.c, y.c, z.c) AND x.c NOT IN (y.c, z.c) AND y.c <> z.c),
+s AS (SELECT filter_order, step, filter_order[step] AS c, (1 << (ascii(filter_order[step]) - 65)) AS bit,
+             list_sum(list_transform(range(1, step), lambda k: (1 << (ascii(filter_order[k]) - 65)))) AS sofar FROM o, range(1, 6) AS r(step)),
+g AS (SELECT part, filter_order, step, c,
+             coalesce(sum(n) FILTER (mask & (coalesce(sofar, 0)::BIGINT | bit) = 0), 0) AS kept,
+             coalesce(sum(n) FILTER (mask & coalesce(sofar, 0)::BIGINT = 0 AND mask & bit <> 0), 0) AS removed,
+             coalesce(sum(n) FILTER (mask & coalesce(sofar, 0)::BIGINT <> 0 AND mask & bit <> 0), 0) AS redundant,
+             coalesce(sum(n) FILTER (mask = bit), 0) AS unique_fails,
+             coalesce(sum(good) FILTER (mask & coalesce(sofar, 0)::BIGINT = 0 AND mask & bit <> 0), 0) AS good_lost,
+             coalesce(sum(toxic) FILTER (mask & coalesce(sofar, 0)::BIGINT = 0 AND mask & bit <> 0), 0) AS toxic_lost
+      FROM m, s GROUP BY part, filter_order, step, c)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
+       good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, c))::BIGINT AS shapley
+FROM g
+"""
+
+SQL = {"op4_decontamination": OP4, "op5_substring_dedup": OP5, "op9_minhash_near_dedup": OP9, "op10_line_dedup": OP10,
+       "op11_ngram_jaccard": OP11, "op13_filter_audit": OP13}

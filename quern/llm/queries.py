@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import bpe, decontaminate, fingerprints, language_id, license_scan, line_dedup, near_dedup, pii, quality, substring_dedup
+from quern.llm import (bpe, decontaminate, filter_audit, fingerprints, jaccard_join, language_id, license_scan, line_dedup, near_dedup,
+                       pii, quality, substring_dedup, whitening)
 from quern.llm.common import crc_bucket, documents
 from quern.llm.oracles import SQL  # noqa: F401
 from quern.sources.tables import read_table
@@ -67,8 +68,21 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup(documents(spark, sf_dir).select("doc_id", "text"))
 
 
+def op11_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(documents(spark, sf_dir), jaccard_join.Rule(shingle=5, percent=80))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_quality_classifier, op3_byte_bpe, op4_decontamination, op5_substring_dedup,
     op6_language_id, op7_pii, op8_fingerprints, op9_minhash_near_dedup, op10_line_dedup,
+    op11_ngram_jaccard, op12_whitening, op13_filter_audit,
 )}
 

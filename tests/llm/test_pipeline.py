@@ -85,4 +85,4 @@ def test_repeated_rows_leave_one(spark, odd):
 
 
 def test_registered():
-    assert "pipeline" in E.queries() and sum(n.startswith("op") and n[2].isdigit() for n in E.queries()) == 10
+    assert "pipeline" in E.queries() and sum(n.startswith("op") and n[2].isdigit() for n in E.queries()) == 13
