@@ -11,11 +11,13 @@ with ``100 * intersection >= percent * union`` are found exactly, in these steps
    least position: a set skips blocks whose sizes are out of its reach or whose positions leave too little
    for the overlap needed (:func:`reachable`).  Very long lists are cut into parts, and every pair of parts is a run of its own.
    Pairs that pass the bounds are candidates; what a long list passes on connects them, a row a member at most.
-3. The connected clusters of candidates are counted on full sets (:func:`overlaps`).  A set's overlaps with all others of its cluster come
+3. The connected clusters of candidates are drawn tighter by sketches, histograms of a set's tokens with a cell for
+   every eight of them: their distance is a lower bound of the symmetric difference too, and a sharp one for long texts.
+4. The clusters that are left are counted on full sets (:func:`overlaps`).  A set's overlaps with all others of its cluster come
    from the cluster's index; a set that is highly similar to one already answered takes that answer and changes it by the
    lists of the tokens in which the two differ.  So the answers are whole, while only a row a member leaves a
    task: its number of links and one connecting link.  Large clusters are cut into parts, and every pair of parts is counted.
-4. Components of the confirmed links, by label propagation.
+5. Components of the confirmed links, by label propagation.
 
 Edge cases: a text of fewer words than a shingle is one shingle; null, empty and blank texts have no shingles and no
 links; so do rows of a null id, whose component is null; rows equal in id and text are one document;
@@ -35,7 +37,8 @@ from pyspark.sql import functions as F
 
 from quern.llm.common import as_texts, prepare, trimmed, written
 from quern.llm.components import connected_components
-from quern.llm.near_dedup import _HASHES, _groups, set_digest, shingles
+from quern.llm.near_dedup import _groups, set_digest
+from quern.llm.shingle_sets import shingle_lists, shingle_sets
 
 #: Hash cells whose counts order the tokens, as a power of two.
 CELL_BITS = 18
@@ -43,8 +46,14 @@ CELL_BITS = 18
 BITS = 1024
 #: Entries of an index block; lists of up to ``SHORT`` entries are compared by shifts, of more than ``LONG`` in parts.
 BLOCK, SHORT, LONG = 64, 16, 4096
-#: Shingles of all sets of a cluster part.
-MOST_SHINGLES = 1 << 19
+#: Shingles of all sets of a cluster part, and sketch bytes of one.
+MOST_SHINGLES, MOST_SKETCH = 1 << 19, 1 << 23
+#: Links that a task of the candidate search holds.
+MOST_LINKS = 1 << 19
+#: Hash cells that name the texts to be fetched for counting: a bound on that broadcast, whatever the data.
+NAMED = 1 << 18
+#: Tokens for each cell of a sketch, and its fewest cells.
+PER_CELL, LEAST_CELLS = 8, 32
 #: Answers that a cluster keeps to derive others from, and the entries that they hold at most together.
 ANSWERS, ANSWER_CELLS = 64, 1 << 22
 ROWS = 1000
@@ -71,9 +80,9 @@ class Rule:
 def _count_cells(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(1 << CELL_BITS, np.int64)
     for batch in (b.slice(start, ROWS) for b in batches for start in range(0, b.num_rows, ROWS)):
-        found = np.concatenate([shingles(text, size) for text in as_texts(batch.column(0))])
+        # An order needs no exact counts: shingles that a text repeats count each time.
+        found = np.concatenate(list(shingle_lists(as_texts(batch.column(0)), size)))
         counts += np.bincount((found & np.uint64((1 << CELL_BITS) - 1)).astype(np.int64), minlength=1 << CELL_BITS)
-    _HASHES.clear()
     yield pa.RecordBatch.from_arrays([pa.array([counts], pa.list_(pa.int64()))], names=["counts"])
 
 
@@ -101,20 +110,24 @@ def parity(found: np.ndarray) -> np.ndarray:
     return np.packbits(np.bincount(at, minlength=BITS).astype(np.uint8) & 1)
 
 
+def sketch(found: np.ndarray) -> np.ndarray:
+    """Histogram of the tokens by their leading bits, its cells a power of two; counts beyond 255 are 255."""
+    bits = max(LEAST_CELLS, len(found) // PER_CELL).bit_length() - 1
+    at = (found * np.uint64(0xC2B2AE3D27D4EB4F) >> np.uint64(64 - bits)).astype(np.int64)
+    return np.minimum(np.bincount(at, minlength=1 << bits), 255).astype(np.uint8)
+
+
 # --- nodes -----------------------------------------------------------------------------
 
 def _signed(batches: Iterable[pa.RecordBatch], ranks, rule: Rule) -> Iterator[pa.RecordBatch]:
     for batch in (b.slice(start, ROWS) for b in batches for start in range(0, b.num_rows, ROWS)):
-        n, digests, prefixes, bits = [], [], [], []
-        for text in as_texts(batch.column(1)):
-            found = shingles(text, rule.shingle)
-            n.append(len(found))
-            digests.append(set_digest(found) if len(found) else None)
-            prefixes.append(ordered(found, ranks.value)[:rule.prefix(len(found))].view(np.int64) if len(found) else None)
-            bits.append(parity(found).tobytes() if len(found) else None)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(digests, pa.string()),
-                                          pa.array(prefixes, pa.list_(pa.int64())), pa.array(bits, pa.binary())],
-                                         names=["doc_id", "text_hash", "n_shingles", "digest", "prefix", "bits"])
+        sets = shingle_sets(as_texts(batch.column(1)), rule.shingle)
+        each = lambda f, kind: pa.array([f(x) if len(x) else None for x in sets], kind)
+        yield pa.RecordBatch.from_arrays([
+            batch.column(0), batch.column(2), pa.array([len(x) for x in sets], pa.int64()), each(set_digest, pa.string()),
+            each(lambda x: ordered(x, ranks.value)[:rule.prefix(len(x))].view(np.int64), pa.list_(pa.int64())),
+            each(lambda x: parity(x).tobytes(), pa.binary()), each(lambda x: sketch(x).tobytes(), pa.binary()),
+        ], names=["doc_id", "text_hash", "n_shingles", "digest", "prefix", "bits", "sketch"])
 
 
 def _plain(docs: DataFrame) -> DataFrame:
@@ -122,14 +135,14 @@ def _plain(docs: DataFrame) -> DataFrame:
 
 
 def sign(docs: DataFrame, rule: Rule) -> DataFrame:
-    """doc_id, text_hash, n_shingles and, unless there are none, digest of the set, prefix in global order, parity bits."""
+    """doc_id, text_hash, n_shingles and, unless there are none, digest of the set, prefix in global order, parity bits, sketch."""
     prepare(docs.sparkSession)
     ranks = docs.sparkSession.sparkContext.broadcast(cell_ranks(docs, rule))  # 8 bytes a cell
 
     def run(batches):
-        return trimmed(_signed(batches, ranks, rule), _HASHES.clear)
+        return trimmed(_signed(batches, ranks, rule))
 
-    return _plain(docs).mapInArrow(run, "doc_id long, text_hash long, n_shingles long, digest string, prefix array<long>, bits binary")
+    return _plain(docs).mapInArrow(run, "doc_id long, text_hash long, n_shingles long, digest string, prefix array<long>, bits binary, sketch binary")
 
 
 # --- candidates from the index ---------------------------------------------------------
@@ -219,16 +232,34 @@ def _candidates(batches: Iterable[pa.RecordBatch], rule: Rule) -> Iterator[pa.Re
     held: list[np.ndarray] = []
     for a, b in links():
         if len(a):
-            held.append(np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0))
-        if sum(map(len, held)) > 100_000:
-            yield _edge_batch(held)
-            held = []
-    yield _edge_batch(held)
-
-
-def _edge_batch(held: list[np.ndarray]) -> pa.RecordBatch:
-    both = np.unique(np.concatenate([np.empty((0, 2), np.int64), *held]), axis=0)
-    return pa.RecordBatch.from_arrays([pa.array(both[:, 0], pa.int64()), pa.array(both[:, 1], pa.int64())], names=["a", "b"])
+            held.append(np.stack([a, b], axis=1))
+        if sum(map(len, held)) > MOST_LINKS:
+            held = [_stars(held)]
+            if len(held[0]) > MOST_LINKS // 2:
+                yield _edge_batch(held[0])
+                held = []
+    yield _edge_batch(_stars(held))
+
+
+def _stars(held: list[np.ndarray]) -> np.ndarray:
+    """Links of every node to the smallest one that it is connected with: as few as there are nodes, however many
+    lists have led to them."""
+    ends = np.concatenate([np.empty((0, 2), np.int64), *held])
+    nodes, at = np.unique(ends, return_inverse=True)
+    at = at.reshape(-1, 2)
+    label, before = np.arange(len(nodes)), None
+    while before is None or (label != before).any():
+        before = label.copy()
+        least = np.minimum(label[at[:, 0]], label[at[:, 1]])
+        np.minimum.at(label, at[:, 0], least)
+        np.minimum.at(label, at[:, 1], least)
+        label = label[label]
+    other = np.flatnonzero(label != np.arange(len(nodes)))
+    return np.stack([nodes[label[other]], nodes[other]], axis=1)
+
+
+def _edge_batch(ends: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(ends[:, 0], pa.int64()), pa.array(ends[:, 1], pa.int64())], names=["a", "b"])
 
 
 def _at_runs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,6 +314,53 @@ def candidates(classes: DataFrame, rule: Rule) -> DataFrame:
     return _in_runs(runs, "run").mapInArrow(lambda batches: trimmed(_candidates(batches, rule)), "a long, b long")
 
 
+# --- clusters drawn tighter -----------------------------------------------------------------
+
+def _alike(nodes: np.ndarray, sizes: np.ndarray, sketches: list[np.ndarray], side: np.ndarray, rule: Rule) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Links that connect the nodes whose sketches leave a link possible.  Sets that can be linked differ by less than
+    2 in size, so their sketches by one halving at most: pairs are compared with the cells of the coarser one."""
+    own = np.fromiter(map(len, sketches), np.int64, len(sketches))
+    level, place = {}, {}  # cells -> members, their histograms; -> place of a member
+    for cells in np.unique(own):
+        members = np.flatnonzero((own == cells) | (own == 2 * cells))
+        level[cells] = members, np.stack([s if len(s) == cells else s.reshape(-1, 2).sum(axis=1, dtype=np.uint16) for s in map(sketches.__getitem__, members)]).astype(np.int16)
+        place[cells] = np.full(len(nodes), -1)
+        place[cells][members] = np.arange(len(members))
+    left, across = np.ones(len(nodes), bool), side[0] >= 0
+    for seed in range(len(nodes)):
+        frontier = [seed] if left[seed] else []
+        left[seed] = False
+        while frontier:
+            i = frontier.pop()
+            for cells in (own[i], own[i] // 2):
+                if cells not in level:
+                    continue
+                members, rows = level[cells]
+                at = np.flatnonzero(left[members] & ((own[members] == cells) | (own[i] == cells)))
+                j = members[at]
+                fit = rule.percent * np.maximum(sizes[i], sizes[j]) <= 100 * np.minimum(sizes[i], sizes[j])
+                at, j = (x[fit & (side[j] != side[i])] if across else x[fit] for x in (at, j))
+                if not len(j):
+                    continue
+                most = sizes[i] + sizes[j] - 2 * rule.overlap(sizes[i], sizes[j])
+                j = j[np.abs(rows[at] - rows[place[cells][i]]).sum(axis=1, dtype=np.int64) <= most]
+                if len(j):
+                    left[j] = False
+                    frontier += j.tolist()
+                    yield np.full(len(j), nodes[i]), nodes[j]
+
+
+def _refine(batches: Iterable[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
+    """Rows (cluster, node, side, size, sketch) sorted by cluster -> links (a, b) that connect what can still be linked."""
+    for group in _groups(batches):
+        nodes, rows = np.unique(group.column(1).to_numpy(), return_index=True)
+        sizes, side = group.column(3).to_numpy()[rows], group.column(2).to_numpy()[rows]
+        sketches = [np.frombuffer(group.column(4)[int(i)].as_py(), np.uint8) for i in rows]
+        held = [np.stack([a, b], axis=1) for a, b in _alike(nodes, sizes, sketches, side, rule)]
+        if held:
+            yield _edge_batch(_stars(held))
+
+
 # --- answers on full sets -----------------------------------------------------------------
 
 class _Index:
@@ -345,7 +423,7 @@ def _answers(batches: Iterable[pa.RecordBatch], rule: Rule) -> Iterator[pa.Recor
             continue
         side, weight = group.column(2).to_numpy()[rows], group.column(3).to_numpy()[rows]
         texts = group.column(4).cast(pa.binary())
-        sets = [shingles(texts[int(i)].as_py(), rule.shingle) for i in rows]
+        sets = shingle_sets([texts[int(i)].as_py() for i in rows], rule.shingle)
         sizes = np.fromiter(map(len, sets), np.int64, len(sets))
         across = side[0] >= 0
         label, links = np.arange(len(nodes)), np.zeros(len(nodes), np.int64)
@@ -370,18 +448,26 @@ def join(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     signed = written(sign(docs, rule))
     known = signed.filter("n_shingles > 0 and doc_id is not null")
     members = known.select("doc_id", "digest").distinct().groupBy("digest").agg(F.count("*").alias("weight"))
-    any_row = F.min_by(F.struct("n_shingles", "prefix", "bits", "text_hash"), "doc_id")
+    any_row = F.min_by(F.struct("n_shingles", "prefix", "bits", "sketch", "text_hash"), "doc_id")
     classes = known.groupBy("digest").agg(F.min("doc_id").alias("first_id"), any_row.alias("row")).join(members, "digest")
     classes = written(classes.select(F.monotonically_increasing_id().alias("node"), "digest", "weight", "first_id", "row.*"))
-    clusters = connected_components(candidates(classes, rule))
+    loose = connected_components(candidates(classes, rule))
+    loose = written(loose.join(classes.select("node", F.col("n_shingles").alias("size"), "sketch"), "node"))
+    weights = written(loose.groupBy("component").agg(F.sum(F.octet_length("sketch")).alias("bytes")))
+    rows = _parts(loose.join(weights, "component"), "component", "node", "bytes", MOST_SKETCH, "cluster").select("cluster", "node", "side", "size", "sketch")
+    clusters = connected_components(_in_runs(rows, "cluster").mapInArrow(lambda batches: trimmed(_refine(batches, rule)), "a long, b long"))
     clusters = written(clusters.join(classes.select("node", "weight", "n_shingles", F.col("first_id").alias("doc_id"), "text_hash"), "node"))
     sizes = written(clusters.groupBy("component").agg(F.sum("n_shingles").alias("size")))
     placed = _parts(clusters.join(sizes, "component"), "component", "node", "size", MOST_SHINGLES, "cluster")
     runs = written(placed.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("cluster", "node", "side", "weight")).alias("runs")))
+    # Most documents are in no cluster; those whose cell holds no member stay out of the shuffle.
+    cell = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(NAMED)).cast("int")
+    named = F.broadcast(runs.select(cell.alias("cell")).distinct())
+    wanted = _plain(docs).withColumn("cell", cell).join(named, "cell", "left_semi").drop("cell")
     # Rows equal in id and text are one; the join has put them side by side.
-    texts = _plain(docs).join(runs, ["doc_id", "text_hash"]).groupBy("doc_id", "text_hash").agg(F.first("text").alias("text"), F.first("runs").alias("runs"))
+    texts = wanted.join(runs, ["doc_id", "text_hash"]).groupBy("doc_id", "text_hash").agg(F.first("text").alias("text"), F.first("runs").alias("runs"))
     placed = texts.select(F.explode("runs").alias("run"), "text").select("run.*", "text")
-    found = written(_in_runs(placed, "cluster").mapInArrow(lambda batches: trimmed(_answers(batches, rule), _HASHES.clear), "a long, b long, links long"))
+    found = written(_in_runs(placed, "cluster").mapInArrow(lambda batches: trimmed(_answers(batches, rule)), "a long, b long, links long"))
     joined = connected_components(found.select("a", "b"))
     links = found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     ids = classes.select("node", "digest", "first_id", "weight").join(joined, "node", "left").join(links, "node", "left")

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from quern.llm import filter_audit, jaccard_join, whitening
-from quern.llm.near_dedup import shingles
+from quern.llm import shingle_sets as hashed
 from tests.llm import brute
 from tests.llm.conftest import ODD
 
@@ -265,7 +265,8 @@ def test_bounds_lose_no_link():
         other = list(words)
         for _ in range(rng.randrange(3)):
             other[rng.randrange(len(other))] = "zz"
-        a, b = (jaccard_join.ordered(shingles(" ".join(w).encode(), 5), ranks) for w in (words, other))
+        sets = hashed.shingle_sets([" ".join(w).encode() for w in (words, other)], 5)
+        a, b = (jaccard_join.ordered(x, ranks) for x in sets)
         shared = np.intersect1d(a, b)
         if 100 * len(shared) < 80 * (len(a) + len(b) - len(shared)):
             continue
@@ -276,3 +277,20 @@ def test_bounds_lose_no_link():
         assert jaccard_join.reachable(len(a), at, *(np.array([v]) for v in (len(b), len(b), bt)), rule)[0]
         differ = int(np.bitwise_count(jaccard_join.parity(a) ^ jaccard_join.parity(b)).sum())
         assert differ <= len(a) + len(b) - 2 * rule.overlap(len(a), len(b))
+        nodes, sizes = np.array([7, 9]), np.array([len(a), len(b)])
+        assert list(jaccard_join._alike(nodes, sizes, list(map(jaccard_join.sketch, sets)), np.array([-1, -1]), rule))
+
+
+def test_shingle_sets_against_words(monkeypatch):
+    """Same sets where texts have the same words, whatever the pieces, blanks and neighbours."""
+    rng = random.Random(12)
+    texts = [" ".join(rng.choice(["a", "B", "cc", "Dd", "é", "x" * 50]) for _ in range(rng.randrange(40))) for _ in range(60)] + ["", " ", "y" * 500, None, "Q w " + "z" * 300]
+    plain = [t if t is None else t.encode() for t in texts]
+    spaced = [t if t is None else ("\t" + t.upper().replace("É", "é").replace(" ", " \n\v")).encode() for t in texts]
+    found = hashed.shingle_sets(plain, 5)
+    assert [len(x) for x in found] == [len(brute.shingle_set(t, 5)) for t in texts]
+    sizes = {len({tuple(x) for x in found}), len({frozenset(brute.shingle_set(t, 5)) for t in texts})}
+    assert len(sizes) == 1
+    monkeypatch.setattr(hashed, "PIECE", 64)
+    for other in (hashed.shingle_sets(spaced, 5), *zip(*[hashed.shingle_sets([t], 5) for t in spaced])):
+        assert all(np.array_equal(a, b) for a, b in zip(found, other))
