@@ -99,7 +99,7 @@ def blank(line: Column) -> Column:
 
 def line_units(text: Column) -> Column:
     """Every unit of :func:`dedup_whole` as struct (first, last, key), lines counted from 1."""
-    unit = lambda first, last, key: F.struct(first.alias("first"), last.alias("last"), F.md5(key.cast("binary")).alias("key"))
+    unit = lambda first, last, key: F.struct(first.alias("first"), last.alias("last"), F.unhex(F.md5(key.cast("binary"))).alias("key"))
 
     def units(ls: Column, filled: Column) -> Column:
         most = F.greatest(F.size(filled) - 1, F.lit(0))
@@ -143,16 +143,27 @@ def shingles(text: Column, size: int) -> Column:
         F.sequence(F.lit(0), F.greatest(F.size(ws) - size, F.lit(0))), lambda i: F.xxhash64(*[F.get(ws, i + k) for k in range(size)]))))
 
 
+#: Least share of the units, in percent, that a document and the one that keeps its units have in common before their
+#: sets are looked at; cells that name the documents whose sets are needed: a bound on that broadcast, whatever the data.
+LEAST_COMMON, NAMED = 20, 1 << 18
+
+
 def near_copies(docs: DataFrame, units: DataFrame, size: int, percent: int) -> DataFrame:
     """id and hash of the documents whose shingles resemble, by ``percent`` or more, those of a document of smaller
-    id that keeps a unit of theirs.  A unit has one such place, so pairs are no more than units; the sizes of the
-    sets are held against each other before any set moves."""
+    id that keeps units of theirs, ``LEAST_COMMON`` percent of both documents' or more.  A unit has one such place, so pairs are
+    no more than units; they are counted, and the sizes of the sets held against each other, before any set moves."""
+    n_units = written(units.groupBy("id", "hash").agg(F.count("*").alias("units")))
     pairs = later_units(units).filter("id is not null and kept.id is not null and id <> kept.id") \
-        .select("id", "hash", F.col("kept.id").alias("of"), F.col("kept.hash").alias("of_hash")).distinct()
+        .groupBy("id", "hash", F.col("kept.id").alias("of"), F.col("kept.hash").alias("of_hash")).agg(F.count("*").alias("common"))
     pairs = written(pairs)
-    differ = pairs.filter("hash <> of_hash")
+    of_units = n_units.select(F.col("id").alias("of"), F.col("hash").alias("of_hash"), F.col("units").alias("of_units"))
+    differ = pairs.filter("hash <> of_hash").join(n_units, ["id", "hash"]).join(of_units, ["of", "of_hash"])
+    differ = written(differ.filter(100 * F.col("common") >= LEAST_COMMON * (F.col("units") + F.col("of_units") - F.col("common"))).select("id", "hash", "of", "of_hash"))
     named = differ.select("id", "hash").union(differ.select("of", "of_hash")).distinct()
-    sets = _of_document(docs, named, "inner").select(F.col("doc_id").alias("id"), F.col(HASH).alias("hash"), shingles(F.col("text"), size).alias("set")).dropDuplicates(["id", "hash"])
+    cell = lambda *key: F.pmod(F.xxhash64(*key), F.lit(NAMED)).cast("int")
+    cells = F.broadcast(named.select(cell("id", "hash").alias("cell")).distinct())
+    some = docs.join(cells, cell(docs["doc_id"], docs[HASH]) == cells["cell"], "left_semi")
+    sets = _of_document(some, named, "inner").select(F.col("doc_id").alias("id"), F.col(HASH).alias("hash"), shingles(F.col("text"), size).alias("set")).dropDuplicates(["id", "hash"])
     sets = written(sets.select("*", F.size("set").alias("n")))
     of = sets.select(F.col("id").alias("of"), F.col("hash").alias("of_hash"), F.col("set").alias("of_set"), F.col("n").alias("of_n"))
     alike = differ.join(of.drop("of_set"), ["of", "of_hash"]).join(sets.drop("set"), ["id", "hash"]) \
@@ -166,23 +177,30 @@ def dedup_whole(df: DataFrame, counts: tuple[str, str] = ("n_lines", "n_removed"
     """As :func:`dedup`, with every repeat of two lines or more taken out.
 
     With ``near`` (words of a shingle, percent) the :func:`near_copies` go first, as whole documents: without the lines they share
-    with the first copy they couldn't be told as its copies, and lines that only they have must not count as kept."""
+    with the first copy they couldn't be told as its copies, and lines that only they have must not count as kept.
+    A text moves once: to its document's removed lines, or the mark that all of it goes."""
     others = [c for c in df.columns if c.lower() not in counts]
-    docs = df.select(*[df[quoted(c)] for c in others], F.xxhash64(df["text"]).alias(HASH))
+    docs = df.select(F.struct(*[df[quoted(c)] for c in others]).alias("row"), df["doc_id"], df["text"], F.xxhash64(df["text"]).alias(HASH))
     units = placed_units(docs.select("doc_id", "text", HASH))
+    gone = near_copies(docs.select("doc_id", "text", HASH), units, *near) if near else None
     if near:
-        gone = near_copies(docs.select("doc_id", "text", HASH), units, *near)
-        docs = docs.join(gone, (docs["doc_id"] == gone["id"]) & (docs[HASH] == gone["hash"]), "left_anti")
         units = units.join(gone, (units["id"] == gone["id"]) & (units["hash"] == gone["hash"]), "left_anti")
-    removed = removed_lines(units).withColumnRenamed("removed", "_removed")
-    kept = lambda ls: F.transform(F.array_except(F.sequence(F.lit(1), F.size(ls)), F.col("_removed")), lambda i: F.get(ls, i - 1))
+    found = removed_lines(units)
+    if near:
+        found = found.withColumn("whole", F.lit(False)).unionByName(gone.select("id", "hash", F.array().cast("array<int>").alias("removed"), F.lit(True).alias("whole")))
+    found = written(found)
+    joined = _of_document(docs.drop("text"), found, "left")
+    if near:
+        joined = joined.filter(~F.coalesce("whole", F.lit(False)))
+    text = F.col("row")["text"]
+    kept = lambda ls: F.transform(F.array_except(F.sequence(F.lit(1), F.size(ls)), F.col("removed")), lambda i: F.get(ls, i - 1))
     filled = lambda rest: F.when(F.exists(rest, lambda x: ~blank(x)), rest).otherwise(F.array().cast("array<string>"))
-    rest = F.when(F.col("_removed").isNotNull(), let(lines_of(F.col("text")), lambda ls: let(kept(ls), filled)))
-    joined = _of_document(docs, removed, "left").withColumn("_rest", rest)
-    n = F.coalesce(F.size(lines_of(F.col("text"))), F.lit(0)).cast("long")
-    text = F.when(F.col("_rest").isNull(), F.col("text")).otherwise(F.array_join("_rest", "\n"))
-    return joined.select(*[text.alias(c) if c == "text" else F.col(quoted(c)) for c in others],
-                         n.alias(counts[0]), F.when(F.col("_rest").isNull(), F.lit(0).cast("long")).otherwise(n - F.size("_rest")).alias(counts[1]))
+    rest = F.when(F.col("removed").isNotNull(), let(lines_of(text), lambda ls: let(kept(ls), filled)))
+    joined = joined.select("row", rest.alias("rest"))
+    n = F.coalesce(F.size(lines_of(text)), F.lit(0)).cast("long")
+    left = F.when(F.col("rest").isNull(), text).otherwise(F.array_join("rest", "\n"))
+    return joined.select(*[(left if c == "text" else F.col("row")[c]).alias(c) for c in others], n.alias(counts[0]),
+                         F.when(F.col("rest").isNull(), F.lit(0).cast("long")).otherwise(n - F.size("rest")).alias(counts[1]))
 
 
 def dedup(df: DataFrame, counts: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
