@@ -79,6 +79,16 @@ def test_stages_with_odd_and_empty_tables(spark, odd, empty):
     assert near_dedup.Rule() == near_dedup.Rule(5, 80)
 
 
+def test_columns_that_bear_the_stages_names_stay(spark):
+    names = ("_hash", "text_hash", "_text_hash", "place", "score", "n_lines", "n_removed", "removed", "id", "hash", "row", "rest", "whole", "cell")
+    rows = [(i, f"line one of {i // 2}\nline two of {i // 2}\nand a third of {i}", "en", "s", 1, *range(70, 70 + len(names))) for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} int" for n in names))
+    for name, stage in cp.STAGES[:-1]:
+        out = stage(spark, docs, SF10)
+        assert out.columns == docs.columns
+        assert {tuple(r[n] for n in names) for r in out.collect()} <= {tuple(range(70, 70 + len(names)))}, name
+
+
 def test_repeated_rows_leave_one(spark, odd):
     out = cp.minhash_near_dedup(spark, odd, SF10).filter(F.col("doc_id") == 3).collect()
     assert len(out) == len({r.text for r in out})
