@@ -387,6 +387,68 @@ def joi_11_regular_streaming_join(spark, sf):
     return run_to_table(j.select("event_id", "v_id"), "append")
 
 
+# Purchases and views as changelogs that arrive out of order: every event is added at a scattered arrival number
+# below 1000, and every third is taken back at one from 1000 on.
+_SCATTER = "(event_id * 7919) % 1000"
+_LEFT = "(SELECT user_id, event_id AS p_id, value AS p_value FROM events WHERE event_type = 'purchase' AND event_id % 3 <> 0)"
+_RIGHT = "(SELECT user_id, event_id AS v_id, value AS v_value FROM events WHERE event_type = 'view' AND event_id % 3 <> 0)"
+_JOIN_ON = "l.user_id = r.user_id AND r.v_value >= l.p_value"
+
+
+def _changes(spark, sf, kind, names):
+    ev = t(spark, sf, "events").filter(F.col("event_type") == kind)
+    row = [F.col("user_id"), *[F.col(c).alias(n) for c, n in names.items()]]
+    added = ev.select(*row, F.lit("+").alias("op"), F.expr(_SCATTER).alias("arrival"))
+    taken = ev.filter("event_id % 3 = 0").select(*row, F.lit("-").alias("op"), (F.expr(_SCATTER) + 1000).alias("arrival"))
+    return added.unionByName(taken)
+
+
+def _regular_join(spark, sf, how):
+    from quern.streaming.arrival import arrive
+    from quern.streaming.joins import folded, regular_join
+    ensure_stateful_conf(spark)
+    left = arrive(_changes(spark, sf, "purchase", {"event_id": "p_id", "value": "p_value"}), "arrival", [500, 1000, 1500])
+    right = arrive(_changes(spark, sf, "view", {"event_id": "v_id", "value": "v_value"}), "arrival", [300, 1200])
+    log = regular_join(left, right, ["user_id"], how, on=lambda p, v: p[1] is not None and v[1] is not None and v[1] >= p[1])
+    return folded(run_to_table(log, "append")).drop("p_value", "v_value")
+
+
+def _regular_join_sql(how):
+    if how in ("semi", "anti"):
+        return f"SELECT l.user_id, l.p_id FROM {_LEFT} l WHERE {'NOT ' * (how == 'anti')}EXISTS (SELECT 1 FROM {_RIGHT} r WHERE {_JOIN_ON})"
+    return f"SELECT coalesce(l.user_id, r.user_id) AS user_id, p_id, v_id FROM {_LEFT} l {how.upper()} JOIN {_RIGHT} r ON {_JOIN_ON}"
+
+
+@register("joi_11_regular_join_inner", _regular_join_sql("inner"))
+def joi_11_regular_join_inner(spark, sf):
+    return _regular_join(spark, sf, "inner")
+
+
+@register("joi_11_regular_join_left", _regular_join_sql("left"))
+def joi_11_regular_join_left(spark, sf):
+    return _regular_join(spark, sf, "left")
+
+
+@register("joi_11_regular_join_right", _regular_join_sql("right"))
+def joi_11_regular_join_right(spark, sf):
+    return _regular_join(spark, sf, "right")
+
+
+@register("joi_11_regular_join_full", _regular_join_sql("full"))
+def joi_11_regular_join_full(spark, sf):
+    return _regular_join(spark, sf, "full")
+
+
+@register("joi_11_regular_join_semi", _regular_join_sql("semi"))
+def joi_11_regular_join_semi(spark, sf):
+    return _regular_join(spark, sf, "semi")
+
+
+@register("joi_11_regular_join_anti", _regular_join_sql("anti"))
+def joi_11_regular_join_anti(spark, sf):
+    return _regular_join(spark, sf, "anti")
+
+
 @register("joi_12_time_windowed_join_stream")
 def joi_12_time_windowed_join_stream(spark, sf):
     # Left outer time-windowed join on two watermarked streams.  Unmatched
