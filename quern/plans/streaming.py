@@ -25,6 +25,8 @@ from quern.streaming.runner import drop_flush, final_by_key, run_to_table
 from quern.streaming.watermarks import bounded_out_of_orderness
 from quern.session import ensure_stateful_conf, scratch_path
 
+_DISORDER = "ts - to_microseconds(CAST(round(value * 60000000) AS BIGINT))"
+
 #: Rows of a micro-batch, whatever the table's size.
 BATCH_ROWS = 5_000
 
@@ -483,6 +485,68 @@ def str_44_queryable_state(spark, sf):
     return vals.toDF("user_id", "cnt")
 
 
+# --- firings of event-time windows on rows out of order -----------------------------------------
+
+# Event time lies `value` minutes behind the order of arrival (event_id), which comes in eight micro-batches.
+# One-hour windows a user; watermark one hour behind the largest event time of the micro-batches before.
+_H = 3_600_000
+
+
+def _firings_sql(lateness, early):
+    early_rows = "" if not early else f"""
+UNION ALL
+SELECT user_id AS key, make_timestamp(start * 1000) AS window_start, 'early' AS firing, make_timestamp((start + j * {early}) * 1000) AS at, cnt, round(total, 2) AS total
+FROM (SELECT *, coalesce(lag(cnt) OVER (PARTITION BY user_id, start ORDER BY batch), 0) AS told FROM (
+  SELECT r.user_id, r.start, m.batch, (m.mark - r.start) // {early} AS j, count(*) AS cnt, sum(r.value) AS total
+  FROM r JOIN m ON r.batch < m.batch WHERE m.mark < r.fin AND m.mark >= r.start + {early} AND r.ontime
+    AND (m.prev IS NULL OR m.prev < r.start OR (m.mark - r.start) // {early} > (m.prev - r.start) // {early}) GROUP BY ALL))
+WHERE cnt > told"""
+    return f"""
+WITH e AS (SELECT user_id, event_id, value, epoch_us({_DISORDER}) // 1000 AS ms,
+                  least(7, event_id * 8 // ((SELECT max(event_id) FROM events) + 1)) AS batch FROM events),
+s AS (SELECT batch, max(ms) AS top FROM e GROUP BY batch),
+m AS (SELECT batch, mark, lag(mark) OVER (ORDER BY batch) AS prev FROM (SELECT b AS batch, (SELECT max(top) FROM s WHERE s.batch < b) - {_H} AS mark FROM range(0, 9) AS t(b))),
+k AS (SELECT e.*, ms // {_H} * {_H} AS start, ms // {_H} * {_H} + {_H} - 1 AS fin, coalesce(m.mark, 0) AS mark FROM e JOIN m USING (batch)),
+r AS (SELECT *, mark < fin AS ontime FROM k WHERE mark < fin + {lateness}),
+c AS (SELECT *, count(*) OVER w AS cnt, sum(value) OVER w AS total FROM r WINDOW w AS (PARTITION BY user_id, start ORDER BY NOT ontime, event_id ROWS UNBOUNDED PRECEDING))
+SELECT user_id AS key, make_timestamp(start * 1000) AS window_start, 'late' AS firing, make_timestamp(ms * 1000) AS at, cnt, round(total, 2) AS total FROM c WHERE NOT ontime
+UNION ALL
+SELECT user_id, make_timestamp(start * 1000), 'on time', make_timestamp(fin * 1000), count(*), round(sum(value), 2) FROM r WHERE ontime GROUP BY user_id, start, fin{early_rows}
+"""
+
+
+def _firings(spark, sf, lateness, early=None):
+    from quern.streaming.arrival import arrive
+    from quern.streaming.windows import timed_windows
+    ensure_stateful_conf(spark)
+    ev = t(spark, sf, "events").select("user_id", "event_id", "value", F.expr(
+        "ts - make_dt_interval(0, 0, 0, CAST(round(value * 60000000) AS DECIMAL(18, 0)) / 1000000)").alias("ets"), F.lit(False).alias("_eoi"))
+    n = ev.agg(F.max("event_id")).first()[0] + 1
+    batch = F.least(F.lit(7), F.floor(F.col("event_id") * 8 / F.lit(n)))
+    end = spark.createDataFrame([(None, None, None, None, True)], ev.schema).withColumns({"ets": F.lit("2100-01-01").cast("timestamp_ntz"), "batch": F.lit(9).cast("long")})
+    rows = arrive(ev.withColumn("batch", batch.cast("long")), "batch", list(range(1, 8)), closing=end)
+    out = timed_windows(rows, "user_id", "ets", "value", "event_id", size_ms=_H, bound_ms=_H, lateness_ms=lateness, early_ms=early,
+                        drop=lambda d: drop_flush(d, "ets"))
+    return _ts_ntz(run_to_table(out, "append"), "window_start", "at")
+
+
+@register("str_21_late_firings", _firings_sql(12 * _H, None))
+def str_21_late_firings(spark, sf):
+    # allowed lateness of twelve hours: each late row fires its window again
+    return _firings(spark, sf, 12 * _H)
+
+
+@register("str_26_interval_firings", _firings_sql(0, _H // 4))
+def str_26_interval_firings(spark, sf):
+    # a firing at the last quarter of an hour that the watermark has passed, if rows came since the one before
+    return _firings(spark, sf, 0, _H // 4)
+
+
+@register("str_30_early_and_late_firings", _firings_sql(6 * _H, _H // 2))
+def str_30_early_and_late_firings(spark, sf):
+    return _firings(spark, sf, 6 * _H, _H // 2)
+
+
 # --- MATCH_RECOGNIZE -------------------------------------------------------------
 
 def _views_then_purchase():
@@ -579,7 +643,6 @@ def str_43_state_machine(spark, sf):
     return run_to_table(out, "append")
 
 
-_DISORDER = "ts - to_microseconds(CAST(round(value * 60000000) AS BIGINT))"
 
 
 @register("str_22_late_data_side_output", f"""

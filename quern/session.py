@@ -130,6 +130,6 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
-WORKER_MODULES = ("quern.sources.replay", "quern.streaming.processors", "quern.streaming.joins",
+WORKER_MODULES = ("quern.sources.replay", "quern.streaming.processors", "quern.streaming.joins", "quern.streaming.windows",
                   "quern.operators.match",
                   "quern.streaming.async_io", "quern.functions.udf")
