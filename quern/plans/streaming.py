@@ -515,16 +515,21 @@ SELECT user_id, make_timestamp(start * 1000), 'on time', make_timestamp(fin * 10
 """
 
 
-def _firings(spark, sf, lateness, early=None):
+def _late_events(spark, sf):
+    """The events with their event time ``ets``, as a stream in order of arrival and a far row at the end."""
     from quern.streaming.arrival import arrive
-    from quern.streaming.windows import timed_windows
     ensure_stateful_conf(spark)
     ev = t(spark, sf, "events").select("user_id", "event_id", "value", F.expr(
         "ts - make_dt_interval(0, 0, 0, CAST(round(value * 60000000) AS DECIMAL(18, 0)) / 1000000)").alias("ets"), F.lit(False).alias("_eoi"))
     n = ev.agg(F.max("event_id")).first()[0] + 1
     batch = F.least(F.lit(7), F.floor(F.col("event_id") * 8 / F.lit(n)))
     end = spark.createDataFrame([(None, None, None, None, True)], ev.schema).withColumns({"ets": F.lit("2100-01-01").cast("timestamp_ntz"), "batch": F.lit(9).cast("long")})
-    rows = arrive(ev.withColumn("batch", batch.cast("long")), "batch", list(range(1, 8)), closing=end)
+    return arrive(ev.withColumn("batch", batch.cast("long")), "batch", list(range(1, 8)), closing=end)
+
+
+def _firings(spark, sf, lateness, early=None):
+    from quern.streaming.windows import timed_windows
+    rows = _late_events(spark, sf)
     out = timed_windows(rows, "user_id", "ets", "value", "event_id", size_ms=_H, bound_ms=_H, lateness_ms=lateness, early_ms=early,
                         drop=lambda d: drop_flush(d, "ets"))
     return _ts_ntz(run_to_table(out, "append"), "window_start", "at")
@@ -547,6 +552,22 @@ def str_30_early_and_late_firings(spark, sf):
     return _firings(spark, sf, 6 * _H, _H // 2)
 
 
+@register("str_31_merging_sessions", f"""
+WITH e AS (SELECT user_id, epoch_us({_DISORDER}) // 1000 AS ms FROM events),
+f AS (SELECT *, CASE WHEN ms - lag(ms) OVER (PARTITION BY user_id ORDER BY ms) <= {_H} THEN 0 ELSE 1 END AS opens FROM e),
+g AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ms ROWS UNBOUNDED PRECEDING) AS sid FROM f)
+SELECT user_id AS key, make_timestamp(min(ms) * 1000) AS session_start, make_timestamp((max(ms) + {_H}) * 1000) AS session_end, count(*) AS cnt
+FROM g GROUP BY user_id, sid
+""")
+def str_31_merging_sessions(spark, sf):
+    # Rows come up to `value` minutes behind their time, within the watermark's 24 hours: a late row opens a session
+    # before others, widens one, or makes two one; the sessions are those of the ordered table.
+    late = bounded_out_of_orderness(_late_events(spark, sf), "ets", "25 hours")
+    out = drop_flush(late, "ets").groupBy("user_id").transformWithState(
+        P.InactivityTimeout(_H, "ets", "event_id", held_back_ms=_H), "key long, session_start timestamp, session_end timestamp, cnt long", "Append", "EventTime")
+    return _ts_ntz(run_to_table(out, "append"), "session_start", "session_end")
+
+
 # --- MATCH_RECOGNIZE -------------------------------------------------------------
 
 def _views_then_purchase():

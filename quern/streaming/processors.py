@@ -118,42 +118,52 @@ class CustomTrigger(StatefulProcessor):
 
 
 class InactivityTimeout(StatefulProcessor):
-    """STR-37 / STR-39 keyed process function with event-time timers: a burst
-    of activity ends when no row follows within ``gap_ms``; the timer at
-    last + gap emits (key, start, end = last + gap, count).  Rows that arrive
-    in the same micro-batch across a gap close the burst directly."""
+    """STR-37 / STR-39 keyed process function with event-time timers, and STR-31 merging windows: a burst
+    of activity ends when no row follows within ``gap_ms``; the timer at last + gap emits (key, start, end = last + gap, count).
 
-    def __init__(self, gap_ms: int, ts: str, tie: str | None = None):
-        self.gap, self.ts, self.tie = gap_ms, ts, tie
+    A key's bursts are an interval set in map state (start -> last, count).  A row, in whatever order it comes, joins
+    every burst that it touches, so one that lies between two makes them one, their counts added; a burst leaves when the
+    watermark reaches its end, not before.  ``held_back_ms`` says by how much Spark's watermark lies behind the one meant:
+    with a gap or more, rows that still touch an open burst's end aren't dropped by Spark."""
+
+    def __init__(self, gap_ms: int, ts: str, tie: str | None = None, held_back_ms: int = 0):
+        self.gap, self.ts, self.tie, self.held_back = gap_ms, ts, tie, held_back_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.st = handle.getValueState("burst", "start long, last long, cnt long")
+        self.bursts = handle.getMapState("bursts", "start long", "last long, cnt long")
+
+    def _due(self, key, held: dict, mark: int) -> Iterator[Row]:
+        for start in sorted(held):
+            last, cnt = held[start]
+            if last + self.gap <= mark:
+                del held[start]
+                self.bursts.removeKey((start,))
+                yield Row(key=key[0], session_start=from_ms(start), session_end=from_ms(last + self.gap), cnt=cnt)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        start, last, cnt = self.st.get() if self.st.exists() else (None, None, 0)
-        old_timer = last + self.gap if last is not None else None
+        mark = timerValues.getCurrentWatermarkInMs() + self.held_back
+        held = {k[0]: tuple(v) for k, v in self.bursts.iterator()}
+        yield from self._due(key, held, mark)
+        stored, changed = set(held), set()
         for r in _sorted(rows, self.ts, self.tie):
             t = to_ms(r[self.ts])
-            if last is not None and t - last > self.gap:
-                yield Row(key=key[0], session_start=from_ms(start), session_end=from_ms(last + self.gap), cnt=cnt)
-                start, cnt = t, 0
-            # a row that arrives late within the gap moves neither the end nor the timer back
-            start = t if start is None else min(start, t)
-            last, cnt = t if last is None else max(last, t), cnt + 1
-        if last is None:
-            return
-        if old_timer is not None and old_timer != last + self.gap:
-            self.handle.deleteTimer(old_timer)
-        self.handle.registerTimer(last + self.gap)
-        self.st.update((start, last, cnt))
+            touched = [s for s, (last, _) in held.items() if s <= t + self.gap and t <= last + self.gap]
+            if not touched and t + self.gap < mark:
+                continue  # too late to open a burst
+            joined = [(s, *held.pop(s)) for s in touched]
+            start = min([t, *touched])
+            held[start] = max([t, *(last for _, last, _ in joined)]), 1 + sum(n for _, _, n in joined)
+            changed.add(start)
+        for start in stored - set(held):
+            self.bursts.removeKey((start,))
+        for start in changed & set(held):
+            self.bursts.updateValue((start,), held[start])
+            self.handle.registerTimer(held[start][0] + self.gap - self.held_back)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.st.exists():
-            start, last, cnt = self.st.get()
-            if last + self.gap == expiredTimerInfo.getExpiryTimeInMs():
-                yield Row(key=key[0], session_start=from_ms(start), session_end=from_ms(last + self.gap), cnt=cnt)
-                self.st.clear()
+        mark = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs()) + self.held_back
+        yield from self._due(key, {k[0]: tuple(v) for k, v in self.bursts.iterator()}, mark)
 
     def close(self) -> None:
         pass
