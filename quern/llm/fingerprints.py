@@ -120,7 +120,8 @@ def compare_with_next(df: DataFrame, slices: int | None = None) -> DataFrame:
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sliced = _sliced(docs, slices)
     # One row a slice: where the first row of each slice goes as the next document of the slice before.
-    firsts = sliced.groupBy("part").agg(F.min("doc_id").alias("first"))
+    # The least struct: rows of a null id come first, and a minimum of ids would pass over them.
+    firsts = sliced.groupBy("part").agg(F.min(F.struct("doc_id")).alias("row")).select("part", F.col("row.doc_id").alias("first"))
     order = sorted(firsts.collect(), key=lambda r: r["part"])
     halo = [(r["part"], r["first"], order[i - 1]["part"]) for i, r in enumerate(order)]
     firsts = spark.createDataFrame(halo, "part int, first long, before int")

@@ -76,12 +76,13 @@ _PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 
 def expression_tokens(text: str) -> list[str]:
     """Identifiers, operators and brackets at the start of the first line of ``text``."""
-    line, out, at = text.split("\n", 1)[0], [], 0
+    line, out, at, depth = text.split("\n", 1)[0], [], 0, 0
     while m := _TOKEN.match(line, at):
         token, at = m[1], m.end()
         if token not in "()" and token.lower() not in _PRECEDENCE and out and _is_operand(out[-1]):
             break  # prose after the expression
-        if token == ")" and out.count(")") >= out.count("("):
+        depth += (token == "(") - (token == ")")
+        if depth < 0:
             break  # a bracket of the prose around it
         out.append(token)
     return out
@@ -144,7 +145,9 @@ def evaluate(postfix: list[str]) -> tuple[set[str], float]:
         if token == "with":
             stack.append((left, max(a, EXCEPTION_GRADE)))
         else:
-            stack.append((left | right, min(a, b) if token == "and" else max(a, b)))
+            small, large = sorted((left, right), key=len)  # each set is in one entry alone, so it may grow
+            large |= small
+            stack.append((large, min(a, b) if token == "and" else max(a, b)))
     return stack[0]
 
 

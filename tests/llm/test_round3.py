@@ -1,14 +1,17 @@
 """Jaccard join, embedding whitening and filter interaction audit against plain versions."""
 
+import hashlib
 import itertools
 import math
 import random
 import re
 
+import time
+
 import numpy as np
 import pytest
 
-from quern.llm import filter_audit, jaccard_join, whitening
+from quern.llm import filter_audit, fingerprints, jaccard_join, license_scan, whitening
 from quern.llm import shingle_sets as hashed
 from tests.llm import brute
 from tests.llm.conftest import ODD
@@ -294,3 +297,24 @@ def test_shingle_sets_against_words(monkeypatch):
     monkeypatch.setattr(hashed, "PIECE", 64)
     for other in (hashed.shingle_sets(spaced, 5), *zip(*[hashed.shingle_sets([t], 5) for t in spaced])):
         assert all(np.array_equal(a, b) for a, b in zip(found, other))
+
+
+# --- earlier operators ------------------------------------------------------------------------
+
+def test_long_license_expressions_take_linear_time():
+    began = time.process_time()
+    nested = license_scan.expression_tokens("(" * 50_000 + "MIT" + ")" * 50_001)
+    assert len(nested) == 100_001 and license_scan.evaluate(license_scan.to_postfix(nested)) == ({"mit"}, 1.0)
+    for line in (" or ".join(f"L{i}" for i in range(50_000)), " or (".join(f"L{i}" for i in range(50_000)) + ")" * 49_999):
+        names, _ = license_scan.evaluate(license_scan.to_postfix(license_scan.expression_tokens(line)))
+        assert len(names) == 50_000
+    assert time.process_time() - began < 10
+
+
+@pytest.mark.parametrize("slices", [1, 4])
+def test_rows_of_a_null_id_come_first(spark, slices):
+    rows = [(None, "nothing but the null row's own text here"), (1, "alpha beta gamma delta"), (2, "some other words entirely"), (3, "the last document of all of them")]
+    out = {r.doc_id: r for r in fingerprints.compare_with_next(spark.createDataFrame(rows, "doc_id long, text string"), slices).collect()}
+    for (i, text), (_, after) in zip(rows, [*rows[1:], rows[0]]):
+        n = len(text) // 4
+        assert out[i].edited_sha256 == hashlib.sha256((text[:len(text) - n] + after[:n]).encode()).hexdigest()
