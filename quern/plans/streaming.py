@@ -1,10 +1,9 @@
 """STR-*, AGG-03, JOI-11, OVR-05, SET-02/03, SRC-11/15: streaming runs.
 
-Every query replays a given table as an arriving stream (four micro-batches
-plus an end-of-input batch, whatever the table size) through the real
-Structured Streaming operators, and returns what the stream emitted.  Data
-arrive in event-time order, so each result equals a batch query, which is
-the oracle.
+Every query runs a given table as an arriving stream through the real Structured Streaming operators and returns what
+the stream emitted.  Most replay it in event-time order (micro-batches of ``BATCH_ROWS`` rows and an end of input), so each result
+equals a batch query, which is the oracle.  The regular joins, the firings of windows and the merging sessions get their rows out of order,
+and rows taken back, from :mod:`quern.streaming.arrival`; their SQL works out the watermark of every slice.
 """
 
 from __future__ import annotations
