@@ -1,33 +1,35 @@
 """MATCH_RECOGNIZE (STR-50..52): row pattern matching per key.
 
-Contract: ``match_recognize(df, partition_by, order_by, pattern, define,
-measures, after, within_ms)``.
-
-* ``pattern``: list of ``Var(name, min, max, greedy)`` matched with strict
-  contiguity (``A B+ C?``); ``max=None`` is unbounded.  Reluctant is allowed
-  except on ``?`` (reference rule).  Alternation, PERMUTE and groups are not
-  supported (reference limits) and are rejected.
-* ``define``: variable -> boolean Column over the row (use :func:`prev` /
-  :func:`next_` for PREV / NEXT navigation); an undefined variable matches
-  every row.  The conditions are computed by Spark before matching.
-* ``measures``: name -> ``(fn, var, column)`` with fn in first, last,
-  count, sum, min, max, avg; plus ``match_rowtime`` (time of the last row)
-  and ``classifier`` (variable of the last row).
-* ``after``: ``"PAST LAST ROW"``, ``"TO NEXT ROW"``, ``("TO FIRST", X)``,
-  ``("TO LAST", X)``.
+Contract: ``match_recognize(df, partition_by, order_by, pattern, define, measures, measure_schema, after, within_ms, subset, back)``.
+
+* ``pattern``: list of ``Var(name, min, max, greedy)`` matched with strict contiguity (``A B+ C?``); ``max=None`` is unbounded.  Reluctant is
+  allowed except on ``?``.  The last variable can't be optional, nor greedy of open length: its end couldn't be told.  Alternation,
+  PERMUTE and groups are not supported (reference limits).
+* ``define``: variable -> boolean Column over the row, computed by Spark beforehand, or a function of the :class:`MatchSoFar`, evaluated
+  while the match grows (``LAST(A.price, 1)``, ``SUM(A.price)`` and the like); an undefined variable matches every row.
+* ``subset``: name -> variables, usable wherever a variable's rows are asked for.
+* ``measures``: name -> ``(fn, var, column)`` with fn in first, last (a fourth entry is the offset), count, sum, min, max, avg; plus
+  ``match_rowtime`` (time of the last row) and ``classifier`` (variable of the last row).  ``var`` None means all rows.  Conditions see the
+  match so far (RUNNING), measures the whole match (FINAL).
+* ``after``: ``"PAST LAST ROW"``, ``"TO NEXT ROW"``, ``("TO FIRST", X)``, ``("TO LAST", X)``.
 * ``within_ms``: a match may span at most this much event time.
+* ``back``: the largest offset that a condition gives to ``prev``.
 
-Two executions:
-* fixed-length patterns without quantifiers and skip to next row compile to
-  ``lead`` columns and a filter (:func:`match_fixed_length`): declarative;
-* the general case runs a backtracking matcher per key over rows sorted by
-  (key, time) (:class:`Matcher`), keeping only the rows a pending match can
-  still use.
+Of all matches that start at a row the preferred one counts (greedy variables take as many rows as they can); of the starts, the earliest one.
+
+Executions:
+* fixed-length patterns without quantifiers and skip to next row compile to ``lead`` columns and a filter (:func:`match_fixed_length`);
+* the general case moves all live runs of a key on by one row at a time (:class:`Matcher`): in batch over partitions sorted by (key, order),
+  which keep only the rows that a live run can still use; on a stream a row waits until the watermark has passed it, so rows may
+  come in any order within the watermark's delay.
+
+Rows without a time match nothing.  Rows of a null key are a key like any other.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import pickle
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Row, Window
@@ -58,171 +60,302 @@ def next_(c: str, offset: int = 1, partition_by=None, order_by=None) -> Column:
 
 # --- the matcher ------------------------------------------------------------------
 
-NEED_MORE = object()
-
-
-def _match_at(flags, times, start, pattern, within, final):
-    """Backtracking match of ``pattern`` starting at row ``start``.
-
-    ``flags[i][v]`` says whether row i satisfies variable v.  Returns the
-    list of (var index) per matched row, None for no match, or NEED_MORE when
-    the answer depends on rows not seen yet (only when ``final`` is False).
-    """
-    n = len(flags)
-    t0 = times[start]
-
-    def ok(i, v):
-        if i >= n:
-            return NEED_MORE
-        if within is not None and times[i] - t0 > within:
-            return False
-        return flags[i][v]
-
-    def rec(p, i, used, acc):
-        if p == len(pattern):
-            return acc
-        var = pattern[p]
-        lo, hi = var.min, var.max
-        counts = []
-        # how many consecutive rows var can take from i
-        k, need = 0, False
-        while hi is None or k < hi:
-            r = ok(i + k, p)
-            if r is NEED_MORE:
-                need = True
-                break
-            if not r:
-                break
-            k += 1
-        if k < lo:
-            return NEED_MORE if (need and not final) else None
-        order = range(k, lo - 1, -1) if var.greedy else range(lo, k + 1)
-        for c in order:
-            if var.greedy and c == k and need and not final:
-                return NEED_MORE  # a greedy run still growing: wait
-            res = rec(p + 1, i + c, used, acc + [p] * c)
-            if res is NEED_MORE:
-                return NEED_MORE
-            if res is not None:
-                return res
-        if not var.greedy and need and not final:
-            return NEED_MORE
+
+class MatchSoFar:
+    """A match up to the row ``at``, that row included: what a condition sees of it, taken as mapped to the variable in question.
+
+    Rows of a match are consecutive, so a match is its variables' first places (``bounds``) in the rows that all runs share."""
+
+    __slots__ = ("rows", "base", "members", "bounds", "at", "known")
+
+    def __init__(self, rows, base, members, bounds, at, known):
+        self.rows, self.base, self.members, self.bounds, self.at, self.known = rows, base, members, bounds, at, known
+
+    def _blocks(self, var) -> list[tuple[int, int]]:
+        b, n = self.bounds, len(self.bounds)
+        return [(b[p], b[p + 1] if p + 1 < n else self.at + 1) for p in self.members[var] if p < n]
+
+    @property
+    def row(self) -> dict:
+        return self.rows[self.at - self.base]
+
+    def prev(self, col: str, offset: int = 1):
+        """PREV: the row ``offset`` places before, mapped or not."""
+        i = self.at - offset - self.base
+        return self.rows[i][col] if i >= 0 else None
+
+    def first(self, var, col: str, offset: int = 0):
+        for a, b in self._blocks(var):
+            if offset < b - a:
+                return self.rows[a + offset - self.base][col]
+            offset -= b - a
+        return None
+
+    def last(self, var, col: str, offset: int = 0):
+        for a, b in reversed(self._blocks(var)):
+            if offset < b - a:
+                return self.rows[b - 1 - offset - self.base][col]
+            offset -= b - a
         return None
 
-    return rec(0, start, 0, [])
+    def size(self, var) -> int:
+        return sum(b - a for a, b in self._blocks(var))
+
+    def _folded(self, var, col: str) -> tuple:
+        """(rows folded up to, count, sum, min, max) of the values that are there; goes on from where the run's last call ended."""
+        upto, n, total, low, high = self.known.get((var, col), (0, 0, None, None, None))
+        for a, b in self._blocks(var):
+            for i in range(max(a, upto), b):
+                v = self.rows[i - self.base][col]
+                if v is not None and v == v:
+                    n, total = n + 1, v if total is None else total + v
+                    low, high = v if low is None or v < low else low, v if high is None or v > high else high
+        out = self.known[var, col] = (self.at + 1, n, total, low, high)
+        return out
+
+    def count(self, var, col: str) -> int:
+        return self._folded(var, col)[1]
+
+    def sum(self, var, col: str):
+        return self._folded(var, col)[2]
+
+    def min(self, var, col: str):
+        return self._folded(var, col)[3]
+
+    def max(self, var, col: str):
+        return self._folded(var, col)[4]
+
+    def avg(self, var, col: str):
+        _, n, total, _, _ = self._folded(var, col)
+        return total / n if n else None
+
+
+class Run:
+    """A way to match from ``start``: each variable's first place, folded values, and the last row once it is complete."""
+
+    __slots__ = ("start", "bounds", "known", "end")
+
+    def __init__(self, start, bounds, known, end=None):
+        self.start, self.bounds, self.known, self.end = start, bounds, known, end
 
 
 class Matcher:
-    """Run the pattern over one key's rows (sorted by time) incrementally."""
+    """Run the pattern over one key's rows, which come in order, incrementally.
+
+    ``live`` holds the runs in order of preference: by start, then by the quantifiers' wishes.  A complete run waits there until those
+    before it have ended.  Two runs in the same place of the pattern have the same future, so the later one goes, unless conditions
+    look at the match so far, or the two starts differ and both count (time limit, or a skip that starts inside a match)."""
 
-    def __init__(self, pattern: Sequence[Var], measures: dict, after, within_ms, time_col, tie_col):
+    def __init__(self, pattern: Sequence[Var], measures: dict, after, within_ms, time_col, tie_col,
+                 conditions: dict[str, Callable] | None = None, subset: dict[str, Sequence[str]] | None = None, back: int = 0):
         self.pattern = list(pattern)
         self.names = [v.name for v in pattern]
+        last = self.pattern[-1]
+        if last.min == 0 or (last.greedy and last.max != last.min):
+            raise ValueError(f"the last variable {last.name} can't be optional or greedy of open length")
         self.measures, self.after, self.within = measures, after, within_ms
-        self.time_col, self.tie_col = time_col, tie_col
-        self.buf: list = []
-        self.base = 0  # absolute index of buf[0]
-
-    def push(self, rows: list, final: bool) -> Iterator[dict]:
-        self.buf.extend(rows)
-        start = 0
-        out = []
-        while start < len(self.buf):
-            flags = [[r[f"_mr_{v}"] for v in self.names] for r in self.buf]
-            times = [r["_mr_t"] for r in self.buf]
-            res = _match_at(flags, times, start, self.pattern, self.within, final)
-            if res is NEED_MORE:
-                break
-            if res is None or len(res) == 0:
-                start += 1
+        self.time_col, self.tie_col, self.back = time_col, tie_col, back
+        self.conditions = conditions or {}
+        self.flags = [f"_mr_{n}" for n in self.names]
+        self.tests = [self.conditions.get(n) for n in self.names]
+        place = {n: p for p, n in enumerate(self.names)}
+        self.members = {n: (p,) for n, p in place.items()} | {None: tuple(range(len(self.names)))}
+        for name, of in (subset or {}).items():
+            if name in place:
+                raise ValueError(f"{name} is a variable already")
+            self.members[name] = tuple(sorted(place[v] for v in of))
+        self.enough = [v.min if v.max is None else v.max for v in self.pattern]  # from here on, more rows make no difference
+        self.past_last = after == "PAST LAST ROW"
+        self.one_future = self.past_last and within_ms is None and not self.conditions
+        self.ways: dict = {}
+        self.rows: list = []
+        self.base = 0  # place of rows[0] among all rows of the key
+        self.live: list[Run] = []
+
+    def _ways(self, p: int, k: int) -> list[int]:
+        """The variables that can take the next row when ``p`` has taken ``k``, the preferred one first."""
+        v = self.pattern[p]
+        stay = [p] if v.max is None or k < v.max else []
+        go = self._ways(p + 1, 0) if k >= v.min and p + 1 < len(self.pattern) else []
+        return stay + go if v.greedy else go + stay
+
+    def _step(self, i: int, row: dict) -> None:
+        last, rows, base = len(self.pattern) - 1, self.rows, self.base
+        out, seen, matched, floor = [], set(), -1, -1
+        self.live.append(Run(i, (), {}))
+        for run in self.live:
+            if run.start == matched or run.start < floor:
+                continue  # a preferred run has just matched these rows
+            if run.end is not None:
+                out.append(run)
                 continue
-            rows_m = self.buf[start:start + len(res)]
-            out.append(self._measures(rows_m, res))
-            start = self._next_start(start, res)
-        self.buf = self.buf[start:]
+            if self.within is not None and row["_mr_t"] - rows[run.start - base]["_mr_t"] > self.within:
+                continue
+            bounds, p = run.bounds, len(run.bounds) - 1
+            at = (0, 0) if p < 0 else (p, min(i - bounds[p], self.enough[p]))
+            ways = self.ways.get(at)
+            if ways is None:
+                ways = self.ways[at] = self._ways(*at)
+            for q in ways:
+                known = run.known
+                if self.tests[q] is None:
+                    if not row[self.flags[q]]:
+                        continue
+                    new = bounds if q == p else bounds + (i,) * (q - p)
+                else:
+                    new = bounds if q == p else bounds + (i,) * (q - p)
+                    known = dict(known)
+                    if not self.tests[q](MatchSoFar(rows, base, self.members, new, i, known)):
+                        continue
+                taken = i - new[q] + 1
+                if q == last and taken >= self.pattern[q].min:
+                    out.append(Run(run.start, new, known, i))
+                    matched = run.start
+                    if self.past_last:
+                        floor = i + 1
+                    break
+                if not self.conditions:
+                    future = (q, min(taken, self.enough[q]), None if self.one_future else run.start)
+                    if future in seen:
+                        continue
+                    seen.add(future)
+                out.append(Run(run.start, new, known))
+        self.live = out
+
+    def _matches(self) -> Iterator[dict]:
+        """The complete runs that nothing before can overtake any more."""
+        at, floor = 0, -1
+        while at < len(self.live):
+            run = self.live[at]
+            if run.start >= floor:
+                if run.end is None:
+                    break
+                yield self._measures(run)
+                floor = self._next_start(run)
+            at += 1
+        if at:
+            self.live = [r for r in self.live[at:] if r.start >= floor]
+
+    def push(self, rows: list, final: bool) -> list[dict]:
+        out = []
+        for r in rows:
+            self.rows.append(r)
+            self._step(self.base + len(self.rows) - 1, r)
+            if self.live and self.live[0].end is not None:
+                out.extend(self._matches())
+        if final:
+            self.live = [r for r in self.live if r.end is not None]
+            out.extend(self._matches())
+        self._forget()
         return out
 
-    def _next_start(self, start, res):
+    def expire(self, now: int) -> list[dict]:
+        """No row up to the time ``now`` comes any more: runs that are out of time end."""
+        if self.within is None:
+            return []
+        self.live = [r for r in self.live if r.end is not None or now - self.rows[r.start - self.base]["_mr_t"] <= self.within]
+        out = list(self._matches())
+        self._forget()
+        return out
+
+    def dump(self) -> bytes:
+        """What the rest of the rows has to be matched with."""
+        return pickle.dumps((self.rows, self.base, [(r.start, r.bounds, r.known, r.end) for r in self.live]))
+
+    def load(self, state: bytes) -> None:
+        self.rows, self.base, live = pickle.loads(state)
+        self.live = [Run(*r) for r in live]
+
+    def _forget(self) -> None:
+        """Drops the rows that no run and no ``prev`` can reach."""
+        first = min((r.start for r in self.live), default=self.base + len(self.rows)) - self.back
+        if first > self.base:
+            del self.rows[:first - self.base]
+            self.base = first
+
+    def _next_start(self, run: Run) -> int:
         a = self.after
         if a == "PAST LAST ROW":
-            return start + len(res)
+            return run.end + 1
         if a == "TO NEXT ROW":
-            return start + 1
+            return run.start + 1
         kind, var = a
-        idx = self.names.index(var)
-        pos = [i for i, v in enumerate(res) if v == idx]
-        if not pos:
+        places = [p for p in MatchSoFar(self.rows, self.base, self.members, run.bounds, run.end, {})._blocks(var) if p[0] < p[1]]
+        if not places:
             raise ValueError(f"AFTER MATCH SKIP {kind} {var}: {var} is not in the match")
-        nxt = start + (pos[0] if kind == "TO FIRST" else pos[-1])
-        if nxt == start:
+        nxt = places[0][0] if kind == "TO FIRST" else places[-1][1] - 1
+        if nxt == run.start:
             raise ValueError("AFTER MATCH SKIP would repeat the same match (infinite loop)")
         return nxt
 
-    def _measures(self, rows, res) -> dict:
-        out = {}
+    def _measures(self, run: Run) -> dict:
+        whole, out = MatchSoFar(self.rows, self.base, self.members, run.bounds, run.end, {}), {}
         for name, spec in self.measures.items():
             if spec == "match_rowtime":
-                out[name] = rows[-1][self.time_col]
-                continue
-            if spec == "classifier":
-                out[name] = self.names[res[-1]]
-                continue
-            fn, var, col = spec
-            vals = [r[col] for r, v in zip(rows, res) if var is None or self.names[v] == var]
-            if fn not in ("first", "last"):  # aggregates skip nulls; navigation doesn't
-                vals = [v for v in vals if v is not None and v == v]
-            if fn == "first":
-                out[name] = vals[0] if vals else None
-            elif fn == "last":
-                out[name] = vals[-1] if vals else None
-            elif fn == "count":
-                out[name] = len(vals)
-            elif fn == "sum":
-                out[name] = sum(vals) if vals else None
-            elif fn == "min":
-                out[name] = min(vals) if vals else None
-            elif fn == "max":
-                out[name] = max(vals) if vals else None
-            elif fn == "avg":
-                out[name] = sum(vals) / len(vals) if vals else None
+                out[name] = whole.row[self.time_col]
+            elif spec == "classifier":
+                out[name] = self.names[-1]
+            elif spec[0] in ("first", "last"):
+                out[name] = getattr(whole, spec[0])(*spec[1:])
+            elif spec[0] in ("count", "sum", "min", "max", "avg"):
+                out[name] = getattr(whole, spec[0])(spec[1], spec[2])
             else:
-                raise ValueError(f"unknown measure function {fn}")
+                raise ValueError(f"unknown measure function {spec[0]}")
         return out
 
 
-def _prepare(df, partition_by, order_by, pattern, define):
+def _prepare(df, order_by, pattern, define, measures, columns):
+    """The input with a flag for each variable that a Column defines, the functions of the others, and the columns that rows carry."""
     names = [v.name for v in pattern]
     if len(set(names)) != len(names):
         raise ValueError("pattern variable names must be unique")
-    flags = {f"_mr_{v}": (define[v] if v in define else F.lit(True)) for v in names}
+    conditions = {v: d for v, d in define.items() if not isinstance(d, Column)}
+    flags = {f"_mr_{v}": define.get(v, F.lit(True)) for v in names if v not in conditions}
     t = F.unix_millis(F.col(order_by[0]).cast("timestamp"))
-    return df.withColumns(flags).withColumn("_mr_t", t)
+    need = {spec[2] for spec in measures.values() if isinstance(spec, tuple)} | set(order_by) | set(columns)
+    prepared = df.withColumns(flags).withColumn("_mr_t", t).filter(F.col("_mr_t").isNotNull())
+    return prepared, conditions, [*sorted(need), "_mr_t", *flags]
 
 
 def match_recognize(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str],
                     pattern: Sequence[Var], define: dict, measures: dict,
-                    measure_schema: str, after="PAST LAST ROW", within_ms: int | None = None) -> DataFrame:
-    """Batch execution: rows of each key are processed in time order by a
-    grouped map over (key)-hash partitions sorted by (key, time)."""
-    prepared = _prepare(df, partition_by, order_by, pattern, define)
-    keys = list(partition_by)
-    time_col, tie_col = order_by[0], (order_by[1] if len(order_by) > 1 else order_by[0])
-    key_fields = [prepared.schema[k] for k in keys]
-    out_schema = T.StructType(key_fields + list(T._parse_datatype_string(measure_schema).fields))
-    pat, meas, aft = list(pattern), dict(measures), after
-
-    def per_key(pdf):
-        import pandas as pd
-        pdf = pdf.sort_values(list(order_by), kind="mergesort")
-        m = Matcher(pat, meas, aft, within_ms, time_col, tie_col)
-        rows = pdf.to_dict("records")
-        res = m.push(rows, final=True)
-        if not res:
-            return pd.DataFrame(columns=[f.name for f in out_schema.fields])
-        kv = {k: pdf[k].iloc[0] for k in keys}
-        return pd.DataFrame([{**kv, **r} for r in res])[[f.name for f in out_schema.fields]]
-
-    return prepared.groupBy(*keys).applyInPandas(per_key, out_schema)
+                    measure_schema: str, after="PAST LAST ROW", within_ms: int | None = None,
+                    subset: dict[str, Sequence[str]] | None = None, columns: Sequence[str] = (), back: int = 0) -> DataFrame:
+    """Batch execution: each task reads its keys in order, one after another, and holds only the rows that a live run of the present key
+    can use.  ``columns``: what functions in ``define`` read."""
+    keys, meas = list(partition_by), dict(measures)
+    prepared, conditions, cols = _prepare(df, order_by, pattern, define, meas, columns)
+    out_schema = T.StructType([prepared.schema[k] for k in keys] + list(T._parse_datatype_string(measure_schema).fields))
+    args = (list(pattern), meas, after, within_ms, order_by[0], order_by[-1], conditions, subset, back)
+
+    def per_partition(batches):
+        import pyarrow as pa
+
+        from pyspark.sql.pandas.types import to_arrow_schema
+        arrow_schema = to_arrow_schema(out_schema)
+        now, matcher = None, Matcher(*args)
+        for batch in batches:
+            found, rows = [], batch.to_pylist()
+            at = 0
+            while at < len(rows):
+                key, end = tuple(rows[at][f"_mk_{i}"] for i in range(len(keys))), at
+                while end < len(rows) and all(rows[end][f"_mk_{i}"] == k for i, k in enumerate(key)):
+                    end += 1
+                if key != now:
+                    found += [(now, m) for m in matcher.push([], True)]
+                    now, matcher = key, Matcher(*args)
+                found += [(now, m) for m in matcher.push(rows[at:end], False)]
+                at = end
+            if found:
+                yield pa.RecordBatch.from_pylist([dict(zip(keys, k)) | m for k, m in found], arrow_schema)
+        found = [dict(zip(keys, now)) | m for m in matcher.push([], True)]
+        if found:
+            yield pa.RecordBatch.from_pylist(found, arrow_schema)
+
+    named = [F.col(k).alias(f"_mk_{i}") for i, k in enumerate(keys)]
+    mk = [f"_mk_{i}" for i in range(len(keys))]
+    parted = prepared.select(*named, *cols).repartition(*mk) if keys else prepared.select(*cols).coalesce(1)
+    return parted.sortWithinPartitions(*mk, *order_by).mapInArrow(per_partition, out_schema)
 
 
 def match_fixed_length(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str],
@@ -280,60 +413,63 @@ def lag_column(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[st
 
 # --- streaming execution -------------------------------------------------------
 
-END_OF_INPUT_MS = 4_102_358_400_000  # 2099-12-31T00:00:00Z: fires only at end of input (fixed value)
-
 
 def _match_processor_cls():
     from pyspark.sql.streaming import StatefulProcessor
 
     class MatchProcessor(StatefulProcessor):
-        """Pattern matching on a stream: the key's undecided rows live in list
-        state (only rows a pending match can still use); a timer at the
-        end-of-input time finalises pending greedy runs when the input ends."""
+        """Pattern matching on a stream.  A row waits in list state until the watermark has passed its time; then the key's matcher, whose
+        live runs and rows are kept as one value, takes it.  Timers: when the first waiting row can go, and when the oldest run is
+        out of time.  A complete run that one without a time limit could still overtake waits for it, however long."""
 
-        def __init__(self, pattern, measures, after, within_ms, time_col, tie_col, cols, key_name):
-            self.pattern, self.measures, self.after = pattern, measures, after
-            self.within, self.time_col, self.tie_col = within_ms, time_col, tie_col
-            self.cols, self.key_name = cols, key_name
+        def __init__(self, args, key_name, order_by):
+            self.args, self.key_name, self.order_by = args, key_name, list(order_by)
 
         def init(self, handle):
             self.handle = handle
-            self.buf = handle.getListState("buf", "row string")
-            self.armed = handle.getValueState("armed", "b boolean")
-
-        def _load(self):
-            import json
-            return [json.loads(x[0]) for x in self.buf.get()] if self.buf.exists() else []
-
-        def _run(self, key, rows, final):
-            import datetime
-            import json
-            m = Matcher(self.pattern, self.measures, self.after, self.within, self.time_col, self.tie_col)
-            m.buf = self._load()
-            for r in m.push(rows, final):
-                # the buffered time is in milliseconds: MATCH_ROWTIME back to a timestamp
-                for k, v in list(r.items()):
-                    if self.measures.get(k) == "match_rowtime" and isinstance(v, (int, float)):
-                        r[k] = datetime.datetime(1970, 1, 1) + datetime.timedelta(milliseconds=v)
-                yield Row(**{self.key_name: key[0], **r})
-            self.buf.clear()
-            if m.buf and not final:
-                self.buf.put([(json.dumps(b),) for b in m.buf])
+            self.waiting = handle.getListState("waiting", "t long, row binary")
+            self.matcher = handle.getValueState("matcher", "live binary")
+            self.armed = handle.getValueState("armed", "t long")
+
+        def _arm(self, t):
+            if not self.armed.exists() or t < self.armed.get()[0]:
+                self.handle.registerTimer(t)
+                self.armed.update((t,))
+
+        def _release(self, key, now):
+            held = [(w[0], w[1]) for w in self.waiting.get()] if self.waiting.exists() else []
+            free = [pickle.loads(r) for t, r in held if t < now]
+            stay = [(t, r) for t, r in held if t >= now]
+            m = Matcher(*self.args)
+            if self.matcher.exists():
+                m.load(self.matcher.get()[0])
+            free.sort(key=lambda r: [(r[c] is not None, r[c]) for c in self.order_by])
+            for found in [*m.push(free, False), *m.expire(now)]:
+                yield Row(**{self.key_name: key[0], **found})
+            if free:
+                self.waiting.clear()
+                if stay:
+                    self.waiting.put(stay)
+            if m.rows:
+                self.matcher.update((m.dump(),))
+            elif self.matcher.exists():
+                self.matcher.clear()
+            if stay:
+                self._arm(min(t for t, _ in stay) + 1)
+            if m.within is not None and m.live:
+                self._arm(max(now, m.rows[m.live[0].start - m.base]["_mr_t"] + m.within) + 1)
 
         def handleInputRows(self, key, rows, timerValues):
-            rs = []
-            for r in rows:
-                d = {c: r[c] for c in self.cols}
-                d[self.time_col] = d["_mr_t"]  # milliseconds in state
-                rs.append(d)
-            rs.sort(key=lambda d: (d["_mr_t"], d[self.tie_col]))
-            if not self.armed.exists():
-                self.handle.registerTimer(END_OF_INPUT_MS)
-                self.armed.update((True,))
-            yield from self._run(key, rs, final=False)
+            new = [(r["_mr_t"], pickle.dumps(r.asDict())) for r in rows]
+            if new:
+                self.waiting.appendList(new)
+                self._arm(min(t for t, _ in new) + 1)
+            return iter(())
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-            yield from self._run(key, [], final=True)
+            if self.armed.exists() and self.armed.get()[0] <= expiredTimerInfo.getExpiryTimeInMs():
+                self.armed.clear()
+            yield from self._release(key, timerValues.getCurrentWatermarkInMs())
 
         def close(self):
             pass
@@ -343,16 +479,14 @@ def _match_processor_cls():
 
 def match_recognize_stream(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str],
                            pattern: Sequence[Var], define: dict, measures: dict, measure_schema: str,
-                           after="PAST LAST ROW", within_ms: int | None = None) -> DataFrame:
-    """Streaming execution (input must carry an event-time watermark)."""
+                           after="PAST LAST ROW", within_ms: int | None = None,
+                           subset: dict[str, Sequence[str]] | None = None, columns: Sequence[str] = (), back: int = 0) -> DataFrame:
+    """Streaming execution (input must carry an event-time watermark on the first column of ``order_by``)."""
     if len(partition_by) != 1:
         raise ValueError("one partition key column is supported")
-    prepared = _prepare(df, partition_by, order_by, pattern, define)
-    need = {c for spec in measures.values() if isinstance(spec, tuple) for c in [spec[2]]}
-    cols = sorted(need | {f"_mr_{v.name}" for v in pattern} | {"_mr_t", order_by[-1]})
+    prepared, conditions, cols = _prepare(df, order_by, pattern, define, measures, columns)
     key = partition_by[0]
     schema = T.StructType([prepared.schema[key]] + list(T._parse_datatype_string(measure_schema).fields))
-    proc = _match_processor_cls()(list(pattern), dict(measures), after, within_ms, order_by[0],
-                                  order_by[-1], cols, key)
-    return prepared.select(key, order_by[0], *cols).groupBy(key).transformWithState(
-        proc, schema, "Append", "EventTime")
+    args = (list(pattern), dict(measures), after, within_ms, order_by[0], order_by[-1], conditions, subset, back)
+    return prepared.select(*dict.fromkeys([key, *cols])).groupBy(key).transformWithState(
+        _match_processor_cls()(args, key, order_by), schema, "Append", "EventTime")

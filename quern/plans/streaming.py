@@ -514,15 +514,15 @@ SELECT user_id, make_timestamp(start * 1000), 'on time', make_timestamp(fin * 10
 """
 
 
-def _late_events(spark, sf):
+def _late_events(spark, sf, *more):
     """The events with their event time ``ets``, as a stream in order of arrival and a far row at the end."""
     from quern.streaming.arrival import arrive
     ensure_stateful_conf(spark)
     ev = t(spark, sf, "events").select("user_id", "event_id", "value", F.expr(
-        "ts - make_dt_interval(0, 0, 0, CAST(round(value * 60000000) AS DECIMAL(18, 0)) / 1000000)").alias("ets"), F.lit(False).alias("_eoi"))
+        "ts - make_dt_interval(0, 0, 0, CAST(round(value * 60000000) AS DECIMAL(18, 0)) / 1000000)").alias("ets"), F.lit(False).alias("_eoi"), *more)
     n = ev.agg(F.max("event_id")).first()[0] + 1
     batch = F.least(F.lit(7), F.floor(F.col("event_id") * 8 / F.lit(n)))
-    end = spark.createDataFrame([(None, None, None, None, True)], ev.schema).withColumns({"ets": F.lit("2100-01-01").cast("timestamp_ntz"), "batch": F.lit(9).cast("long")})
+    end = spark.createDataFrame([(None, None, None, None, True, *[None] * len(more))], ev.schema).withColumns({"ets": F.lit("2100-01-01").cast("timestamp_ntz"), "batch": F.lit(9).cast("long")})
     return arrive(ev.withColumn("batch", batch.cast("long")), "batch", list(range(1, 8)), closing=end)
 
 
@@ -581,11 +581,18 @@ def _views_then_purchase():
     return pattern, define, measures, schema
 
 
-@register("str_50_match_recognize")
+@register("str_50_match_recognize", """
+WITH n AS (SELECT *, count(*) FILTER (WHERE event_type IS DISTINCT FROM 'view') OVER (PARTITION BY user_id ORDER BY ts, event_id) AS others FROM events)
+SELECT p.user_id, first(v.event_id ORDER BY v.ts, v.event_id) AS first_view, count(*) AS n_views, p.event_id AS purchase_id, p.value AS amount,
+       'P' AS last_var, p.ts AS match_rowtime
+FROM n p JOIN n v ON v.user_id = p.user_id AND v.others = p.others - 1
+WHERE p.event_type = 'purchase' AND v.event_type = 'view' AND epoch_ms(p.ts) - epoch_ms(v.ts) <= 86400000
+GROUP BY p.user_id, p.event_id, p.value, p.ts
+""")
 def str_50_match_recognize(spark, sf):
     # PATTERN (V+ P) WITHIN INTERVAL '1' DAY, AFTER MATCH SKIP PAST LAST ROW:
-    # views directly followed by a purchase of the same user.  Automaton per
-    # key: no SQL form; checked against a brute-force matcher in the tests.
+    # views directly followed by a purchase of the same user.  The SQL numbers the rows that aren't views, so that the views
+    # of one number stand together; the tests hold it against a brute-force matcher as well.
     from quern.operators.match import match_recognize_stream
     pattern, define, measures, schema = _views_then_purchase()
     ev = events_stream(spark, sf)
@@ -594,6 +601,37 @@ def str_50_match_recognize(spark, sf):
     return _ts_ntz(run_to_table(m, "append"), "match_rowtime")
 
 
+@register("str_50_match_out_of_order", f"""
+WITH e AS (SELECT user_id, event_id, event_type, {_DISORDER} AS ets FROM events),
+n AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ets, event_id) AS pos FROM e),
+g AS (SELECT *, pos - row_number() OVER (PARTITION BY user_id, event_type ORDER BY pos) AS island FROM n),
+i AS (SELECT user_id, event_type, island, min(pos) AS lo FROM g GROUP BY ALL),
+f AS (SELECT *, lead(event_type) OVER w AS t1, lead(lo) OVER w AS lo1, lead(event_type, 2) OVER w AS t2, lead(lo, 2) OVER w AS lo2
+      FROM i WINDOW w AS (PARTITION BY user_id ORDER BY lo)),
+s AS (SELECT g.user_id, g.event_id AS first_id, g.pos, CASE WHEN t1 = 'purchase' THEN lo1 WHEN t1 = 'click' AND t2 = 'purchase' THEN lo2 END AS fin,
+             CASE WHEN t1 = 'click' THEN lo2 - lo1 ELSE 0 END AS n_clicks
+      FROM g JOIN f USING (user_id, event_type, island) WHERE event_type = 'view')
+SELECT s.user_id, first_id, CASE WHEN fin > s.pos + 1 THEN b.event_id END AS second_id, l.event_id AS last_id, fin - s.pos AS n_rows, n_clicks,
+       p.event_id AS purchase_id
+FROM s JOIN n p ON p.user_id = s.user_id AND p.pos = fin JOIN n l ON l.user_id = s.user_id AND l.pos = fin - 1
+JOIN n b ON b.user_id = s.user_id AND b.pos = s.pos + 1
+""")
+def str_50_match_out_of_order(spark, sf):
+    # PATTERN (V+ C* P), SUBSET VC = (V, C), AFTER MATCH SKIP TO NEXT ROW, on rows whose event time goes to and fro: a row waits until
+    # the watermark has passed it.  The delay is the largest disorder, so no row is late.
+    from quern.operators.match import Var, match_recognize_stream
+    rows = bounded_out_of_orderness(_late_events(spark, sf, "event_type"), "ets", "11 hours")
+    kind = lambda name: F.col("event_type") == name
+    m = match_recognize_stream(
+        drop_flush(rows, "ets"), ["user_id"], ["ets", "event_id"], [Var("V", 1, None), Var("C", 0, None), Var("P")],
+        {"V": kind("view"), "C": kind("click"), "P": kind("purchase")},
+        {"first_id": ("first", "VC", "event_id"), "second_id": ("first", None, "event_id", 1), "last_id": ("last", "VC", "event_id"),
+         "n_rows": ("count", "VC", "event_id"), "n_clicks": ("count", "C", "event_id"), "purchase_id": ("last", "P", "event_id")},
+        "first_id long, second_id long, last_id long, n_rows long, n_clicks long, purchase_id long", after="TO NEXT ROW", subset={"VC": ["V", "C"]})
+    m = m.withColumn("second_id", F.when(F.col("n_rows") > 1, F.col("second_id")))
+    return run_to_table(m, "append")
+
+
 @register("str_50_match_fixed_length", """
 WITH n AS (SELECT user_id, event_id, event_type,
                   lead(event_type, 1) OVER w AS t1, lead(event_type, 2) OVER w AS t2,
@@ -630,6 +668,45 @@ def str_51_match_navigation(spark, sf):
                               {"a_id": ("A", "event_id"), "b_id": ("B", "event_id")})
 
 
+@register("str_51_match_so_far", """
+WITH RECURSIVE n AS (SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos FROM events),
+w AS (SELECT user_id, pos AS start, pos, value, value AS low, 0::DOUBLE AS total, 0 AS n, false AS done FROM n
+      UNION ALL
+      SELECT w.user_id, w.start, n.pos, n.value, least(w.low, n.value), CASE WHEN n.value > w.value THEN w.total + n.value ELSE w.total END,
+             w.n + (n.value > w.value)::INT, n.value <= w.value
+      FROM w JOIN n ON n.user_id = w.user_id AND n.pos = w.pos + 1
+      WHERE NOT w.done AND ((n.value > w.value AND w.total + n.value <= 150) OR (n.value < w.value AND w.n > 0 AND n.value < (w.total / w.n)))),
+m AS (SELECT user_id, start, pos AS fin, total, n FROM w WHERE done),
+k AS (SELECT user_id, 0::BIGINT AS start, 0::BIGINT AS fin, 0::DOUBLE AS total, 0 AS n FROM (SELECT DISTINCT user_id FROM events)
+      UNION ALL
+      SELECT user_id, c.start, c.fin, c.total, c.n
+      FROM (SELECT m.*, row_number() OVER (PARTITION BY m.user_id ORDER BY m.start) AS r FROM k JOIN m ON m.user_id = k.user_id AND m.start > k.fin) c
+      WHERE r = 1)
+SELECT k.user_id, s.event_id AS start_id, u.event_id AS first_up, p.event_id AS down_id, k.n::BIGINT AS n_up, round(k.total, 6) AS total
+FROM k JOIN n s ON s.user_id = k.user_id AND s.pos = k.start JOIN n u ON u.user_id = k.user_id AND u.pos = k.start + 1
+JOIN n p ON p.user_id = k.user_id AND p.pos = k.fin WHERE k.start > 0
+""")
+def str_51_match_so_far(spark, sf):
+    # PATTERN (S UP+ DOWN), AFTER MATCH SKIP PAST LAST ROW, conditions on the match so far:
+    # UP AS UP.value > coalesce(LAST(UP.value, 1), S.value) AND SUM(UP.value) <= 150, DOWN AS DOWN.value < LAST(UP.value) AND DOWN.value < AVG(UP.value)
+    from quern.operators.match import Var, match_recognize
+
+    def up(m):
+        before = m.last("UP", "value", 1)
+        before = m.first("S", "value") if before is None else before
+        return m.row["value"] is not None and before is not None and m.row["value"] > before and m.sum("UP", "value") <= 150
+
+    def down(m):
+        return m.row["value"] is not None and m.row["value"] < m.last("UP", "value") and m.row["value"] < m.avg("UP", "value")
+
+    out = match_recognize(
+        t(spark, sf, "events"), ["user_id"], ["ts", "event_id"], [Var("S"), Var("UP", 1, None), Var("DOWN")], {"UP": up, "DOWN": down},
+        {"start_id": ("first", "S", "event_id"), "first_up": ("first", "UP", "event_id"), "down_id": ("last", "DOWN", "event_id"),
+         "n_up": ("count", "UP", "event_id"), "total": ("sum", "UP", "value")},
+        "start_id long, first_up long, down_id long, n_up long, total double", columns=["value"])
+    return out.withColumn("total", F.round("total", 6))
+
+
 @register("str_52_match_rowtime", """
 WITH n AS (SELECT user_id, event_type, lead(event_type) OVER w AS t1, lead(ts) OVER w AS t1_ts
            FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
