@@ -137,6 +137,64 @@ def agg_03_streaming_group_aggregate(spark, sf):
     return out.withColumn("total", r2("total"))
 
 
+def _changing_events(spark, sf, gone):
+    """Events as a changelog out of order: each is added at a scattered arrival number below 1000, and those that are ``gone`` are taken back
+    at one from 1000 on, so that every micro-batch but the first ones takes rows back."""
+    from quern.streaming.arrival import arrive
+    ensure_stateful_conf(spark)
+    ev = t(spark, sf, "events").select("user_id", "event_type", "event_id", "value")
+    added = ev.select("*", F.lit("+").alias("op"), F.expr(_SCATTER).alias("arrival"))
+    taken = ev.filter(gone).select("*", F.lit("-").alias("op"), (F.expr(_SCATTER) + 1000).alias("arrival"))
+    return arrive(added.unionByName(taken), "arrival", [500, 1000, 1300, 1600])
+
+
+@register("agg_03_retract_aggregates", """
+SELECT user_id, count(*) AS cnt, round(sum(value), 6) AS total, round(avg(value), 6) AS mean, min(value) AS least, max(value) AS most,
+       count(DISTINCT event_type) AS kinds, string_agg(event_id::VARCHAR, ',' ORDER BY event_id) AS ids
+FROM events WHERE event_id % 3 <> 0 AND value <= 60 GROUP BY user_id
+""")
+def agg_03_retract_aggregates(spark, sf):
+    from quern.streaming.joins import folded
+    from quern.streaming.retract import Agg, retract_aggregate
+    log = retract_aggregate(_changing_events(spark, sf, "event_id % 3 = 0 OR value > 60"), ["user_id"], {
+        "cnt": Agg("count"), "total": Agg("sum", "value"), "mean": Agg("avg", "value"), "least": Agg("min", "value"), "most": Agg("max", "value"),
+        "kinds": Agg("count_distinct", "event_type"), "ids": Agg("listagg", "event_id", order="event_id")})
+    out = folded(run_to_table(log, "append"))
+    return out.withColumns({c: F.round(c, 6) for c in ("total", "mean")})
+
+
+@register("agg_16_min_max_retract", """
+SELECT event_type, min(value) AS least, max(value) AS most, max(event_id) AS last_id FROM events WHERE value BETWEEN 5 AND 100 GROUP BY event_type
+""")
+def agg_16_min_max_retract(spark, sf):
+    # the smallest and largest values are taken back bit by bit; a few keys hold all rows
+    from quern.streaming.joins import folded
+    from quern.streaming.retract import Agg, retract_aggregate
+    log = retract_aggregate(_changing_events(spark, sf, "value < 5 OR value > 100"), ["event_type"],
+                            {"least": Agg("min", "value"), "most": Agg("max", "value"), "last_id": Agg("max", "event_id")})
+    return folded(run_to_table(log, "append"))
+
+
+@register("agg_03_aggregate_of_join", f"""
+SELECT user_id, count(*) AS pairs, count(v_id) AS matched, max(v_id) AS last_view, min(p_id) AS first_purchase FROM (
+  SELECT l.user_id, l.p_id, r.v_id FROM (SELECT user_id, event_id AS p_id, value AS p_value FROM events WHERE event_type = 'purchase' AND event_id % 3 <> 0) l
+  LEFT JOIN (SELECT user_id, event_id AS v_id, value AS v_value FROM events WHERE event_type = 'view' AND event_id % 3 <> 0) r
+    ON l.user_id = r.user_id AND r.v_value >= l.p_value) GROUP BY user_id
+""")
+def agg_03_aggregate_of_join(spark, sf):
+    # a changelog through the plan: the left join takes padded rows back, the aggregate of it follows
+    from quern.streaming.joins import folded, regular_join
+    from quern.streaming.retract import Agg, retract_aggregate
+    from quern.streaming.arrival import arrive
+    ensure_stateful_conf(spark)
+    left = arrive(_changes(spark, sf, "purchase", {"event_id": "p_id", "value": "p_value"}), "arrival", [500, 1000, 1500])
+    right = arrive(_changes(spark, sf, "view", {"event_id": "v_id", "value": "v_value"}), "arrival", [300, 1200])
+    log = regular_join(left, right, ["user_id"], "left", on=lambda p, v: p[1] is not None and v[1] is not None and v[1] >= p[1])
+    out = retract_aggregate(log, ["user_id"], {"pairs": Agg("count"), "matched": Agg("count", "v_id"), "last_view": Agg("max", "v_id"),
+                                               "first_purchase": Agg("min", "p_id")})
+    return folded(run_to_table(out, "append"))
+
+
 @register("str_08_session_window_stream", """
 WITH f AS (
   SELECT *, CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL
