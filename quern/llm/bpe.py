@@ -26,6 +26,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -236,8 +237,10 @@ def codec(data: bytes, pattern: str) -> Codec:
 
 
 @cache
-def tokens(data: bytes) -> dict[int, bytes]:
-    return {rank: token for token, rank in ranks_of(data).items()}
+def tokens(data: bytes) -> tuple[np.ndarray, pa.Array]:
+    """The ids in rising order and, at the same places, their bytes."""
+    ranks = sorted((rank, token) for token, rank in ranks_of(data).items())
+    return np.array([r for r, _ in ranks], np.int64), pa.array([t for _, t in ranks], pa.large_binary())
 
 
 class _Encode:
@@ -265,14 +268,23 @@ class _Decode:
         self.data = data
 
     def __call__(self, column: pa.Array) -> list[pa.Array]:
-        vocabulary = tokens(self.data.value)
-        out = []
-        for ids in column:
-            try:
-                out.append(b"".join(map(vocabulary.__getitem__, ids.values.to_pylist() if ids.is_valid else ())))
-            except KeyError as e:
-                raise ValueError(f"id {e} is not in the vocabulary") from None
-        return [pa.array(out, pa.binary())]
+        known, vocabulary = tokens(self.data.value)
+        ids = column.flatten()  # without those of null lists
+        if ids.null_count:
+            raise ValueError("id None is not in the vocabulary")
+        ids = ids.to_numpy(zero_copy_only=False).astype(np.int64)
+        at = ids if len(known) and known[-1] == len(known) - 1 else np.searchsorted(known, ids)
+        wrong = (at < 0) | (at >= len(known))
+        wrong[~wrong] = known[at[~wrong]] != ids[~wrong]
+        if wrong.any():
+            raise ValueError(f"id {ids[wrong][0]} is not in the vocabulary")
+        # The tokens taken one after another are the texts' bytes one after another.
+        taken = vocabulary.take(pa.array(at))
+        ends = np.frombuffer(taken.buffers()[1], np.int64)[taken.offset:taken.offset + len(taken) + 1] if len(taken) else np.zeros(1, np.int64)
+        counts = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+        offsets = ends[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
+        out = pa.Array.from_buffers(pa.large_binary(), len(column), [None, pa.py_buffer(offsets.tobytes()), taken.buffers()[2] or pa.py_buffer(b"")])
+        return [out.cast(pa.binary())]
 
 
 def _vocabulary(df: DataFrame, path: str):

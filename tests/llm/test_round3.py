@@ -318,3 +318,23 @@ def test_rows_of_a_null_id_come_first(spark, slices):
     for (i, text), (_, after) in zip(rows, [*rows[1:], rows[0]]):
         n = len(text) // 4
         assert out[i].edited_sha256 == hashlib.sha256((text[:len(text) - n] + after[:n]).encode()).hexdigest()
+
+
+def test_decode_of_slices_null_lists_and_vocabularies_with_gaps():
+    import base64
+
+    import pyarrow as pa
+
+    from quern.llm.bpe import _Decode
+
+    class Vocabulary:
+        value = b"\n".join(base64.b64encode(t) + b" %d" % r for t, r in ((b"a", 0), (b"bc", 7), (b"\xff", 3)))
+
+    lists = pa.array([[0], [7, 3], None, [], [3, 0, 7]], pa.list_(pa.int32()))
+    decode = _Decode(Vocabulary)
+    assert decode(lists)[0].to_pylist() == [b"a", b"bc\xff", b"", b"", b"\xffabc"]
+    assert decode(lists.slice(1, 3))[0].to_pylist() == [b"bc\xff", b"", b""]
+    assert decode(lists.slice(2, 2))[0].to_pylist() == [b"", b""] and decode(lists.slice(0, 0))[0].to_pylist() == []
+    for bad in ([1], [8], [-1], [None]):
+        with pytest.raises(ValueError, match="not in the vocabulary"):
+            decode(pa.array([bad], pa.list_(pa.int32())))
