@@ -336,20 +336,24 @@ SELECT 'high' AS sink, count(*) AS cnt FROM orders WHERE o_totalprice >= 200000
 UNION ALL SELECT 'low', count(*) FROM orders WHERE o_totalprice < 200000
 """)
 def snk_21_insert_into_multi(spark, sf):
-    # two INSERTs from one source in one job: the source is read once per
-    # micro-batch (persisted), then written to both sinks
-    hi_p, lo_p = scratch_path(spark, "snk_hi"), scratch_path(spark, "snk_lo")
-    o = t(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    # two INSERTs from one source in one streaming job: each micro-batch is read once (persisted) and written to both sinks
+    # under its id, so a batch that is run again after a failure writes nothing twice
+    hi_w, lo_w = S.IdempotentBatchWriter(scratch_path(spark, "snk_hi")), S.IdempotentBatchWriter(scratch_path(spark, "snk_lo"))
 
     def both(batch, batch_id):
         batch.persist()
-        batch.filter("o_totalprice >= 200000").write.mode("append").parquet(hi_p)
-        batch.filter("o_totalprice < 200000").write.mode("append").parquet(lo_p)
-        batch.unpersist()
-
-    both(o, 0)
-    hi = spark.read.parquet(hi_p).agg(F.count(F.lit(1)).alias("cnt")).select(F.lit("high").alias("sink"), "cnt")
-    lo = spark.read.parquet(lo_p).agg(F.count(F.lit(1)).alias("cnt")).select(F.lit("low").alias("sink"), "cnt")
+        try:
+            hi_w(batch.filter("o_totalprice >= 200000"), batch_id)
+            lo_w(batch.filter("o_totalprice < 200000"), batch_id)
+        finally:
+            batch.unpersist()
+
+    o = SRC.stream_table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    q = o.writeStream.foreachBatch(both).option("checkpointLocation", scratch_path(spark, "snk_ck")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    both(t(spark, sf, "orders").select("o_orderkey", "o_totalprice"), 0)  # the first batch once more, as after a failure
+    hi = hi_w.read(spark).agg(F.count(F.lit(1)).alias("cnt")).select(F.lit("high").alias("sink"), "cnt")
+    lo = lo_w.read(spark).agg(F.count(F.lit(1)).alias("cnt")).select(F.lit("low").alias("sink"), "cnt")
     return hi.unionByName(lo)
 
 
