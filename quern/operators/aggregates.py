@@ -59,17 +59,34 @@ def collect_multiset(df: DataFrame, keys: Sequence[str], value: str,
         F.map_from_entries(F.collect_list(F.struct(F.col(value), F.col("_ms_n")))).alias(out))
 
 
-def distinct_count_split(df: DataFrame, keys: Sequence[str], value: str,
-                         buckets: int = 1024, out: str = "n_distinct") -> DataFrame:
-    """AGG-06 skew split of COUNT(DISTINCT): first distinct per
-    (keys, hash bucket), then sum the bucket counts, so a hot key's distinct
-    set is spread over ``buckets`` tasks."""
-    b = F.pmod(F.hash(F.col(value)), F.lit(buckets))
-    # Distinct values are hashed on (keys, value), which spreads a hot key; the partial count leaves a row a task.
-    values = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value), b.alias("_dc_b")).distinct()
+def distinct_count_split(df: DataFrame, keys: Sequence[str], value: str, out: str = "n_distinct") -> DataFrame:
+    """AGG-06 skew split of COUNT(DISTINCT): distinct values are hashed on (keys, value), so a hot key's set spreads over all
+    tasks, finer than any number of buckets; the count of them is partial, a row a task and key.  Keys without a value have no row."""
+    values = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value)).distinct()
     return values.groupBy(*keys).agg(F.count(F.lit(1)).cast("long").alias(out))
 
 
+def grouping_sets(df: DataFrame, keys: Sequence[str], sets: Sequence[Sequence[str]], aggs: dict[str, Column],
+                  grouping_id: str = "gid", group_id: str = "group_id") -> DataFrame:
+    """AGG-08/09 GROUPING SETS in which a set may stand several times: GROUP_ID numbers the repeats of a set from 0 and GROUPING_ID has a
+    bit for each key that the set leaves out, the first key's the highest.
+
+    Each row is repeated for each set under a literal array and aggregated once, partially before the shuffle.  ``aggs`` see the keys' own
+    values.  A null key of the data and one that is left out differ in GROUPING_ID.  An empty input has no row, not even for ()."""
+    seen: dict[int, int] = {}
+    marks = []
+    for s in sets:
+        if set(s) - set(keys):
+            raise ValueError(f"not among the keys: {sorted(set(s) - set(keys))}")
+        left_out = sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in s)
+        marks.append(F.struct(F.lit(left_out).cast("long").alias("out"), F.lit(seen.get(left_out, 0)).cast("long").alias("nth")))
+        seen[left_out] = seen.get(left_out, 0) + 1
+    marked = df.withColumn("_gs", F.explode(F.array(*marks)))
+    kept = {f"_gk_{i}": F.when(F.col("_gs.out").bitwiseAND(F.lit(1 << (len(keys) - 1 - i))) == 0, F.col(k)) for i, k in enumerate(keys)}
+    out = marked.withColumns(kept).groupBy("_gs", *kept).agg(*[a.alias(n) for n, a in aggs.items()])
+    return out.select(*[F.col(f"_gk_{i}").alias(k) for i, k in enumerate(keys)], F.col("_gs.out").alias(grouping_id), F.col("_gs.nth").alias(group_id), *aggs)
+
+
 @dataclass(frozen=True)
 class Udaf:
     """A user aggregate defined by mergeable partial aggregates and a final

@@ -61,7 +61,7 @@ def agg_05_distinct_aggregate(spark, sf):
 SELECT event_type, count(DISTINCT user_id) AS n_distinct FROM events GROUP BY event_type
 """, bench=True)
 def agg_06_distinct_skew_split(spark, sf):
-    return A.distinct_count_split(t(spark, sf, "events"), ["event_type"], "user_id", 1024)
+    return A.distinct_count_split(t(spark, sf, "events"), ["event_type"], "user_id")
 
 
 @register("agg_07_filter_aggregate", """
@@ -108,6 +108,21 @@ def agg_09_grouping_functions(spark, sf):
         F.lit(0).alias("group_id"), F.count(F.lit(1)).alias("cnt"))
 
 
+@register("agg_09_group_id_repeated_sets", """
+WITH a AS (SELECT l_returnflag, l_linestatus, 0 AS gid, count(*) AS cnt, max(l_linestatus) AS last_status FROM lineitem GROUP BY ALL),
+b AS (SELECT l_returnflag, NULL AS l_linestatus, 1 AS gid, count(*) AS cnt, max(l_linestatus) AS last_status FROM lineitem GROUP BY l_returnflag),
+c AS (SELECT NULL AS l_returnflag, NULL AS l_linestatus, 3 AS gid, count(*) AS cnt, max(l_linestatus) AS last_status FROM lineitem)
+SELECT l_returnflag, l_linestatus, gid::BIGINT AS gid, 0::BIGINT AS group_id, cnt, last_status FROM (FROM a UNION ALL FROM b UNION ALL FROM c)
+UNION ALL SELECT l_returnflag, l_linestatus, gid::BIGINT, n.range::BIGINT + 1, cnt, last_status FROM b, range(0, 2) n
+UNION ALL SELECT l_returnflag, l_linestatus, gid::BIGINT, 1::BIGINT, cnt, last_status FROM c
+""")
+def agg_09_group_id_repeated_sets(spark, sf):
+    # GROUPING SETS ((flag, status), (flag), (flag), (flag), (), ()): GROUP_ID tells the repeats of a set apart
+    return A.grouping_sets(t(spark, sf, "lineitem"), ["l_returnflag", "l_linestatus"],
+                           [["l_returnflag", "l_linestatus"], ["l_returnflag"], ["l_returnflag"], ["l_returnflag"], [], []],
+                           {"cnt": F.count(F.lit(1)), "last_status": F.max("l_linestatus")})
+
+
 @register("agg_10_having", """
 SELECT o_custkey, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders
 GROUP BY o_custkey HAVING count(*) > 12
