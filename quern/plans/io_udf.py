@@ -95,11 +95,42 @@ def src_05_read_text_file(spark, sf):
 
 @register("src_06_read_file", "SELECT event_type, count(*) AS cnt FROM events GROUP BY event_type")
 def src_06_read_file(spark, sf):
-    # PROCESS_ONCE: one bounded read; continuous mode = SRC-15 file stream
+    # once: one bounded read; the continuous mode is the next query
     df = spark.read.format("parquet").load(SRC.table_path(sf, "events"))
     return df.groupBy("event_type").agg(F.count(F.lit(1)).alias("cnt"))
 
 
+@register("src_06_read_file_continuous", """
+SELECT event_type, sum(CASE WHEN event_id % 2 = 0 THEN 2 ELSE 1 END) AS readings,
+       round(sum(CASE WHEN event_id % 2 = 0 THEN 3 * value ELSE value END), 2) AS total
+FROM events GROUP BY event_type
+""")
+def src_06_read_file_continuous(spark, sf):
+    # even events come first, the odd ones as further files, then the first files change (values doubled) and are
+    # read again whole; each step is a watch of its own that goes on from the state of the one before
+    from quern.sources.monitor import monitor
+    folder, state = scratch_path(spark, "watched"), scratch_path(spark, "watch_state")
+    writer = S.IdempotentBatchWriter(scratch_path(spark, "watch_out"))
+    n = spark.sparkContext.defaultParallelism
+    ev = t(spark, sf, "events").select("event_id", "event_type", "value").repartition(n, "event_id")
+    even, odd = ev.filter("event_id % 2 = 0"), ev.filter("event_id % 2 <> 0")
+
+    def look():
+        monitor(spark, folder, "parquet", ev.schema, writer, state, pattern="*.parquet", rounds=1)
+
+    even.write.parquet(f"{folder}/first")
+    look()
+    odd.write.parquet(f"{folder}/second")
+    look()
+    changed = scratch_path(spark, "watched_changed")
+    even.withColumn("value", F.col("value") * 2).write.parquet(changed)
+    S.replace_files(spark, changed, f"{folder}/first")
+    look()
+    look()  # nothing new
+    back = writer.read(spark, ev.schema)
+    return back.groupBy("event_type").agg(F.count(F.lit(1)).alias("readings"), r2(F.sum("value")).alias("total"))
+
+
 @register("src_09_create_input", "SELECT o_orderstatus, count(*) AS cnt FROM orders GROUP BY o_orderstatus")
 def src_09_create_input(spark, sf):
     df = SRC.connect(spark, "parquet", SRC.table_path(sf, "orders"), options={"mergeSchema": "false"})
@@ -256,6 +287,48 @@ def snk_13_rolling_policy(spark, sf):
     return back.agg(F.count(F.lit(1)).alias("cnt"), F.countDistinct("event_id").alias("ids"))
 
 
+@register("snk_13_rolling_parts", """
+SELECT event_type, count(*) AS cnt, round(sum(value), 2) AS total, TRUE AS rolled FROM events GROUP BY event_type
+""")
+def snk_13_rolling_parts(spark, sf):
+    # parts of at most 500 rows in a folder for each event type, visible batch by batch
+    path = scratch_path(spark, "snk_parts")
+    ev = SRC.stream_table(spark, sf, "events").select("event_id", "event_type", "value")
+    _to_parts(ev, path, scratch_path(spark, "snk_parts_ck"), bucket="event_type", maxRows=500)
+    back = spark.read.schema("event_id long, value double, event_type string").parquet(path)
+    per = back.groupBy("event_type", "_metadata.file_path").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("v"))
+    return per.groupBy("event_type").agg(F.sum("n").alias("cnt"), r2(F.sum("v")).alias("total"),
+                                         (F.max("n") <= 500).alias("rolled"))
+
+
+def _to_parts(stream, path, checkpoint, **options):
+    from quern.sinks import parts
+    parts.register(stream.sparkSession)
+    (stream.writeStream.format("quern_parts").options(path=path, **{k: str(v) for k, v in options.items()})
+           .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())
+
+
+@register("snk_15_transactional_parts", """
+SELECT event_id, value FROM events WHERE event_type = 'purchase'
+""")
+def snk_15_transactional_parts(spark, sf):
+    # a job whose last rows fail: its batch is taken back whole; started again from the checkpoint, it commits each row once
+    from pyspark.errors import StreamingQueryException
+    from quern.streaming.arrival import arrive
+    path, ck = scratch_path(spark, "snk_txn"), scratch_path(spark, "snk_txn_ck")
+    bought = t(spark, sf, "events").filter("event_type = 'purchase'").select("event_id", "value")
+    half = bought.agg(F.expr("percentile_approx(event_id, 0.5)")).first()[0] or 0
+    read = arrive(bought, "event_id", [half])
+    failing = read.withColumn("value", F.when(F.col("event_id") >= half, F.raise_error(F.lit("lost")).cast("double"))
+                                        .otherwise(F.col("value")))
+    try:
+        _to_parts(failing, path, ck, maxRows=500)
+    except StreamingQueryException:
+        pass
+    _to_parts(read, path, ck, maxRows=500)
+    return spark.read.schema("event_id long, value double").parquet(path)
+
+
 @register("snk_15_two_phase_commit", "SELECT event_id, value FROM events WHERE event_type = 'purchase'")
 def snk_15_two_phase_commit(spark, sf):
     ev = _events_stream(spark, sf).filter("event_type = 'purchase'").select("event_id", "value")

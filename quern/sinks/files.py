@@ -44,6 +44,23 @@ def write_bucketed(df: DataFrame, path: str, ts: str, fmt: str = DATE_TIME_BUCKE
        .partitionBy("bucket").format(fmt_name).save(path))
 
 
+def replace_files(spark: SparkSession, source: str, target: str) -> None:
+    """Put the data files of one folder in the places of another's, in order of their names: files that change in place."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(target).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def data(folder):
+        names = sorted(f.getPath().toString() for f in fs.listStatus(path(folder)))
+        return [n for n in names if n.rsplit("/", 1)[-1][0] not in "._"]
+
+    new, old = data(source), data(target)
+    if len(new) != len(old):
+        raise ValueError(f"{len(new)} files for {len(old)}")
+    for n, o in zip(new, old):
+        fs.delete(path(o), False)
+        fs.rename(path(n), path(o))
+
+
 class IdempotentBatchWriter:
     """SNK-15/16 two-phase commit for ``foreachBatch``.
 
