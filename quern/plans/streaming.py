@@ -329,6 +329,54 @@ def str_41_state_ttl(spark, sf):
     return final_by_key(out, ["key", "category"]).drop("total")
 
 
+def _value_accumulators():
+    """Reducing state: the row of the largest value, the first among equals; aggregating state: (n, sum) that gives a mean."""
+    from quern.streaming.accumulators import aggregating, reducing
+    best = reducing("value double, event_id long", lambda r: None if r["value"] is None else (r["value"], r["event_id"]),
+                    lambda a, b: max(a, b, key=lambda x: (x[0], -x[1])))
+    mean = aggregating("n long, s double", "double", lambda: (0, 0.0),
+                       lambda acc, r: acc if r["value"] is None else (acc[0] + 1, acc[1] + r["value"]),
+                       lambda a, b: (a[0] + b[0], a[1] + b[1]), lambda acc: acc[1] / acc[0] if acc[0] else None)
+    count = aggregating("n long", "long", lambda: (0,), lambda acc, r: (acc[0] + 1,), lambda a, b: (a[0] + b[0],), lambda acc: acc[0])
+    return {"best": best, "mean": mean, "cnt": count}
+
+
+@register("str_40_reducing_aggregating_state", """
+SELECT user_id, max(value) AS best_value, arg_min(event_id, (-value, event_id)) AS best_id, round(avg(value) * count(*), 2) AS mean_by_cnt, count(*) AS cnt
+FROM events GROUP BY user_id
+""")
+def str_40_reducing_aggregating_state(spark, sf):
+    from quern.streaming.accumulators import accumulate
+    ensure_stateful_conf(spark)
+    acc = accumulate(stream_rows(spark, sf).select("user_id", "event_id", "value"), ["user_id"], _value_accumulators())
+    out = final_by_key(run_to_table(acc, "update", with_batch_id=True), ["user_id"])
+    return out.select("user_id", F.col("best.value").alias("best_value"), F.col("best.event_id").alias("best_id"),
+                      r2(F.col("mean") * F.col("cnt")).alias("mean_by_cnt"), "cnt")
+
+
+_SHORTEST, _LONGEST = 20 * 3_600_000, 30 * 3_600_000
+
+
+@register("str_41_idle_state_retention", f"""
+WITH RECURSIVE e AS (SELECT user_id, event_id, value, epoch_us(ts) // 1000 AS ms,
+                            row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+s AS (SELECT user_id, rn, ms + {_LONGEST} AS due, 1 AS life FROM e WHERE rn = 1
+      UNION ALL
+      SELECT e.user_id, e.rn, CASE WHEN e.ms >= s.due OR e.ms + {_SHORTEST} > s.due THEN e.ms + {_LONGEST} ELSE s.due END,
+             CASE WHEN e.ms >= s.due THEN s.life + 1 ELSE s.life END
+      FROM s JOIN e ON e.user_id = s.user_id AND e.rn = s.rn + 1)
+SELECT user_id, max(value) AS best_value, arg_min(event_id, (-value, event_id)) AS best_id, round(avg(value) * count(*), 2) AS mean_by_cnt, count(*) AS cnt
+FROM s JOIN e USING (user_id, rn) GROUP BY user_id, life
+""")
+def str_41_idle_state_retention(spark, sf):
+    # users idle for 20 to 30 hours lose their state and begin anew: six lives a user in the small tables
+    from quern.streaming.accumulators import accumulate_until_idle
+    acc = accumulate_until_idle(events_stream(spark, sf), ["user_id"], _value_accumulators(), "ts", "event_id",
+                                shortest_ms=_SHORTEST, longest_ms=_LONGEST)
+    return run_to_table(acc, "append").select("user_id", F.col("best.value").alias("best_value"),
+                                              F.col("best.event_id").alias("best_id"), r2(F.col("mean") * F.col("cnt")).alias("mean_by_cnt"), "cnt")
+
+
 @register("str_23_retract_stream", """
 SELECT user_id AS key, count(*) AS cnt, round(sum(value), 2) AS total FROM events GROUP BY user_id
 """)
