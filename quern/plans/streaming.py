@@ -910,6 +910,28 @@ def str_45_async_io(spark, sf):
         "event_id", "enriched")
 
 
+@register("str_45_async_unordered", """
+SELECT event_id, 1 AS nth, -1 AS part FROM events WHERE event_type = 'error'
+UNION ALL SELECT event_id, 1, event_id % 7 FROM events WHERE event_type <> 'error'
+UNION ALL SELECT event_id, 2, event_id % 11 FROM events WHERE event_type <> 'error' AND event_id % 2 = 0
+""")
+def str_45_async_unordered(spark, sf):
+    # a service that answers odd ids with one element, even ids with two, and never about errors: their time-out is handled
+    from quern.streaming.async_io import async_flat_map
+
+    async def service(request):
+        import asyncio
+        if request["event_type"] == "error":
+            await asyncio.sleep(3600)
+        await asyncio.sleep(0.001 * (request["event_id"] % 5))
+        return [(1, request["event_id"] % 7)] + ([(2, request["event_id"] % 11)] if request["event_id"] % 2 == 0 else [])
+
+    ev = t(spark, sf, "events").select("event_id", F.struct("event_id", "event_type").alias("request"))
+    out = async_flat_map(ev, "request", "answer", "struct<nth:int,part:long>", service, ordered=False, capacity=2_000,
+                         timeout_s=0.5, on_timeout=lambda request: [(1, -1)])
+    return out.select("event_id", "answer.nth", "answer.part")
+
+
 @register("str_46_iteration", """
 SELECT event_id, CASE WHEN value < 1 THEN 0 ELSE floor(log2(value))::BIGINT + 1 END AS rounds FROM events
 """)
