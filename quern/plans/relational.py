@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import functools
+import re
+import uuid
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -313,6 +315,57 @@ def set_17_sql_ddl(spark, sf):
     return out
 
 
+def _catalog_state(spark, step: int, db: str):
+    """What the catalogue says of a database: a row for each table with its columns, its property and the sum over its rows."""
+    out = None
+    for name in sorted(x.name for x in spark.catalog.listTables(db) if not x.isTemporary):
+        table = spark.table(f"{db}.{name}")
+        props = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {db}.{name}").collect()}
+        row = table.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum("cnt"), F.lit(0)).alias("total")).select(
+            F.lit(step).alias("step"), F.lit(name).alias("tbl"), F.lit(",".join(table.columns)).alias("cols"),
+            F.lit(props.get("purpose")).cast("string").alias("purpose"), "n_rows", "total")
+        row = spark.createDataFrame(row.collect(), row.schema)  # one row: the table may be gone when the result is read
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@register("set_17_table_ddl", """
+WITH c AS (SELECT count(DISTINCT c_mktsegment) AS n, count(*) AS s FROM customer)
+SELECT 1 AS step, 'segments' AS tbl, 'c_mktsegment,cnt' AS cols, 'draft' AS purpose, n AS n_rows, s AS total FROM c
+UNION ALL SELECT 2, 'by_segment', 'c_mktsegment,cnt', 'draft', n, s FROM c
+UNION ALL SELECT 3, 'by_segment', 'c_mktsegment,cnt', 'final', n, s FROM c
+UNION ALL SELECT 4, 'by_segment', 'c_mktsegment,cnt,note', NULL, 2 * n, 2 * s FROM c
+UNION ALL SELECT 5, 'by_segment', 'c_mktsegment,cnt,note', NULL, 2 * n, 2 * s FROM c
+UNION ALL SELECT 5, 'second', 'c_mktsegment,cnt,note', NULL, 0, 0
+UNION ALL SELECT 6, 'second', 'c_mktsegment,cnt,note', NULL, 0, 0
+""")
+def set_17_table_ddl(spark, sf):
+    # CREATE, INSERT, ALTER (rename, properties, columns), CREATE LIKE and DROP of tables, each seen in the catalogue afterwards
+    db, loc = f"quern_{uuid.uuid4().hex}", scratch_path(spark, "ddl")
+    source = t(spark, sf, "customer").groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("cnt"))
+    steps = [
+        [f"CREATE TABLE {db}.segments (c_mktsegment STRING, cnt BIGINT) USING parquet TBLPROPERTIES ('purpose' = 'draft')",
+         f"INSERT INTO {db}.segments SELECT * FROM {{source}}"],
+        [f"ALTER TABLE {db}.segments RENAME TO {db}.by_segment"],
+        [f"ALTER TABLE {db}.by_segment SET TBLPROPERTIES ('purpose' = 'final')"],
+        [f"ALTER TABLE {db}.by_segment UNSET TBLPROPERTIES ('purpose')",
+         f"ALTER TABLE {db}.by_segment ADD COLUMNS (note STRING)",
+         f"INSERT INTO {db}.by_segment SELECT *, 'again' FROM {{source}}"],
+        [f"CREATE TABLE {db}.second LIKE {db}.by_segment"],
+        [f"DROP TABLE {db}.by_segment", f"DROP TABLE IF EXISTS {db}.segments"]]
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{loc}'")
+    try:
+        out = None
+        for step, statements in enumerate(steps, 1):
+            for statement in statements:
+                spark.sql(statement, **({"source": source} if "{source}" in statement else {}))
+            seen = _catalog_state(spark, step, db)
+            out = seen if out is None else out.unionByName(seen)
+        return out
+    finally:
+        spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
 @register("set_18_computed_columns_watermark", """
 SELECT event_id, ts + INTERVAL 1 HOUR AS local_ts, value * 2 AS doubled FROM events
 """)
@@ -352,6 +405,57 @@ def set_20_databases(spark, sf):
         spark.catalog.setCurrentDatabase(prev)
 
 
+@register("set_20_database_ddl", """
+WITH n AS (SELECT count(*) AS n FROM nation), r AS (SELECT count(*) AS n FROM region)
+SELECT 1 AS step, 'one' AS db, 'first' AS note, NULL AS stage, '' AS tables, 0 AS n_rows
+UNION ALL SELECT 2, 'one', 'first', 'raw', 'places', n FROM n
+UNION ALL SELECT 2, 'two', NULL, NULL, 'places', n FROM r
+UNION ALL SELECT 3, 'one', 'first', 'clean', 'places', n FROM n
+UNION ALL SELECT 3, 'two', NULL, NULL, 'places', n FROM r
+UNION ALL SELECT 4, 'two', NULL, NULL, 'places', n FROM r
+""")
+def set_20_database_ddl(spark, sf):
+    # CREATE, USE, ALTER and DROP of databases: one table name in two of them, a database that isn't empty can't go without CASCADE
+    from pyspark.errors import AnalysisException
+    mark, loc, prev = uuid.uuid4().hex, scratch_path(spark, "databases"), spark.catalog.currentDatabase()
+    one, two = f"quern_one_{mark}", f"quern_two_{mark}"
+
+    def state(step):
+        rows = []
+        for name, db in (("one", one), ("two", two)):
+            if not spark.catalog.databaseExists(db):
+                continue
+            info = {r.info_name: r.info_value for r in spark.sql(f"DESCRIBE DATABASE EXTENDED {db}").collect()}
+            stage = re.search(r"\(stage,(\w+)\)", info.get("Properties") or "")
+            tables = sorted(x.name for x in spark.catalog.listTables(db) if not x.isTemporary)
+            n = sum(spark.table(f"{db}.{x}").count() for x in tables)
+            rows.append((step, name, info.get("Comment") or None, stage and stage[1], ",".join(tables), n))
+        return rows
+
+    try:
+        spark.sql(f"CREATE DATABASE {one} COMMENT 'first' LOCATION '{loc}/one'")
+        rows = state(1)
+        spark.sql(f"ALTER DATABASE {one} SET DBPROPERTIES ('stage' = 'raw')")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {two} LOCATION '{loc}/two'")
+        for db, table in ((one, "nation"), (two, "region")):
+            spark.sql(f"USE {db}")
+            spark.sql("CREATE TABLE places USING parquet AS SELECT * FROM {src}", src=t(spark, sf, table))
+        rows += state(2)
+        spark.sql(f"ALTER DATABASE {one} SET DBPROPERTIES ('stage' = 'clean')")
+        try:
+            spark.sql(f"DROP DATABASE {one} RESTRICT")
+        except AnalysisException:
+            pass
+        rows += state(3)
+        spark.sql(f"DROP DATABASE {one} CASCADE")
+        rows += state(4)
+    finally:
+        spark.catalog.setCurrentDatabase(prev)
+        for db in (one, two):
+            spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+    return spark.createDataFrame(rows, "step int, db string, note string, stage string, tables string, n_rows long")
+
+
 @register("set_21_functions_ddl", """
 SELECT p_partkey, upper(p_brand) || '/' || p_size AS label FROM part
 """)
