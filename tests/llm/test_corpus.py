@@ -18,7 +18,7 @@ from tests.llm.conftest import ODD
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     cur = con.execute(SQL[name])
     names = [d[0] for d in cur.description]
