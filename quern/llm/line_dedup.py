@@ -83,12 +83,13 @@ def removed_chunks(docs: DataFrame) -> DataFrame:
         lambda c: let(chunk_text(ls, c), lambda t: F.struct(c.alias("code"), F.xxhash64(t).alias("digest"), F.octet_length(t).alias("bytes"), (F.trim(t) == "").alias("blank")))))
     placed = docs.select(F.col("doc_id").alias("id"), F.col(HASH).alias("hash"), F.explode(chunks).alias("chunk"))
     placed = written(placed.select("id", "hash", "chunk.*").filter("not blank").drop("blank"))
-    repeated = placed.groupBy("digest", "bytes").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    # What is joined back is written first: behind an aggregate Spark couldn't split a chunk that stands in very many places.
+    repeated = written(placed.groupBy("digest", "bytes").agg(F.count("*").alias("n")).filter("n > 1").drop("n"))
     suspects = placed.join(repeated, ["digest", "bytes"]).groupBy("id", "hash").agg(F.collect_set("code").alias("codes"))
     texts = let(lines_of(F.col("text")), lambda ls: F.transform("codes", lambda c: F.struct(c.alias("code"), chunk_text(ls, c).alias("chunk"))))
     suspect = _of_document(docs, suspects, "inner").select(F.col("doc_id").alias("id"), F.col(HASH).alias("hash"), F.explode(texts).alias("s")).select("id", "hash", "s.*")
     place = F.struct("id", "code", "hash")
-    first = suspect.groupBy("chunk").agg(F.min(place).alias("first"))
+    first = written(suspect.groupBy("chunk").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n"))
     again = suspect.join(first, "chunk").filter(~place.eqNullSafe(F.col("first")))
     return again.groupBy("id", "hash").agg(F.collect_set("code").alias("removed"))
 
