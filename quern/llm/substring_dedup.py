@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import as_texts, prepare, text_batches, words
+from quern.llm.common import as_texts, prepare, text_batches, words, written
 
 LEAST_WORDS = 8
 #: A sentence ends at such a sign with white space behind it.
@@ -93,7 +93,8 @@ def repeated(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     """One row for each unit to remove: doc_id, text_hash, start, end, n_words, whole, kept_doc_id and kept_start (the occurrence that stays)."""
     found = all_units(docs, least)
     place = F.struct("doc_id", "start", "text_hash")
-    kept = found.groupBy("digest").agg(F.min(place).alias("kept"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    # Written, so that both sides of the join are scans behind a plain shuffle: only then can Spark split a digest that stands in very many places.
+    kept = written(found.groupBy("digest").agg(F.min(place).alias("kept"), F.count("*").alias("n")).filter("n > 1").drop("n"))
     again = found.join(kept, "digest").filter(~place.eqNullSafe(F.col("kept")))
     # Lines that go, once more as a filter for their own sentences: a line's units are few.
     lines = again.groupBy("doc_id", "text_hash", "line").agg(F.max("whole").alias("gone"), F.collect_set(F.struct("whole", "start", "end", "n_words", "kept")).alias("units"))
