@@ -123,7 +123,7 @@ def placed_units(docs: DataFrame) -> DataFrame:
 def later_units(units: DataFrame) -> DataFrame:
     """The units whose key an earlier place has, with that place as ``kept``."""
     place = F.struct("id", "hash", "first", "last")
-    kept = units.groupBy("key").agg(F.min(place).alias("kept"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    kept = written(units.groupBy("key").agg(F.min(place).alias("kept"), F.count("*").alias("n")).filter("n > 1").drop("n"))
     return units.join(kept, "key").filter(~place.eqNullSafe(F.col("kept")))
 
 

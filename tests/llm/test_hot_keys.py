@@ -50,3 +50,10 @@ def test_a_chunk_of_all_documents_is_split_in_line_dedup(spark, split):
     assert split(removed)
     rows = removed.collect()
     assert len(rows) == N - 1 and 0 not in {r.id for r in rows}
+
+
+def test_lines_of_all_documents_are_split_in_whole_line_dedup(spark, split):
+    docs = _docs(spark).withColumn(line_dedup.HASH, F.xxhash64("text"))
+    later = line_dedup.later_units(line_dedup.placed_units(docs))
+    assert split(later)
+    assert later.count() == N - 1
