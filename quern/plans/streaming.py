@@ -1,7 +1,7 @@
 """STR-*, AGG-03, JOI-11, OVR-05, SET-02/03, SRC-11/15: streaming runs.
 
 Every query runs a given table as an arriving stream through the real Structured Streaming operators and returns what
-the stream emitted.  Most replay it in event-time order (micro-batches of ``BATCH_ROWS`` rows and an end of input), so each result
+the stream emitted.  Most replay it in event-time order (``BATCHES`` micro-batches at most, of ``BATCH_ROWS`` rows or more, and an end of input), so each result
 equals a batch query, which is the oracle.  The regular joins, the firings of windows and the merging sessions get their rows out of order,
 and rows taken back, from :mod:`quern.streaming.arrival`; their SQL works out the watermark of every slice.
 """
@@ -20,28 +20,29 @@ from quern.plans.registry import register
 from quern.sources.replay import replay
 from quern.sources.tables import stream_table, table_path
 from quern.streaming import processors as P
-from quern.streaming.runner import drop_flush, final_by_key, run_to_table
+from quern.streaming.runner import drop_flush, final_by_key, run_to_table, state_partitions
 from quern.streaming.watermarks import bounded_out_of_orderness
 from quern.session import ensure_stateful_conf, scratch_path
 
 _DISORDER = "ts - to_microseconds(CAST(round(value * 60000000) AS BIGINT))"
 
-#: Rows of a micro-batch, whatever the table's size.
-BATCH_ROWS = 5_000
+#: Least rows of a micro-batch and most micro-batches of a table: a larger table comes in larger batches, as the fixed cost
+#: of one (state stores, files, log entries) would else grow with the table.  A batch is read by tasks of ``TASK_ROWS``.
+BATCH_ROWS, BATCHES, TASK_ROWS = 5_000, 20, 100_000
 
 
 def events_stream(spark, sf, *, delay: str = "0 seconds", flush: bool = True, repeat: int = 1):
     """The events table as a stream with an event-time watermark on ``ts``."""
     ensure_stateful_conf(spark)
     path = table_path(sf, "events")
-    df = replay(spark, path, rows_per_batch=BATCH_ROWS, flush=flush, time_column="ts", repeat=repeat)
+    df = replay(spark, path, rows_per_batch=BATCH_ROWS, most_batches=BATCHES, partition_rows=TASK_ROWS, flush=flush, time_column="ts", repeat=repeat)
     df = bounded_out_of_orderness(df, "ts", delay)
     return drop_flush(df, "ts")
 
 
 def stream_rows(spark, sf, *, repeat: int = 1):
     """The events table as a stream without a watermark: no row is late."""
-    return replay(spark, table_path(sf, "events"), rows_per_batch=BATCH_ROWS, repeat=repeat)
+    return replay(spark, table_path(sf, "events"), rows_per_batch=BATCH_ROWS, most_batches=BATCHES, partition_rows=TASK_ROWS, repeat=repeat)
 
 
 def _ts_ntz(df, *cols):
@@ -580,7 +581,8 @@ def str_44_queryable_state(spark, sf):
     ev = events_stream(spark, sf)
     agg = ev.groupBy("user_id").agg(F.count(F.lit(1)).alias("cnt"))
     ck = scratch_path(spark, "qs_ck")
-    q = (agg.writeStream.outputMode("update").format("noop").option("checkpointLocation", ck).start())
+    with state_partitions(spark):
+        q = (agg.writeStream.outputMode("update").format("noop").option("checkpointLocation", ck).start())
     try:
         q.processAllAvailable()
     finally:

@@ -93,6 +93,10 @@ def ensure_stateful_conf(spark: SparkSession) -> None:
             spark.conf.set(key, ROCKSDB_PROVIDER)
         except Exception:  # pragma: no cover - conf locked by the cluster
             pass
+    # A commit writes the changes of its micro-batch, not the whole store; a session that says otherwise keeps that.
+    changelog = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+    if spark.conf.get(changelog, None) is None:
+        spark.conf.set(changelog, "true")
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 

@@ -1,7 +1,7 @@
 """SRC-10 custom source: a table replayed as a stream (Python Data Source API).
 
 ``quern_replay`` serves the rows of a parquet table in file order, a fixed
-number of rows per micro-batch, so a bounded table behaves like an arriving
+number of rows per micro-batch (more where ``mostBatches`` would else be passed), so a bounded table behaves like an arriving
 stream: the watermark advances between batches and windows close the way
 they do on live data.  Each micro-batch is cut into row-range partitions read
 by the executors (pyarrow, row groups pruned by their offsets), so no data
@@ -11,7 +11,8 @@ the final watermark of a bounded stream and must be filtered out after the
 watermark is assigned (:func:`quern.streaming.runner.drop_flush`).
 
 Options: ``path`` (a parquet file, or a folder of them in order of their names), ``rowsPerBatch`` (default 100000),
-``partitionRows`` (rows per read task, default 1000000), ``flush``,
+``mostBatches`` (a longer table comes in so many micro-batches, each of more rows: every one costs a round of state
+stores, files and log entries, whatever its rows; by default no bound), ``partitionRows`` (rows per read task, default 1000000), ``flush``,
 ``timeColumn`` (required with flush), ``repeat`` (deliver the table n times:
 at-least-once replay for de-duplication tests).
 """
@@ -25,6 +26,8 @@ from pyspark.sql.types import BooleanType, StructField, StructType
 # Two end-of-input batches: the first moves the watermark to the far future,
 # the second runs with it, so every window and timer still open fires.
 FLUSH_BATCHES = 2
+# Rows that a read task holds at once.
+READ_ROWS = 65_536
 
 
 class _Range(InputPartition):
@@ -68,11 +71,19 @@ def _read_range(path: str, schema: StructType, start: int, end: int):
                         gn = meta.row_group(g).num_rows
                         if at + gn > lo and at < hi:
                             first, last = max(lo - at, 0), min(hi - at, gn)
-                            tbl = opened.read_row_group(g, columns=names).slice(first, last - first)
-                            tbl = tbl.append_column("_eoi", pa.array([False] * len(tbl), pa.bool_()))
-                            # nanosecond timestamps become microseconds
-                            tbl = pa.Table.from_arrays([tbl[x.name].cast(x.type, safe=False) for x in out], schema=out)
-                            yield from tbl.combine_chunks().to_batches()
+                            seen = 0
+                            for b in opened.iter_batches(READ_ROWS, row_groups=[g], columns=names):
+                                begin, seen = seen, seen + len(b)
+                                if begin >= last:
+                                    break
+                                skip = max(first - begin, 0)
+                                tbl = pa.Table.from_batches([b]).slice(skip, min(last, seen) - begin - skip) if seen > first else None
+                                if not tbl:
+                                    continue
+                                tbl = tbl.append_column("_eoi", pa.array([False] * len(tbl), pa.bool_()))
+                                # nanosecond timestamps become microseconds
+                                tbl = pa.Table.from_arrays([tbl[x.name].cast(x.type, safe=False) for x in out], schema=out)
+                                yield from tbl.combine_chunks().to_batches()
                         at += gn
             base += meta.num_rows
         pos += hi - lo
@@ -87,6 +98,8 @@ class _Base:
         self.flush = str(options.get("flush", "false")).lower() == "true"
         self.time_col = options.get("timeColumn")
         self.total = _num_rows(self.path) * int(options.get("repeat", 1))
+        if options.get("mostBatches"):
+            self.rows_per_batch = max(self.rows_per_batch, -(-self.total // int(options["mostBatches"])))
 
     def _parts(self, start: int, end: int):
         parts = []
@@ -153,7 +166,8 @@ class ReplaySource(DataSource):
         from pyspark.sql.pandas.types import from_arrow_schema
         # zone-less parquet timestamps stay zone-less, as spark.read.parquet reads them
         s = from_arrow_schema(pq.read_schema(_files(self.options["path"])[0]), prefer_timestamp_ntz=True)
-        return StructType(list(s.fields) + [StructField("_eoi", BooleanType(), True)])
+        # nullable whatever the file says: the end-of-input rows are nulls
+        return StructType([StructField(f.name, f.dataType, True) for f in s.fields] + [StructField("_eoi", BooleanType(), True)])
 
     def reader(self, schema):
         return _BatchReader(schema, self.options)
@@ -170,7 +184,7 @@ def register(spark) -> None:
 
 def replay(spark, path: str, rows_per_batch: int = 100000, *, flush: bool = False,
            time_column: str | None = None, repeat: int = 1, streaming: bool = True,
-           partition_rows: int = 1000000):
+           partition_rows: int = 1000000, most_batches: int | None = None):
     register(spark)
     reader = spark.readStream if streaming else spark.read
     r = (reader.format("quern_replay").option("path", path)
@@ -178,4 +192,6 @@ def replay(spark, path: str, rows_per_batch: int = 100000, *, flush: bool = Fals
          .option("flush", str(flush).lower()).option("repeat", repeat))
     if time_column:
         r = r.option("timeColumn", time_column)
+    if most_batches:
+        r = r.option("mostBatches", most_batches)
     return r.load()

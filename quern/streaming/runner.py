@@ -8,12 +8,31 @@ again is not counted twice.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.session import ensure_stateful_conf, scratch_path
 
 
+#: Most state partitions a core: each opens and commits its stores in every micro-batch, with rows or without.
+PARTITIONS_A_CORE = 2
+
+
+@contextmanager
+def state_partitions(spark: SparkSession):
+    """Streams started inside have the session's number of shuffle partitions, but at most ``PARTITIONS_A_CORE`` for each core.
+    A stream keeps the number it was started with."""
+    key = "spark.sql.shuffle.partitions"
+    own = spark.conf.get(key)
+    spark.conf.set(key, min(int(own), PARTITIONS_A_CORE * spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, own)
+
+
 def drop_flush(df: DataFrame, ts: str) -> DataFrame:
     """Remove the end-of-input rows after the watermark has seen them.
 
@@ -48,7 +67,8 @@ def run_to_table(df: DataFrame, output_mode: str = "append", *, spark: SparkSess
     w = df.writeStream.outputMode(output_mode).option("checkpointLocation", ck).foreachBatch(sink)
     if trigger_once:
         w = w.trigger(availableNow=True)
-    q = w.start()
+    with state_partitions(spark):
+        q = w.start()
     try:
         if trigger_once:
             q.awaitTermination()

@@ -57,3 +57,45 @@ def test_a_repeated_micro_batch_replaces_its_rows(spark):
     assert run_to_table(ev).count() == spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
     nothing = run_to_table(stream_rows(spark, SF_SMALL).filter("event_id < 0"))
     assert nothing.count() == 0
+
+
+def test_a_longer_table_comes_in_larger_batches_not_in_more(spark, tmp_path):
+    from quern.plans.streaming import BATCH_ROWS, BATCHES, stream_rows
+    n = BATCH_ROWS * BATCHES * 3 + 17
+    spark.range(n).selectExpr("id AS event_id").repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    seen = []
+    stream = stream_rows(spark, str(tmp_path))
+    q = stream.writeStream.foreachBatch(lambda b, i: seen.append(b.agg({"event_id": "sum", "*": "count"}).first())).option(
+        "checkpointLocation", str(tmp_path / "ck")).start()
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert len(seen) == BATCHES
+    assert sum(r["count(1)"] for r in seen) == n and sum(r["sum(event_id)"] for r in seen) == n * (n - 1) // 2
+
+
+def test_replay_ends_a_table_whose_columns_are_required(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from quern.streaming.runner import drop_flush, run_to_table
+    from quern.streaming.watermarks import bounded_out_of_orderness
+    path = str(tmp_path / "t.parquet")
+    schema = pa.schema([pa.field("ts", pa.timestamp("us"), nullable=False), pa.field("kind", pa.string(), nullable=False)])
+    pq.write_table(pa.table({"ts": [0, 1_000_000], "kind": ["a", "b"]}, schema=schema), path)
+    df = bounded_out_of_orderness(replay(spark, path, flush=True, time_column="ts"), "ts", "0 seconds")
+    assert {r.kind for r in run_to_table(drop_flush(df, "ts").select("kind")).collect()} == {"a", "b"}
+
+
+def test_streams_open_few_state_partitions_a_core(spark):
+    from quern.streaming.runner import PARTITIONS_A_CORE, state_partitions
+    key, own = "spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")
+    most = PARTITIONS_A_CORE * spark.sparkContext.defaultParallelism
+    try:
+        for given in (most + 100, 1):
+            spark.conf.set(key, given)
+            with state_partitions(spark):
+                assert int(spark.conf.get(key)) == min(given, most)
+            assert int(spark.conf.get(key)) == given
+    finally:
+        spark.conf.set(key, own)
