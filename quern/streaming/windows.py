@@ -54,27 +54,31 @@ class TimedWindows(StatefulProcessor):
         w[4] = w[0]
         return self.make(key[0], from_ms(start), firing, from_ms(at), w[0], round(w[1], 2))
 
-    def _wake(self, start: int, w: list) -> None:
-        """Timers for what comes next; a time that has passed needs none."""
+    def _next(self, start: int, w: list) -> int:
+        """When the watermark has something to do with a window next."""
         end = start + self.size - 1
-        times = [end + self.lateness]
-        if not w[2]:
-            times.append(end)
-            if self.early and start + (w[3] + 1) * self.early < end:
-                times.append(start + (w[3] + 1) * self.early)
-        for t in times:
-            self.handle.registerTimer(t - self.held_back)
-
-    def _settle(self, start: int, w: list, mark: int) -> None:
-        if mark >= start + self.size - 1 + self.lateness:
-            self.windows.removeKey((start,))
-        else:
-            self.windows.updateValue((start,), tuple(w))
-            self._wake(start, w)
+        if w[2]:
+            return end + self.lateness
+        return min(end, start + (w[3] + 1) * self.early) if self.early else end
+
+    def _settle(self, held: dict, before: dict, mark: int) -> None:
+        """Stores what changed.  A key has one timer, for the first thing to do, as whichever goes off acts on all its windows."""
+        due = []
+        for start, w in held.items():
+            if mark >= start + self.size - 1 + self.lateness:
+                if start in before:
+                    self.windows.removeKey((start,))
+                continue
+            if w != before.get(start):
+                self.windows.updateValue((start,), tuple(w))
+            due.append(self._next(start, w))
+        if due:
+            self.handle.registerTimer(min(due) - self.held_back)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         mark = timerValues.getCurrentWatermarkInMs() + self.held_back
-        held = {k[0]: list(v) for k, v in self.windows.iterator()}
+        before = {k[0]: list(v) for k, v in self.windows.iterator()}
+        held = {start: list(w) for start, w in before.items()}
         for start in sorted(held):
             yield from self._advance(key, start, held[start], mark)
         for r in sorted((r for r in rows if r[self.ts] is not None), key=lambda r: r[self.order]):
@@ -87,17 +91,15 @@ class TimedWindows(StatefulProcessor):
             w[0], w[1] = w[0] + 1, w[1] + (r[self.value] or 0.0)
             if w[2]:
                 yield self._row(key, start, "late", t, w)
-        for start, w in held.items():
-            self._settle(start, w, mark)
+        self._settle(held, before, mark)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         mark = timerValues.getCurrentWatermarkInMs() + self.held_back
-        for k, v in list(self.windows.iterator()):
-            w = list(v)
-            before = list(w)
-            yield from self._advance(key, k[0], w, mark)
-            if w != before or mark >= k[0] + self.size - 1 + self.lateness:
-                self._settle(k[0], w, mark)
+        before = {k[0]: list(v) for k, v in self.windows.iterator()}
+        held = {start: list(w) for start, w in before.items()}
+        for start, w in held.items():
+            yield from self._advance(key, start, w, mark)
+        self._settle(held, before, mark)
 
     def close(self) -> None:
         pass

@@ -98,6 +98,19 @@ def test_firings(seed, lateness, early):
     assert "on time" in kinds and ("early" in kinds) == bool(early) and ("late" in kinds) == bool(lateness)
 
 
+@pytest.mark.parametrize("early", [None, 15 * MIN])
+def test_a_key_has_one_timer_a_micro_batch_and_writes_changed_windows_only(early):
+    processor, clock = TimedWindows(60 * MIN, 600 * MIN, early, "ts", "v", "id"), Clock()
+    processor.init(clock)
+    rows = [{"ts": from_ms(T0 + i * 60 * MIN), "id": i, "v": 1.0} for i in range(9)]
+    list(processor.handleInputRows((7,), iter(rows), clock))
+    assert len(clock.timers) == 1 and len(clock.store.rows) == 9
+    written, put = [], clock.store.updateValue
+    clock.store.updateValue = lambda k, v: (written.append(k), put(k, v))
+    list(processor.handleInputRows((7,), iter(rows[3:4]), clock))
+    assert len(clock.timers) == 1 and written == [(T0 + 180 * MIN,)]
+
+
 def plain_sessions(times, gap):
     out = []
     for t in sorted(times):
