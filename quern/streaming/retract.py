@@ -5,7 +5,8 @@ COUNT, SUM and AVG take back a row by subtracting it; MIN, MAX, LISTAGG and COUN
 at most once a micro-batch.  Sums of doubles are kept as non-overlapping parts, so that taking back is exact.
 
 Changes of a key commute: within a micro-batch equal rows are netted before the shuffle, Arrow batch by Arrow batch, and a row that is
-taken back before it is added has a negative count until then.  The output is a changelog too: for each key whose result changed
+taken back before it is added has a negative count until then.  A multiset that is small beside the changes of a micro-batch is read
+at once instead of value by value.  The output is a changelog too: for each key whose result changed
 in a micro-batch ``-`` with the old row, if there was one, and ``+`` with the new one, if the key still has rows.
 Nulls and NaN are no values; a key of nulls only has a row of nulls (count 0).
 """
@@ -22,6 +23,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 COUNTED = ("min", "max", "count_distinct", "listagg")
+#: A multiset of at most so many values for each changed one is read whole; so is that of LISTAGG, which needs it anyway.
+WHOLE = 8
+#: Types whose values come back from the state as they went in.
+PLAIN = (T.IntegralType, T.DoubleType, T.StringType, T.BooleanType)
 
 
 @dataclass(frozen=True)
@@ -83,8 +88,14 @@ class RetractAggregates(StatefulProcessor):
         """Brings the multiset up to date, and what is kept beside it."""
         a, state, gone = self.aggs[i], self.values[i], False
         best = min if a.fn == "min" else max
+        whole = (a.fn == "listagg" or s["n"] <= WHOLE * len(changes)) and all(isinstance(f.dataType, PLAIN) for f in self.types[i])
+        held = {tuple(k): (tuple(k), n[0]) for k, n in state.iterator()} if whole else {}
         for v, by in changes.items():
-            old = state.getValue(v)[0] if state.containsKey(v) else 0
+            if whole:
+                v, old = held.get(v, (v, 0))
+                held[v] = v, old + by
+            else:
+                old = state.getValue(v)[0] if state.containsKey(v) else 0
             if old + by:
                 state.updateValue(v, (old + by,))
             elif old:
@@ -95,11 +106,12 @@ class RetractAggregates(StatefulProcessor):
                 if came:
                     s["top"] = v[-1] if s.get("top") is None else best(s["top"], v[-1])
                 gone |= left and v[-1] == s["top"]
+        now = lambda: (kn for kn in (held.values() if whole else ((tuple(k), n[0]) for k, n in state.iterator())) if kn[1] > 0)
         if gone:
-            s["top"] = best((k[0] for k, n in state.iterator() if n[0] > 0), default=None)
+            s["top"] = best((k[0] for k, _ in now()), default=None)
         if a.fn == "listagg":
-            held = sorted(((tuple(k), n[0]) for k, n in state.iterator() if n[0] > 0), key=lambda x: [(y is not None, y) for y in x[0]])
-            s["text"] = a.delimiter.join(str(k[-1]) for k, n in held for _ in range(n)) if held else None
+            kept = sorted(now(), key=lambda x: [(y is not None, y) for y in x[0]])
+            s["text"] = a.delimiter.join(str(k[-1]) for k, n in kept for _ in range(n)) if kept else None
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         before = pickle.loads(self.sums.get()[0]) if self.sums.exists() else None

@@ -124,3 +124,20 @@ def test_unknown_aggregates_are_refused():
     for bad in (("median", "v"), ("sum", None)):
         with pytest.raises(ValueError, match="not an aggregate"):
             Agg(*bad)
+
+
+def test_a_small_multiset_is_read_at_once():
+    reads = []
+
+    class Counted(Multiset):
+        def containsKey(self, k):
+            reads.append(k)
+            return super().containsKey(k)
+
+    p = RetractAggregates({"least": Agg("min", "v")}, T.StructType([T.StructField("v", T.DoubleType())]), ["op", "k", "least"])
+    p.values, kept = {0: Counted()}, {"n": 0, "parts": []}
+    p._count(0, kept, {(x / 2,): 1 for x in range(40)})
+    p._count(0, kept, {(0.0,): -1, (0.5,): -1, (1.0,): 2, (7.0,): -1, (90.0,): 1})
+    assert kept["top"] == 1.0 and kept["n"] == 38 and not reads
+    p._count(0, kept, {(1.0,): -3})  # few changes beside the multiset: value by value
+    assert kept["top"] == 1.5 and kept["n"] == 37 and reads == [(1.0,)]
