@@ -45,20 +45,34 @@ def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys]) if keys else F.lit(0).cast("long")
 
 
+def _turned(c: Column, kind: T.DataType) -> Column:
+    """A column that rises where ``c`` falls, nulls last.  A rounded double doesn't break the order: equal values share a slice."""
+    if isinstance(kind, T.StringType):  # byte by byte; the end of a string comes behind any byte, a null behind both
+        return F.coalesce(F.concat(F.translate(F.hex(c.cast("binary")), "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("G")), F.lit("H"))
+    if isinstance(kind, T.DateType):
+        c = F.unix_date(c)
+    elif isinstance(kind, T.TimestampType):
+        c = F.unix_micros(c)
+    elif isinstance(kind, T.TimestampNTZType):
+        c = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast(kind), c)
+    elif isinstance(kind, T.BooleanType):
+        c = c.cast("int")
+    return F.coalesce(-c.cast("double"), F.lit(float("inf")))
+
+
 def _rising(df: DataFrame, order: Sequence[str | Column]) -> list[Column]:
     """The leading order columns as columns that rise in the order; those behind
-    one that can't be turned are left out (their rows then share a slice)."""
+    one of an unknown order are left out (their rows then share a slice)."""
     out = []
     for o in order:
         m = re.fullmatch(r"Column<'(.+?)(?: (ASC|DESC) NULLS (FIRST|LAST))?'>", str(o)) if isinstance(o, Column) else None
         name, falls, last = (o, False, False) if isinstance(o, str) else (m[1], m[2] == "DESC", m[3] == "LAST") if m else (None, False, False)
         kind = df.schema[name].dataType if name in df.columns else None
-        if not isinstance(kind, _PLAIN) or falls and not isinstance(kind, T.NumericType):
+        if not isinstance(kind, _PLAIN):
             break
         if last != falls:  # nulls at the other end than Spark's default
             out.append(F.col(name).isNull() if last else F.col(name).isNotNull())
-        # A rounded double doesn't break the order: equal values share a slice.  Nulls of a falling order come last.
-        out.append(F.coalesce(-F.col(name).cast("double"), F.lit(float("inf"))) if falls else F.col(name))
+        out.append(_turned(F.col(name), kind) if falls else F.col(name))
     return out
 
 
@@ -84,12 +98,13 @@ def with_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
         return df.withColumn(_PID, F.lit(0))
     fields = places.schema["p"].dataType.fields
     bounds = F.array(*[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(b, fields)]) for b in chosen])
-    # Binary search: how many bounds lie at or below the row.
-    step = lambda a, _: F.when(a["lo"] >= a["hi"], a).otherwise(
-        F.when(F.get(bounds, F.floor((a["lo"] + a["hi"]) / 2).cast("int")) <= place, F.struct((F.floor((a["lo"] + a["hi"]) / 2) + 1).cast("int").alias("lo"), a["hi"].alias("hi")))
+    # Binary search: how many bounds lie at or below the row, whose place is worked out once.
+    step = lambda at: lambda a, _: F.when(a["lo"] >= a["hi"], a).otherwise(
+        F.when(F.get(bounds, F.floor((a["lo"] + a["hi"]) / 2).cast("int")) <= at, F.struct((F.floor((a["lo"] + a["hi"]) / 2) + 1).cast("int").alias("lo"), a["hi"].alias("hi")))
         .otherwise(F.struct(a["lo"].alias("lo"), F.floor((a["lo"] + a["hi"]) / 2).cast("int").alias("hi"))))
     start = F.struct(F.lit(0).alias("lo"), F.lit(len(chosen)).alias("hi"))
-    return df.withColumn(_PID, F.aggregate(F.sequence(F.lit(0), F.lit(len(chosen).bit_length())), start, step, lambda a: a["lo"]))
+    slice_of = lambda at: F.aggregate(F.sequence(F.lit(0), F.lit(len(chosen).bit_length())), start, step(at), lambda a: a["lo"])
+    return df.withColumn(_PID, F.transform(F.array(place), slice_of)[0])
 
 
 def prefix_scan(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],

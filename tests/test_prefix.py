@@ -79,3 +79,21 @@ def test_prefix_scan_and_frames_are_lazy_sql_plans(spark):
     df = spark.range(100).withColumn("k", F.col("id") % 3)
     plan = rows_frame(df, ["k"], ["id"], {"x": ("sum", "id", -2, 0)}, num_slices=3)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_falling_strings_times_and_flags_are_cut_into_slices(spark):
+    import datetime
+
+    from pyspark.sql import Window
+
+    from quern.operators.prefix import with_slices
+    words = ["", "a", "ab", "abc", "b", "é", "中", "\U0001F600", None, "a\x00", "A"]
+    rows = [(i, words[i % 11], None if i % 13 == 0 else datetime.date(2020, 1, 1 + i % 28), datetime.datetime(1969, 12, 31, 23, 59, i % 60, i), i % 3 == 0) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, w string, d date, t timestamp_ntz, f boolean").withColumn("z", F.col("t").cast("timestamp"))
+    for name in ("w", "d", "t", "z", "f"):
+        for order in ([F.col(name).desc()], [F.col(name).desc_nulls_first()], [F.col(name).desc(), F.col("id").desc()]):
+            cols = [*order, F.col("id")]
+            assert with_slices(df, [], cols, 9).select("_q_pid").distinct().count() > 4
+            got = prefix_scan(df, [], cols, num_slices=9).select("id", "rn").collect()
+            want = df.select("id", F.row_number().over(Window.orderBy(*cols)).alias("rn")).collect()
+            assert sorted(map(tuple, got)) == sorted(map(tuple, want))
