@@ -36,10 +36,11 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages of two lines or more that an earlier place has; documents of which nothing is left go.
+    """Texts without the content-defined chunks of lines, compared byte by byte, and the other passages of two lines or more that an
+    earlier place has; documents of which nothing is left go.
     Near copies, by the next stage's rule, that share lines with their first copy go here, while they can be told."""
     lines, removed = free(docs, "n_lines"), free(docs, "n_removed")
-    left = line_dedup.dedup_whole(docs, counts=(lines, removed), near=(NEAR.shingle, NEAR.percent))
+    left = line_dedup.dedup_whole(docs, counts=(lines, removed), near=(NEAR.shingle, NEAR.percent), chunks=True)
     left = left.filter(F.col("text").isNull() | (F.col("text") != "") | (F.col(removed) == 0))
     n_chars = F.when(F.col(removed) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")) if "n_chars" in docs.columns else None
     return left.select(*[n_chars.alias(c) if c == "n_chars" else left[f"`{c}`"] for c in docs.columns])

@@ -14,6 +14,7 @@ repeat of two lines.  Its units are two lines that follow each other, blank line
 with the blank line before or behind it.  Units are grouped by 128 bits; that of the smallest (doc_id, hash of the text, line) stays,
 the lines of the others go.  So a copied passage of two lines or more goes whole, wherever it starts, and each
 line that isn't blank stays in at least one place.  Where only blank lines would be left, the text is empty.
+The pipeline has it take out the repeated chunks as well, found and compared as above, in the same order of places.
 
 Edge cases: null texts stay null and empty ones empty, with no removed lines; null ids rank first; rows equal in
 id and text are one document and keep or lose the same chunks; a document whose
@@ -76,22 +77,39 @@ def _of_document(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
     return docs.join(found, same, how).drop("id", "hash")
 
 
-def removed_chunks(docs: DataFrame) -> DataFrame:
-    """id, hash and ``removed``, the codes of the chunks to remove; ``docs``: doc_id, text, ``HASH``."""
+def of_cells(docs: DataFrame, named: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose cell, of ``NAMED``, has an (id, hash) of ``named``: few more than those named, and no text moves for it."""
+    cell = lambda *key: F.pmod(F.xxhash64(*key), F.lit(NAMED)).cast("int")
+    cells = F.broadcast(named.select(cell("id", "hash").alias("cell")).distinct())
+    return docs.join(cells, cell(docs["doc_id"], docs[HASH]) == cells["cell"], "left_semi")
+
+
+def later_chunks(docs: DataFrame, order: tuple[str, ...] = ("id", "code", "hash"), gone: DataFrame | None = None) -> DataFrame:
+    """id, hash and code of the chunks to remove: all places but the first, by ``order``, of each whole text of a chunk.
+    ``docs``: doc_id, text, ``HASH``; documents that are ``gone`` (id, hash) count as not there, and only those with suspects move."""
     chunks = let(lines_of(F.col("text")), lambda ls: F.transform(
         F.filter(chunk_codes(ls), lambda c: n_lines(c) >= LEAST_LINES),
         lambda c: let(chunk_text(ls, c), lambda t: F.struct(c.alias("code"), F.xxhash64(t).alias("digest"), F.octet_length(t).alias("bytes"), (F.trim(t) == "").alias("blank")))))
     placed = docs.select(F.col("doc_id").alias("id"), F.col(HASH).alias("hash"), F.explode(chunks).alias("chunk"))
     placed = written(placed.select("id", "hash", "chunk.*").filter("not blank").drop("blank"))
+    if gone is not None:
+        placed = placed.join(gone, (placed["id"] == gone["id"]) & (placed["hash"] == gone["hash"]), "left_anti")
     # What is joined back is written first: behind an aggregate Spark couldn't split a chunk that stands in very many places.
     repeated = written(placed.groupBy("digest", "bytes").agg(F.count("*").alias("n")).filter("n > 1").drop("n"))
     suspects = placed.join(repeated, ["digest", "bytes"]).groupBy("id", "hash").agg(F.collect_set("code").alias("codes"))
+    if gone is not None:
+        suspects = written(suspects)
+        docs = of_cells(docs, suspects)
     texts = let(lines_of(F.col("text")), lambda ls: F.transform("codes", lambda c: F.struct(c.alias("code"), chunk_text(ls, c).alias("chunk"))))
     suspect = _of_document(docs, suspects, "inner").select(F.col("doc_id").alias("id"), F.col(HASH).alias("hash"), F.explode(texts).alias("s")).select("id", "hash", "s.*")
-    place = F.struct("id", "code", "hash")
+    place = F.struct(*order)
     first = written(suspect.groupBy("chunk").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n"))
-    again = suspect.join(first, "chunk").filter(~place.eqNullSafe(F.col("first")))
-    return again.groupBy("id", "hash").agg(F.collect_set("code").alias("removed"))
+    return suspect.join(first, "chunk").filter(~place.eqNullSafe(F.col("first"))).select("id", "hash", "code")
+
+
+def removed_chunks(docs: DataFrame) -> DataFrame:
+    """id, hash and ``removed``, the codes of the chunks to remove; ``docs``: doc_id, text, ``HASH``."""
+    return later_chunks(docs).groupBy("id", "hash").agg(F.collect_set("code").alias("removed"))
 
 
 def blank(line: Column) -> Column:
@@ -127,12 +145,15 @@ def later_units(units: DataFrame) -> DataFrame:
     return units.join(kept, "key").filter(~place.eqNullSafe(F.col("kept")))
 
 
-def removed_lines(units: DataFrame) -> DataFrame:
-    """id, hash and ``removed``, the numbers of the lines to remove."""
+def removed_lines(units: DataFrame, chunks: DataFrame | None = None) -> DataFrame:
+    """id, hash and ``removed``, the numbers of the lines to remove: of the later units, and of ``chunks`` (id, hash, code)."""
     # A unit that overlaps the one that stays (three equal lines) leaves that one whole.
     same = F.col("id").eqNullSafe(F.col("kept.id")) & (F.col("hash") == F.col("kept.hash"))
     first = F.when(same, F.greatest("first", F.when(F.col("first") <= F.col("kept.last"), F.col("kept.last") + 1))).otherwise(F.col("first"))
     lines = later_units(units).select("id", "hash", F.sequence(first, "last").alias("lines"))
+    if chunks is not None:
+        start = first_line(F.col("code"))
+        lines = lines.unionByName(chunks.select("id", "hash", F.sequence(start, start + n_lines(F.col("code")) - 1).alias("lines")))
     return lines.groupBy("id", "hash").agg(F.array_distinct(F.flatten(F.collect_set("lines"))).alias("removed"))
 
 
@@ -161,10 +182,7 @@ def near_copies(docs: DataFrame, units: DataFrame, size: int, percent: int) -> D
     differ = pairs.filter("hash <> of_hash").join(n_units, ["id", "hash"]).join(of_units, ["of", "of_hash"])
     differ = written(differ.filter(100 * F.col("common") >= LEAST_COMMON * (F.col("units") + F.col("of_units") - F.col("common"))).select("id", "hash", "of", "of_hash"))
     named = differ.select("id", "hash").union(differ.select("of", "of_hash")).distinct()
-    cell = lambda *key: F.pmod(F.xxhash64(*key), F.lit(NAMED)).cast("int")
-    cells = F.broadcast(named.select(cell("id", "hash").alias("cell")).distinct())
-    some = docs.join(cells, cell(docs["doc_id"], docs[HASH]) == cells["cell"], "left_semi")
-    sets = _of_document(some, named, "inner").select(F.col("doc_id").alias("id"), F.col(HASH).alias("hash"), shingles(F.col("text"), size).alias("set")).dropDuplicates(["id", "hash"])
+    sets = _of_document(of_cells(docs, named), named, "inner").select(F.col("doc_id").alias("id"), F.col(HASH).alias("hash"), shingles(F.col("text"), size).alias("set")).dropDuplicates(["id", "hash"])
     sets = written(sets.select("*", F.size("set").alias("n")))
     of = sets.select(F.col("id").alias("of"), F.col("hash").alias("of_hash"), F.col("set").alias("of_set"), F.col("n").alias("of_n"))
     alike = differ.join(of.drop("of_set"), ["of", "of_hash"]).join(sets.drop("set"), ["id", "hash"]) \
@@ -174,19 +192,21 @@ def near_copies(docs: DataFrame, units: DataFrame, size: int, percent: int) -> D
     return written(pairs.filter("hash = of_hash").select("id", "hash").union(near.select("id", "hash")).distinct())
 
 
-def dedup_whole(df: DataFrame, counts: tuple[str, str] = ("n_lines", "n_removed"), near: tuple[int, int] | None = None) -> DataFrame:
-    """As :func:`dedup`, with every repeat of two lines or more taken out.
+def dedup_whole(df: DataFrame, counts: tuple[str, str] = ("n_lines", "n_removed"), near: tuple[int, int] | None = None, chunks: bool = False) -> DataFrame:
+    """As :func:`dedup`, with every repeat of two lines or more taken out, and with ``chunks`` the repeated content-defined chunks too,
+    compared byte by byte; both are found in the text as it came, so that what one takes out hides no repeat from the other.
 
     With ``near`` (words of a shingle, percent) the :func:`near_copies` go first, as whole documents: without the lines they share
     with the first copy they couldn't be told as its copies, and lines that only they have must not count as kept.
     A text moves once: to its document's removed lines, or the mark that all of it goes."""
     others = [c for c in df.columns if c.lower() not in counts]
     docs = df.select(F.struct(*[df[quoted(c)] for c in others]).alias("row"), df["doc_id"], df["text"], F.xxhash64(df["text"]).alias(HASH))
-    units = placed_units(docs.select("doc_id", "text", HASH))
-    gone = near_copies(docs.select("doc_id", "text", HASH), units, *near) if near else None
+    texts = docs.select("doc_id", "text", HASH)
+    units = placed_units(texts)
+    gone = near_copies(texts, units, *near) if near else None
     if near:
         units = units.join(gone, (units["id"] == gone["id"]) & (units["hash"] == gone["hash"]), "left_anti")
-    found = removed_lines(units)
+    found = removed_lines(units, later_chunks(texts, ("id", "hash", "code"), gone) if chunks else None)
     if near:
         found = found.withColumn("whole", F.lit(False)).unionByName(gone.select("id", "hash", F.array().cast("array<int>").alias("removed"), F.lit(True).alias("whole")))
     found = written(found)

@@ -290,3 +290,20 @@ def test_near_copies_go_before_their_lines(spark, docs):
     # What goes has a near copy of smaller id.
     for i in set(texts) - set(out):
         assert any(j < i and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]) for j in sets if sets[j])
+
+
+def test_the_pipelines_line_dedup_takes_out_repeated_chunks(spark, monkeypatch):
+    """A chunk with blank lines that stand in no unit goes whole, by its bytes, as the chunks of ``dedup`` do; whatever the ids, one place stays."""
+    import corpus_pipeline as cp
+    texts = (f"\n\n\n\nlow {k}\nlast {k}" for k in range(10**4))
+    body = next(t for t in texts if chunks(f"{t}\nx")[0][1] == t)
+    rows = [(1, f"{body}\nmine alone {1}"), (2, f"{body}\nmine alone {2}"), (3, "nothing of it\nhere")]
+    rows += [(4, f"{body}\nsame id {k}") for k in range(3)]
+    df = spark.createDataFrame([(i, t, len(t)) for i, t in rows], "doc_id long, text string, n_chars long")
+    plain = {r.text for r in line_dedup.dedup_whole(df).collect()}
+    assert "\n\n" in "".join(t for t in plain if "alone 2" in t)  # units leave the first blank lines
+    calls, compared = [], line_dedup.later_chunks
+    monkeypatch.setattr(line_dedup, "later_chunks", lambda *a: (calls.append(a), compared(*a))[1])
+    left = {(r.doc_id, r.text) for r in cp.line_deduplication(spark, df, None).collect()}
+    assert calls and (1, rows[0][1]) in left and (2, "mine alone 2") in left
+    assert {t for i, t in left if i == 4} == {f"same id {k}" for k in range(3)}
