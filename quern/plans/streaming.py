@@ -168,11 +168,11 @@ def agg_03_retract_aggregates(spark, sf):
 SELECT event_type, min(value) AS least, max(value) AS most, max(event_id) AS last_id FROM events WHERE value BETWEEN 5 AND 100 GROUP BY event_type
 """)
 def agg_16_min_max_retract(spark, sf):
-    # the smallest and largest values are taken back bit by bit; a few keys hold all rows
+    # the smallest and largest values are taken back bit by bit; a few keys hold all rows, each in 512 parts
     from quern.streaming.joins import folded
     from quern.streaming.retract import Agg, retract_aggregate
     log = retract_aggregate(_changing_events(spark, sf, "value < 5 OR value > 100"), ["event_type"],
-                            {"least": Agg("min", "value"), "most": Agg("max", "value"), "last_id": Agg("max", "event_id")})
+                            {"least": Agg("min", "value"), "most": Agg("max", "value"), "last_id": Agg("max", "event_id")}, parts=512)
     return folded(run_to_table(log, "append"))
 
 

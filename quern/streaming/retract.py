@@ -114,7 +114,8 @@ class RetractAggregates(StatefulProcessor):
             s["text"] = a.delimiter.join(str(k[-1]) for k, n in kept for _ in range(n)) if kept else None
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        before = pickle.loads(self.sums.get()[0]) if self.sums.exists() else None
+        stored = self.sums.get()
+        before = pickle.loads(stored[0]) if stored else None
         n, kept, old = before or (0, [{"n": 0, "parts": []} for _ in self.aggs], None)
         changes: dict[int, dict] = {i: {} for i in self.values}
         for r in rows:
@@ -148,13 +149,41 @@ class RetractAggregates(StatefulProcessor):
                 yield self.make("+", *key, *new)
         if n or any(s["n"] for s in kept) or any(next(iter(m.iterator()), None) for m in self.values.values()):
             self.sums.update((pickle.dumps((n, kept, new)),))
-        elif self.sums.exists():
+        elif stored:
             self.sums.clear()
 
     def close(self) -> None:
         pass
 
 
+class Held(dict):
+    """Map state of one key in memory."""
+
+    containsKey, getValue, updateValue, removeKey = dict.__contains__, dict.__getitem__, dict.__setitem__, dict.__delitem__
+
+    def iterator(self) -> Iterator:
+        return iter(list(self.items()))
+
+
+class PartAggregates(RetractAggregates):
+    """Of a part of a key, which is small: its multisets are one value, read and written once a micro-batch, as each call to the
+    state store costs far more than a row."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.sums = handle.getValueState("sums", "sums binary")
+        self.stored = handle.getValueState("multisets", "multisets binary")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        found = self.stored.get()
+        held = pickle.loads(found[0]) if found else {}
+        self.values = {i: Held(held.get(i, {})) for i, a in enumerate(self.aggs) if a.fn in COUNTED}
+        yield from super().handleInputRows(key, rows, timerValues)
+        if any(self.values.values()):
+            self.stored.update((pickle.dumps({i: dict(m) for i, m in self.values.items()}),))
+        elif found:
+            self.stored.clear()
+
+
 def netted(changes: DataFrame, keys: Sequence[str], columns: Sequence[str], op: str) -> DataFrame:
     """Keys, ``_v_`` columns and ``_by``: equal rows of an Arrow batch as one, with the number added less the number taken back.
     It keeps no state, so it may stand in a stream before the shuffle."""
@@ -172,9 +201,25 @@ def netted(changes: DataFrame, keys: Sequence[str], columns: Sequence[str], op:
     return named.mapInArrow(net, named.schema)
 
 
-def retract_aggregate(changes: DataFrame, keys: Sequence[str], aggs: dict[str, Agg], op: str = "op") -> DataFrame:
-    """Changelog of the aggregates, by name, of the changelog ``changes`` for each combination of ``keys``: op, the keys, the aggregates."""
+def retract_aggregate(changes: DataFrame, keys: Sequence[str], aggs: dict[str, Agg], op: str = "op", parts: int = 1) -> DataFrame:
+    """Changelog of the aggregates, by name, of the changelog ``changes`` for each combination of ``keys``: op, the keys, the aggregates.
+
+    ``parts`` is for few keys that hold very many rows, each of which else is one task's: a key's rows are dealt by their values over so many
+    parts (:class:`PartAggregates`), and the changelogs of the parts, a row or two each, are aggregated in turn.  COUNT, MIN and MAX can be put
+    together so; rows that are taken back must have been added, or come to be."""
+    return _aggregates(changes, keys, aggs, op, parts, RetractAggregates)
+
+
+def _aggregates(changes: DataFrame, keys: Sequence[str], aggs: dict[str, Agg], op: str, parts: int, kind_of: type) -> DataFrame:
     columns = list(dict.fromkeys(c for a in aggs.values() for c in a.columns))
+    if parts > 1:
+        if odd := [a.fn for a in aggs.values() if a.fn not in ("count", "min", "max")]:
+            raise ValueError(f"not an aggregate of parts: {', '.join(odd)}")
+        # Equal doubles are one value, and a row is taken back where it was added.
+        same = [F.col(c) + F.lit(0.0) if isinstance(changes.schema[c].dataType, (T.DoubleType, T.FloatType)) else F.col(c) for c in columns]
+        dealt = changes.withColumn("_part", F.pmod(F.xxhash64(*same), F.lit(parts)) if same else F.lit(0))
+        each = _aggregates(dealt, [*keys, "_part"], aggs, op, 1, PartAggregates)
+        return retract_aggregate(each, keys, {n: Agg("sum" if a.fn == "count" else a.fn, n) for n, a in aggs.items()}, op)
     rows = netted(changes, keys, columns, op)
 
     def kind(a: Agg) -> T.DataType:
@@ -191,5 +236,5 @@ def retract_aggregate(changes: DataFrame, keys: Sequence[str], aggs: dict[str, A
 
     out = T.StructType([T.StructField(op, T.StringType()), *[T.StructField(k, changes.schema[k].dataType) for k in keys],
                         *[T.StructField(n, kind(a)) for n, a in aggs.items()]])
-    processor = RetractAggregates(aggs, changes.schema, out.fieldNames())
+    processor = kind_of(aggs, changes.schema, out.fieldNames())
     return rows.groupBy(*[f"_k{i}" for i in range(len(keys))]).transformWithState(processor, out, "Append", "None")
