@@ -3,7 +3,8 @@
 Every row says whether it is added (``+``) or taken back (``-``), in any order of event time, and no watermark ever drops state: a
 row matches all rows of the other side that were ever added and not taken back.  The state of a key is a multiset
 for each side: row -> number of copies, number of matches on the other side.  The matches decide when an outer
-join's padded row, or a semi or anti join's row, has to be taken back or comes back.
+join's padded row, or a semi or anti join's row, has to be taken back or comes back.  A multiset is stored in chunks of at most
+``CHUNK`` rows, as every call to the state store costs far more than a row: a micro-batch reads a key's chunks once and writes those it changed.
 
 The changelog out, folded (``+`` less ``-`` of each row), is at any time the batch join of the folded inputs.
 
@@ -12,6 +13,8 @@ A row of a null key matches nothing.  Taking back a row that isn't there changes
 
 from __future__ import annotations
 
+import pickle
+from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, Row
@@ -20,19 +23,21 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StringType, StructField, StructType
 
 KINDS = ("inner", "left", "right", "full", "semi", "anti")
+#: Rows that are stored as one value.
+CHUNK = 1_024
 
 
 class RegularJoin(StatefulProcessor):
     def __init__(self, how: str, names: Sequence[str], left: StructType, right: StructType, on: Callable | None = None):
         if how not in KINDS:
             raise ValueError(f"not a kind of join: {how}")
-        self.how, self.on, self.schemas = how, on, {"L": left, "R": right}
+        self.how, self.on = how, on
         self.width = {"L": len(left.fields), "R": len(right.fields)}
         self.padded = {"L": how in ("left", "full"), "R": how in ("right", "full")}
         self.make = Row(*names)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = {s: handle.getMapState("left" if s == "L" else "right", schema, "copies long, matches long") for s, schema in self.schemas.items()}
+        self.state = {s: handle.getMapState(name, "chunk int", "rows binary") for s, name in (("L", "left"), ("R", "right"))}
 
     def _matching(self, key, side: str, row: tuple, held: dict) -> list[tuple]:
         if any(k is None for k in key):
@@ -49,7 +54,7 @@ class RegularJoin(StatefulProcessor):
         other = (None,) * self.width[o] if other is None else other
         return self.make(op, *key, *(row + other if side == "L" else other + row))
 
-    def _change(self, key, side: str, row: tuple, op: str, held: dict, touched: set) -> Iterator[Row]:
+    def _change(self, key, side: str, row: tuple, op: str, held: dict, sizes: dict, touched: set) -> Iterator[Row]:
         mine, o = held[side], "R" if side == "L" else "L"
         if op == "-" and row not in mine:
             return
@@ -65,7 +70,7 @@ class RegularJoin(StatefulProcessor):
             entry = held[o][m]
             first, last = op == "+" and entry[1] == 0, op == "-" and entry[1] == 1  # match of the other row
             entry[1] += step
-            touched.add((o, m))
+            touched.add((o, entry[2]))
             for _ in range(entry[0]):
                 if self.how in ("semi", "anti"):
                     if side == "R" and (first or last):
@@ -76,24 +81,39 @@ class RegularJoin(StatefulProcessor):
                 yield self._out(op, key, side, row, m)
                 if last and self.padded[o]:
                     yield self._out("+", key, o, m)
-        entry = mine.setdefault(row, [0, n])
+        entry = mine.get(row)
+        if entry is None:
+            sizes[side]["last"] += sizes[side][sizes[side]["last"]] >= CHUNK
+            chunk = sizes[side]["last"]
+            sizes[side][chunk] += 1
+            entry = mine[row] = [0, n, chunk]
         entry[0] += step
         if not entry[0]:
             del mine[row]
-        touched.add((side, row))
+            sizes[side][entry[2]] -= 1
+        touched.add((side, entry[2]))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        held = {s: {tuple(k): list(v) for k, v in st.iterator()} for s, st in self.state.items()}
+        # row -> copies, matches, chunk
+        held = {s: {row: [copies, matches, c[0]] for c, v in st.iterator() for row, copies, matches in pickle.loads(v[0])} for s, st in self.state.items()}
+        sizes = {s: Counter(e[2] for e in rows_of.values()) for s, rows_of in held.items()}
+        for n in sizes.values():
+            n["last"] = max(n, default=0)
         touched: set = set()
         for r in sorted(rows, key=lambda r: r["_order"]):
             side = r["_side"]
             row = tuple(r[f"_{side}{i}"] for i in range(self.width[side]))
-            yield from self._change(key, side, row, r["_op"], held, touched)
-        for side, row in touched:
-            if row in held[side]:
-                self.state[side].updateValue(row, tuple(held[side][row]))
+            yield from self._change(key, side, row, r["_op"], held, sizes, touched)
+        chunks: dict = {at: [] for at in touched}
+        for side, rows_of in held.items():
+            for row, (copies, matches, chunk) in rows_of.items():
+                if (side, chunk) in chunks:
+                    chunks[side, chunk].append((row, copies, matches))
+        for (side, chunk), kept in chunks.items():
+            if kept:
+                self.state[side].updateValue((chunk,), (pickle.dumps(kept),))
             else:
-                self.state[side].removeKey(row)
+                self.state[side].removeKey((chunk,))
 
     def close(self) -> None:
         pass

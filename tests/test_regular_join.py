@@ -99,3 +99,19 @@ def test_bounded_tables_and_unknown_kinds(spark):
     assert Counter(tuple(r) for r in folded(out).collect()) == joined("left", l_live, r_live)
     with pytest.raises(ValueError):
         RegularJoin("cross", [], T.StructType(), T.StructType())
+
+
+def test_a_multiset_is_stored_in_chunks():
+    """A key's rows are few values in the state; a change writes its own chunk alone; what is taken back leaves nothing."""
+    from quern.streaming.joins import CHUNK
+    a, b = T.StructType([T.StructField("a", T.LongType())]), T.StructType([T.StructField("b", T.LongType())])
+    p, n = RegularJoin("left", ["op", "k", "a", "b"], a, b, lambda x, y: x[0] == y[0]), CHUNK * 2 + 5
+    p.state = {"L": Store(), "R": Store()}
+    feed = lambda changes: [tuple(r) for r in p.handleInputRows((1,), [{"_order": i, "_side": s, "_op": op, "_L0": v, "_R0": v} for i, (s, op, v) in enumerate(changes)], None)]
+    assert len(feed([("L", "+", v) for v in range(n)])) == n and len(p.state["L"].rows) == 3
+    written, put = [], p.state["L"].updateValue
+    p.state["L"].updateValue = lambda k, v: (written.append(k), put(k, v))
+    assert feed([("R", "+", CHUNK + 1)]) == [("-", 1, CHUNK + 1, None), ("+", 1, CHUNK + 1, CHUNK + 1)]
+    assert written == [(1,)]
+    feed([("L", "-", v) for v in range(n)] + [("R", "-", CHUNK + 1)])
+    assert not p.state["L"].rows and not p.state["R"].rows
