@@ -12,6 +12,8 @@ shuffle).  The same processors run on bounded tables: a batch
 from __future__ import annotations
 
 import datetime as _dt
+import pickle
+from bisect import bisect_right
 from collections.abc import Iterator
 
 from pyspark.sql import Row
@@ -121,9 +123,11 @@ class InactivityTimeout(StatefulProcessor):
     """STR-37 / STR-39 keyed process function with event-time timers, and STR-31 merging windows: a burst
     of activity ends when no row follows within ``gap_ms``; the timer at last + gap emits (key, start, end = last + gap, count).
 
-    A key's bursts are an interval set in map state (start -> last, count).  A row, in whatever order it comes, joins
+    A key's bursts are an interval set (start, last, count), in order and further than the gap from each other, so those that are open are no more
+    than the watermark's delay has gaps; they are stored as one value.  A row, in whatever order it comes, joins
     every burst that it touches, so one that lies between two makes them one, their counts added; a burst leaves when the
-    watermark reaches its end, not before.  ``held_back_ms`` says by how much Spark's watermark lies behind the one meant:
+    watermark reaches its end, not before.  A key has one timer, for the end that comes first.
+    ``held_back_ms`` says by how much Spark's watermark lies behind the one meant:
     with a gap or more, rows that still touch an open burst's end aren't dropped by Spark."""
 
     def __init__(self, gap_ms: int, ts: str, tie: str | None = None, held_back_ms: int = 0):
@@ -131,39 +135,55 @@ class InactivityTimeout(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.bursts = handle.getMapState("bursts", "start long", "last long, cnt long")
-
-    def _due(self, key, held: dict, mark: int) -> Iterator[Row]:
-        for start in sorted(held):
-            last, cnt = held[start]
-            if last + self.gap <= mark:
-                del held[start]
-                self.bursts.removeKey((start,))
-                yield Row(key=key[0], session_start=from_ms(start), session_end=from_ms(last + self.gap), cnt=cnt)
+        self.bursts = handle.getMapState("bursts", "part int", "held binary")
+
+    def _held(self) -> tuple[int | None, list]:
+        """When the timer goes off, if one is set, and the bursts."""
+        found = [pickle.loads(v[0]) for _, v in self.bursts.iterator()]
+        return found[0] if found else (None, [])
+
+    def _due(self, key, held: list, mark: int) -> Iterator[Row]:
+        n = 0
+        for start, last, cnt in held:
+            if last + self.gap > mark:
+                break
+            n += 1
+            yield Row(key=key[0], session_start=from_ms(start), session_end=from_ms(last + self.gap), cnt=cnt)
+        del held[:n]
+
+    def _settle(self, armed: int | None, held: list, before: tuple) -> None:
+        if held:
+            first = held[0][1] + self.gap - self.held_back
+            if armed is None or first < armed:
+                self.handle.registerTimer(first)
+                armed = first
+            if (armed, held) != before:
+                self.bursts.updateValue((0,), (pickle.dumps((armed, held)),))
+        elif before[1]:
+            self.bursts.removeKey((0,))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         mark = timerValues.getCurrentWatermarkInMs() + self.held_back
-        held = {k[0]: tuple(v) for k, v in self.bursts.iterator()}
+        armed, held = self._held()
+        before = armed, [*held]
         yield from self._due(key, held, mark)
-        stored, changed = set(held), set()
         for r in _sorted(rows, self.ts, self.tie):
             t = to_ms(r[self.ts])
-            touched = [s for s, (last, _) in held.items() if s <= t + self.gap and t <= last + self.gap]
+            low = high = bisect_right(held, t + self.gap, key=lambda b: b[0])
+            while low and t <= held[low - 1][1] + self.gap:
+                low -= 1
+            touched = held[low:high]
             if not touched and t + self.gap < mark:
                 continue  # too late to open a burst
-            joined = [(s, *held.pop(s)) for s in touched]
-            start = min([t, *touched])
-            held[start] = max([t, *(last for _, last, _ in joined)]), 1 + sum(n for _, _, n in joined)
-            changed.add(start)
-        for start in stored - set(held):
-            self.bursts.removeKey((start,))
-        for start in changed & set(held):
-            self.bursts.updateValue((start,), held[start])
-            self.handle.registerTimer(held[start][0] + self.gap - self.held_back)
+            held[low:high] = [(min(t, touched[0][0]), max(t, touched[-1][1]), 1 + sum(n for _, _, n in touched)) if touched else (t, t, 1)]
+        self._settle(armed, held, before)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        mark = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs()) + self.held_back
-        yield from self._due(key, {k[0]: tuple(v) for k, v in self.bursts.iterator()}, mark)
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        armed, held = self._held()
+        before = armed, [*held]
+        yield from self._due(key, held, max(timerValues.getCurrentWatermarkInMs(), now) + self.held_back)
+        self._settle(None if armed is None or armed <= now else armed, held, before)
 
     def close(self) -> None:
         pass
@@ -311,7 +331,11 @@ class EventTimeOrdered(StatefulProcessor):
     """SET-02 temporal sort and OVR-05 streaming OVER: rows are buffered
     until the watermark passes their time, then released in event-time order
     with a per-key sequence number and running sum (ROWS UNBOUNDED PRECEDING
-    to CURRENT ROW)."""
+    to CURRENT ROW).  A key has one timer, for the first row that waits; it
+    releases all that the watermark has passed."""
+
+    #: No timer is set.
+    UNSET = -(1 << 63)
 
     def __init__(self, ts: str, tie: str, value: str):
         self.ts, self.tie, self.value = ts, tie, value
@@ -319,36 +343,39 @@ class EventTimeOrdered(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.buf = handle.getListState("buf", "t long, id long, v double")
-        self.acc = handle.getValueState("acc", "seq long, total double")
+        self.acc = handle.getValueState("acc", "seq long, total double, armed long")
 
     def _release(self, key, upto: int):
-        buf = sorted((b[0], b[1], b[2]) for b in self.buf.get()) if self.buf.exists() else []
-        if not buf or buf[0][0] > upto:
+        seq, total, armed = self.acc.get() or (0, 0.0, self.UNSET)
+        if armed == self.UNSET or armed > upto:
             return
-        seq, total = self.acc.get() if self.acc.exists() else (0, 0.0)
         keep = []
-        for t, i, v in buf:
+        for t, i, v in sorted((b[0], b[1], b[2]) for b in self.buf.get()):
             if t <= upto:
                 seq += 1
                 total += v or 0.0
                 yield Row(key=key[0], seq=seq, event_id=i, ts=from_ms(t), running_sum=round(total, 2))
             else:
                 keep.append((t, i, v))
-        self.acc.update((seq, total))
-        self.buf.clear()
         if keep:
             self.buf.put(keep)
+            self.handle.registerTimer(keep[0][0])
+        else:
+            self.buf.clear()
+        self.acc.update((seq, total, keep[0][0] if keep else self.UNSET))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         new = [(to_ms(r[self.ts]), r[self.tie], r[self.value]) for r in rows if r[self.ts] is not None]
         if new:
             self.buf.appendList(new)
-        for t in {n[0] for n in new}:
-            self.handle.registerTimer(t)
+            seq, total, armed = self.acc.get() or (0, 0.0, self.UNSET)
+            first = min(t for t, _, _ in new)
+            if armed == self.UNSET or first < armed:
+                self.handle.registerTimer(first)
+                self.acc.update((seq, total, first))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        # All rows up to the watermark go at the first timer; the others then find nothing to release.
         yield from self._release(key, max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()))
 
     def close(self) -> None:

@@ -134,3 +134,64 @@ def test_a_late_row_joins_the_burst_that_it_touches():
     assert [(to_ms(s) - T0, to_ms(e) - T0, n) for _, s, e, n in got] == [(600 * MIN, 690 * MIN, 2), (720 * MIN, 780 * MIN, 1)]
     bridge = run(InactivityTimeout(60 * MIN, "ts", "id"), [[(at(10, 0), 1, 0), (at(11, 50), 2, 0)], [(at(10, 55), 3, 0)]], 180 * MIN)
     assert [r[3] for r in bridge] == [3]
+
+
+def test_a_key_has_one_timer_and_one_value_for_its_bursts():
+    processor, clock = InactivityTimeout(10 * MIN, "ts", "id"), Clock()
+    processor.init(clock)
+    list(processor.handleInputRows((7,), [{"ts": from_ms(T0 + i * 60 * MIN), "id": i} for i in range(9)], clock))
+    assert clock.timers == {T0 + 10 * MIN} and len(clock.store.rows) == 1
+    clock.now = clock.expiry = T0 + 70 * MIN
+    out = list(processor.handleExpiredTimer((7,), clock, clock))
+    assert [to_ms(r[1]) - T0 for r in out] == [0, 60 * MIN] and clock.timers == {T0 + 10 * MIN, T0 + 130 * MIN}
+
+
+def test_rows_in_event_time_order_need_one_timer_a_key():
+    from quern.streaming.processors import EventTimeOrdered
+
+    class State:
+        def __init__(self):
+            self.v = None
+
+        def get(self):
+            return self.v
+
+        def update(self, v):
+            self.v = v
+
+    class Rows(list):
+        get = list.__iter__
+        appendList = list.extend
+
+        def put(self, rows):
+            self[:] = rows
+
+    p, clock = EventTimeOrdered("ts", "id", "v"), Clock()
+    clock.getListState, clock.getValueState = lambda *_: Rows(), lambda *_: State()
+    p.init(clock)
+    list(p.handleInputRows((7,), [{"ts": from_ms(T0 + i * MIN), "id": i, "v": 1.0} for i in (5, 3, 9)], clock))
+    list(p.handleInputRows((7,), [{"ts": from_ms(T0 + i * MIN), "id": i, "v": 1.0} for i in (4, 12)], clock))
+    assert clock.timers == {T0 + 3 * MIN}
+    clock.now, clock.expiry = T0 + 9 * MIN, T0 + 3 * MIN
+    out = list(p.handleExpiredTimer((7,), clock, clock))
+    assert [(r.seq, r.event_id) for r in out] == [(1, 3), (2, 4), (3, 5), (4, 9)] and clock.timers == {T0 + 3 * MIN, T0 + 12 * MIN}
+    clock.expiry = T0 + 5 * MIN
+    assert not list(p.handleExpiredTimer((7,), clock, clock))
+    clock.now = clock.expiry = T0 + 12 * MIN
+    assert [tuple(r) for r in p.handleExpiredTimer((7,), clock, clock)] == [(7, 5, 12, from_ms(T0 + 12 * MIN), 5.0)] and not p.buf
+
+
+def test_slices_of_several_files_stay_micro_batches(spark, monkeypatch):
+    from quern.streaming import arrival
+    monkeypatch.setattr(arrival, "FILE_ROWS", 50)
+    df = spark.range(1000).selectExpr("id", "(id * 7) % 1000 AS arrival")
+    end = df.limit(1).selectExpr("CAST(NULL AS BIGINT) AS id", "CAST(5000 AS BIGINT) AS arrival")
+    out = arrival.arrive(df, "arrival", [3, 400, 400, 700], end)
+    seen = []
+    q = out.writeStream.foreachBatch(lambda b, i: seen.append((b.rdd.getNumPartitions(), [r.arrival for r in b.collect()]))).start()
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert [sorted(a) for _, a in seen] == [list(range(3)), list(range(3, 400)), [], list(range(400, 700)), list(range(700, 1000)), [5000], [5000]]
+    assert max(n for n, _ in seen) > 1
