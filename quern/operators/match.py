@@ -431,45 +431,51 @@ def _match_processor_cls():
             self.matcher = handle.getValueState("matcher", "live binary")
             self.armed = handle.getValueState("armed", "t long")
 
-        def _arm(self, t):
-            if not self.armed.exists() or t < self.armed.get()[0]:
+        def _arm(self, t, armed, stored):
+            """Sets the key's timer for ``t``, if there is something to wait for, unless it goes off before; ``stored`` is what the state says."""
+            if t is not None and (armed is None or t < armed):
                 self.handle.registerTimer(t)
-                self.armed.update((t,))
+                armed = t
+            if armed != stored:
+                self.armed.clear() if armed is None else self.armed.update((armed,))
 
-        def _release(self, key, now):
-            held = [(w[0], w[1]) for w in self.waiting.get()] if self.waiting.exists() else []
+        def _armed(self):
+            found = self.armed.get()
+            return found[0] if found else None
+
+        def handleInputRows(self, key, rows, timerValues):
+            new = [(r["_mr_t"], pickle.dumps(r.asDict())) for r in rows]
+            if new:
+                self.waiting.appendList(new)
+                armed = self._armed()
+                self._arm(min(t for t, _ in new) + 1, armed, armed)
+            return iter(())
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            armed, now = self._armed(), timerValues.getCurrentWatermarkInMs()
+            if armed is None or armed > max(now, expiredTimerInfo.getExpiryTimeInMs()):
+                return  # an earlier timer did what there was to do
+            held = [(w[0], w[1]) for w in self.waiting.get()]
             free = [pickle.loads(r) for t, r in held if t < now]
             stay = [(t, r) for t, r in held if t >= now]
-            m = Matcher(*self.args)
-            if self.matcher.exists():
-                m.load(self.matcher.get()[0])
+            m, live = Matcher(*self.args), self.matcher.get()
+            if live:
+                m.load(live[0])
             free.sort(key=lambda r: [(r[c] is not None, r[c]) for c in self.order_by])
             for found in [*m.push(free, False), *m.expire(now)]:
                 yield Row(**{self.key_name: key[0], **found})
-            if free:
+            if free and stay:
+                self.waiting.put(stay)
+            elif free:
                 self.waiting.clear()
-                if stay:
-                    self.waiting.put(stay)
             if m.rows:
                 self.matcher.update((m.dump(),))
-            elif self.matcher.exists():
+            elif live:
                 self.matcher.clear()
-            if stay:
-                self._arm(min(t for t, _ in stay) + 1)
+            due = [min(t for t, _ in stay) + 1] if stay else []
             if m.within is not None and m.live:
-                self._arm(max(now, m.rows[m.live[0].start - m.base]["_mr_t"] + m.within) + 1)
-
-        def handleInputRows(self, key, rows, timerValues):
-            new = [(r["_mr_t"], pickle.dumps(r.asDict())) for r in rows]
-            if new:
-                self.waiting.appendList(new)
-                self._arm(min(t for t, _ in new) + 1)
-            return iter(())
-
-        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-            if self.armed.exists() and self.armed.get()[0] <= expiredTimerInfo.getExpiryTimeInMs():
-                self.armed.clear()
-            yield from self._release(key, timerValues.getCurrentWatermarkInMs())
+                due.append(max(now, m.rows[m.live[0].start - m.base]["_mr_t"] + m.within) + 1)
+            self._arm(min(due, default=None), None, armed)
 
         def close(self):
             pass
