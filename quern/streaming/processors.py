@@ -17,6 +17,7 @@ from bisect import bisect_right
 from collections.abc import Iterator
 
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 _EPOCH = _dt.datetime(1970, 1, 1)
@@ -302,21 +303,36 @@ class StateKinds(StatefulProcessor):
         pass
 
 
+def partial_totals(df, keys: list[str], value: str, count: str):
+    """The rows of a stream added up by key before the shuffle, an Arrow batch at a time: the keys, the sum of ``value`` and in ``count``
+    the number of rows.  A key that most rows have reaches its one task as a few rows of every read task.  No state is kept."""
+    def added(batches):
+        import pyarrow as pa
+        for b in batches:
+            sums = pa.Table.from_batches([b]).group_by(keys).aggregate([(value, "sum"), ([], "count_all")])
+            yield from sums.select([*keys, f"{value}_sum", "count_all"]).rename_columns([*keys, value, count]).combine_chunks().to_batches()
+
+    rows = df.select(*keys, F.col(value).cast("double").alias(value))
+    kinds = ", ".join(f"`{c}` {k}" for c, k in rows.dtypes)
+    return rows.mapInArrow(added, f"{kinds}, `{count}` long")
+
+
 class Changelog(StatefulProcessor):
     """STR-23 retract stream of a keyed count / sum: for every change of a
-    key's result, ``-`` with the old row (if any) and ``+`` with the new one."""
+    key's result, ``-`` with the old row (if any) and ``+`` with the new one.
+    ``count`` names the column of rows that stand for several (:func:`partial_totals`)."""
 
-    def __init__(self, value: str):
-        self.value = value
+    def __init__(self, value: str, count: str | None = None):
+        self.value, self.count = value, count
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.st = handle.getValueState("agg", "cnt long, total double")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        old = self.st.get() if self.st.exists() else None
+        old = self.st.get()
         cnt, total = old if old else (0, 0.0)
         for r in rows:
-            cnt += 1
+            cnt += r[self.count] if self.count else 1
             total += r[self.value] or 0.0
         if old is not None:
             yield Row(op="-", key=key[0], cnt=old[0], total=old[1])
@@ -407,6 +423,27 @@ class LatestOfOther(StatefulProcessor):
         pass
 
 
+def partial_top(df, keys: list[str], n: int, value: str, tie: str):
+    """The rows of a stream that can be among the first ``n`` of their key, by falling ``value`` and rising ``tie``: an Arrow batch at a time,
+    before the shuffle, no more than ``n`` of a key.  Rows without a tie or a finite value are not put in that order; they all stay."""
+    def first(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            placed = pc.fill_null(pc.and_(pc.is_finite(t[value]), pc.is_valid(t[tie])), False)
+            yield from t.filter(pc.invert(placed)).combine_chunks().to_batches()
+            t = t.filter(placed)
+            t = t.take(pc.sort_indices(t, sort_keys=[(value, "descending"), (tie, "ascending")]))
+            t = t.append_column("_row", pa.array(range(len(t)), pa.int64()))
+            of_key = t.group_by(keys, use_threads=False).aggregate([("_row", "list")])["_row_list"]
+            kept = t.take(pc.list_flatten(pc.list_slice(of_key, 0, n)))
+            yield from kept.drop_columns("_row").combine_chunks().to_batches()
+
+    rows = df.select(*keys, value, tie)
+    return rows.mapInArrow(first, rows.schema)
+
+
 class TopN(StatefulProcessor):
     """OVR-14 on a stream: keyed top-N kept in list state; every change emits
     the key's current top-N (update mode, rank is part of the output key)."""
