@@ -53,7 +53,7 @@ class CountTrigger(StatefulProcessor):
         self.st = handle.getValueState("acc", "seen long, cnt long, total double")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        seen, cnt, total = self.st.get() if self.st.exists() else (0, 0, 0.0)
+        seen, cnt, total = self.st.get() or (0, 0, 0.0)
         for r in _sorted(rows, self.ts, self.tie):
             seen += 1
             cnt += 1
