@@ -20,7 +20,7 @@ from quern.plans.registry import register
 from quern.sources.replay import replay
 from quern.sources.tables import stream_table, table_path
 from quern.streaming import processors as P
-from quern.streaming.runner import drop_flush, final_by_key, run_to_table, state_partitions
+from quern.streaming.runner import drop_flush, final_by_key, order_by, run_to_table, state_partitions
 from quern.streaming.watermarks import bounded_out_of_orderness
 from quern.session import ensure_stateful_conf, scratch_path
 
@@ -421,7 +421,7 @@ SELECT event_type, count(*) AS cnt, rank() OVER (ORDER BY count(*) DESC) AS pos
 def set_03_streaming_full_sort(spark, sf):
     # a full sort of a stream is only allowed on a complete-mode aggregate
     ev = events_stream(spark, sf)
-    agg = ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("cnt")).orderBy(F.col("cnt").desc())
+    agg = order_by(ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("cnt")), "cnt", ascending=False)
     out = run_to_table(agg, "complete", with_batch_id=True)
     last = out.agg(F.max("_batch_id")).first()[0]
     from pyspark.sql import Window

@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from quern.session import ensure_stateful_conf, scratch_path
 
 
-#: Most state partitions a core: each opens and commits its stores in every micro-batch, with rows or without.
-PARTITIONS_A_CORE = 2
+#: Most state partitions a core: each opens and commits its stores in every micro-batch, with rows or without, and a second round of
+#: tasks costs as much again.
+PARTITIONS_A_CORE = 1
 
 
 @contextmanager
@@ -45,6 +46,13 @@ def drop_flush(df: DataFrame, ts: str) -> DataFrame:
     return df
 
 
+def order_by(df: DataFrame, *cols: str, ascending: bool = True) -> DataFrame:
+    """A global sort of a stream's aggregate.  Spark samples a sort's input in a job of its own, which would open and commit the
+    aggregate's state a second time in every micro-batch; the rows are exchanged first, and both jobs read that one exchange.  It is by
+    the columns of the sort: by the aggregate's keys Spark would leave it out."""
+    return df.repartition(*cols).orderBy(*cols, ascending=ascending)
+
+
 def run_to_table(df: DataFrame, output_mode: str = "append", *, spark: SparkSession | None = None,
                  trigger_once: bool = False, with_batch_id: bool = False) -> DataFrame:
     """Start ``df`` (a streaming frame), process all available input, stop,

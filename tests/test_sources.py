@@ -1,3 +1,5 @@
+import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from quern.sources.replay import FLUSH_BATCHES, replay
@@ -99,3 +101,35 @@ def test_streams_open_few_state_partitions_a_core(spark):
             assert int(spark.conf.get(key)) == given
     finally:
         spark.conf.set(key, own)
+
+
+@pytest.mark.parametrize("name", ["ovr_16_streaming_dedup", "set_03_streaming_full_sort", "snk_19_upsert_sink", "src_11_ack_source_dedup",
+                                  "str_01_time_characteristic", "str_05_sql_watermark", "str_08_session_window_stream", "str_25_event_time_trigger"])
+def test_a_stream_has_one_state_partition_a_core(spark, monkeypatch, tmp_path, name):
+    from quern.plans import REGISTRY
+    from quern.streaming import runner
+    monkeypatch.setattr(runner, "scratch_path", lambda spark, kind: str(tmp_path / kind))
+    pq.write_table(pq.read_table(f"{SF_SMALL}/events.parquet").slice(0, 200), str(tmp_path / "events.parquet"))
+    key, own = "spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set(key, 100)
+    try:
+        assert REGISTRY[name].fn(spark, str(tmp_path)).count() > 0
+    finally:
+        spark.conf.set(key, own)
+    stores = [d.name for d in (tmp_path / "stream_ck" / "state" / "0").iterdir() if d.name.isdigit()]
+    assert len(stores) == spark.sparkContext.defaultParallelism
+
+
+def test_a_sorted_aggregate_opens_its_state_once_a_batch(spark):
+    from quern.plans.streaming import stream_rows
+    from quern.streaming.runner import order_by, run_to_table
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(n):
+        calls.add(1)
+        return n
+
+    agg = stream_rows(spark, SF_SMALL).groupBy("event_type").count().withColumn("count", counted.asNondeterministic()("count"))
+    rows = run_to_table(order_by(agg, "count", ascending=False), "complete", with_batch_id=True).collect()
+    assert rows and calls.value == len(rows)
