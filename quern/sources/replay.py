@@ -4,7 +4,7 @@
 number of rows per micro-batch (more where ``mostBatches`` would else be passed), so a bounded table behaves like an arriving
 stream: the watermark advances between batches and windows close the way
 they do on live data.  Each micro-batch is cut into row-range partitions read
-by the executors (pyarrow, row groups pruned by their offsets), so no data
+by the executors (pyarrow, files and row groups pruned by their offsets: a task opens the files that hold its rows), so no data
 passes through the driver.  ``flush=true`` appends one end-of-input row
 (``_eoi`` = true, time far in the future) in each of two last batches: it plays the part of
 the final watermark of a bounded stream and must be filtered out after the
@@ -31,8 +31,9 @@ READ_ROWS = 65_536
 
 
 class _Range(InputPartition):
-    def __init__(self, start: int, end: int, flush: bool = False):
-        self.start, self.end, self.flush = start, end, flush
+    """Rows [start, end) of the replay: ``pieces`` are the files that hold them, each with its first and last row (exclusive)."""
+    def __init__(self, start: int, end: int, flush: bool = False, pieces: tuple = ()):
+        self.start, self.end, self.flush, self.pieces = start, end, flush, pieces
 
 
 def _files(path: str) -> list[str]:
@@ -44,49 +45,56 @@ def _files(path: str) -> list[str]:
     return sorted(found)
 
 
-def _num_rows(path: str) -> int:
+def _ends(files: list[str]) -> list[int]:
+    """The number of rows up to the end of each file."""
+    from itertools import accumulate
+
     import pyarrow.parquet as pq
-    return sum(pq.read_metadata(f).num_rows for f in _files(path))
+    return list(accumulate(pq.read_metadata(f).num_rows for f in files))
+
+
+def _pieces(files: list[str], ends: list[int], start: int, end: int) -> tuple:
+    """(file, first, last) of the files that hold rows [start, end) of the table (modulo its length for repeated replay)."""
+    from bisect import bisect_right
+    out, pos = [], start
+    while pos < end and ends and ends[-1]:
+        at = pos % ends[-1]
+        i = bisect_right(ends, at)
+        base = ends[i - 1] if i else 0
+        last = min(ends[i], at + end - pos)
+        out.append((files[i], at - base, last - base))
+        pos += last - at
+    return tuple(out)
 
 
-def _read_range(path: str, schema: StructType, start: int, end: int):
-    """Rows [start, end) of the table (modulo its length for repeated replay) as
-    Arrow batches; only row groups that overlap the range are decoded."""
+def _read_range(pieces: tuple, schema: StructType):
+    """The rows of the pieces as Arrow batches; only these files are opened, and only row groups that overlap are decoded."""
     import pyarrow as pa
     import pyarrow.parquet as pq
     from pyspark.sql.pandas.types import to_arrow_schema
     names = [fld.name for fld in schema.fields if fld.name != "_eoi"]
     out = to_arrow_schema(schema)
-    files = [(f, pq.read_metadata(f)) for f in _files(path)]
-    n = sum(m.num_rows for _, m in files)
-    pos = start
-    while pos < end and n:
-        lo, hi = pos % n, min(end - pos + pos % n, n)
-        base = 0
-        for f, meta in files:
-            if base + meta.num_rows > lo and base < hi:
-                at = base
-                with pq.ParquetFile(f) as opened:
-                    for g in range(meta.num_row_groups):
-                        gn = meta.row_group(g).num_rows
-                        if at + gn > lo and at < hi:
-                            first, last = max(lo - at, 0), min(hi - at, gn)
-                            seen = 0
-                            for b in opened.iter_batches(READ_ROWS, row_groups=[g], columns=names):
-                                begin, seen = seen, seen + len(b)
-                                if begin >= last:
-                                    break
-                                skip = max(first - begin, 0)
-                                tbl = pa.Table.from_batches([b]).slice(skip, min(last, seen) - begin - skip) if seen > first else None
-                                if not tbl:
-                                    continue
-                                tbl = tbl.append_column("_eoi", pa.array([False] * len(tbl), pa.bool_()))
-                                # nanosecond timestamps become microseconds
-                                tbl = pa.Table.from_arrays([tbl[x.name].cast(x.type, safe=False) for x in out], schema=out)
-                                yield from tbl.combine_chunks().to_batches()
-                        at += gn
-            base += meta.num_rows
-        pos += hi - lo
+    for file, lo, hi in pieces:
+        at = 0
+        with pq.ParquetFile(file) as opened:
+            for g in range(opened.metadata.num_row_groups):
+                gn = opened.metadata.row_group(g).num_rows
+                if at + gn > lo and at < hi:
+                    first, last = max(lo - at, 0), min(hi - at, gn)
+                    seen = 0
+                    for b in opened.iter_batches(READ_ROWS, row_groups=[g], columns=names):
+                        begin, seen = seen, seen + len(b)
+                        if begin >= last:
+                            break
+                        skip = max(first - begin, 0)
+                        tbl = pa.Table.from_batches([b]).slice(skip, min(last, seen) - begin - skip) if seen > first else None
+                        if not tbl:
+                            continue
+                        tbl = tbl.append_column("_eoi", pa.array([False] * len(tbl), pa.bool_()))
+                        # nanosecond timestamps become microseconds
+                        tbl = pa.Table.from_arrays([tbl[x.name].cast(x.type, safe=False) for x in out], schema=out)
+                        yield from tbl.combine_chunks().to_batches()
+                at += gn
 
 
 class _Base:
@@ -97,7 +105,9 @@ class _Base:
         self.part_rows = int(options.get("partitionRows", 1000000))
         self.flush = str(options.get("flush", "false")).lower() == "true"
         self.time_col = options.get("timeColumn")
-        self.total = _num_rows(self.path) * int(options.get("repeat", 1))
+        self.files = _files(self.path)
+        self.ends = _ends(self.files)
+        self.total = (self.ends[-1] if self.ends else 0) * int(options.get("repeat", 1))
         if options.get("mostBatches"):
             self.rows_per_batch = max(self.rows_per_batch, -(-self.total // int(options["mostBatches"])))
 
@@ -106,7 +116,7 @@ class _Base:
         s = start
         while s < min(end, self.total):
             e = min(s + self.part_rows, end, self.total)
-            parts.append(_Range(s, e))
+            parts.append(_Range(s, e, pieces=_pieces(self.files, self.ends, s, e)))
             s = e
         if self.flush:
             for i in range(max(start, self.total), end):
@@ -126,7 +136,7 @@ class _Base:
                     row.append(None)
             yield tuple(row)
             return
-        yield from _read_range(self.path, self.schema, partition.start, partition.end)
+        yield from _read_range(partition.pieces, self.schema)
 
 
 class _BatchReader(_Base, DataSourceReader):

@@ -133,3 +133,26 @@ def test_a_sorted_aggregate_opens_its_state_once_a_batch(spark):
     agg = stream_rows(spark, SF_SMALL).groupBy("event_type").count().withColumn("count", counted.asNondeterministic()("count"))
     rows = run_to_table(order_by(agg, "count", ascending=False), "complete", with_batch_id=True).collect()
     assert rows and calls.value == len(rows)
+
+
+def test_a_read_task_opens_only_the_files_of_its_rows(tmp_path, monkeypatch):
+    import pyarrow as pa
+    from pyspark.sql.types import BooleanType, LongType, StructField, StructType
+    from quern.sources import replay as R
+    (tmp_path / "t").mkdir()
+    for i, n in enumerate([7, 0, 5, 9, 4]):
+        pq.write_table(pa.table({"id": pa.array(range(100 * i, 100 * i + n), pa.int64())}), str(tmp_path / "t" / f"{i}.parquet"), row_group_size=3)
+    rows = [r for i, n in enumerate([7, 0, 5, 9, 4]) for r in range(100 * i, 100 * i + n)] * 2
+    opened, whole, metadata = [], pq.ParquetFile, pq.read_metadata
+    schema = StructType([StructField("id", LongType()), StructField("_eoi", BooleanType())])
+    reader = R._BatchReader(schema, {"path": str(tmp_path / "t"), "repeat": "2", "partitionRows": "4"})
+    monkeypatch.setattr(pq, "ParquetFile", lambda f, *a, **k: opened.append(str(f)) or whole(f, *a, **k))
+    monkeypatch.setattr(pq, "read_metadata", lambda f, *a, **k: opened.append(str(f)) or metadata(f, *a, **k))
+    got = []
+    for part in reader.partitions():
+        opened.clear()
+        ids = [i for b in reader.read(part) for i in b["id"].to_pylist()]
+        assert set(opened) == {str(tmp_path / "t" / f"{i // 100}.parquet") for i in ids} and len(opened) <= 3
+        got += ids
+    assert got == rows
+    assert R._BatchReader(schema, {"path": str(tmp_path / "t"), "repeat": "0"}).partitions() == []
