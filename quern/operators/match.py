@@ -486,13 +486,18 @@ def _match_processor_cls():
 def match_recognize_stream(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str],
                            pattern: Sequence[Var], define: dict, measures: dict, measure_schema: str,
                            after="PAST LAST ROW", within_ms: int | None = None,
-                           subset: dict[str, Sequence[str]] | None = None, columns: Sequence[str] = (), back: int = 0) -> DataFrame:
-    """Streaming execution (input must carry an event-time watermark on the first column of ``order_by``)."""
+                           subset: dict[str, Sequence[str]] | None = None, columns: Sequence[str] = (), back: int = 0,
+                           groups: int | None = None) -> DataFrame:
+    """Streaming execution (input must carry an event-time watermark on the first column of ``order_by``).  ``groups``: keep the state in
+    so many groups of keys (:mod:`quern.streaming.groups`), for many small keys."""
     if len(partition_by) != 1:
         raise ValueError("one partition key column is supported")
     prepared, conditions, cols = _prepare(df, order_by, pattern, define, measures, columns)
     key = partition_by[0]
     schema = T.StructType([prepared.schema[key]] + list(T._parse_datatype_string(measure_schema).fields))
     args = (list(pattern), dict(measures), after, within_ms, order_by[0], order_by[-1], conditions, subset, back)
-    return prepared.select(*dict.fromkeys([key, *cols])).groupBy(key).transformWithState(
-        _match_processor_cls()(args, key, order_by), schema, "Append", "EventTime")
+    rows, processor = prepared.select(*dict.fromkeys([key, *cols])), _match_processor_cls()(args, key, order_by)
+    if groups:
+        from quern.streaming.groups import transform_by_groups
+        return transform_by_groups(rows, [key], processor, schema, "Append", "EventTime", groups)
+    return rows.groupBy(key).transformWithState(processor, schema, "Append", "EventTime")

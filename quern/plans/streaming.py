@@ -20,6 +20,7 @@ from quern.plans.registry import register
 from quern.sources.replay import replay
 from quern.sources.tables import stream_table, table_path
 from quern.streaming import processors as P
+from quern.streaming.groups import groups_for, transform_by_groups
 from quern.streaming.runner import drop_flush, final_by_key, order_by, run_to_table, state_partitions
 from quern.streaming.watermarks import bounded_out_of_orderness
 from quern.session import ensure_stateful_conf, scratch_path
@@ -45,6 +46,11 @@ def stream_rows(spark, sf, *, repeat: int = 1):
     return replay(spark, table_path(sf, "events"), rows_per_batch=BATCH_ROWS, most_batches=BATCHES, partition_rows=TASK_ROWS, repeat=repeat)
 
 
+def _groups(spark, sf):
+    """The number of groups of keys that keep the state of a stream of the events."""
+    return groups_for(t(spark, sf, "events").count())
+
+
 def _ts_ntz(df, *cols):
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
 
@@ -739,7 +745,8 @@ def str_50_match_out_of_order(spark, sf):
         {"V": kind("view"), "C": kind("click"), "P": kind("purchase")},
         {"first_id": ("first", "VC", "event_id"), "second_id": ("first", None, "event_id", 1), "last_id": ("last", "VC", "event_id"),
          "n_rows": ("count", "VC", "event_id"), "n_clicks": ("count", "C", "event_id"), "purchase_id": ("last", "P", "event_id")},
-        "first_id long, second_id long, last_id long, n_rows long, n_clicks long, purchase_id long", after="TO NEXT ROW", subset={"VC": ["V", "C"]})
+        "first_id long, second_id long, last_id long, n_rows long, n_clicks long, purchase_id long", after="TO NEXT ROW", subset={"VC": ["V", "C"]},
+        groups=_groups(spark, sf))
     m = m.withColumn("second_id", F.when(F.col("n_rows") > 1, F.col("second_id")))
     return run_to_table(m, "append")
 

@@ -140,4 +140,5 @@ def ship_package(spark: SparkSession) -> None:
 
 WORKER_MODULES = ("quern.sources.replay", "quern.streaming.processors", "quern.streaming.joins", "quern.streaming.windows",
                   "quern.operators.match",
-                  "quern.streaming.async_io", "quern.functions.udf", "quern.sinks.parts", "quern.streaming.accumulators")
+                  "quern.streaming.async_io", "quern.functions.udf", "quern.sinks.parts", "quern.streaming.accumulators", "quern.streaming.groups",
+                  "quern.streaming.retract")
