@@ -165,7 +165,7 @@ def agg_03_retract_aggregates(spark, sf):
     from quern.streaming.retract import Agg, retract_aggregate
     log = retract_aggregate(_changing_events(spark, sf, "event_id % 3 = 0 OR value > 60"), ["user_id"], {
         "cnt": Agg("count"), "total": Agg("sum", "value"), "mean": Agg("avg", "value"), "least": Agg("min", "value"), "most": Agg("max", "value"),
-        "kinds": Agg("count_distinct", "event_type"), "ids": Agg("listagg", "event_id", order="event_id")})
+        "kinds": Agg("count_distinct", "event_type"), "ids": Agg("listagg", "event_id", order="event_id")}, groups=_groups(spark, sf))
     out = folded(run_to_table(log, "append"))
     return out.withColumns({c: F.round(c, 6) for c in ("total", "mean")})
 

@@ -201,16 +201,19 @@ def netted(changes: DataFrame, keys: Sequence[str], columns: Sequence[str], op:
     return named.mapInArrow(net, named.schema)
 
 
-def retract_aggregate(changes: DataFrame, keys: Sequence[str], aggs: dict[str, Agg], op: str = "op", parts: int = 1) -> DataFrame:
+def retract_aggregate(changes: DataFrame, keys: Sequence[str], aggs: dict[str, Agg], op: str = "op", parts: int = 1,
+                      groups: int | None = None) -> DataFrame:
     """Changelog of the aggregates, by name, of the changelog ``changes`` for each combination of ``keys``: op, the keys, the aggregates.
 
     ``parts`` is for few keys that hold very many rows, each of which else is one task's: a key's rows are dealt by their values over so many
     parts (:class:`PartAggregates`), and the changelogs of the parts, a row or two each, are aggregated in turn.  COUNT, MIN and MAX can be put
-    together so; rows that are taken back must have been added, or come to be."""
-    return _aggregates(changes, keys, aggs, op, parts, RetractAggregates)
+    together so; rows that are taken back must have been added, or come to be.  ``groups`` is for many small keys: their state is kept in so many
+    groups of them (:mod:`quern.streaming.groups`)."""
+    return _aggregates(changes, keys, aggs, op, parts, RetractAggregates, groups)
 
 
-def _aggregates(changes: DataFrame, keys: Sequence[str], aggs: dict[str, Agg], op: str, parts: int, kind_of: type) -> DataFrame:
+def _aggregates(changes: DataFrame, keys: Sequence[str], aggs: dict[str, Agg], op: str, parts: int, kind_of: type,
+                groups: int | None = None) -> DataFrame:
     columns = list(dict.fromkeys(c for a in aggs.values() for c in a.columns))
     if parts > 1:
         if odd := [a.fn for a in aggs.values() if a.fn not in ("count", "min", "max")]:
@@ -219,7 +222,7 @@ def _aggregates(changes: DataFrame, keys: Sequence[str], aggs: dict[str, Agg], o
         same = [F.col(c) + F.lit(0.0) if isinstance(changes.schema[c].dataType, (T.DoubleType, T.FloatType)) else F.col(c) for c in columns]
         dealt = changes.withColumn("_part", F.pmod(F.xxhash64(*same), F.lit(parts)) if same else F.lit(0))
         each = _aggregates(dealt, [*keys, "_part"], aggs, op, 1, PartAggregates)
-        return retract_aggregate(each, keys, {n: Agg("sum" if a.fn == "count" else a.fn, n) for n, a in aggs.items()}, op)
+        return retract_aggregate(each, keys, {n: Agg("sum" if a.fn == "count" else a.fn, n) for n, a in aggs.items()}, op, groups=groups)
     rows = netted(changes, keys, columns, op)
 
     def kind(a: Agg) -> T.DataType:
@@ -237,4 +240,8 @@ def _aggregates(changes: DataFrame, keys: Sequence[str], aggs: dict[str, Agg], o
     out = T.StructType([T.StructField(op, T.StringType()), *[T.StructField(k, changes.schema[k].dataType) for k in keys],
                         *[T.StructField(n, kind(a)) for n, a in aggs.items()]])
     processor = kind_of(aggs, changes.schema, out.fieldNames())
-    return rows.groupBy(*[f"_k{i}" for i in range(len(keys))]).transformWithState(processor, out, "Append", "None")
+    by = [f"_k{i}" for i in range(len(keys))]
+    if groups:
+        from quern.streaming.groups import transform_by_groups
+        return transform_by_groups(rows, by, processor, out, "Append", "None", groups)
+    return rows.groupBy(*by).transformWithState(processor, out, "Append", "None")
