@@ -232,9 +232,13 @@ def str_07_sliding_window_stream(spark, sf):
     return _ts_ntz(run_to_table(agg, "append"), "window_start")
 
 
-def _tws(spark, sf, keys, proc, schema, mode="Append", time_mode="None", delay="0 seconds"):
+def _tws(spark, sf, keys, proc, schema, mode="Append", time_mode="None", delay="0 seconds", carry=None):
+    """``carry``: the columns that the processor reads beside the keys; the state is then kept by groups of keys."""
     ev = events_stream(spark, sf, delay=delay)
-    out = ev.groupBy(*keys).transformWithState(proc, schema, mode, time_mode)
+    if carry:
+        out = transform_by_groups(ev.select(*keys, *carry), keys, proc, schema, mode, time_mode, _groups(spark, sf))
+    else:
+        out = ev.groupBy(*keys).transformWithState(proc, schema, mode, time_mode)
     return run_to_table(out, mode.lower(), with_batch_id=(mode == "Update"))
 
 
@@ -332,7 +336,7 @@ def str_41_state_ttl(spark, sf):
     # the result equals the plain count per key and category.
     schema = "key long, category string, cnt long, total long"
     proc = P.StateKinds("event_type", "ts", "event_id", retention_ms=30 * 86_400_000)
-    out = _tws(spark, sf, ["user_id"], proc, schema, mode="Update", time_mode="EventTime")
+    out = _tws(spark, sf, ["user_id"], proc, schema, mode="Update", time_mode="EventTime", carry=["ts", "event_id", "event_type"])
     return final_by_key(out, ["key", "category"]).drop("total")
 
 

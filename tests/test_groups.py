@@ -16,7 +16,7 @@ from quern.streaming.arrival import arrive
 from quern.streaming.runner import run_to_table
 
 BASE = dt.datetime(2024, 1, 1)
-GROUPED = "str_50_match_out_of_order agg_03_retract_aggregates".split()
+GROUPED = "str_50_match_out_of_order agg_03_retract_aggregates str_41_state_ttl".split()
 
 
 class Store:
