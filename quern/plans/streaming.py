@@ -719,7 +719,7 @@ def str_50_match_recognize(spark, sf):
     pattern, define, measures, schema = _views_then_purchase()
     ev = events_stream(spark, sf)
     m = match_recognize_stream(ev, ["user_id"], ["ts", "event_id"], pattern, define, measures, schema,
-                               within_ms=86_400_000)
+                               within_ms=86_400_000, groups=_groups(spark, sf))
     return _ts_ntz(run_to_table(m, "append"), "match_rowtime")
 
 
