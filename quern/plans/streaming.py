@@ -323,7 +323,7 @@ SELECT user_id AS key, event_type AS category, count(*) AS cnt FROM events GROUP
 """)
 def str_40_keyed_state_kinds(spark, sf):
     schema = "key long, category string, cnt long, total long"
-    out = _tws(spark, sf, ["user_id"], P.StateKinds("event_type", "ts", "event_id"), schema, mode="Update")
+    out = _tws(spark, sf, ["user_id"], P.StateKinds("event_type", "ts", "event_id"), schema, mode="Update", carry=["ts", "event_id", "event_type"])
     return final_by_key(out, ["key", "category"]).drop("total")
 
 
