@@ -409,7 +409,7 @@ FROM events
 def set_02_streaming_temporal_sort(spark, sf):
     schema = "key long, seq long, event_id long, ts timestamp, running_sum double"
     out = _tws(spark, sf, ["user_id"], P.EventTimeOrdered("ts", "event_id", "value"), schema,
-               time_mode="EventTime")
+               time_mode="EventTime", carry=["ts", "event_id", "value"])
     return _ts_ntz(out, "ts").drop("running_sum")
 
 
