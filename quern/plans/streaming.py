@@ -652,7 +652,7 @@ def _firings(spark, sf, lateness, early=None):
     from quern.streaming.windows import timed_windows
     rows = _late_events(spark, sf)
     out = timed_windows(rows, "user_id", "ets", "value", "event_id", size_ms=_H, bound_ms=_H, lateness_ms=lateness, early_ms=early,
-                        drop=lambda d: drop_flush(d, "ets"))
+                        drop=lambda d: drop_flush(d, "ets"), groups=_groups(spark, sf))
     return _ts_ntz(run_to_table(out, "append"), "window_start", "at")
 
 

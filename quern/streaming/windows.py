@@ -106,15 +106,19 @@ class TimedWindows(StatefulProcessor):
 
 
 def timed_windows(df: DataFrame, key: str, ts: str, value: str, order: str, *, size_ms: int, bound_ms: int, lateness_ms: int = 0,
-                  early_ms: int | None = None, drop=None) -> DataFrame:
+                  early_ms: int | None = None, drop=None, groups: int | None = None) -> DataFrame:
     """Every firing of the windows of a stream: key, window_start, firing (early, on time, late), at (the point, the
     window's last millisecond or the late row's time), cnt and total so far.
 
     ``order`` puts the rows of a micro-batch in order.  ``drop`` (frame -> frame) takes out rows that are there for the
-    watermark alone, after it has seen them."""
+    watermark alone, after it has seen them.  ``groups``: keep the state in so many groups of keys (:mod:`quern.streaming.groups`)."""
     delay = bound_ms + lateness_ms + size_ms
     marked = df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, f"{delay} milliseconds")
     marked = drop(marked) if drop else marked
     kind = marked.schema[key].dataType.simpleString()
     out = f"key {kind}, window_start timestamp, firing string, at timestamp, cnt long, total double"
-    return marked.groupBy(key).transformWithState(TimedWindows(size_ms, lateness_ms, early_ms, ts, value, order), out, "Append", "EventTime")
+    windows = TimedWindows(size_ms, lateness_ms, early_ms, ts, value, order)
+    if groups:
+        from quern.streaming.groups import transform_by_groups
+        return transform_by_groups(marked.select(*dict.fromkeys([key, ts, value, order])), [key], windows, out, "Append", "EventTime", groups)
+    return marked.groupBy(key).transformWithState(windows, out, "Append", "EventTime")
