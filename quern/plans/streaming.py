@@ -382,8 +382,9 @@ FROM s JOIN e USING (user_id, rn) GROUP BY user_id, life
 def str_41_idle_state_retention(spark, sf):
     # users idle for 20 to 30 hours lose their state and begin anew: six lives a user in the small tables
     from quern.streaming.accumulators import accumulate_until_idle
-    acc = accumulate_until_idle(events_stream(spark, sf), ["user_id"], _value_accumulators(), "ts", "event_id",
-                                shortest_ms=_SHORTEST, longest_ms=_LONGEST)
+    ev = events_stream(spark, sf).select("user_id", "ts", "event_id", "value")
+    acc = accumulate_until_idle(ev, ["user_id"], _value_accumulators(), "ts", "event_id",
+                                shortest_ms=_SHORTEST, longest_ms=_LONGEST, groups=_groups(spark, sf))
     return run_to_table(acc, "append").select("user_id", F.col("best.value").alias("best_value"),
                                               F.col("best.event_id").alias("best_id"), r2(F.col("mean") * F.col("cnt")).alias("mean_by_cnt"), "cnt")
 

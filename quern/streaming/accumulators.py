@@ -120,8 +120,16 @@ def _output(df: DataFrame, keys, accs) -> T.StructType:
                         + [T.StructField(n, T._parse_datatype_string(a.type)) for n, a in accs.items()])
 
 
-def accumulate(df: DataFrame, keys: Sequence[str], accs: dict[str, Accumulator]) -> DataFrame:
-    """The results of each key a micro-batch touches (update mode).  ``df`` should hold no other columns than are used."""
+def _keyed(df: DataFrame, keys, processor: Accumulate, schema: T.StructType, output_mode: str, time_mode: str, groups: int | None) -> DataFrame:
+    if groups:
+        from quern.streaming.groups import transform_by_groups
+        return transform_by_groups(df, keys, processor, schema, output_mode, time_mode, groups)
+    return df.groupBy(*keys).transformWithState(processor, schema, output_mode, time_mode)
+
+
+def accumulate(df: DataFrame, keys: Sequence[str], accs: dict[str, Accumulator], groups: int | None = None) -> DataFrame:
+    """The results of each key a micro-batch touches (update mode).  ``df`` should hold no other columns than are used.  ``groups``: keep the
+    state in so many groups of keys (:mod:`quern.streaming.groups`)."""
     keys = list(keys)
     state = {n: T._parse_datatype_string(a.schema) for n, a in accs.items()}
     schema = T.StructType([df.schema[k] for k in keys] + [T.StructField(n, s) for n, s in state.items()])
@@ -146,13 +154,12 @@ def accumulate(df: DataFrame, keys: Sequence[str], accs: dict[str, Accumulator])
                      for key, cur in held.items()], schema=arrow)
 
     merged = df.mapInArrow(partials, schema)
-    return merged.groupBy(*keys).transformWithState(Accumulate(keys, accs), _output(df, keys, accs), "Update", "None")
+    return _keyed(merged, keys, Accumulate(keys, accs), _output(df, keys, accs), "Update", "None", groups)
 
 
 def accumulate_until_idle(df: DataFrame, keys: Sequence[str], accs: dict[str, Accumulator], ts: str, tie: str | None = None, *,
-                          shortest_ms: int, longest_ms: int) -> DataFrame:
+                          shortest_ms: int, longest_ms: int, groups: int | None = None) -> DataFrame:
     """One row whenever a key's state is cleared.  ``df`` needs a watermark on ``ts``."""
     if not 0 < shortest_ms <= longest_ms:
         raise ValueError("0 < shortest <= longest")
-    return df.groupBy(*keys).transformWithState(Accumulate(keys, accs, (shortest_ms, longest_ms, ts, tie)), _output(df, keys, accs),
-                                                "Append", "EventTime")
+    return _keyed(df, list(keys), Accumulate(keys, accs, (shortest_ms, longest_ms, ts, tie)), _output(df, keys, accs), "Append", "EventTime", groups)
