@@ -300,7 +300,7 @@ FROM g GROUP BY user_id, sid
 def str_37_keyed_process_function(spark, sf):
     schema = "key long, session_start timestamp, session_end timestamp, cnt long"
     out = _tws(spark, sf, ["user_id"], P.InactivityTimeout(3_600_000, "ts", "event_id"), schema,
-               time_mode="EventTime")
+               time_mode="EventTime", carry=["ts", "event_id"])
     return _ts_ntz(out, "session_start", "session_end")
 
 
