@@ -359,7 +359,7 @@ FROM events GROUP BY user_id
 def str_40_reducing_aggregating_state(spark, sf):
     from quern.streaming.accumulators import accumulate
     ensure_stateful_conf(spark)
-    acc = accumulate(stream_rows(spark, sf).select("user_id", "event_id", "value"), ["user_id"], _value_accumulators())
+    acc = accumulate(stream_rows(spark, sf).select("user_id", "event_id", "value"), ["user_id"], _value_accumulators(), groups=_groups(spark, sf))
     out = final_by_key(run_to_table(acc, "update", with_batch_id=True), ["user_id"])
     return out.select("user_id", F.col("best.value").alias("best_value"), F.col("best.event_id").alias("best_id"),
                       r2(F.col("mean") * F.col("cnt")).alias("mean_by_cnt"), "cnt")

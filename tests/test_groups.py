@@ -16,7 +16,7 @@ from quern.streaming.arrival import arrive
 from quern.streaming.runner import run_to_table
 
 BASE = dt.datetime(2024, 1, 1)
-GROUPED = "str_50_match_out_of_order agg_03_retract_aggregates str_41_state_ttl str_50_match_recognize str_40_keyed_state_kinds set_02_streaming_temporal_sort str_30_early_and_late_firings str_21_late_firings str_26_interval_firings ovr_05_streaming_over str_41_idle_state_retention str_37_keyed_process_function".split()
+GROUPED = "str_50_match_out_of_order agg_03_retract_aggregates str_41_state_ttl str_50_match_recognize str_40_keyed_state_kinds set_02_streaming_temporal_sort str_30_early_and_late_firings str_21_late_firings str_26_interval_firings ovr_05_streaming_over str_41_idle_state_retention str_37_keyed_process_function str_40_reducing_aggregating_state".split()
 
 
 class Store:
