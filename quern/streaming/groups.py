@@ -30,6 +30,13 @@ def groups_for(rows: int) -> int:
     return max(LEAST_GROUPS, -(-rows // GROUP_ROWS))
 
 
+class Fields(dict):
+    """A row by the names of its columns; Spark's rows look a name up among all of theirs each time."""
+
+    def asDict(self) -> dict:
+        return dict(self)
+
+
 class _State:
     """A state variable of the key at hand: its part of the key's cell."""
 
@@ -183,11 +190,10 @@ class KeyGroups(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator:
         armed, held = self._load()
-        changed, of_key, at = False, {}, None
+        changed, of_key = False, {}
         for r in rows:
-            if at is None:
-                at = [r.__fields__.index(k) for k in self.keys]
-            of_key.setdefault(tuple([r[i] for i in at]), []).append(r)
+            row = Fields(zip(r.__fields__, r))
+            of_key.setdefault(tuple([row[k] for k in self.keys]), []).append(row)
         for k, mine in of_key.items():
             self._enter(held, k)
             yield from self.processor.handleInputRows(k, iter(mine), timerValues) or ()
